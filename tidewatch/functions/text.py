@@ -143,13 +143,12 @@ def cve_ids(refs) -> Column:
 
 
 def os_group(os_ver) -> Column:
-    """Windows / Ubuntu x.y / CentOS n grouping (SCL-19); others keep their text."""
+    """OS grouping (SCL-19): ``Win…`` word, ``Ubuntu x.y``, ``CentOS`` + first number;
+    anything else (or no match) -> NULL."""
     v = _c(os_ver)
-    return (F.when(v.startswith("Win"), F.lit("Windows"))
-             .when(v.rlike(r"^Ubuntu \d+\.\d+"), F.regexp_extract(v, r"^(Ubuntu \d+\.\d+)", 1))
-             .when(v.rlike(r"^CentOS.* \d+"), F.concat(F.lit("CentOS "),
-                                                      F.regexp_extract(v, r"^CentOS\D*(\d+)", 1)))
-             .otherwise(v))
+    return (F.when(v.rlike("^Win"), F.regexp_substr(v, F.lit("^Win[0-9A-z]*")))
+             .when(v.rlike("^Ubuntu"), F.regexp_substr(v, F.lit(r"^Ubuntu\s[0-9]*.[0-9]*")))
+             .when(v.rlike("^CentOS"), F.concat(F.lit("CentOS"), F.regexp_substr(v, F.lit(r"\s[0-9]\d*")))))
 
 
 def bytes_to_g(s) -> Column:
