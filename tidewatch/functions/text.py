@@ -63,8 +63,10 @@ def percent_decode(s) -> Column:
 
 
 def url_authority(url) -> Column:
-    """Authority part (host[:port], with userinfo) of a URL (SCL-07)."""
-    return F.try_parse_url(_c(url), F.lit("AUTHORITY"))
+    """Network location of a URL (SCL-07): what follows ``scheme://`` up to the next '/',
+    '?' or '#', userinfo and port included; '' without a scheme.  A regex rather than
+    ``parse_url``, which rejects URLs with unescaped characters such as spaces."""
+    return F.regexp_extract(_c(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
 
 
 def domain_or_authority(domain, url) -> Column:

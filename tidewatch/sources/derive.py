@@ -77,3 +77,141 @@ def firewall_topic(events: DataFrame) -> DataFrame:
             F.to_json(F.struct(F.col("_line").alias("data"), F.col("_host").alias("host")))).alias("value"),
         F.col("event_id"),
     )
+
+
+# --- sensor alerts ----------------------------------------------------------------------
+
+# FIXED VALUES (fixture design) -- malware names picked by ``event_id % 6``.
+SENSOR_MALNAMES = ["trojan[suspicious-login]/a", "worm/b", "Ransom[DDoS]/c", "unknown/d", "hacktool",
+                   "exploit[network-scan]/e"]
+# protocol list per case ``event_id % 16``
+SENSOR_PROTOS = ["HTTP", "DNS", "TCP", "HTTP", "SMTP", "IMAP", "FTP", "FTP", "SMB", "NFS", "TCP", "HTTP",
+                 "FEIQ", "TCP", "TCP", "TCP"]
+SENSOR_FILE_CASES = [3, 4, 5, 6, 7, 8, 9, 12, 13]
+SENSOR_FILEINFO_CASES = SENSOR_FILE_CASES + [15]
+SENSOR_SENGINE_CASES = [10, 11, 14]
+SENSOR_MSG_CASES = [6, 7, 8, 9, 12]
+SENSOR_STAGES = [("Engagement", "Delivery"), ("Presence", "Credential Access"), ("Effect", "Deny"),
+                 ("Unknown", "x")]
+
+
+def _pick(idx: Column, values: list[str]) -> Column:
+    out = F.lit(None).cast("string")
+    for i, v in enumerate(values):
+        out = F.when(idx == i, F.lit(v)).otherwise(out)
+    return out
+
+
+def sensor_event_struct() -> Column:
+    """One sensor alert per event (fixture C2), as the struct the sensor emits."""
+    e, u = F.col("event_id"), F.col("user_id")
+    case = e % 16
+    sip = user_ip(u)
+    dip = firewall_dst_ip(e)
+    incase = lambda cs: case.isin(*cs)
+    malname = _pick(e % 6, SENSOR_MALNAMES)
+    hit = [malname.alias("malname"), F.concat(F.lit("type"), _s(e % 3)).alias("virus_type"),
+           F.concat(F.lit("fam"), _s(e % 4)).alias("virus_family"), F.lit("win").alias("virus_platform"),
+           F.lit("behav").alias("virus_behaviors"), F.lit("ptd-rules").alias("author"),
+           F.concat(F.lit("r"), _s(e % 100)).alias("rid")]
+    file_md5 = F.md5(F.concat(F.lit("f"), _s(e)))
+    info_md5 = F.when(e % 4 != 0, file_md5).otherwise(F.md5(F.concat(F.lit("g"), _s(e))))
+    stage = e % 4
+    attacker = (F.when(u % 3 == 0, F.array(dip)).when(u % 3 == 1, F.array(sip))
+                 .otherwise(F.lit(None).cast("array<string>")))
+    sengine = F.struct(
+        *hit,
+        F.when(case == 10, "Huawei x")
+         .when(case == 11, F.when(u % 2 == 0, "SQL x").otherwise("xss"))
+         .otherwise("other").alias("msg"),
+        F.when(case == 11, "web-application-attack").otherwise("misc-activity").alias("classtype"),
+        F.struct(attacker.alias("attacker")).alias("related"),
+        F.array(F.struct(_pick(stage, [s for s, _ in SENSOR_STAGES]).alias("stage"),
+                         _pick(stage, [o for _, o in SENSOR_STAGES]).alias("objective"),
+                         F.lit("act").alias("action"))).alias("nsacss"),
+        F.array(F.struct(F.when(e % 3 == 0, "Defense Evasion, Execution")
+                          .otherwise("Command and Control").alias("tactic"),
+                         F.concat(F.lit("T"), _s(F.lit(1000) + e % 25)).alias("techniques"))).alias("attck"),
+        F.array(F.concat(F.lit("cve,CVE-2020-"), _s(e % 100)), F.lit("url,http://ref.example/x"))
+         .alias("reference"))
+    empty = lambda t: F.array().cast(t)
+    d = F.when(case != 15, F.struct(
+        F.when(case == 0, F.array(F.struct(*hit))).alias("url"),
+        F.when(case == 1, F.array(F.struct(*hit))).alias("domain"),
+        F.when(case == 2, F.array(F.struct(*hit))).alias("ip"),
+        F.when(incase(SENSOR_FILE_CASES), F.array(F.struct(*hit, file_md5.alias("md5")))).alias("file"),
+        F.when(incase(SENSOR_SENGINE_CASES), F.array(sengine)).alias("sengine")))
+    body = lambda tag, direction, md5: F.struct(
+        _s(e % 1000).alias("bytes"), F.lit(direction).alias("direction"),
+        F.concat(F.lit(tag), _s(e), F.lit(".bin")).alias("fn"), F.lit("bin").alias("ft"), md5.alias("md5"))
+    up_md5 = F.when(case == 7, F.lit("")).otherwise(F.md5(F.concat(F.lit("u"), _s(e))))
+    endpoint = lambda ip, port, unit, lon, lat: F.struct(
+        ip.alias("ip"), port.alias("port"), F.lit("00-11-22-33-44-55").alias("mac"), F.lit("CN").alias("country"),
+        F.concat(F.lit("city"), _s(u % 5)).alias("city"), F.lit("r1").alias("region"), unit.alias("unit"),
+        F.lit("isp").alias("isp"), F.struct(lon.alias("lon"), lat.alias("lat")).alias("location"))
+    return F.struct(
+        F.concat(F.lit("ptd-"), _s(e)).alias("id"),
+        F.concat(F.lit("dev"), _s(u % 8)).alias("dev"),
+        F.when(F.col("event_type") == "signup", "heartbeat").otherwise("alert").alias("type"),
+        (F.col("value") > 50).alias("is_malicious"),
+        (F.col("event_type") == "error").alias("alert"),
+        F.when(e % 10 == 3, "跨境通讯").otherwise("").alias("label"),
+        F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("start")).alias("ts"),
+        F.array(_pick(case, SENSOR_PROTOS)).alias("proto"),
+        F.when(case == 8, F.array(F.lit("Virus/x"))).when(case == 9, F.array(F.lit("Trojan/x")))
+         .otherwise(empty("array<string>")).alias("malname"),
+        endpoint(sip, _s(F.lit(1024) + e % 1000),
+                 F.when(u % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("unit"), _s(u % 4))),
+                 _s(F.lit(100) + u % 10), _s(F.lit(30) + u % 7)).alias("src"),
+        endpoint(dip, F.lit("443"), F.lit("ext"), F.lit("120"), F.lit("35")).alias("dst"),
+        F.struct((e % 4).alias("pkts"), ((e % 4) * 100).alias("bytes")).alias("s2c"),
+        F.when(incase([0, 3]), F.array(F.concat(F.lit("http://c2.example.com:8080/p%20"), _s(e), F.lit("+q"))))
+         .otherwise(empty("array<string>")).alias("url"),
+        F.when(incase([1, 11]), F.array(F.concat(F.lit("d"), _s(e % 50), F.lit(".example.org"))))
+         .otherwise(empty("array<string>")).alias("domain"),
+        F.when(incase(SENSOR_FILEINFO_CASES), F.array(F.struct(
+            info_md5.alias("md5"), F.concat(F.lit("a%20"), _s(e), F.lit(".exe")).alias("name"),
+            _s(e % 1000).alias("bytes"), F.lit("PE").alias("type"),
+            F.when(e % 2 == 0, "up").otherwise("down").alias("direction")))).alias("file"),
+        F.when(e % 5 == 0, F.array(F.struct(F.struct(sip.alias("name")).alias("victim"))))
+         .when(e % 5 == 1, F.array(F.struct(F.struct(dip.alias("name")).alias("victim"))))
+         .otherwise(F.array().cast("array<struct<victim:struct<name:string>>>")).alias("avlist"),
+        d.alias("d"),
+        F.when(case == 1, F.struct(F.struct(
+            F.when(e % 2 == 0, "query").otherwise("response").alias("msg_type"),
+            F.array(F.struct(F.lit("A").alias("Rtype"), F.lit("IN").alias("class"), F.lit("").alias("cname"),
+                             dip.alias("data"))).alias("record")).alias("msg"))).alias("dns"),
+        F.when(incase([4, 5]), F.struct(F.struct(
+            F.lit("a@example.com").alias("from"), F.array(F.lit("b@example.com")).alias("to"),
+            F.lit("a").alias("sender"), F.concat(F.lit("sub"), _s(e)).alias("sub"), F.lit("c").alias("content"),
+            F.array(F.struct(file_md5.alias("md5"), F.lit("m.doc").alias("fn"), F.lit("doc").alias("ft")))
+             .alias("attach")).alias("msg"))).alias("email"),
+        F.when(incase([6, 7]), F.struct(body("dl", "down", file_md5).alias("download"),
+                                        body("ul", "up", up_md5).alias("upload"))).alias("ftp"),
+        F.when(incase([0, 3, 11]), F.struct(
+            F.struct(F.lit("GET").alias("method"),
+                     F.struct(F.lit("c2.example.com").alias("host"), F.concat(F.lit("/p"), _s(e)).alias("uri"),
+                              F.array(F.struct(F.lit("User-Agent").alias("key"), F.lit("ua").alias("value")),
+                                      F.struct(F.lit("Accept").alias("key"), F.lit("*/*").alias("value")),
+                                      F.struct(F.lit("").alias("key"), F.lit("").alias("value")),
+                                      F.struct(F.lit("X-After").alias("key"), F.lit("y").alias("value")))
+                               .alias("other")).alias("header"),
+                     body("req", "up", file_md5).alias("body")).alias("request"),
+            F.struct(F.struct(F.array(F.struct(F.lit("Server").alias("key"), F.lit("srv").alias("value")))
+                              .alias("other")).alias("header"),
+                     body("resp", "down", file_md5).alias("body")).alias("response"))).alias("http"),
+        F.when(incase(SENSOR_MSG_CASES), F.struct(body("ul", "up", up_md5).alias("upload"),
+                                                  body("dl", "down", file_md5).alias("download"))).alias("msg"),
+    )
+
+
+def sensor_topic(events: DataFrame) -> DataFrame:
+    """Kafka-shaped frame of sensor batches ``{"data": [alert]}``, one alert per event."""
+    e = F.col("event_id")
+    return events.select(
+        F.lit("ptd_raw").alias("topic"),
+        (e % 8).cast("int").alias("partition"),
+        idiv(e, 8).alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.to_json(F.struct(F.array(sensor_event_struct()).alias("data"))).alias("value"),
+    )

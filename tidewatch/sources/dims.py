@@ -178,3 +178,11 @@ def hardware_details(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_type").alias("manufacturer"),
                     F.when(k % 9 == 0, "None").otherwise(F.concat(F.lit("SN"), S(k))).alias("serial_number"),
                     S(F.col("p_size").cast("long") * 1073741824).alias("capacity"))
+
+
+def attack_techniques(spark: SparkSession, n: int = 20) -> DataFrame:
+    """k_attck: technique dictionary -- id, parent tactic number, local and English names."""
+    r = spark.range(n)
+    return r.select((F.col("id") + 1).alias("attck_id"), S(F.col("id") % 12 + 1).alias("parent_id"),
+                    F.concat(F.lit("T"), S(F.col("id"))).alias("attck_content"),
+                    F.concat(F.lit("T"), S(F.col("id") + 1000)).alias("attck_eng_name"))
