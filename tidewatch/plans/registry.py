@@ -28,4 +28,4 @@ def register(name: str, oracle: str | None = None, covers: tuple[str, ...] = ())
 
 def load_all() -> None:
     """Import every plan module so their ``register`` calls run."""
-    from . import asset_queries, firewall_queries, sensor_queries  # noqa: F401
+    from . import asset_queries, endpoint_queries, firewall_queries, sensor_queries  # noqa: F401

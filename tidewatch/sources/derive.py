@@ -215,3 +215,101 @@ def sensor_topic(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.to_json(F.struct(F.array(sensor_event_struct()).alias("data"))).alias("value"),
     )
+
+
+# --- endpoint agent events ----------------------------------------------------------------
+
+ENDPOINT_TYPES = ["eventlog", "eventlog", "eventlog", "virus_defend", "virus_detect", "active_protect",
+                  "proc_protect"]
+# local tactic names in tactic-number order, local kill-chain stage names (fixture choice)
+ENDPOINT_TACTICS = ["初始访问", "执行", "持久化", "提权", "防御规避", "凭证访问", "发现", "横向运动", "收集",
+                    "命令控制", "渗透", "影响"]
+ENDPOINT_STAGES = ["准备", "交互", "存在", "影响", "持续", "管理"]
+
+
+def endpoint_event_struct() -> Column:
+    """One endpoint-agent message per event (fixture C3)."""
+    e, u = F.col("event_id"), F.col("user_id")
+    etype = _pick(e % 7, ENDPOINT_TYPES)
+    v_name = F.when(e % 6 == 5, F.lit("")).otherwise(_pick(e % 6, SENSOR_MALNAMES))
+    cip = user_ip(u)
+    path = F.concat(F.lit("C%3A%5Cprog%5Capp"), _s(e), F.lit(".exe"))
+    name = F.concat(F.lit("app"), _s(e), F.lit("%2Bv.exe"))
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    md5 = F.md5(F.concat(F.lit("p"), _s(e)))
+    tactic = _pick(e % 12, ENDPOINT_TACTICS)
+    stage = _pick(e % 6, ENDPOINT_STAGES)
+    vul = lambda i: F.struct(F.concat(F.lit("CVE-2021-"), _s(e % 50 + i)).alias("1"))
+    data = F.struct(
+        F.concat(F.lit("evt-"), _s(e)).alias("a"), ts.alias("b"),
+        F.struct(F.lit("malware").alias("1"), F.lit("trojan").alias("2"), F.lit("l3").alias("3"),
+                 F.lit("l4").alias("4")).alias("c"),
+        F.struct(F.array(F.struct(cip.alias("1"), F.lit("00-1A-2B-3C-4D-5E").alias("2"))).alias("1")).alias("d"),
+        F.array(F.struct(_s(e % 9000).alias("1"), F.struct(md5.alias("1")).alias("2"),
+                         F.array(vul(0)).alias("3"), F.lit("on").alias("p"))).alias("e"),
+        F.struct(F.struct(F.lit("t1").alias("1"), F.lit("t2").alias("2"), F.lit("exec").alias("3"),
+                          F.lit("t4").alias("4")).alias("1"),
+                 F.struct(F.concat(F.lit("CVE-2021-"), _s(e % 50)).alias("1")).alias("2"),
+                 F.lit("high").alias("3"), F.lit("blocked").alias("4"),
+                 F.concat(stage, F.lit(".obj.act")).alias("5"),
+                 F.concat(tactic, F.lit("."), F.lit("T"), _s(e % 30)).alias("7")).alias("f"),
+        F.array(F.struct(F.array(vul(1)).alias("3"), F.lit("off").alias("p"))).alias("g"),
+        F.struct(
+            F.array(F.struct(_s(e % 9000).alias("1"),
+                             F.struct(md5.alias("1"), F.lit("sha1").alias("2"), F.lit("sha256").alias("3")).alias("2"),
+                             path.alias("3"), name.alias("4"),
+                             F.concat(F.lit("cmd /c C:\\prog\\app"), _s(e), F.lit(".exe --x /tmp/f"), _s(e))
+                              .alias("5"),
+                             _s(e % 1000).alias("6"), F.lit("PE").alias("7"), v_name.alias("8"),
+                             F.when(e % 2 == 0, "Windows").otherwise("Linux").alias("9"))).alias("1"),
+            F.array(F.struct(F.concat(F.lit("CVE-2021-"), _s(e % 50)).alias("1"), F.lit("vuln").alias("2"),
+                             F.array(F.struct(F.concat(F.lit("KB"), _s(e % 50)).alias("1"),
+                                              F.lit("patch").alias("2"))).alias("8"))).alias("2"),
+            F.array(F.struct(ts.alias("1"), F.lit("").alias("2"), F.lit("IEP").alias("3"),
+                             F.struct(F.lit("base").alias("1"), F.concat(F.lit("rule"), _s(e % 10)).alias("2"))
+                              .alias("4"),
+                             F.struct(F.concat(F.lit("unit"), _s(u % 3)).alias("1")).alias("5"),
+                             F.when(e % 4 == 0, "源载荷").otherwise("目的载荷").alias("6"))).alias("3"),
+        ).alias("i"))
+    nfiles = F.when(etype == "virus_defend", u % 3 + 1).otherwise(F.lit(1))
+    files = F.transform(F.sequence(F.lit(1), nfiles), lambda k: F.struct(
+        F.md5(F.concat(F.lit("v"), _s(e), F.lit("-"), _s(k))).alias("md5"),
+        F.concat(F.lit("C:\\data\\f"), _s(e), F.lit("_"), _s(k), F.lit(".doc")).alias("path"),
+        _s(k * 100).alias("size"), v_name.alias("malname"), F.lit("").alias("mt"), F.lit("").alias("ct"),
+        F.lit("1.0").alias("ver"), F.lit("").alias("digsig"), F.lit("quarantine").alias("option")))
+    legacy = etype != "eventlog"
+    return F.struct(
+        etype.alias("type"), ts.alias("ts"),
+        F.struct(F.concat(F.lit("agent-"), _s(u)).alias("uuid"), cip.alias("ip"),
+                 F.concat(F.lit("srv"), _s(u % 4)).alias("server_uid"),
+                 F.concat(F.lit("192.0.2."), _s(u % 4)).alias("server_ip"),
+                 F.concat(F.lit("host"), _s(u)).alias("name"), F.lit("1").alias("group_id"),
+                 F.lit("1").alias("company_id")).alias("client"),
+        F.when(~legacy, data).alias("data"),
+        F.when(etype.isin("virus_defend", "virus_detect"), files).alias("fileinfo"),
+        F.when(etype == "proc_protect", _s(e % 9000)).alias("parent_process_id"),
+        F.when(etype == "proc_protect", F.lit("C:\\Windows\\explorer.exe")).alias("parent_process_path"),
+        F.when(etype == "proc_protect", md5).alias("parent_process_md5"),
+        F.when(etype == "proc_protect", F.concat(F.lit("C:\\tmp\\child"), _s(e), F.lit(".exe")))
+         .alias("child_process_path"),
+        F.when(etype == "proc_protect", F.md5(F.concat(F.lit("c"), _s(e)))).alias("child_process_md5"),
+        F.when(etype == "proc_protect", F.lit("-q")).alias("parameters"),
+        F.when(etype == "active_protect", F.lit("HKLM\\Software\\Run")).alias("registry_path"),
+        F.when(etype == "active_protect", F.concat(F.lit("k"), _s(e))).alias("registry_key"),
+        F.when(etype == "active_protect", F.lit("v")).alias("registry_value"),
+        F.when(legacy & ~etype.isin("virus_defend", "virus_detect"), v_name).alias("malname"),
+    )
+
+
+def endpoint_topic(events: DataFrame) -> DataFrame:
+    """Kafka-shaped frame of endpoint-agent messages; every 97th value is not valid JSON
+    (dead-letter path)."""
+    e = F.col("event_id")
+    val = F.to_json(endpoint_event_struct())
+    return events.select(
+        F.lit("iep_raw").alias("topic"),
+        (e % 8).cast("int").alias("partition"),
+        idiv(e, 8).alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.when(e % 97 == 0, F.concat(F.lit("{broken "), _s(e))).otherwise(val).alias("value"),
+    )

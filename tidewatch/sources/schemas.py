@@ -38,3 +38,30 @@ SENSOR_EVENT = f"""
 """
 
 SENSOR_BATCH = f"data ARRAY<STRUCT<{SENSOR_EVENT.replace(chr(10), ' ')}>>"
+
+# Endpoint agent message (short-key dictionary, SURVEY §1.4).  Digit keys are legal
+# field names and are addressed with back-ticks: ``col("data.i.`1`")``.
+ENDPOINT_EVENT = """
+  type STRING, ts STRING,
+  client STRUCT<uuid: STRING, ip: STRING, server_uid: STRING, server_ip: STRING, name: STRING,
+                group_id: STRING, company_id: STRING>,
+  data STRUCT<
+    a: STRING, b: STRING,
+    c: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING>,
+    d: STRUCT<`1`: ARRAY<STRUCT<`1`: STRING, `2`: STRING>>>,
+    e: ARRAY<STRUCT<`1`: STRING, `2`: STRUCT<`1`: STRING>, `3`: ARRAY<STRUCT<`1`: STRING>>, p: STRING>>,
+    f: STRUCT<`1`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING>, `2`: STRUCT<`1`: STRING>,
+              `3`: STRING, `4`: STRING, `5`: STRING, `7`: STRING>,
+    g: ARRAY<STRUCT<`3`: ARRAY<STRUCT<`1`: STRING>>, p: STRING>>,
+    i: STRUCT<
+      `1`: ARRAY<STRUCT<`1`: STRING, `2`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING>, `3`: STRING, `4`: STRING,
+                        `5`: STRING, `6`: STRING, `7`: STRING, `8`: STRING, `9`: STRING>>,
+      `2`: ARRAY<STRUCT<`1`: STRING, `2`: STRING, `8`: ARRAY<STRUCT<`1`: STRING, `2`: STRING>>>>,
+      `3`: ARRAY<STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRUCT<`1`: STRING, `2`: STRING>,
+                        `5`: STRUCT<`1`: STRING>, `6`: STRING>>>>,
+  fileinfo ARRAY<STRUCT<md5: STRING, path: STRING, size: STRING, malname: STRING, mt: STRING, ct: STRING,
+                        ver: STRING, digsig: STRING, option: STRING>>,
+  parent_process_id STRING, parent_process_path STRING, parent_process_md5 STRING,
+  child_process_path STRING, child_process_md5 STRING, parameters STRING,
+  registry_path STRING, registry_key STRING, registry_value STRING, malname STRING
+"""
