@@ -145,7 +145,7 @@ def software_library(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("pkg"), S(k)).alias("software_name"),
                     S(F.col("p_size") % 5).alias("software_type_id"),
                     F.col("p_brand").alias("publisher"),
-                    F.lit("1").alias("state"))
+                    F.when(k % 7 == 0, "0").otherwise("1").alias("state"))
 
 
 def order_lines(spark: SparkSession, sf_dir: str, linestatus: str) -> DataFrame:
