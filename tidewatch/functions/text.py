@@ -38,6 +38,18 @@ def match_start(s, pattern: str) -> Column:
     return F.coalesce(_c(s).rlike(anchored(pattern)), F.lit(False))
 
 
+GROUP_SEP = "\u0001"
+
+
+def extract_groups(s, pattern: str, names: list[str]) -> Column:
+    """All named groups of one anchored match in a single regex pass: the match (plus the
+    rest of the text) is replaced by the groups joined with U+0001, then split.  Only
+    meaningful where the pattern is known to match (guard with ``match_start``)."""
+    repl = GROUP_SEP.join("$" + str(group_index(pattern, n)) for n in names)
+    joined = F.regexp_replace(_c(s), anchored(pattern) + "(?s:.*)$", repl)
+    return F.split(joined, GROUP_SEP, -1)
+
+
 def extract_named(s, pattern: str, name: str) -> Column:
     """Value of a named group of an anchored match (SCL-02); '' when the group did not take part."""
     return F.regexp_extract(_c(s), anchored(pattern), group_index(pattern, name))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import DEFAULT_PARAMS, EngineParams
 from ..functions import text as T
-from ..functions.plan import bind
+from ..functions.plan import bind, spread
 from ..sources import schemas
 from .sensor import label_of
 
@@ -31,7 +31,7 @@ def decode(topic: DataFrame, dedupe: bool = True) -> tuple[DataFrame, DataFrame]
     """(events, dead letters).  Values that do not decode to a message with a type and a
     client go to the dead-letter frame instead of failing the batch (SNK-06, STR-13).
     Re-delivered offsets are dropped (STR-02)."""
-    t = topic.dropDuplicates(["topic", "partition", "offset"]) if dedupe else topic
+    t = topic.dropDuplicates(["topic", "partition", "offset"]) if dedupe else spread(topic)
     m = bind(t, _e=F.from_json(F.col("value"), schemas.ENDPOINT_EVENT))
     ok = F.col("_e.type").isNotNull() & F.col("_e.client").isNotNull()
     good = m.filter(ok).select("topic", "partition", "offset", "timestamp", "_e.*")

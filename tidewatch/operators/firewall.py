@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as T
-from ..functions.plan import bind
+from ..functions.plan import bind, spread
 
 ENVELOPE_SCHEMA = "data STRING, host STRING"
 
@@ -61,20 +61,20 @@ def _first_match(s: Column, patterns: list[str]) -> Column:
 
 
 def _detail_map(vendor: str, pattern: str, s: Column) -> Column:
-    """The key/value map a matched detail rule yields for ``vendor``."""
+    """The key/value map a matched detail rule yields for ``vendor`` (one regex pass)."""
     names = T.group_names(pattern)
+    if not names:
+        return F.create_map().cast("map<string,string>")
     if vendor in C.KV_VENDOR_CAPTURES:
-        m1 = T.extract_named(s, pattern, "message1")
-        m2 = T.extract_named(s, pattern, "message2")
-        tokens = T.kv_tokens(F.concat(m1, F.lit(" "), m2))
         caps = [n for n in C.KV_VENDOR_CAPTURES[vendor] if n in names]
+        g = T.extract_groups(s, pattern, ["message1", "message2"] + caps)
+        tokens = T.kv_tokens(F.concat(g[0], F.lit(" "), g[1]))
         if not caps:
             return tokens
-        capmap = F.create_map(*[x for n in caps for x in (F.lit(n), T.extract_named(s, pattern, n))])
+        capmap = F.map_from_arrays(F.array(*[F.lit(n) for n in caps]), F.slice(g, 3, len(caps)))
         return F.map_concat(capmap, tokens)
-    if not names:
-        return F.create_map().cast("map<string,string>")
-    return F.create_map(*[x for n in names for x in (F.lit(n), T.extract_named(s, pattern, n))])
+    g = T.extract_groups(s, pattern, names)
+    return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), g)
 
 
 # --- FLT-03 .. FLT-06 ---------------------------------------------------------------------
@@ -93,12 +93,13 @@ def classify(env: DataFrame) -> DataFrame:
 
     vendor, fire_type = F.lit(None).cast("string"), F.lit(None).cast("string")
     log_type, body = F.lit(None).cast("string"), F.lit(None).cast("string")
+    parts = F.lit(None).cast("array<string>")
     for i, (v, t, p) in enumerate(C.VENDOR_RULES, 1):
         vendor = F.when(F.col("_vi") == i, F.lit(v)).otherwise(vendor)
         fire_type = F.when(F.col("_vi") == i, F.lit(t)).otherwise(fire_type)
-        log_type = F.when(F.col("_vi") == i, _strip(T.extract_named("msg", p, "type"))).otherwise(log_type)
-        body = F.when(F.col("_vi") == i, _strip(T.extract_named("msg", p, "message"))).otherwise(body)
-    df = bind(df, vendor=vendor, fire_type=fire_type, log_type=log_type, body=body)
+        parts = F.when(F.col("_vi") == i, T.extract_groups(F.col("msg"), p, ["type", "message"])).otherwise(parts)
+    df = bind(df, vendor=vendor, fire_type=fire_type, _tm=parts)
+    df = bind(df, log_type=_strip(F.col("_tm")[0]), body=_strip(F.col("_tm")[1])).drop("_tm")
 
     di = F.lit(None).cast("int")
     for v in vendors:
@@ -230,5 +231,5 @@ def reason_counts(classified: DataFrame) -> DataFrame:
 
 def run(topic: DataFrame) -> DataFrame:
     """Envelope -> classified frame (the shared input of every firewall output)."""
-    return classify(decode_envelope(topic))
+    return classify(decode_envelope(spread(topic)))
 

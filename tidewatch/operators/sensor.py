@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import DEFAULT_PARAMS, EngineParams
 from ..functions import text as T
-from ..functions.plan import bind
+from ..functions.plan import bind, spread
 from ..sources import schemas
 
 # FIXED VALUES -- user-defined sensor labels that become behaviour labels.
@@ -57,7 +57,7 @@ def _arr(c: Column) -> Column:
 def decode_batches(topic: DataFrame) -> DataFrame:
     """``{"data": [alert, ...]}`` messages -> one row per alert with its position and the
     size of its batch (for true origin counts, Q4)."""
-    m = bind(topic, _m=F.from_json(F.col("value"), schemas.SENSOR_BATCH))
+    m = bind(spread(topic), _m=F.from_json(F.col("value"), schemas.SENSOR_BATCH))
     ex = m.select("topic", "partition", "offset", "timestamp",
                   F.size(_arr(F.col("_m.data"))).alias("batch_size"),
                   F.posexplode(_arr(F.col("_m.data"))).alias("pos", "e"))
@@ -292,13 +292,14 @@ def attack_labels(alerts: DataFrame, techniques: DataFrame) -> DataFrame:
     tac = F.create_map(*[F.lit(x) for kv in C.TACTIC_NUMBER_EN.items() for x in kv])
     stg = F.create_map(*[F.lit(x) for kv in C.STAGE_NUMBER_EN.items() for x in kv])
     hits = alerts.select("id", F.posexplode(_arr(F.col("d.sengine"))).alias("hit_pos", "h"))
-    atk = hits.select("id", "hit_pos", F.col("h.nsacss").alias("nsacss"),
+    hits = hits.withColumn("cve", F.get(T.cve_ids(_arr(F.col("h.reference"))), 0))
+    atk = hits.select("id", "hit_pos", "cve", F.col("h.nsacss").alias("nsacss"),
                       F.posexplode(_arr(F.col("h.attck"))).alias("attck_pos", "a"))
-    tl = atk.select("id", "hit_pos", "attck_pos", "nsacss", F.col("a.techniques").alias("technique"),
+    tl = atk.select("id", "hit_pos", "cve", "attck_pos", "nsacss", F.col("a.techniques").alias("technique"),
                     F.posexplode(T.split_trim_first_space(F.col("a.tactic"))).alias("tactic_pos", "tactic"))
     n0 = F.get(_arr(F.col("nsacss")), 0)
     stage_key = F.when(n0["stage"] == "Presence", n0["objective"]).otherwise(n0["stage"])
-    tl = tl.select("id", "hit_pos", "attck_pos", "tactic_pos", "technique", "tactic",
+    tl = tl.select("id", "hit_pos", "cve", "attck_pos", "tactic_pos", "technique", "tactic",
                    F.coalesce(F.try_element_at(tac, F.col("tactic")), F.lit("")).alias("tactic_number"),
                    n0["stage"].alias("stage"),
                    F.coalesce(F.try_element_at(stg, stage_key), F.lit("")).alias("stage_number"))
