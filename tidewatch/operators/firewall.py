@@ -60,20 +60,28 @@ def _first_match(s: Column, patterns: list[str]) -> Column:
     return out
 
 
-def _detail_map(vendor: str, pattern: str, s: Column) -> Column:
-    """The key/value map a matched detail rule yields for ``vendor`` (one regex pass)."""
+def _detail_groups(vendor: str, pattern: str) -> list[str]:
+    """Groups a matched detail rule must yield: message halves + captures for k=v vendors,
+    every named group otherwise."""
+    names = T.group_names(pattern)
+    if vendor in C.KV_VENDOR_CAPTURES and names:
+        return ["message1", "message2"] + [n for n in C.KV_VENDOR_CAPTURES[vendor] if n in names]
+    return names
+
+
+def _detail_map(vendor: str, pattern: str, g: Column) -> Column:
+    """The key/value map a matched detail rule yields for ``vendor`` from its extracted
+    groups ``g`` (an attribute bound once, so the regex runs once per row)."""
     names = T.group_names(pattern)
     if not names:
         return F.create_map().cast("map<string,string>")
     if vendor in C.KV_VENDOR_CAPTURES:
-        caps = [n for n in C.KV_VENDOR_CAPTURES[vendor] if n in names]
-        g = T.extract_groups(s, pattern, ["message1", "message2"] + caps)
+        caps = _detail_groups(vendor, pattern)[2:]
         tokens = T.kv_tokens(F.concat(g[0], F.lit(" "), g[1]))
         if not caps:
             return tokens
         capmap = F.map_from_arrays(F.array(*[F.lit(n) for n in caps]), F.slice(g, 3, len(caps)))
         return F.map_concat(capmap, tokens)
-    g = T.extract_groups(s, pattern, names)
     return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), g)
 
 
@@ -106,12 +114,17 @@ def classify(env: DataFrame) -> DataFrame:
         di = F.when(F.col("vendor") == v, _first_match(F.col("body"), C.VENDOR_DETAIL_RULES[v])).otherwise(di)
     df = bind(df, _di=di)
 
+    groups = F.lit(None).cast("array<string>")
     detail = F.lit(None).cast("map<string,string>")
     for v in vendors:
         for j, p in enumerate(C.VENDOR_DETAIL_RULES[v], 1):
-            detail = F.when((F.col("vendor") == v) & (F.col("_di") == j),
-                            _detail_map(v, p, F.col("body"))).otherwise(detail)
-    df = bind(df, detail=detail)
+            hit = (F.col("vendor") == v) & (F.col("_di") == j)
+            names = _detail_groups(v, p)
+            if names:
+                groups = F.when(hit, T.extract_groups(F.col("body"), p, names)).otherwise(groups)
+            detail = F.when(hit, _detail_map(v, p, F.col("_g"))).otherwise(detail)
+    df = bind(df, _g=groups)
+    df = bind(df, detail=detail).drop("_g")
 
     gate_ok = ~((F.col("vendor") == "star") & ~F.col("log_type").isin(*C.STAR_KEPT_TYPES))
     black = F.col("_di").isNotNull() & gate_ok

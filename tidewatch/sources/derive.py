@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.plan import bind
+from ..functions.plan import bind, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,7 @@ def firewall_topic(events: DataFrame) -> DataFrame:
             F.lit("charset=[UTF-8] logType=[systemService] serviceName=[svc"), _s(e % 5), F.lit("]")))
         .otherwise(F.concat(F.lit("unclassified "), _s(e))))
     line = F.concat(F.lit("<"), _s(pri), F.lit(">"), body)
-    return bind(events, _line=line, _host=host).select(
+    return bind(spread(events), _line=line, _host=host).select(
         F.lit("origin_syslog").alias("topic"),
         (e % 8).cast("int").alias("partition"),
         idiv(e, 8).alias("offset"),
@@ -208,7 +208,7 @@ def sensor_event_struct() -> Column:
 def sensor_topic(events: DataFrame) -> DataFrame:
     """Kafka-shaped frame of sensor batches ``{"data": [alert]}``, one alert per event."""
     e = F.col("event_id")
-    return events.select(
+    return spread(events).select(
         F.lit("ptd_raw").alias("topic"),
         (e % 8).cast("int").alias("partition"),
         idiv(e, 8).alias("offset"),
@@ -306,7 +306,7 @@ def endpoint_topic(events: DataFrame) -> DataFrame:
     (dead-letter path)."""
     e = F.col("event_id")
     val = F.to_json(endpoint_event_struct())
-    return events.select(
+    return spread(events).select(
         F.lit("iep_raw").alias("topic"),
         (e % 8).cast("int").alias("partition"),
         idiv(e, 8).alias("offset"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.plan import spread
 from .derive import _pick, idiv, table, user_ip
 
 S = lambda c: c.cast("string")
@@ -16,7 +17,7 @@ OS_VERSIONS = ["Windows 10 Pro", "Ubuntu 18.04.3 LTS", "CentOS Linux 7.6", "othe
 
 
 def _frame(df: DataFrame, topic: str, key: Column, ts: Column, msg: Column) -> DataFrame:
-    return df.select(F.lit(topic).alias("topic"), (key % 8).cast("int").alias("partition"),
+    return spread(df).select(F.lit(topic).alias("topic"), (key % 8).cast("int").alias("partition"),
                      key.cast("long").alias("offset"), ts.cast("timestamp").alias("timestamp"),
                      F.to_json(msg).alias("value"))
 
@@ -92,7 +93,7 @@ def hardware_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def host_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ACD_host_ports / ACD_host_service / ACD_host_proc / ACD_loophole_detect reports from
     ``events`` (one per event, the topic chosen by ``event_id % 4``)."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     e, u = F.col("event_id"), F.col("user_id")
     sport = F.when(e % 10 == 0, F.lit(-1)).otherwise(F.lit(1024) + e % 1000)
     topic = _pick(e % 4, ["ACD_host_ports", "ACD_host_service", "ACD_host_proc", "ACD_loophole_detect"])
