@@ -194,6 +194,15 @@ STORAGE_TYPE_OTHER = "hrStorageOther"
 # FIXED VALUES -- trap OID carrying the trap type (snmpTrapOID.0).
 SNMP_TRAP_OID = "1.3.6.1.6.3.1.1.4.1.0"
 
+# FIXED VALUES -- plain syslog line (time, host, owner, [pid], [level], [other], msg) and the
+# level -> severity table; an owner of "ecms_troubleshoot" is always an emergency.
+SYSLOG_LINE_PATTERN = (r"(?P<time>\w+ ( )?\d+ \d{2}:\d{2}:\d{2}) (?P<host>\w+) (?P<owner>\w+):( +)?"
+                       r"(?P<pid>(\[\d+\])?)(?P<level>(\[\w+\])?) ?(?P<other>(\[\w+\])?) ?(?P<msg>(.*))")
+SYSLOG_LEVEL_SEVERITY: dict[str, int] = {"INFO": 6, "WARN": 4, "ERROR": 3, "DEBUG": 7}
+SYSLOG_DEFAULT_SEVERITY = 6
+SYSLOG_EMERGENCY_OWNERS: list[str] = ["ecms_troubleshoot"]
+SYSLOG_USER_FACILITY = 1
+
 # FIXED VALUES -- private IPv4 blocks (first address, prefix length).
 PRIVATE_BLOCKS: list[tuple[str, int]] = [
     ("127.0.0.0", 8), ("192.168.0.0", 16), ("172.16.0.0", 12), ("10.0.0.0", 8),

@@ -209,3 +209,23 @@ def truthy(c) -> Column:
     """Explicit truthiness: NULL / '' / 0 / false -> false."""
     x = _c(c).cast("string")
     return F.coalesce(~F.lower(x).isin("", "0", "false", "none", "null", "[]"), F.lit(False))
+
+
+def parse_syslog_line(line) -> Column:
+    """SCL-29: plain syslog text -> struct(PRI, HEADER, PID, OWNER, MSG); NULL when the line
+    does not match.  Severity comes from the bracketed level (brackets stripped -- the
+    evident intent), an emergency owner overrides it; PRI = facility * 8 + severity."""
+    from .. import config as C
+
+    p = C.SYSLOG_LINE_PATTERN
+    names = ["time", "host", "owner", "pid", "level", "msg"]
+    g = extract_groups(line, p, names)
+    level = F.regexp_replace(g[4], r"[\[\]]", "")
+    sev = F.lit(C.SYSLOG_DEFAULT_SEVERITY)
+    for k, v in reversed(list(C.SYSLOG_LEVEL_SEVERITY.items())):
+        sev = F.when(level == k, F.lit(v)).otherwise(sev)
+    sev = F.when(g[2].isin(*C.SYSLOG_EMERGENCY_OWNERS), F.lit(0)).otherwise(sev)
+    st = F.struct((F.lit(C.SYSLOG_USER_FACILITY * 8) + sev).cast("string").alias("PRI"),
+                  F.concat_ws(" ", g[0], g[1]).alias("HEADER"), g[3].alias("PID"),
+                  g[2].alias("OWNER"), g[5].alias("MSG"))
+    return F.when(match_start(line, p), st)
