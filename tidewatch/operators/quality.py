@@ -19,18 +19,22 @@ def to_quarantine(rejected: DataFrame, reason: str | F.Column, attempt: int = 0)
     return rejected.withColumn("reason", r).withColumn("attempt", F.lit(attempt))
 
 
-def retry(quarantine: DataFrame, process: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-          max_attempts: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Re-process quarantined rows: (recovered, re-quarantined with attempt + 1, dead).
-
-    ``process`` maps rows to (ok, failed) with the quarantine columns passed through."""
-    live = quarantine.filter(F.col("attempt") < max_attempts)
-    gone = quarantine.filter(F.col("attempt") >= max_attempts).withColumn("reason", F.concat(F.col("reason"),
-                                                                                           F.lit(":gave_up")))
-    ok, failed = process(live)
-    again = failed.withColumn("attempt", F.col("attempt") + 1)
-    dead = gone.unionByName(again.filter(F.col("attempt") >= max_attempts), allowMissingColumns=True)
-    return ok, again.filter(F.col("attempt") < max_attempts), dead
+def retry(quarantine: DataFrame, process: Callable[[DataFrame], DataFrame], max_attempts: int) -> DataFrame:
+    """Re-process quarantined rows in one pass and label each with its ``outcome``:
+    ``recovered``, ``requeued`` (``attempt + 1`` still below the maximum) or ``dead``
+    (the maximum is reached -- never re-queued forever).
+
+    ``process`` enriches the rows and adds a boolean ``_ok``; rows already at the
+    maximum are not retried.  No branch is recomputed: one frame, one outcome column."""
+    tried = process(quarantine)
+    gone = F.col("attempt") >= max_attempts
+    ok = ~gone & F.coalesce(F.col("_ok"), F.lit(False))
+    nxt = F.col("attempt") + 1
+    outcome = (F.when(gone, "dead").when(ok, "recovered").when(nxt >= max_attempts, "dead")
+                .otherwise("requeued"))
+    return (tried.withColumn("outcome", outcome)
+                 .withColumn("attempt", F.when(gone | ok, F.col("attempt")).otherwise(nxt))
+                 .drop("_ok"))
 
 
 def nested_verdict(event: DataFrame, path: str = "Used_by_ES_ExtendInfo") -> F.Column:

@@ -37,13 +37,10 @@ def sensor_asset_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarantine = Q.to_quarantine(first.filter(F.col("asset_id").isNull()).drop("asset_id"), "asset")
     anyip = D.asset_ips(spark, sf_dir).groupBy("ip_addr").agg(F.min("asset_id").alias("asset_id"))
 
-    def process(rows: DataFrame):
+    def process(rows: DataFrame) -> DataFrame:
         j = rows.join(anyip.withColumnRenamed("ip_addr", "src_ip"), "src_ip", "left")
-        return j.filter(F.col("asset_id").isNotNull()), j.filter(F.col("asset_id").isNull())
+        return j.withColumn("_ok", F.col("asset_id").isNotNull())
 
-    ok, again, dead = Q.retry(quarantine, process, MAX_ATTEMPTS)
-    out = (ok.withColumn("outcome", F.lit("recovered"))
-           .unionByName(again.withColumn("outcome", F.lit("requeued")))
-           .unionByName(dead.withColumn("outcome", F.lit("dead")), allowMissingColumns=True))
+    out = Q.retry(quarantine, process, MAX_ATTEMPTS)
     out = out.withColumn("route", Q.nested_verdict(out))
     return out.select("id", "src_ip", "outcome", "asset_id", "attempt", "route")
