@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 ROTATED_LOG_RE = r"app\.log-(\d{8})$"
 
 
+def local_path(path: F.Column) -> F.Column:
+    """One spelling for file URIs (``file:/x`` and ``file:///x`` -> ``/x``) so paths from
+    different readers can be joined."""
+    return F.regexp_replace(path, r"^file:/+", "/")
+
+
 def drop_folder_listing(spark: SparkSession, root: str, min_age_seconds: int = 20,
                         now: F.Column | None = None, glob: str | None = None) -> DataFrame:
     """SRC-10: every file under ``root`` (recursively) untouched for more than
@@ -21,7 +27,7 @@ def drop_folder_listing(spark: SparkSession, root: str, min_age_seconds: int = 2
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(root).select("path", "modificationTime", "length")
+    df = r.load(root).select(local_path(F.col("path")).alias("path"), "modificationTime", "length")
     now = now if now is not None else F.current_timestamp()
     return df.filter(F.col("modificationTime") < now - F.expr(f"INTERVAL {int(min_age_seconds)} SECONDS"))
 
@@ -31,19 +37,20 @@ def xml_files(spark: SparkSession, root: str) -> DataFrame:
     file's elements together)."""
     t = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
          .option("pathGlobFilter", "*.xml").text(root))
-    return t.select(F.input_file_name().alias("path"), F.col("value").alias("content"))
+    return t.select(local_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content"))
 
 
 def capture_files(spark: SparkSession, root: str) -> DataFrame:
     """SRC-12: capture files as (path) only -- the content column is pruned away."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.pcap").load(root).select("path", "modificationTime"))
+            .option("pathGlobFilter", "*.pcap").load(root)
+            .select(local_path(F.col("path")).alias("path"), "modificationTime"))
 
 
 def log_lines(spark: SparkSession, root: str) -> DataFrame:
     """SRC-08 backfill: every line of every log segment with the segment it came from."""
     t = spark.read.option("recursiveFileLookup", "true").text(root)
-    return t.select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    return t.select(local_path(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("line"))
 
 
 def newest_segment(lines: DataFrame) -> DataFrame:
@@ -58,4 +65,4 @@ def log_stream(spark: SparkSession, root: str) -> DataFrame:
     """SRC-08 follow mode: new (rotated) segments are picked up as they appear.  Spark's
     file source does not tail appends to an open file; segments are read once complete."""
     return spark.readStream.option("recursiveFileLookup", "true").text(root) \
-        .select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+        .select(local_path(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("line"))
