@@ -90,3 +90,13 @@ def test_pair_file_streams(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck4")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert [(r["stem"], r["pcap_path"]) for r in spark.table("pairs").collect()] == [("s1", "p")]
+
+
+def test_archive_partitioned(spark, tmp_path):
+    df = spark.createDataFrame([("k1", "v1", "2024-01-01 10:00:00"), ("k2", "v2", "2024-01-02 10:00:00")],
+                               "rowkey string, value string, ts string").withColumn("timestamp", F.col("ts").cast("timestamp"))
+    P.archive(df, str(tmp_path / "arc"), "syslog")
+    P.archive(df, str(tmp_path / "arc"), "ptd")
+    back = spark.read.parquet(str(tmp_path / "arc"))
+    assert back.count() == 4
+    assert back.filter("source = 'ptd' AND dt = DATE'2024-01-02'").select("payload").first()[0] == "v2"

@@ -199,3 +199,12 @@ def cmdb_hardware_extract(hardware: DataFrame, hardware_types: DataFrame) -> Dat
         .alias("serial_number"),
         T.bytes_to_g(F.col("capacity")).alias("capacity"))
 
+
+
+# --- JOIN-02 -----------------------------------------------------------------------------
+
+def asset_by_source_id(records: DataFrame, source_records: DataFrame, id_col: str) -> DataFrame:
+    """Superseded variant of the endpoint enrichment: the asset found through the
+    source-record map (external agent id -> first asset id) instead of the address."""
+    m = source_records.groupBy(F.col("map_asset_id").alias("_mid")).agg(F.min("first_asset_id").alias("mapped_asset_id"))
+    return records.join(m, records[id_col] == m["_mid"], "left").drop("_mid")

@@ -428,3 +428,29 @@ def device_seen(decoded: DataFrame) -> DataFrame:
     return decoded.groupBy("dev").agg(F.min("timestamp").alias("first_seen"),
                                       F.max("timestamp").alias("last_seen"),
                                       F.count(F.lit(1)).alias("n"))
+
+
+# --- JOIN-04 / FLT-18 / DOM-12 / SCL-14 (asset enrichment of both endpoints) ---------------
+
+def enrich_assets(alerts: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Both endpoints of an oriented alert joined with the asset profile (one row per
+    address: ``ip_addr, asset_id, unit``).  The destination lookup is skipped when the
+    reply carried neither packets nor bytes (FLT-18); the unit comes from the asset
+    database, else from the sensor (DOM-12); an unknown private address gets the stable
+    id ``md5(device || ip)`` for registration (SCL-14)."""
+    from ..functions import net as N
+
+    lk = lookup.select("ip_addr", "asset_id", "unit")
+    s = lk.select(F.col("ip_addr").alias("_sip"), F.col("asset_id").alias("src_asset_id"),
+                  F.col("unit").alias("_sunit"))
+    d = lk.select(F.col("ip_addr").alias("_dip"), F.col("asset_id").alias("dst_asset_id"),
+                  F.col("unit").alias("_dunit"))
+    skip = (F.coalesce(F.col("s2c.pkts"), F.lit(0)) == 0) & (F.coalesce(F.col("s2c.bytes"), F.lit(0)) == 0)
+    a = alerts.withColumn("dst_lookup_skipped", skip)
+    a = a.join(s, a["src.ip"] == s["_sip"], "left")
+    a = a.join(d, (a["dst.ip"] == d["_dip"]) & ~a["dst_lookup_skipped"], "left")
+    new_id = lambda ip, known: F.when(N.is_private(ip) & known.isNull(), F.md5(F.concat(F.col("dev"), ip)))
+    return (a.withColumn("src_unit", unit_precedence(F.col("_sunit"), F.col("src.unit")))
+             .withColumn("dst_unit", unit_precedence(F.col("_dunit"), F.col("dst.unit")))
+             .withColumn("src_new_asset_id", new_id(F.col("src.ip"), F.col("src_asset_id")))
+             .drop("_sip", "_dip", "_sunit", "_dunit"))

@@ -127,3 +127,22 @@ def endpoint_new_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = EP.gate(EP.decode(topic)[0], PARAMS)
     return ATT.register_new_techniques(EP.seen_techniques(events), D.attack_techniques(spark), "attck_content")
 
+
+
+@register("endpoint_asset_by_agent", covers=("JOIN-02",), oracle=f"""
+WITH {O.ASSETS}, {EP_CTE},
+rec AS (SELECT concat('agent-', c_custkey) AS map_asset_id, asset_id FROM assets)
+SELECT e AS event_id, concat('agent-', u) AS uuid, r.asset_id AS mapped_asset_id
+FROM ep LEFT JOIN rec r ON r.map_asset_id = concat('agent-', u)
+""")
+def endpoint_asset_by_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    topic = derive.endpoint_topic(derive.table(spark, sf_dir, "events"))
+    events = EP.gate(EP.decode(topic)[0], PARAMS)
+    recs = D.assets(spark, sf_dir).select(
+        F.concat(F.lit("agent-"), F.col("c_custkey").cast("string")).alias("map_asset_id"),
+        F.col("asset_id").alias("first_asset_id"))
+    out = A.asset_by_source_id(events.select(((F.col("offset") * 8) + F.col("partition")).alias("event_id"),
+                                             F.col("client.uuid").alias("uuid")), recs, "uuid")
+    return out.select("event_id", "uuid", "mapped_asset_id")

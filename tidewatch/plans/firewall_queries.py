@@ -84,7 +84,7 @@ def fw_device_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("fw_normalised", covers=("FLT-01", "FLT-02", "FLT-07", "FLT-08", "SCL-01", "SCL-02",
-                                   "SCL-12", "SNK-01", "Q3", "Q16"), oracle=f"""
+                                   "SCL-12", "SCL-28", "SNK-01", "SRC-16", "Q3", "Q16"), oracle=f"""
 WITH {FW_CTE}
 SELECT
   concat_ws('_', substr(md5(concat_ws(chr(1), 'origin_syslog', event_id % 8, event_id // 8)), 1, 4),

@@ -205,3 +205,41 @@ def syslog_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", F.col("r.PRI").alias("pri"), F.col("r.HEADER").alias("header"),
                          F.col("r.PID").alias("pid"), F.col("r.OWNER").alias("owner"), F.col("r.MSG").alias("msg"))
 
+
+
+@register("fw_device_nodes", covers=("JOIN-08",), oracle="""
+WITH hosts AS (SELECT DISTINCT concat('192.0.2.', event_id % 4) AS device FROM events
+               WHERE event_type <> 'signup' AND event_id % 101 <> 0),
+dev AS (SELECT concat('192.0.2.', r_regionkey) AS device_id, concat('r', r_regionkey) AS node_id FROM region
+        WHERE r_regionkey < 3)
+SELECT h.device, coalesce(d.node_id, '1') AS device_node_id FROM hosts h LEFT JOIN dev d ON d.device_id = h.device
+""")
+def fw_device_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import assets as A
+    from .firewall_queries import classified
+
+    hosts = classified(spark, sf_dir).filter(F.col("vendor").isNotNull() & F.col("host").isNotNull()) \
+        .select(F.col("host").alias("device")).distinct()
+    r = table(spark, sf_dir, "region").filter(F.col("r_regionkey") < 3)
+    devices = r.select(F.concat(F.lit("192.0.2."), F.col("r_regionkey").cast("string")).alias("device_id"),
+                       F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node_id"))
+    return A.device_node(hosts, devices, "device").select("device", "device_node_id")
+
+
+@register("cmdb_installed_extract", covers=("SCL-31", "JOIN-19", "SNK-12"), oracle=f"""
+WITH {O.SOFT},
+st AS (SELECT * FROM (VALUES ('0', 'system'), ('1', 'office'), ('2', 'network'), ('3', 'security'),
+                             ('4', 'tools')) t(software_type_id, software_type_name)),
+lib AS (SELECT concat('pkg', p_partkey) AS software_name, CAST(p_size % 5 AS VARCHAR) AS software_type_id FROM part)
+SELECT i.asset_id, i.software_name, i.version, st.software_type_name,
+       strftime(i.install_time, '%Y-%m-%d %H:%M:%S') AS install_time
+FROM installed i LEFT JOIN lib l ON l.software_name = i.software_name
+LEFT JOIN st ON st.software_type_id = l.software_type_id
+""")
+def cmdb_installed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lib = D.software_library(spark, sf_dir).join(D.software_types(spark), "software_type_id", "left") \
+        .select("software_name", "software_type_name")
+    inst = D.installed_software(spark, sf_dir)
+    return inst.join(lib, "software_name", "left").select(
+        "asset_id", "software_name", "version", "software_type_name",
+        F.date_format("install_time", "yyyy-MM-dd HH:mm:ss").alias("install_time"))
