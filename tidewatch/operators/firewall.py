@@ -8,12 +8,14 @@ after map-side partial aggregation.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as T
-from ..functions.plan import bind, spread
+from ..functions.plan import bind
 
 ENVELOPE_SCHEMA = "data STRING, host STRING"
 
@@ -87,32 +89,28 @@ def _detail_map(vendor: str, pattern: str, g: Column) -> Column:
 
 # --- FLT-03 .. FLT-06 ---------------------------------------------------------------------
 
-def classify(env: DataFrame) -> DataFrame:
-    """Adds ``pri, msg, vendor, fire_type, log_type, detail, origin, black, accepted, reason``.
-
-    ``origin`` = 1 when a vendor rule matched; ``black`` = 1 once the detail rule matched
-    and the type gate passed -- set *before* the empty-source-ip reject (Q3).
-    """
+@functools.cache
+def _classify_stages() -> tuple[tuple[tuple[str, Column], ...], ...]:
+    """The classification as successive column bindings (built once per process: the
+    expression trees are large, so they are not rebuilt for every query)."""
     pri, msg = split_pri(F.col("data"))
     vendors = [v for v, _, _ in C.VENDOR_RULES]
     patterns = [p for _, _, p in C.VENDOR_RULES]
-    df = bind(env, pri=pri, msg=_strip(msg))
-    df = bind(df, _vi=_first_match(F.col("msg"), patterns))
-
+    stages: list[dict[str, Column]] = [{"pri": pri, "msg": _strip(msg)},
+                                       {"_vi": _first_match(F.col("msg"), patterns)}]
     vendor, fire_type = F.lit(None).cast("string"), F.lit(None).cast("string")
-    log_type, body = F.lit(None).cast("string"), F.lit(None).cast("string")
     parts = F.lit(None).cast("array<string>")
     for i, (v, t, p) in enumerate(C.VENDOR_RULES, 1):
         vendor = F.when(F.col("_vi") == i, F.lit(v)).otherwise(vendor)
         fire_type = F.when(F.col("_vi") == i, F.lit(t)).otherwise(fire_type)
         parts = F.when(F.col("_vi") == i, T.extract_groups(F.col("msg"), p, ["type", "message"])).otherwise(parts)
-    df = bind(df, vendor=vendor, fire_type=fire_type, _tm=parts)
-    df = bind(df, log_type=_strip(F.col("_tm")[0]), body=_strip(F.col("_tm")[1])).drop("_tm")
+    stages.append({"vendor": vendor, "fire_type": fire_type, "_tm": parts})
+    stages.append({"log_type": _strip(F.col("_tm")[0]), "body": _strip(F.col("_tm")[1])})
 
     di = F.lit(None).cast("int")
     for v in vendors:
         di = F.when(F.col("vendor") == v, _first_match(F.col("body"), C.VENDOR_DETAIL_RULES[v])).otherwise(di)
-    df = bind(df, _di=di)
+    stages.append({"_di": di})
 
     groups = F.lit(None).cast("array<string>")
     detail = F.lit(None).cast("map<string,string>")
@@ -123,8 +121,8 @@ def classify(env: DataFrame) -> DataFrame:
             if names:
                 groups = F.when(hit, T.extract_groups(F.col("body"), p, names)).otherwise(groups)
             detail = F.when(hit, _detail_map(v, p, F.col("_g"))).otherwise(detail)
-    df = bind(df, _g=groups)
-    df = bind(df, detail=detail).drop("_g")
+    stages.append({"_g": groups})
+    stages.append({"detail": detail})
 
     gate_ok = ~((F.col("vendor") == "star") & ~F.col("log_type").isin(*C.STAR_KEPT_TYPES))
     black = F.col("_di").isNotNull() & gate_ok
@@ -136,9 +134,21 @@ def classify(env: DataFrame) -> DataFrame:
                .when(~has_sip_key, F.lit("missing_srcip"))
                .when(sip_val == "", F.lit("empty_srcip"))
                .when(F.col("pri").isNull(), F.lit("bad_pri")))
-    df = bind(df, origin=F.col("vendor").isNotNull().cast("int"),
-              black=F.coalesce(black, F.lit(False)).cast("int"), reason=reason)
-    return df.withColumn("accepted", F.col("reason").isNull()).drop("_vi", "_di")
+    stages.append({"origin": F.col("vendor").isNotNull().cast("int"),
+                   "black": F.coalesce(black, F.lit(False)).cast("int"), "reason": reason})
+    return tuple(tuple(st.items()) for st in stages)
+
+
+def classify(env: DataFrame) -> DataFrame:
+    """Adds ``pri, msg, vendor, fire_type, log_type, detail, origin, black, accepted, reason``.
+
+    ``origin`` = 1 when a vendor rule matched; ``black`` = 1 once the detail rule matched
+    and the type gate passed -- set *before* the empty-source-ip reject (Q3).
+    """
+    df = env
+    for st in _classify_stages():
+        df = bind(df, **dict(st))
+    return df.withColumn("accepted", F.col("reason").isNull()).drop("_vi", "_di", "_tm", "_g")
 
 
 # --- FLT-07 / FLT-08 ---------------------------------------------------------------------
@@ -244,5 +254,5 @@ def reason_counts(classified: DataFrame) -> DataFrame:
 
 def run(topic: DataFrame) -> DataFrame:
     """Envelope -> classified frame (the shared input of every firewall output)."""
-    return classify(decode_envelope(spread(topic)))
+    return classify(decode_envelope(topic))
 

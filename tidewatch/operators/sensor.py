@@ -9,13 +9,15 @@ only the counters and the ATT&CK lookup shuffle.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT_PARAMS, EngineParams
 from ..functions import text as T
-from ..functions.plan import bind, spread
+from ..functions.plan import bind
 from ..sources import schemas
 
 # FIXED VALUES -- user-defined sensor labels that become behaviour labels.
@@ -35,6 +37,7 @@ PAYLOAD_T = ("struct<engine:string,v_name:string,v_type:string,v_family:string,p
              "detect_base:string,detect_id:string>")
 
 
+@functools.cache
 def label_map_col() -> Column:
     return F.create_map(*[F.lit(x) for kv in C.LABEL_MAP.items() for x in kv])
 
@@ -57,7 +60,7 @@ def _arr(c: Column) -> Column:
 def decode_batches(topic: DataFrame) -> DataFrame:
     """``{"data": [alert, ...]}`` messages -> one row per alert with its position and the
     size of its batch (for true origin counts, Q4)."""
-    m = bind(spread(topic), _m=F.from_json(F.col("value"), schemas.SENSOR_BATCH))
+    m = bind(topic, _m=F.from_json(F.col("value"), schemas.SENSOR_BATCH))
     ex = m.select("topic", "partition", "offset", "timestamp",
                   F.size(_arr(F.col("_m.data"))).alias("batch_size"),
                   F.posexplode(_arr(F.col("_m.data"))).alias("pos", "e"))
@@ -88,6 +91,7 @@ def _upload_md5() -> Column:
     return F.col("msg.upload.md5")
 
 
+@functools.cache
 def scene() -> Column:
     """Which side attacks, 'src' or 'dst' (§2.13-A)."""
     has_file = F.col("d.file").isNotNull()
@@ -102,6 +106,7 @@ def scene() -> Column:
     return F.when(has_file, file_side).when(has_sengine, "src").otherwise("dst")
 
 
+@functools.cache
 def swap_flag() -> Column:
     """Orientation (§2.13-B): only the first avlist entry / first engine hit is inspected;
     the flag is per row (the reference's never-reset global is fixed, Q6)."""
@@ -127,6 +132,7 @@ def orient(df: DataFrame) -> DataFrame:
 
 # --- DOM-03 / DOM-04 ---------------------------------------------------------------------
 
+@functools.cache
 def threat_type() -> tuple[Column, Column]:
     """(flag, action keyword) per §2.13-C; flag in c2 / md5 / vul, NULL when ``d`` is empty."""
     d = F.col("d")
@@ -235,9 +241,9 @@ def _direction_label(f: Column) -> Column:
              .otherwise(_empty("string")))
 
 
-def payloads(df: DataFrame) -> DataFrame:
-    """Adds ``payloads`` (ordered: url, engine, file, file-only, domain, ip), ``xw_labels``
-    and the search columns taken from the last detection payload."""
+@functools.cache
+def _payload_stages() -> tuple[tuple[tuple[str, Column], ...], ...]:
+    """Payload and label expressions as two successive bindings (built once)."""
     info = _arr(F.col("file"))
     has_info = F.size(info) > 0
     dfile = _arr(F.col("d.file"))
@@ -259,7 +265,7 @@ def payloads(df: DataFrame) -> DataFrame:
                       F.array_distinct(F.transform(info, lambda f: f["md5"]))).otherwise(_empty("string"))
     only_p = F.transform(only_md5, lambda m: _payload("file-only", None, md5=m,
                                                       info=_file_info_by_md5(info, m)))
-    df = bind(df, _url_p=url_p, _se_p=se_p, _file_p=file_p, _only_p=only_p, _dom_p=dom_p, _ip_p=ip_p)
+    first = {"_url_p": url_p, "_se_p": se_p, "_file_p": file_p, "_only_p": only_p, "_dom_p": dom_p, "_ip_p": ip_p}
 
     # behaviour labels, in the order the alert is walked
     user = F.when(F.col("label").isin(*USER_DEFINED_LABELS),
@@ -275,7 +281,15 @@ def payloads(df: DataFrame) -> DataFrame:
                       c2lab(F.col("_dom_p")), c2lab(F.col("_ip_p")))
     all_p = F.concat("_url_p", "_se_p", "_file_p", "_only_p", "_dom_p", "_ip_p")
     detections = F.concat("_url_p", "_se_p", "_file_p", "_dom_p", "_ip_p")
-    df = bind(df, payloads=all_p, xw_labels=labels, _last=F.try_element_at(detections, F.lit(-1)))
+    second = {"payloads": all_p, "xw_labels": labels, "_last": F.try_element_at(detections, F.lit(-1))}
+    return tuple(first.items()), tuple(second.items())
+
+
+def payloads(df: DataFrame) -> DataFrame:
+    """Adds ``payloads`` (ordered: url, engine, file, file-only, domain, ip), ``xw_labels``
+    and the search columns taken from the last detection payload."""
+    for st in _payload_stages():
+        df = bind(df, **dict(st))
     return (df.withColumn("search_v_name", F.col("_last.v_name"))
               .withColumn("search_v_type", F.col("_last.v_type"))
               .withColumn("search_v_family", F.col("_last.v_family"))

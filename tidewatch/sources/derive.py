@@ -9,6 +9,8 @@ straight from the source columns.  Each function is a lazy projection (no shuffl
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +41,8 @@ def firewall_dst_ip(eid: Column) -> Column:
              .otherwise(F.concat(F.lit("203.0.113."), _s(eid % 200))))
 
 
-def firewall_topic(events: DataFrame) -> DataFrame:
-    """Kafka-shaped frame ``(topic, partition, offset, timestamp, value)`` of firewall
-    syslog envelopes, one per event.  Every 101st message is sent as raw text instead of
-    the JSON envelope."""
+@functools.cache
+def _firewall_line() -> tuple[Column, Column]:
     e = F.col("event_id")
     pri = (e % 24) * 8 + e % 8
     host = F.concat(F.lit("192.0.2."), _s(e % 4))
@@ -68,6 +68,15 @@ def firewall_topic(events: DataFrame) -> DataFrame:
             F.lit("charset=[UTF-8] logType=[systemService] serviceName=[svc"), _s(e % 5), F.lit("]")))
         .otherwise(F.concat(F.lit("unclassified "), _s(e))))
     line = F.concat(F.lit("<"), _s(pri), F.lit(">"), body)
+    return line, host
+
+
+def firewall_topic(events: DataFrame) -> DataFrame:
+    """Kafka-shaped frame ``(topic, partition, offset, timestamp, value)`` of firewall
+    syslog envelopes, one per event.  Every 101st message is sent as raw text instead of
+    the JSON envelope."""
+    e = F.col("event_id")
+    line, host = _firewall_line()
     return bind(spread(events), _line=line, _host=host).select(
         F.lit("origin_syslog").alias("topic"),
         (e % 8).cast("int").alias("partition"),
@@ -102,6 +111,7 @@ def _pick(idx: Column, values: list[str]) -> Column:
     return out
 
 
+@functools.cache
 def sensor_event_struct() -> Column:
     """One sensor alert per event (fixture C2), as the struct the sensor emits."""
     e, u = F.col("event_id"), F.col("user_id")
@@ -227,6 +237,7 @@ ENDPOINT_TACTICS = ["初始访问", "执行", "持久化", "提权", "防御规
 ENDPOINT_STAGES = ["准备", "交互", "存在", "影响", "持续", "管理"]
 
 
+@functools.cache
 def endpoint_event_struct() -> Column:
     """One endpoint-agent message per event (fixture C3)."""
     e, u = F.col("event_id"), F.col("user_id")
