@@ -173,16 +173,14 @@ def _renamed(target: str) -> Column:
     return out
 
 
-def normalise(classified: DataFrame, ts_col: str = "timestamp",
-              seed_cols: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
-    """Accepted rows in the normalised firewall schema: every model target (default ''),
-    ``extras`` for keys with no mapping, plus rowkey, host, type tags, severity, facility."""
-    acc = classified.filter(F.col("accepted"))
+@functools.cache
+def _normalised_columns(ts_col: str, seed_cols: tuple[str, ...]) -> tuple[Column, ...]:
+    """The output columns of ``normalise`` (built once per process: ~40 rename cases)."""
     mapped_cases = F.lit(None).cast("array<string>")
     for ft, m in C.RENAME_MAPS.items():
         mapped_cases = F.when(F.col("fire_type") == ft,
                               F.array(*[F.lit(k) for k in m])).otherwise(mapped_cases)
-    cols = [
+    return tuple([
         T.rowkey_time([F.col(c) for c in seed_cols], F.col(ts_col), "syslog").alias("rowkey"),
         F.col("host").alias("fire_host"),
         F.col("vendor"),
@@ -194,8 +192,14 @@ def normalise(classified: DataFrame, ts_col: str = "timestamp",
         F.map_filter(F.col("detail"),
                      lambda k, v: ~F.coalesce(F.array_contains(mapped_cases, k), F.lit(False))).alias("extras"),
         F.col(ts_col).alias("event_time"),
-    ]
-    return acc.select(*cols)
+    ])
+
+
+def normalise(classified: DataFrame, ts_col: str = "timestamp",
+              seed_cols: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
+    """Accepted rows in the normalised firewall schema: every model target (default ''),
+    ``extras`` for keys with no mapping, plus rowkey, host, type tags, severity, facility."""
+    return classified.filter(F.col("accepted")).select(*_normalised_columns(ts_col, tuple(seed_cols)))
 
 
 def quarantine(classified: DataFrame) -> DataFrame:

@@ -324,9 +324,8 @@ def attack_labels(alerts: DataFrame, techniques: DataFrame) -> DataFrame:
 
 # --- DOM-11 .. DOM-19 (endpoints and carriers) ---------------------------------------------
 
-def carriers(df: DataFrame) -> DataFrame:
-    """Protocol (last present of dns < email < ftp < http < smb; NULL when none) and the
-    flattened carrier fields; URL/domain ownership by query direction and orientation."""
+@functools.cache
+def _carrier_exprs() -> tuple[tuple[tuple[str, Column], ...], tuple[tuple[str, Column], ...]]:
     proto = (F.when(F.col("msg").isNotNull(), "smb").when(F.col("http").isNotNull(), "http")
               .when(F.col("ftp").isNotNull(), "ftp").when(F.col("email").isNotNull(), "email")
               .when(F.col("dns").isNotNull(), "dns"))
@@ -339,37 +338,44 @@ def carriers(df: DataFrame) -> DataFrame:
     side = (F.when(F.col("http").isNotNull(), F.when(s, "src").otherwise("dst"))
              .when(F.col("dns").isNotNull(), dns_side))
     rec0 = F.get(_arr(F.col("dns.msg.record")), 0)
-    df = bind(df, protocol=proto, _url=url, _dom=dom, _side=side)
-    return (df
-            .withColumn("src_url", F.when(F.col("_side") == "src", F.col("_url")).otherwise(F.lit("")))
-            .withColumn("src_domain", F.when(F.col("_side") == "src", F.col("_dom")).otherwise(F.lit("")))
-            .withColumn("dst_url", F.when(F.col("_side") == "dst", F.col("_url")).otherwise(F.lit("")))
-            .withColumn("dst_domain", F.when(F.col("_side") == "dst", F.col("_dom")).otherwise(F.lit("")))
-            .withColumn("dns_info", F.struct(
-                T.empty_if_null(F.col("dns.msg.msg_type")).alias("message_type"),
-                rec0["Rtype"].alias("record_type"), T.empty_if_null(rec0["class"]).alias("pro_info"),
-                T.empty_if_null(rec0["cname"]).alias("alias"), rec0["data"].alias("return_data")))
-            .withColumn("email_info", F.struct(
-                T.empty_if_null(F.col("email.msg.from")).alias("from"),
-                T.first_or_empty(F.col("email.msg.to")).alias("to"),
-                T.empty_if_null(F.col("email.msg.sender")).alias("sender"),
-                T.empty_if_null(F.col("email.msg.sub")).alias("sub"),
-                T.empty_if_null(F.col("email.msg.content")).alias("text"),
-                F.transform(_arr(F.col("email.msg.attach")), lambda a: F.struct(
-                    T.empty_if_null(a["md5"]).alias("md5"), T.empty_if_null(a["fn"]).alias("file_name"),
-                    T.empty_if_null(a["ft"]).alias("file_format"))).alias("file")))
-            .withColumn("ftp_info", F.struct(F.col("ftp.upload").alias("upload"),
-                                             F.col("ftp.download").alias("download")))
-            .withColumn("http_info", F.struct(
-                F.col("http.request.method").alias("method"),
-                F.concat(F.col("http.request.header.host"), F.col("http.request.header.uri")).alias("URL"),
-                T.header_map(F.col("http.request.header.other")).alias("request_headers"),
-                T.header_map(F.col("http.response.header.other")).alias("response_headers"),
-                F.col("http.request.body").alias("request_body"),
-                F.col("http.response.body").alias("response_body")))
-            .withColumn("smb_info", F.struct(F.col("msg.upload").alias("upload"),
-                                             F.col("msg.download").alias("download")))
-            .drop("_url", "_dom", "_side"))
+    first = {"protocol": proto, "_url": url, "_dom": dom, "_side": side}
+    second = {
+        "src_url": F.when(F.col("_side") == "src", F.col("_url")).otherwise(F.lit("")),
+        "src_domain": F.when(F.col("_side") == "src", F.col("_dom")).otherwise(F.lit("")),
+        "dst_url": F.when(F.col("_side") == "dst", F.col("_url")).otherwise(F.lit("")),
+        "dst_domain": F.when(F.col("_side") == "dst", F.col("_dom")).otherwise(F.lit("")),
+        "dns_info": F.struct(
+            T.empty_if_null(F.col("dns.msg.msg_type")).alias("message_type"),
+            rec0["Rtype"].alias("record_type"), T.empty_if_null(rec0["class"]).alias("pro_info"),
+            T.empty_if_null(rec0["cname"]).alias("alias"), rec0["data"].alias("return_data")),
+        "email_info": F.struct(
+            T.empty_if_null(F.col("email.msg.from")).alias("from"),
+            T.first_or_empty(F.col("email.msg.to")).alias("to"),
+            T.empty_if_null(F.col("email.msg.sender")).alias("sender"),
+            T.empty_if_null(F.col("email.msg.sub")).alias("sub"),
+            T.empty_if_null(F.col("email.msg.content")).alias("text"),
+            F.transform(_arr(F.col("email.msg.attach")), lambda a: F.struct(
+                T.empty_if_null(a["md5"]).alias("md5"), T.empty_if_null(a["fn"]).alias("file_name"),
+                T.empty_if_null(a["ft"]).alias("file_format"))).alias("file")),
+        "ftp_info": F.struct(F.col("ftp.upload").alias("upload"), F.col("ftp.download").alias("download")),
+        "http_info": F.struct(
+            F.col("http.request.method").alias("method"),
+            F.concat(F.col("http.request.header.host"), F.col("http.request.header.uri")).alias("URL"),
+            T.header_map(F.col("http.request.header.other")).alias("request_headers"),
+            T.header_map(F.col("http.response.header.other")).alias("response_headers"),
+            F.col("http.request.body").alias("request_body"),
+            F.col("http.response.body").alias("response_body")),
+        "smb_info": F.struct(F.col("msg.upload").alias("upload"), F.col("msg.download").alias("download")),
+    }
+    return tuple(first.items()), tuple(second.items())
+
+
+def carriers(df: DataFrame) -> DataFrame:
+    """Protocol (last present of dns < email < ftp < http < smb; NULL when none) and the
+    flattened carrier fields; URL/domain ownership by query direction and orientation."""
+    first, second = _carrier_exprs()
+    df = bind(df, **dict(first))
+    return df.withColumns(dict(second)).drop("_url", "_dom", "_side")
 
 
 def geo(side: str) -> Column:
