@@ -140,3 +140,15 @@ def daily_counts(events: DataFrame, standardised: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("black_count"))
     return o.join(b, "day", "left").select("day", "origin_count",
                                            F.coalesce("black_count", F.lit(0)).cast("long").alias("black_count"))
+
+
+def vulnerabilities(events: DataFrame) -> DataFrame:
+    """DOM-24: the vulnerability list of an eventlog with its patches nested, as one object
+    (the reference's two views share it, so both carry the patches), plus the id list."""
+    v = F.transform(F.coalesce(_m("data", "i", "2"), F.array()), lambda x: F.struct(
+        x["1"].alias("vulne_id"), x["2"].alias("vulne_name"),
+        F.transform(F.coalesce(x["8"], F.array()), lambda p: F.struct(
+            p["1"].alias("patch_id"), p["2"].alias("patch_name"))).alias("patch_info")))
+    return events.filter(F.col("type") == "eventlog").select(
+        T.rowkey_offset(F.col("topic"), F.col("partition"), F.col("offset")).alias("rowkey"),
+        v.alias("vulne"), F.transform(v, lambda x: x["vulne_id"]).alias("vulne_ids"))

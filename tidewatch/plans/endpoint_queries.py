@@ -146,3 +146,23 @@ def endpoint_asset_by_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = A.asset_by_source_id(events.select(((F.col("offset") * 8) + F.col("partition")).alias("event_id"),
                                              F.col("client.uuid").alias("uuid")), recs, "uuid")
     return out.select("event_id", "uuid", "mapped_asset_id")
+
+
+@register("endpoint_vulnerabilities", covers=("DOM-24", "JOIN-15"), oracle=f"""
+WITH {EP_CTE}
+SELECT concat(substr(md5(concat_ws(chr(1), 'iep_raw', e % 8, e // 8)), 1, 4), lpad(CAST(e // 8 AS VARCHAR), 12, '0'))
+         AS rowkey,
+       concat('CVE-2021-', e % 50) AS vulne_id, 'vuln' AS vulne_name, concat('KB', e % 50) AS patch_id,
+       'patch' AS patch_name, CAST(1 AS INTEGER) AS n_vulns
+FROM ep WHERE type = 'eventlog'
+""")
+def endpoint_vulnerabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    topic = derive.endpoint_topic(derive.table(spark, sf_dir, "events"))
+    events = EP.gate(EP.decode(topic)[0], PARAMS)
+    v = EP.vulnerabilities(events)
+    ex = v.select("rowkey", F.size("vulne_ids").alias("n_vulns"), F.explode("vulne").alias("x"))
+    ex = ex.select("rowkey", "n_vulns", "x.vulne_id", "x.vulne_name", F.explode("x.patch_info").alias("p"))
+    return ex.select("rowkey", "vulne_id", "vulne_name", F.col("p.patch_id").alias("patch_id"),
+                     F.col("p.patch_name").alias("patch_name"), "n_vulns")
