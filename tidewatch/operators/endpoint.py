@@ -119,11 +119,23 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
     df = df.withColumn("technique_number",
                        F.when(F.col("tactic_number") != "", F.col("_tid").cast("string"))
                         .otherwise(F.lit(""))).drop("_tid")
-    a = asset_lookup.select(F.col("ip_addr").alias("_aip"), F.col("asset_id").alias("_aid"))
+    extra = [c for c in ("os_ver", "unit") if c in asset_lookup.columns]
+    a = asset_lookup.select(F.col("ip_addr").alias("_aip"), F.col("asset_id").alias("_aid"),
+                            *[F.col(c).alias(f"_a_{c}") for c in extra])
     df = df.join(a, df["source_ip"] == a["_aip"], "left").drop("_aip")
-    return (df.withColumn("asset_known", F.col("_aid").isNotNull())
-              .withColumn("asset_id", F.coalesce("_aid", F.upper(F.md5(F.concat(F.lit("iep"), F.col("client.uuid"))))))
-              .drop("_aid"))
+    known = F.col("_aid").isNotNull()
+    # DOM-25: asset detail from the asset database when known, else from the message
+    msg_unit = F.get(_m("data", "i", "3"), 0)["5"]["1"]
+    os_ = F.coalesce(F.col("_a_os_ver"), F.lit("")) if "os_ver" in extra else F.lit("")
+    if "unit" in extra:
+        unit = F.when(known, F.coalesce(F.col("_a_unit"), F.lit(""))).otherwise(F.coalesce(msg_unit, F.lit("")))
+    else:
+        unit = F.coalesce(msg_unit, F.lit(""))
+    out = (df.withColumn("asset_known", known)
+             .withColumn("asset_id", F.coalesce("_aid", F.upper(F.md5(F.concat(F.lit("iep"), F.col("client.uuid"))))))
+             .withColumn("asset_os", F.when(known, os_).otherwise(F.lit("")))
+             .withColumn("asset_unit", unit))
+    return out.drop("_aid", *[f"_a_{c}" for c in extra])
 
 
 def seen_techniques(events: DataFrame) -> DataFrame:

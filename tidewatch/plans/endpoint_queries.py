@@ -44,17 +44,30 @@ def _standardised(spark: SparkSession, sf_dir: str):
     dictionary = D.attack_techniques(spark)
     new = ATT.register_new_techniques(EP.seen_techniques(events), dictionary, "attck_content")
     techniques = dictionary.select("attck_id", "attck_content").unionByName(new)
-    lookup = A.ip_to_asset(D.asset_ips(spark, sf_dir), D.assets(spark, sf_dir))
+    lookup = _asset_detail_lookup(spark, sf_dir)
     return events, EP.standardise(EP.split_files(events), techniques, lookup), bad
 
 
+def _asset_detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per active address: asset id, OS and unit (the asset's node name)."""
+    from pyspark.sql import functions as F
+
+    assets = D.assets(spark, sf_dir)
+    ip2a = A.ip_to_asset(D.asset_ips(spark, sf_dir), assets)
+    detail = assets.select("asset_id", "os_ver", "node_id").join(
+        D.nodes(spark, sf_dir).select("node_id", F.col("node_name").alias("unit")), "node_id", "left").drop("node_id")
+    return ip2a.join(detail, "asset_id", "left")
+
+
 @register("endpoint_events", covers=("SRC-02", "STR-02", "FLT-12", "FLT-13", "FLT-14", "FLT-15", "DOM-20",
                                      "DOM-21", "DOM-22", "DOM-23", "DOM-24", "DOM-25", "DOM-26", "DOM-27",
                                      "JOIN-09", "JOIN-11", "JOIN-12", "JOIN-15", "SCL-08", "SCL-10", "SCL-11",
                                      "SCL-16", "DOM-29", "Q7"), oracle=f"""
-WITH {O.ASSETS}, {O.ASSET_IPS}, {EP_CTE},
-ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
-         WHERE a.delete_state = '1' GROUP BY i.ip_addr)
+WITH {O.ASSETS}, {O.ASSET_IPS}, {O.NODES}, {EP_CTE},
+ip2a0 AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
+          WHERE a.delete_state = '1' GROUP BY i.ip_addr),
+ip2a AS (SELECT x.ip_addr, x.asset_id, a.os_ver, n.node_name AS unit FROM ip2a0 x JOIN assets a ON a.asset_id = x.asset_id
+         LEFT JOIN nodes n ON n.node_id = a.node_id)
 SELECT
   concat(substr(md5(concat_ws(chr(1), 'iep_raw', e % 8, e // 8)), 1, 4), lpad(CAST(e // 8 AS VARCHAR), 12, '0'))
     AS rowkey,
@@ -85,7 +98,10 @@ SELECT
     AS behaviour_label,
   a.asset_id IS NOT NULL AS asset_known,
   coalesce(a.asset_id, upper(md5(concat('iep', concat('agent-', u))))) AS asset_id,
-  CASE WHEN type = 'eventlog' THEN concat('CVE-2021-', e % 50) END AS exploited_vuln
+  CASE WHEN type = 'eventlog' THEN concat('CVE-2021-', e % 50) END AS exploited_vuln,
+  CASE WHEN a.asset_id IS NOT NULL THEN coalesce(a.os_ver, '') ELSE '' END AS asset_os,
+  CASE WHEN a.asset_id IS NOT NULL THEN coalesce(a.unit, '')
+       WHEN type = 'eventlog' THEN concat('unit', u % 3) ELSE '' END AS asset_unit
 FROM epf LEFT JOIN ip2a a ON a.ip_addr = epf.cip
 LEFT JOIN new_ids n ON n.t = concat('T', epf.e % 30)
 """)
@@ -94,7 +110,7 @@ def endpoint_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return std.select("rowkey", "type", "eventlog_id", "source_ip", "v_name", "file_name", "file_path",
                       "route", "is_malicious", "detect_obj", "load_side", "tactic", "tactic_number",
                       "technique", "technique_number", "stage_number", "category_label", "behaviour_label",
-                      "asset_known", "asset_id", "exploited_vuln")
+                      "asset_known", "asset_id", "exploited_vuln", "asset_os", "asset_unit")
 
 
 @register("endpoint_daily_counts", covers=("AGG-08",), oracle=f"""
