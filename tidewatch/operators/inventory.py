@@ -154,19 +154,23 @@ def reported_software(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
 
 def software_state(known: DataFrame, reported: DataFrame) -> DataFrame:
     """UPS-08/09: per (asset, software) the reported version with state '1'; a known install
-    missing from the report of an asset that did report becomes state '0' (JOIN-26)."""
+    missing from the report of an asset that did report becomes state '0' (JOIN-26); known
+    installs of assets that did not report keep state '1'.  One full outer join on the
+    business key plus one join with the reporting assets."""
     k = U.latest_per_key(known.select("asset_id", "software_name", "version", "install_time"),
                          ["asset_id", "software_name"], [F.col("install_time").desc(), F.col("version").desc()])
     r = U.latest_per_key(reported, ["asset_id", "software_name"],
                          [F.col("install_time").desc(), F.col("offset").desc()])
-    reporters = reported.select("asset_id").distinct()
-    gone = k.join(r.select("asset_id", "software_name"), ["asset_id", "software_name"], "left_anti") \
-        .join(reporters, "asset_id", "left_semi").select("asset_id", "software_name", "version",
-                                                         F.lit("0").alias("install_state"))
-    kept = k.join(reporters, "asset_id", "left_anti").select("asset_id", "software_name", "version",
-                                                             F.lit("1").alias("install_state"))
-    now = r.select("asset_id", "software_name", "version", F.lit("1").alias("install_state"))
-    return now.unionByName(gone).unionByName(kept)
+    j = k.select("asset_id", "software_name", F.col("version").alias("k_version")).join(
+        r.select("asset_id", "software_name", F.col("version").alias("r_version"), F.lit(True).alias("_rep_row")),
+        ["asset_id", "software_name"], "full")
+    reporters = reported.select("asset_id").distinct().withColumn("_reporter", F.lit(True))
+    j = j.join(reporters, "asset_id", "left")
+    reported_now = F.coalesce(F.col("_rep_row"), F.lit(False))
+    gone = ~reported_now & F.coalesce(F.col("_reporter"), F.lit(False))
+    return j.select("asset_id", "software_name",
+                    F.when(reported_now, F.col("r_version")).otherwise(F.col("k_version")).alias("version"),
+                    F.when(gone, "0").otherwise("1").alias("install_state"))
 
 
 def software_library(library: DataFrame, reported: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def asset_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("asset_id", F.col("a.ip").alias("ip_addr"),
                     N.ip_to_long(F.col("a.ip")).alias("ip_value"),
                     N.normalise_mac(F.col("a.mac")).alias("mac_addr"),
-                    F.lit("1").alias("group_id"))
+                    F.when(N.is_private(F.col("a.ip")), "1").otherwise("2").alias("group_id"))
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
