@@ -100,3 +100,22 @@ def test_archive_partitioned(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "arc"))
     assert back.count() == 4
     assert back.filter("source = 'ptd' AND dt = DATE'2024-01-02'").select("payload").first()[0] == "v2"
+
+
+def test_sensor_flow_per_micro_batch_equals_batch(spark, tmp_path):
+    from tidewatch.operators import sensor as S
+
+    topic = derive.sensor_topic(derive.table(spark, SF001, "events"))
+    src = str(tmp_path / "ptd")
+    _write_topic(spark, topic, src)
+
+    def flow(df):
+        return S.standardise(df).select("id", "route", "threat_flag", "timestamp")
+
+    q = P.standardise_stream(P.file_topic_stream(spark, src, max_files_per_trigger=2), flow,
+                             str(tmp_path / "out"), str(tmp_path / "ck5")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out")).select("id", "route", "threat_flag")
+    want = flow(topic).select("id", "route", "threat_flag")
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -132,3 +132,18 @@ def archive(df: DataFrame, path: str, source: str, ts_col: str = "timestamp") ->
     (df.select(F.col("rowkey") if "rowkey" in df.columns else F.md5("value").alias("rowkey"),
                F.col("value").alias("payload"), F.to_date(ts_col).alias("dt"), F.lit(source).alias("source"))
      .write.mode("append").partitionBy("dt", "source").parquet(path))
+
+
+# --- flows driven per micro-batch ------------------------------------------------------------
+
+def standardise_stream(topic_stream: DataFrame, flow: Callable[[DataFrame], DataFrame], out_root: str,
+                       checkpoint: str, partition_cols: tuple[str, ...] = ("dt",)):
+    """Run a batch flow (sensor or endpoint standardisation -- anything that maps a topic
+    frame to rows with a ``route`` column and a ``timestamp``) on every micro-batch and
+    write it routed by verdict and day.  The same operator code serves batch and stream;
+    ``foreachBatch`` lets the flow use joins with static dimensions and writes that a plain
+    streaming sink would not allow."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = flow(batch).withColumn("dt", F.to_date("timestamp"))
+        routed_writer(out_root, "route", partition_cols)(out, batch_id)
+    return topic_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
