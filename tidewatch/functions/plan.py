@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bind(df: DataFrame, **cols: Column) -> DataFrame:
+def bind(df: DataFrame, barrier: bool = True, **cols: Column) -> DataFrame:
     """Add ``cols`` as a *binding*: they are evaluated once per row and later expressions refer
     to them as attributes.
 
@@ -16,7 +16,12 @@ def bind(df: DataFrame, **cols: Column) -> DataFrame:
     one-element ``inline`` (a ``Generate`` node, still whole-stage code generated) keeps
     them as attributes: neither ``CollapseProject`` nor predicate push-down substitute
     generator output.
+
+    ``barrier=False`` is a plain ``withColumns`` (cheaper to run) for stages whose
+    expressions are shallow and never sit under a pushed-down filter.
     """
+    if not barrier:
+        return df.withColumns(cols)
     st = F.struct(*[c.alias(n) for n, c in cols.items()])
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, F.inline(F.array(st)))

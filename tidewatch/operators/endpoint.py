@@ -86,7 +86,7 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
     det_map = F.create_map(*[F.lit(x) for kv in C.DETECT_OBJECT_BY_TYPE.items() for x in kv])
     src_ip = F.coalesce(F.nullif(d1["1"], F.lit("")), F.col("client.ip"))
     df = bind(
-        events,
+        events, barrier=False,
         rowkey=T.rowkey_offset(F.col("topic"), F.col("partition"), F.col("offset")),
         eventlog_id=F.coalesce(_m("data", "a"), F.lit("")),
         source_ip=F.when(is_log, src_ip).otherwise(F.col("client.ip")),

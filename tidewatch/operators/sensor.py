@@ -180,9 +180,9 @@ def event_type_names(flag: Column) -> tuple[Column, Column]:
 
 def classify(df: DataFrame) -> DataFrame:
     flag, kw = threat_type()
-    df = bind(df, threat_flag=flag, keyword=T.empty_if_null(kw))
+    df = bind(df, barrier=False, threat_flag=flag, keyword=T.empty_if_null(kw))
     a, b = event_type_names(F.col("threat_flag"))
-    return bind(df, first_type=a, second_type=b)
+    return bind(df, barrier=False, first_type=a, second_type=b)
 
 
 # --- DOM-05 .. DOM-10 (payloads and behaviour labels) -------------------------------------
@@ -289,7 +289,7 @@ def payloads(df: DataFrame) -> DataFrame:
     """Adds ``payloads`` (ordered: url, engine, file, file-only, domain, ip), ``xw_labels``
     and the search columns taken from the last detection payload."""
     for st in _payload_stages():
-        df = bind(df, **dict(st))
+        df = bind(df, barrier=False, **dict(st))
     return (df.withColumn("search_v_name", F.col("_last.v_name"))
               .withColumn("search_v_type", F.col("_last.v_type"))
               .withColumn("search_v_family", F.col("_last.v_family"))
@@ -374,7 +374,7 @@ def carriers(df: DataFrame) -> DataFrame:
     """Protocol (last present of dns < email < ftp < http < smb; NULL when none) and the
     flattened carrier fields; URL/domain ownership by query direction and orientation."""
     first, second = _carrier_exprs()
-    df = bind(df, **dict(first))
+    df = bind(df, barrier=False, **dict(first))
     return df.withColumns(dict(second)).drop("_url", "_dom", "_side")
 
 
