@@ -9,7 +9,7 @@ from tidewatch.operators.dictionary import assign_new_ids
 def test_latest_per_key_is_deterministic(spark):
     df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 2, 5, "y"), ("b", 1, 1, "z")],
                                "k string, off int, ts int, v string")
-    out = {r["k"]: r["v"] for r in U.latest_per_key(df, ["k"], [F.col("ts").desc(), F.col("off").desc()]).collect()}
+    out = {r["k"]: r["v"] for r in U.latest_per_key(df, ["k"], ["ts", "off"]).collect()}
     assert out == {"a": "y", "b": "z"}
 
 

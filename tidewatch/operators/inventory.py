@@ -83,7 +83,7 @@ def client_changes(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
 
 
 def latest_client_state(changes: DataFrame) -> DataFrame:
-    return U.latest_per_key(changes, ["asset_id"], [F.col("timestamp").desc(), F.col("offset").desc()])
+    return U.latest_per_key(changes, ["asset_id"], ["timestamp", "offset"])
 
 
 def asset_snapshot(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def asset_ip_snapshot(snapshot_ips: DataFrame, changes: DataFrame) -> DataFrame:
     ex = changes.select("asset_id", "timestamp", "offset", F.explode("address").alias("a"))
     rows = ex.select("asset_id", F.col("a.ip").alias("ip_addr"), N.ip_to_long(F.col("a.ip")).alias("ip_value"),
                      N.normalise_mac(F.col("a.mac")).alias("mac_addr"), "timestamp", "offset")
-    latest = U.latest_per_key(rows, ["asset_id", "ip_addr"], [F.col("timestamp").desc(), F.col("offset").desc()])
+    latest = U.latest_per_key(rows, ["asset_id", "ip_addr"], ["timestamp", "offset"])
     snap = snapshot_ips.select("asset_id", "ip_addr", "ip_value", "mac_addr")
     return U.upsert(snap, latest.drop("timestamp", "offset"), ["asset_id", "ip_addr"], ["ip_value", "mac_addr"])
 
@@ -122,7 +122,7 @@ def asset_ip_snapshot(snapshot_ips: DataFrame, changes: DataFrame) -> DataFrame:
 def source_record_changes(records: DataFrame, changes: DataFrame) -> DataFrame:
     """UPS-04 / JOIN-24: agent id -> asset id map; rows whose mapped asset changed or is new."""
     latest = U.latest_per_key(changes.select("uuid", "asset_id", "timestamp", "offset"), ["uuid"],
-                              [F.col("timestamp").desc(), F.col("offset").desc()])
+                              ["timestamp", "offset"])
     r = records.select(F.col("map_asset_id").alias("uuid"), F.col("first_asset_id").alias("old_asset_id"))
     j = latest.join(r, "uuid", "left")
     return (j.filter(~F.col("old_asset_id").eqNullSafe(F.col("asset_id")))
@@ -133,7 +133,7 @@ def source_record_changes(records: DataFrame, changes: DataFrame) -> DataFrame:
 def server_registry(changes: DataFrame) -> DataFrame:
     """UPS-05: endpoint servers keyed by uid with their latest address and last report."""
     x = changes.filter(F.col("server_uid").isNotNull())
-    latest = U.latest_per_key(x, ["server_uid"], [F.col("timestamp").desc(), F.col("offset").desc()])
+    latest = U.latest_per_key(x, ["server_uid"], ["timestamp", "offset"])
     n = x.groupBy("server_uid").agg(F.count(F.lit(1)).alias("reports"))
     return latest.select("server_uid", "server_ip", F.col("timestamp").alias("last_report")).join(n, "server_uid")
 
@@ -158,9 +158,9 @@ def software_state(known: DataFrame, reported: DataFrame) -> DataFrame:
     installs of assets that did not report keep state '1'.  One full outer join on the
     business key plus one join with the reporting assets."""
     k = U.latest_per_key(known.select("asset_id", "software_name", "version", "install_time"),
-                         ["asset_id", "software_name"], [F.col("install_time").desc(), F.col("version").desc()])
+                         ["asset_id", "software_name"], ["install_time", "version"])
     r = U.latest_per_key(reported, ["asset_id", "software_name"],
-                         [F.col("install_time").desc(), F.col("offset").desc()])
+                         ["install_time", "offset"])
     j = k.select("asset_id", "software_name", F.col("version").alias("k_version")).join(
         r.select("asset_id", "software_name", F.col("version").alias("r_version"), F.lit(True).alias("_rep_row")),
         ["asset_id", "software_name"], "full")
@@ -239,7 +239,7 @@ def hardware_rows(topic: DataFrame) -> DataFrame:
 
 def hardware_latest(rows: DataFrame) -> DataFrame:
     return U.latest_per_key(rows, ["asset_id", "hardware_type_id", "hw_key"],
-                            [F.col("timestamp").desc(), F.col("offset").desc()]).drop("timestamp", "offset")
+                            ["timestamp", "offset"]).drop("timestamp", "offset")
 
 
 # --- ports / services / processes / vulnerabilities: UPS-18..21, SNK-10 -------------------
@@ -299,7 +299,7 @@ def org_nodes(topic: DataFrame) -> DataFrame:
         F.when(F.col("g.pid") == "0", F.lit(C.DEFAULT_NODE_ID)).otherwise(sfx(F.col("g.pid"))).alias("parent_node_id"),
         F.lit("2").alias("node_type_id"), "timestamp", "offset")
     rows = companies.unionByName(deps)
-    return U.latest_per_key(rows, ["node_id"], [F.col("timestamp").desc(), F.col("offset").desc()]) \
+    return U.latest_per_key(rows, ["node_id"], ["timestamp", "offset"]) \
         .drop("timestamp", "offset")
 
 
