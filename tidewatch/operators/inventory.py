@@ -102,11 +102,26 @@ def os_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def os_transitions(changes: DataFrame) -> DataFrame:
-    """WIN-04: successive reports of one agent whose OS differs from the previous report."""
-    w = Window.partitionBy("uuid").orderBy("timestamp", "offset")
-    return (changes.withColumn("prev", F.lag("os_ver").over(w))
-            .filter(F.col("prev").isNotNull() & (F.col("prev") != F.col("os_ver")))
-            .select("uuid", "offset", F.col("prev").alias("old"), F.col("os_ver").alias("new")))
+    """WIN-04: successive reports of one agent whose OS differs from the previous report.
+
+    A very active agent must not become one giant sorted window partition, so the
+    sequence is split by day: ``lag`` runs inside (agent, day) partitions, and the first
+    report of a day is compared with the last report of the agent's previous active day,
+    taken from a per-(agent, day) summary (one row per day, map-side combined)."""
+    c = changes.select("uuid", "partition", "offset", "timestamp", "os_ver").withColumn("_day", F.to_date("timestamp"))
+    w = Window.partitionBy("uuid", "_day").orderBy("timestamp", "offset")
+    inner = c.withColumn("prev", F.lag("os_ver").over(w))
+    days = c.groupBy("uuid", "_day").agg(
+        F.min_by(F.struct("partition", "offset"), F.struct("timestamp", "offset")).alias("_first"),
+        F.max_by(F.col("os_ver"), F.struct("timestamp", "offset")).alias("_last"))
+    wd = Window.partitionBy("uuid").orderBy("_day")
+    edges = days.withColumn("_prev_last", F.lag("_last").over(wd)) \
+        .select("uuid", F.col("_first.partition").alias("partition"), F.col("_first.offset").alias("offset"),
+                F.col("_prev_last").alias("edge_prev"))
+    j = inner.join(edges, ["uuid", "partition", "offset"], "left")
+    prev = F.coalesce(F.col("prev"), F.col("edge_prev"))
+    return (j.withColumn("_p", prev).filter(F.col("_p").isNotNull() & (F.col("_p") != F.col("os_ver")))
+             .select("uuid", "offset", F.col("_p").alias("old"), F.col("os_ver").alias("new")))
 
 
 def asset_ip_snapshot(snapshot_ips: DataFrame, changes: DataFrame) -> DataFrame:
