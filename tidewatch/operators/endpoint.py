@@ -66,6 +66,28 @@ def endpoint_labels(name: Column) -> tuple[Column, Column]:
     return cat, beh
 
 
+def malware_name() -> Column:
+    """The malware name of any message type (eventlog: the process record; file-based legacy
+    types: the file record; others: the top-level name); '' when absent."""
+    is_log = F.col("type") == "eventlog"
+    f0 = F.get(F.coalesce("fileinfo", F.array()), 0)
+    return F.coalesce(F.when(is_log, F.get(_m("data", "i", "1"), 0)["8"])
+                       .when(F.col("type").isin("virus_defend", "virus_detect"), f0["malname"])
+                       .otherwise(F.col("malname")), F.lit(""))
+
+
+def route_of(vname: Column) -> Column:
+    """FLT-13 / FLT-14 / Q7: an eventlog without malware name is white; every other event is
+    routed black."""
+    return F.when(F.col("type") == "eventlog", F.when(vname == "", "white").otherwise("black")) \
+            .otherwise(F.lit("black"))
+
+
+def routes(events: DataFrame) -> DataFrame:
+    """Per (split) event only what routing needs -- no dictionary or asset joins."""
+    return split_files(events).select("timestamp", route_of(malware_name()).alias("route"))
+
+
 def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFrame) -> DataFrame:
     """Flat standard-event columns for every message type.
 
@@ -90,8 +112,7 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
         rowkey=T.rowkey_offset(F.col("topic"), F.col("partition"), F.col("offset")),
         eventlog_id=F.coalesce(_m("data", "a"), F.lit("")),
         source_ip=F.when(is_log, src_ip).otherwise(F.col("client.ip")),
-        _vname=F.coalesce(F.when(is_log, i1["8"]).when(F.col("type").isin("virus_defend", "virus_detect"),
-                                                       f0["malname"]).otherwise(F.col("malname")), F.lit("")),
+        _vname=malware_name(),
         file_path=F.when(is_log, T.percent_decode(i1["3"])).otherwise(legacy_path),
         _log_name=T.percent_decode(i1["4"]),
         detect_obj=F.when(is_log, i3["6"]).otherwise(F.try_element_at(det_map, F.col("type"))),
@@ -106,8 +127,7 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
         "*",
         F.col("_vname").alias("v_name"),
         F.when(is_log, F.col("_log_name")).otherwise(T.file_name_from_path(F.col("file_path"))).alias("file_name"),
-        F.when(is_log, F.when(F.col("_vname") == "", "white").otherwise("black"))
-         .otherwise(F.lit("black")).alias("route"),
+        route_of(F.col("_vname")).alias("route"),
         F.when(is_log, F.col("_vname") != "").otherwise(F.col("type") != "active_protect").alias("is_malicious"),
         F.when(F.col("detect_obj") == C.DETECT_OBJECT_SOURCE_LOAD, "source").otherwise("purpose").alias("load_side"),
         F.coalesce(F.try_element_at(tac_map, F.col("tactic")), F.lit("")).alias("tactic_number"),

@@ -121,8 +121,9 @@ LEFT JOIN (SELECT day, count(*) AS black_count FROM epf WHERE NOT (type = 'event
            GROUP BY day) b ON b.day = o.day
 """)
 def endpoint_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, std, _ = _standardised(spark, sf_dir)
-    return EP.daily_counts(events, std)
+    topic = derive.endpoint_topic(derive.table(spark, sf_dir, "events"))
+    events = EP.gate(EP.decode(topic)[0], PARAMS)
+    return EP.daily_counts(events, EP.routes(events))
 
 
 @register("endpoint_dead_letters", covers=("SNK-06", "STR-13"), oracle="""

@@ -38,8 +38,8 @@ def _sensor_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ep_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, std, _ = EQ._standardised(spark, sf_dir)
-    return EP.daily_counts(events, std)
+    events = EP.gate(EP.decode(derive.endpoint_topic(derive.table(spark, sf_dir, "events")))[0], EQ.PARAMS)
+    return EP.daily_counts(events, EP.routes(events))
 
 
 @register("report_daily_line", covers=("AGG-12", "SCL-27"), oracle=f"""
