@@ -67,3 +67,16 @@ def test_endpoint_legacy_verdicts(spark):
     assert (r["active_protect"]["is_malicious"], r["active_protect"]["route"]) == (False, "black")   # Q7
     assert r["active_protect"]["detect_obj"] == "目的载体" and r["active_protect"]["file_name"] == "Run"
     assert r["proc_protect"]["file_name"] == "c.exe" and r["proc_protect"]["asset_known"] is False
+
+
+def test_routes_match_standardised_routes(spark):
+    from tidewatch.plans import endpoint_queries as EQ
+    from tidewatch.sources import derive
+
+    from .conftest import SF001
+
+    events, std, _ = EQ._standardised(spark, SF001)
+    a = EP.routes(events).groupBy("route").count()
+    b = std.groupBy("route").count()
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert derive is not None
