@@ -71,7 +71,6 @@ def test_endpoint_legacy_verdicts(spark):
 
 def test_routes_match_standardised_routes(spark):
     from tidewatch.plans import endpoint_queries as EQ
-    from tidewatch.sources import derive
 
     from .conftest import SF001
 
@@ -79,4 +78,3 @@ def test_routes_match_standardised_routes(spark):
     a = EP.routes(events).groupBy("route").count()
     b = std.groupBy("route").count()
     assert sorted(a.collect()) == sorted(b.collect())
-    assert derive is not None

@@ -8,6 +8,8 @@ standardised in the same narrow stage.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,11 +90,9 @@ def routes(events: DataFrame) -> DataFrame:
     return split_files(events).select("timestamp", route_of(malware_name()).alias("route"))
 
 
-def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFrame) -> DataFrame:
-    """Flat standard-event columns for every message type.
-
-    ``techniques``: dictionary (attck_id, attck_content) already including newly registered
-    techniques; ``asset_lookup``: one row per ``ip_addr`` with ``asset_id`` (JOIN-05)."""
+@functools.cache
+def _standard_exprs() -> tuple[tuple[tuple[str, Column], ...], tuple[Column, ...]]:
+    """The per-message standardisation expressions (built once per process)."""
     is_log = F.col("type") == "eventlog"
     f0 = F.get(F.coalesce("fileinfo", F.array()), 0)
     i1 = F.get(_m("data", "i", "1"), 0)
@@ -107,24 +107,22 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
     stg_map = F.create_map(*[F.lit(x) for kv in C.STAGE_NUMBER_LOCAL.items() for x in kv])
     det_map = F.create_map(*[F.lit(x) for kv in C.DETECT_OBJECT_BY_TYPE.items() for x in kv])
     src_ip = F.coalesce(F.nullif(d1["1"], F.lit("")), F.col("client.ip"))
-    df = bind(
-        events, barrier=False,
-        rowkey=T.rowkey_offset(F.col("topic"), F.col("partition"), F.col("offset")),
-        eventlog_id=F.coalesce(_m("data", "a"), F.lit("")),
-        source_ip=F.when(is_log, src_ip).otherwise(F.col("client.ip")),
-        _vname=malware_name(),
-        file_path=F.when(is_log, T.percent_decode(i1["3"])).otherwise(legacy_path),
-        _log_name=T.percent_decode(i1["4"]),
-        detect_obj=F.when(is_log, i3["6"]).otherwise(F.try_element_at(det_map, F.col("type"))),
-        tactic=F.when(is_log, F.coalesce(F.get(att, 0), F.lit(""))).otherwise(F.lit("")),
-        technique=F.when(is_log, F.coalesce(F.get(att, 1), F.lit(""))).otherwise(F.lit("")),
-        stage=F.when(is_log, F.coalesce(F.get(stg, 0), F.lit(""))).otherwise(F.lit("")),
-        exploited_vuln=F.when(is_log, F.get(F.filter(F.coalesce(_m("data", "i", "2"), F.array()),
-                                                     lambda v: v["1"] == _m("data", "f", "2", "1")), 0)["1"]),
-    )
+    first = {
+        "rowkey": T.rowkey_offset(F.col("topic"), F.col("partition"), F.col("offset")),
+        "eventlog_id": F.coalesce(_m("data", "a"), F.lit("")),
+        "source_ip": F.when(is_log, src_ip).otherwise(F.col("client.ip")),
+        "_vname": malware_name(),
+        "file_path": F.when(is_log, T.percent_decode(i1["3"])).otherwise(legacy_path),
+        "_log_name": T.percent_decode(i1["4"]),
+        "detect_obj": F.when(is_log, i3["6"]).otherwise(F.try_element_at(det_map, F.col("type"))),
+        "tactic": F.when(is_log, F.coalesce(F.get(att, 0), F.lit(""))).otherwise(F.lit("")),
+        "technique": F.when(is_log, F.coalesce(F.get(att, 1), F.lit(""))).otherwise(F.lit("")),
+        "stage": F.when(is_log, F.coalesce(F.get(stg, 0), F.lit(""))).otherwise(F.lit("")),
+        "exploited_vuln": F.when(is_log, F.get(F.filter(F.coalesce(_m("data", "i", "2"), F.array()),
+                                                        lambda v: v["1"] == _m("data", "f", "2", "1")), 0)["1"]),
+    }
     cat, beh = endpoint_labels(F.col("_vname"))
-    df = df.select(
-        "*",
+    second = (
         F.col("_vname").alias("v_name"),
         F.when(is_log, F.col("_log_name")).otherwise(T.file_name_from_path(F.col("file_path"))).alias("file_name"),
         route_of(F.col("_vname")).alias("route"),
@@ -133,7 +131,18 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
         F.coalesce(F.try_element_at(tac_map, F.col("tactic")), F.lit("")).alias("tactic_number"),
         F.coalesce(F.try_element_at(stg_map, F.col("stage")), F.lit("")).alias("stage_number"),
         cat.alias("category_label"), beh.alias("behaviour_label"),
-    ).drop("_vname", "_log_name")
+    )
+    return tuple(first.items()), second
+
+
+def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFrame) -> DataFrame:
+    """Flat standard-event columns for every message type.
+
+    ``techniques``: dictionary (attck_id, attck_content) already including newly registered
+    techniques; ``asset_lookup``: one row per ``ip_addr`` with ``asset_id`` (JOIN-05)."""
+    first, second = _standard_exprs()
+    df = bind(events, barrier=False, **dict(first))
+    df = df.select("*", *second).drop("_vname", "_log_name")
     t = techniques.groupBy(F.col("attck_content").alias("_tk")).agg(F.min("attck_id").alias("_tid"))
     df = df.join(t, df["technique"] == t["_tk"], "left").drop("_tk")
     df = df.withColumn("technique_number",
