@@ -1,47 +1,27 @@
-"""SparkSession construction and the few session-level settings the engine relies on.
+"""SparkSession construction and the two session settings that results depend on.
 
-Everything here is plain Spark configuration; nothing is engine-specific:
-
-* the session time zone is pinned to UTC so day buckets and ``date_format`` are stable;
-* ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` gives the k=v tokeniser "last duplicate wins";
-* AQE is on, with skew-join splitting and partition coalescing, so a hot key (one device
-  or one address holding a third of all rows) is split at runtime instead of landing in
-  one task;
-* broadcast joins are left to the size-checked planner threshold: Catalyst/AQE only
-  broadcasts a side whose *measured* size is under ``autoBroadcastJoinThreshold`` and
-  falls back to a sort-merge join otherwise.
+Sizing (executors, broadcast threshold, shuffle partitions, split sizes) belongs to the
+submitter and is never overwritten.  Adaptive execution is on by default in Spark.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session of the engine needs.  Cluster-specific sizing (executors,
-# memory, shuffle partitions) is left to the submitter.
+# UTC day buckets and "the last duplicate key wins" in key/value logs.
 ENGINE_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime-modifiable engine settings on an existing session."""
+    """Set what results depend on; a session that refuses it is an error."""
     for k, v in ENGINE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as configured
-            pass
+        spark.conf.set(k, v)
     return spark
 
 
@@ -68,15 +48,13 @@ def get_session(master: str | None = None, app: str = "tidewatch",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session does not name one (local tests) is a folder under the
-    system temp directory used.
+    Only a local session that names none gets a folder below the system's temporary one; on a
+    cluster that is an error, as its machines share no temporary folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        import tempfile
-
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = os.path.join(tempfile.gettempdir(), "tidewatch-checkpoints")
     return d.rstrip("/")
 
