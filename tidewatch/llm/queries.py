@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, pii
+from . import bpe, packing, pii, quality, setjoin
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -22,6 +22,12 @@ def query(fn):
     return run
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learned from the labels outside the held-out fold."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text: counts by kind and digests of the spans."""
@@ -45,3 +51,9 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in sequences of at most 2048, one row for each piece."""
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and the component of the similarity links that it is in."""
+    return setjoin.join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
