@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, pii, quality, setjoin
+from . import bpe, hnsw, multiindex, packing, pii, quality, setjoin
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -28,6 +28,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, by inner product."""
+    return multiindex.search(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text: counts by kind and digests of the spans."""
@@ -57,3 +63,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's shingle set and the component of the similarity links that it is in."""
     return setjoin.join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of a label with a cosine of at least 0.98."""
+    return hnsw.near(read(spark, sf_dir, "embeddings"))
