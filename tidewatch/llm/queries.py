@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hnsw, multiindex, packing, pii, quality, setjoin
+import corpus_pipeline
+
+from . import bpe, hnsw, multiindex, packing, passages, pii, quality, setjoin
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -69,3 +71,14 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors of a label with a cosine of at least 0.98."""
     return hnsw.near(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of every document that repeat, and which of them go."""
+    return passages.summary(read(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
