@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 Each pre-token is a linked list of byte spans.  Every pair that the vocabulary can merge waits in
-the bucket of its rank; three levels of 64-bit words tell which buckets hold something, and
-find-first-set on them gives the lowest rank.  A bucket is worked off from left to right.  Entries
+the bucket of its rank; two levels of bitmaps tell which buckets hold something, and find-first-set
+on them gives the lowest rank.  A bucket is worked off from left to right.  Entries
 whose pair has changed meanwhile are stale and are skipped.  A pre-token of n bytes costs O(n)
 queue steps however long it is.
 
@@ -24,42 +24,46 @@ from .textbytes import gather
 from .tokens import byte_level_pieces, cache_for, encode_texts
 
 
+#: Ranks of one leaf word; the word above has a bit for each leaf word in use.
+LEAF_BITS = 8
+_BIT = [1 << k for k in range(1 << LEAF_BITS)]
+_LEAF_MASK = (1 << LEAF_BITS) - 1
+
+
 class RankQueue:
-    """Positions by merge rank; ``lowest`` finds the first rank in use in three steps."""
+    """Positions by merge rank under two levels of bitmaps; find-first-set on each gives the lowest rank."""
 
     def __init__(self, ranks: int):
-        self.leaf = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
+        self.leaf = [0] * ((ranks >> LEAF_BITS) + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, at: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [at]
-            self.leaf[rank >> 6] |= 1 << (rank & 63)
-            self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
+        if bucket is not None:
             bucket.append(at)
-
-    def lowest(self) -> int:
-        a = (self.top & -self.top).bit_length() - 1
-        word = self.mid[a]
-        b = a << 6 | (word & -word).bit_length() - 1
-        word = self.leaf[b]
-        return b << 6 | (word & -word).bit_length() - 1
-
-    def take(self, rank: int) -> list[int]:
+            return
+        self.buckets[rank] = [at]
+        k = rank >> LEAF_BITS
+        word = self.leaf[k]
+        if not word:
+            self.top |= 1 << k
+        self.leaf[k] = word | _BIT[rank & _LEAF_MASK]
+
+    def take(self) -> tuple[int, list[int]]:
+        """The lowest rank in use and its positions from left to right; its bucket is empty then."""
+        top = self.top
+        k = (top & -top).bit_length() - 1
+        word = self.leaf[k]
+        low = word & -word
+        self.leaf[k] = word = word ^ low
+        if not word:
+            self.top = top & (top - 1)
+        rank = k << LEAF_BITS | low.bit_length() - 1
         bucket = self.buckets.pop(rank)
-        a, b = rank >> 12, rank >> 6
-        self.leaf[b] &= ~(1 << (rank & 63))
-        if not self.leaf[b]:
-            self.mid[a] &= ~(1 << (b & 63))
-            if not self.mid[a]:
-                self.top &= ~(1 << a)
-        bucket.sort()
-        return bucket
+        if len(bucket) > 1:
+            bucket.sort()
+        return rank, bucket
 
 
 class ByteBPE:
@@ -75,56 +79,54 @@ class ByteBPE:
         self.tokens = np.zeros(0, np.uint8)
 
     def encode_pretoken(self, raw: bytes) -> list[int]:
-        ranks = self.ranks
-        whole = ranks.get(raw)
+        rank_of, queue = self.ranks.get, self.queue
+        whole = rank_of(raw)
         if whole is not None:
             return [whole]
-        n, queue = len(raw), self.queue
+        n, push = len(raw), queue.push
         after = list(range(1, n + 1))   # where the span at a position ends
         before = list(range(-1, n))     # where the span that ends at a position begins
-        rank_at = [-1] * (n + 1)        # rank of the pair that begins at a position
-        for i in range(n - 1):
-            r = ranks.get(raw[i:i + 2])
-            if r is not None:
-                rank_at[i] = r
-                queue.push(r, i)
+        # rank of the pair that begins at a position
+        rank_at = [rank_of(raw[i:i + 2], -1) for i in range(n - 1)]
+        rank_at += (-1, -1)
+        for i, r in enumerate(rank_at):
+            if r >= 0:  # -1 is no pair
+                push(r, i)
         while queue.top:
-            rank = queue.lowest()
-            bucket = queue.take(rank)
+            rank, bucket = queue.take()
             for k, i in enumerate(bucket):
                 if rank_at[i] != rank:
                     continue  # stale
                 j = after[i]
-                end = after[j]
-                after[i], rank_at[j], rank_at[i] = end, -1, -1
+                after[i] = end = after[j]
                 before[end] = i
+                rank_at[j] = -1
                 lower = rank
-                if end < n:
-                    r = ranks.get(raw[i:after[end]])
-                    if r is not None:
-                        rank_at[i] = r
-                        queue.push(r, i)
-                        lower = min(lower, r)
+                rank_at[i] = r = rank_of(raw[i:after[end]], -1) if end < n else -1
+                if r >= 0:
+                    push(r, i)
+                    lower = r
                 h = before[i]
                 if h >= 0:
-                    r = ranks.get(raw[h:end])
-                    if r is None:
-                        rank_at[h] = -1
-                    else:
-                        rank_at[h] = r
-                        queue.push(r, h)
-                        lower = min(lower, r)
+                    rank_at[h] = r = rank_of(raw[h:end], -1)
+                    if r >= 0:
+                        push(r, h)
+                        if r < lower:
+                            lower = r
                 if lower < rank:  # a lower rank has come up; the rest of the bucket waits
                     for m in bucket[k + 1:]:
-                        queue.push(rank, m)
+                        push(rank, m)
                     break
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[raw[i:after[i]]])
-            i = after[i]
+            j = after[i]
+            ids.append(rank_of(raw[i:j]))
+            i = j
         return ids
 
     def encode_piece(self, raw: bytes) -> list[int]:
+        if raw[raw[:1] == b" ":].isalpha():  # ASCII letters behind a space at most: one pre-token
+            return self.encode_pretoken(raw)
         out: list[int] = []
         for token in self.find(raw.decode("utf-8")):
             out += self.encode_pretoken(token.encode("utf-8"))

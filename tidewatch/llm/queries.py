@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, hnsw, multiindex, packing, passages, pii, quality, setjoin
+from . import bpe, hnsw, multiindex, packing, passages, pii, quality, setjoin, tokenfile
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -30,6 +30,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, written to range-coded files in ascending order of documents and read back."""
+    return tokenfile.read(tokenfile.write(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 @query
 def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20, by inner product."""
