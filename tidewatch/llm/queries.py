@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, hnsw, multiindex, packing, passages, pii, quality, setjoin, tokenfile
+from . import bpe, hnsw, lm, multiindex, packing, passages, pii, quality, setjoin, tokenfile
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -67,6 +67,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every text: texts labelled good against the whole corpus."""
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, lm.labelled(docs, read(spark, sf_dir, "labels")))
+
+
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's shingle set and the component of the similarity links that it is in."""
