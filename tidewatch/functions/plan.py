@@ -26,22 +26,3 @@ def bind(df: DataFrame, barrier: bool = True, **cols: Column) -> DataFrame:
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, F.inline(F.array(st)))
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a CPU-heavy row-local stage at least ``min_partitions`` tasks (default: the
-    cluster's default parallelism).
-
-    Large inputs already arrive in many file splits, and then this is a no-op; only a
-    small input that lands in fewer partitions than there are cores (one parquet row
-    group -> one task) is spread with a round-robin repartition, which has no key and
-    therefore no skew.  Streaming frames are returned unchanged.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - plans that cannot expose an RDD keep their layout
-        return df
-    return df.repartition(target) if n < target else df

@@ -97,13 +97,25 @@ def malware_behaviour(name) -> Column:
     return F.regexp_extract(head, r"\[(.*?)\]", 1)
 
 
+# FIXED VALUES: path patterns of command lines, by the operating system of the asset
+WINDOWS_PATHS = r"((?:[A-Za-z]:(?:\\[^\\/<>|*?]+)+)+)"
+UNIX_PATHS = r"^(\s*[/|.](?:\S+)(?:/\S+)+)"
+
+
 def windows_paths(cmd) -> Column:
-    """All Windows paths in a command line (SCL-09)."""
-    return F.regexp_extract_all(_c(cmd), F.lit(r"([A-Za-z]:\\[^\s\"']*)"), 1)
+    """Windows paths in a command line (SCL-09): a drive and its segments; a segment runs on
+    over spaces and quotes up to a character that no path has."""
+    return F.regexp_extract_all(_c(cmd), F.lit(WINDOWS_PATHS), 1)
 
 
 def unix_paths(cmd) -> Column:
-    return F.regexp_extract_all(_c(cmd), F.lit(r"(?:^|\s)(/[^\s\"']+)"), 1)
+    """The path at the start of a command line, if it begins with one of several segments."""
+    return F.regexp_extract_all(_c(cmd), F.lit(UNIX_PATHS), 1)
+
+
+def command_paths(cmd, os_name) -> Column:
+    """SCL-09: by the asset's operating system, Windows paths or the leading Unix path."""
+    return F.when(F.upper(F.coalesce(_c(os_name), F.lit(""))).contains("WIN"), windows_paths(cmd)).otherwise(unix_paths(cmd))
 
 
 def file_name_from_path(p) -> Column:
@@ -147,7 +159,7 @@ def dotted_part(s, i: int) -> Column:
 def split_trim_first_space(s, sep: str = ",") -> Column:
     """Split on ``sep`` and drop one leading space from each part (SCL-17)."""
     return F.transform(F.split(_c(s), re.escape(sep)),
-                       lambda x: F.when(x.startswith(" "), F.substring(x, 2, 1 << 30)).otherwise(x))
+                       lambda x: F.when(x.startswith(" "), F.substring(x, 2, F.length(x))).otherwise(x))
 
 
 def cve_ids(refs) -> Column:
@@ -178,9 +190,10 @@ def service_path(p) -> Column:
 
 
 def header_map(entries) -> Column:
-    """``[{key,value}, ...]`` -> map, stopping at the first entry with an empty key (SCL-25)."""
+    """``[{key,value}, ...]`` -> map, stopping at the first empty entry, i.e. one that is null
+    or has neither key nor value fields (SCL-25); an entry of empty strings doesn't end it."""
     arr = _c(entries)
-    empties = F.array_position(F.transform(arr, lambda e: F.coalesce(e["key"], F.lit("")) == ""),
+    empties = F.array_position(F.transform(arr, lambda e: e.isNull() | (e["key"].isNull() & e["value"].isNull())),
                                F.lit(True))
     kept = F.when(empties > 0, F.slice(arr, 1, empties - 1)).otherwise(arr)
     return F.map_from_entries(F.transform(F.coalesce(kept, F.array()),
@@ -192,7 +205,7 @@ def hex_to_text(s) -> Column:
     x = _c(s)
     return F.when(x.contains("0x"),
                   F.coalesce(F.expr("NULL").cast("string"),
-                             F.decode(F.try_to_binary(F.substring(x, 3, 1 << 30), F.lit("hex")),
+                             F.decode(F.try_to_binary(F.substring(x, 3, F.length(x)), F.lit("hex")),
                                       "UTF-8"))).otherwise(x)
 
 

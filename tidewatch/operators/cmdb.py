@@ -16,8 +16,9 @@ CATEGORY_SCHEMA = "id STRING, parent_id STRING"
 
 def category_roots(categories: DataFrame) -> DataFrame:
     """FLT-23: top-level categories = those whose parent is not itself a category (a left
-    anti self join; equals the reference's order-dependent filter when parents precede
-    children, Q13)."""
+    anti self join).  Q13, a fix: the source's filter depends on the order of its list and keeps a
+    category again whose parent was left out, so from the third level on it keeps
+    grandchildren as if they were roots; here they never are."""
     ids = categories.select(F.col("id").alias("parent_id")).distinct()
     return categories.join(ids, "parent_id", "left_anti").select("id", "parent_id")
 

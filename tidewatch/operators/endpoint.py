@@ -32,13 +32,16 @@ def _m(*parts: str) -> Column:
 def decode(topic: DataFrame, dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
     """(events, dead letters).  Values that do not decode to a message with a type and a
     client go to the dead-letter frame instead of failing the batch (SNK-06, STR-13).
-    Re-delivered offsets are dropped (STR-02)."""
-    t = topic.dropDuplicates(["topic", "partition", "offset"]) if dedupe else topic
-    m = bind(t, _e=F.from_json(F.col("value"), schemas.ENDPOINT_EVENT))
+    Re-delivered offsets are dropped (STR-02) behind the decoding, so that the shuffle carries
+    the decoded columns a query uses, never the raw JSON; only undecodable values travel whole."""
+    m = bind(topic, _e=F.from_json(F.col("value"), schemas.ENDPOINT_EVENT))
     ok = F.col("_e.type").isNotNull() & F.col("_e.client").isNotNull()
     good = m.filter(ok).select("topic", "partition", "offset", "timestamp", "_e.*")
     bad = m.filter(~ok).select("topic", "partition", "offset", "timestamp", "value",
                                F.lit("undecodable").alias("reason"))
+    if dedupe:
+        key = ["topic", "partition", "offset"]
+        good, bad = good.dropDuplicates(key), bad.dropDuplicates(key)
     return good, bad
 
 
@@ -49,13 +52,16 @@ def gate(events: DataFrame, params: EngineParams = DEFAULT_PARAMS) -> DataFrame:
     return events.filter(F.col("client.server_ip").isin(*params.endpoint_server_allow_list))
 
 
-def split_files(events: DataFrame) -> DataFrame:
+def split_files(events: DataFrame, part: str | None = None) -> DataFrame:
     """DOM-22: a virus_defend message with several files becomes one event per file; every
-    other message keeps its (single) file list."""
+    other message keeps its (single) file list.  ``part`` names a column for the event's number
+    in its message."""
     multi = (F.col("type") == "virus_defend") & (F.size(F.coalesce("fileinfo", F.array())) > 1)
     one = F.when(multi, F.transform("fileinfo", lambda f: F.array(f))) \
            .otherwise(F.array(F.col("fileinfo")))
-    return events.withColumn("fileinfo", F.explode(one))
+    if part is None:
+        return events.withColumn("fileinfo", F.explode(one))
+    return events.select(*[c for c in events.columns if c != "fileinfo"], F.posexplode(one).alias(part, "fileinfo"))
 
 
 def endpoint_labels(name: Column) -> tuple[Column, Column]:
@@ -174,13 +180,12 @@ def seen_techniques(events: DataFrame) -> DataFrame:
         .filter(F.col("attck_content").isNotNull() & (F.col("attck_content") != "")).distinct()
 
 
-def daily_counts(events: DataFrame, standardised: DataFrame) -> DataFrame:
-    """AGG-08: per day, messages received after the allow-list and events routed black."""
-    o = events.groupBy(F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("origin_count"))
-    b = standardised.filter(F.col("route") == "black").groupBy(F.to_date("timestamp").alias("day")) \
-        .agg(F.count(F.lit(1)).alias("black_count"))
-    return o.join(b, "day", "left").select("day", "origin_count",
-                                           F.coalesce("black_count", F.lit(0)).cast("long").alias("black_count"))
+def daily_counts(events: DataFrame) -> DataFrame:
+    """AGG-08: per day, messages received after the allow-list and events routed black: one
+    aggregate over the split events, of which each message has exactly one with number 0."""
+    black = route_of(malware_name()) == "black"
+    return split_files(events, part="_part").groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.count_if(F.col("_part") == 0).alias("origin_count"), F.count_if(black).alias("black_count"))
 
 
 def vulnerabilities(events: DataFrame) -> DataFrame:

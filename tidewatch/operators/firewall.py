@@ -37,8 +37,8 @@ def split_pri(data: Column) -> tuple[Column, Column]:
     """(pri, message): text between '<' and the first '>' as INT (NULL if not a number) and
     the text after the first '>' (the whole line when there is no '>')."""
     pos = F.instr(data, ">")
-    msg = F.when(pos > 0, F.expr("substr(data, instr(data, '>') + 1)")).otherwise(data)
-    pri = F.when(pos > 1, F.expr("try_cast(trim(substr(data, 2, instr(data, '>') - 2)) AS INT)"))
+    msg = F.when(pos > 0, F.substring(data, pos + 1, F.length(data))).otherwise(data)
+    pri = F.when(pos > 1, F.trim(F.substring(data, F.lit(2), pos - 2)).try_cast("int"))
     return pri, msg
 
 

@@ -34,16 +34,24 @@ TOPIC_SCHEMAS: dict[str, str] = {
     "ACD_organization": ("server_ip STRING, server_uid STRING, org ARRAY<STRUCT<pid: STRING, id: STRING, "
                          "cname: STRING, group: ARRAY<STRUCT<pid: STRING, gid: STRING, gname: STRING>>>>"),
 }
-HARDWARE_SLOTS: dict[int, tuple[str, str]] = {
-    # slot -> (hardware_type_id, schema of the slot document)
-    0: ("1", "name STRING, core INT, thread INT, freq STRING"),
-    1: ("2", "bios STRING, manufacturer STRING, serial STRING"),
-    3: ("6", "ARRAY<STRUCT<caption: STRING>>"),
-    4: ("3", "ARRAY<STRUCT<manufacturer: STRING, serial: STRING, capacity: STRING>>"),
-    5: ("5", "ARRAY<STRUCT<manufacturer: STRING, mac: STRING, physical: BOOLEAN>>"),
-    6: ("4", "ARRAY<STRUCT<caption: STRING, size: STRING>>"),
-    7: ("8", "ARRAY<STRUCT<caption: STRING, drive: STRING>>"),
-    8: ("7", "ARRAY<STRUCT<caption: STRING>>"),
+# FIXED VALUES: slot number -> document of the slot, with the keys that the agents send
+HARDWARE_SLOTS: dict[int, str] = {
+    0: "Name STRING, linenum STRING, NumberOfCores STRING, SocketDesignation STRING",
+    1: "Manufacturer STRING, SerialNumber STRING, Version STRING, BIOSVersion STRING, BIOSReleaseDate STRING",
+    3: "ARRAY<STRUCT<Caption: STRING, AdapterRAM: STRING, DriverVersion: STRING>>",
+    4: "ARRAY<STRUCT<Manufacturer: STRING, PartNumber: STRING, SerialNumber: STRING, Speed: STRING, Capacity: STRING>>",
+    5: "ARRAY<STRUCT<Manufacturer: STRING, Name: STRING, MACAddress: STRING, NetConnectionID: STRING, NetEnabled: STRING>>",
+    6: "ARRAY<STRUCT<Caption: STRING, FirmwareRevision: STRING, Size: STRING>>",
+    7: "ARRAY<STRUCT<Caption: STRING, MediaType: STRING, Drive: STRING>>",
+    8: "ARRAY<STRUCT<Manufacturer: STRING, Caption: STRING>>",
+}
+HARDWARE_FIELDS = ("brand", "manufacturer", "serial_number", "version", "bios_version", "bios_time", "thread_num", "core_num",
+                   "interface_type", "gcard_memory", "driver_version", "frequency", "capacity", "mac_addr", "net_card_type",
+                   "is_connecte", "firmware_version", "cd_type", "drive_letter")
+# hardware_type_id -> the columns that identify a component of an asset
+HARDWARE_KEYS: dict[str, tuple[str, ...]] = {
+    "1": ("brand",), "2": ("bios_version",), "3": ("manufacturer",), "4": ("brand",), "5": ("manufacturer",),
+    "6": ("brand",), "7": ("brand",), "8": ("brand", "drive_letter"),
 }
 
 
@@ -55,13 +63,31 @@ def decode(topic: DataFrame, name: str) -> DataFrame:
 
 
 def resolve_asset(df: DataFrame, ips_col: str, uuid_col: str, ip_lookup: DataFrame) -> DataFrame:
-    """JOIN-05: the asset owning any reported address (smallest id when several), else the
-    deterministic id ``upper(md5('iep' || uuid))`` of a new asset (Q1)."""
+    """JOIN-05: the asset owning the first reported address that is known, in list order,
+    else the deterministic id ``upper(md5('iep' || uuid))`` of a new asset (Q1)."""
     key = ["topic", "partition", "offset"]
-    ex = df.select(*key, F.explode(F.col(ips_col)).alias("_ip"))
+    ex = df.select(*key, F.posexplode(F.col(ips_col)).alias("_pos", "_ip"))
     hit = ex.join(ip_lookup.select(F.col("ip_addr").alias("_ip"), "asset_id"), "_ip") \
-        .groupBy(*key).agg(F.min("asset_id").alias("_found"))
-    out = df.join(hit, key, "left")
+        .groupBy(*key).agg(F.min_by("asset_id", "_pos").alias("_found"))
+    return _with_asset(df.join(hit, key, "left"), uuid_col)
+
+
+def resolve_client(df: DataFrame, ip_lookup: DataFrame) -> DataFrame:
+    """JOIN-05 for messages with the one address ``client.ip``: a plain lookup join, so the
+    messages meet no aggregate and a hot address can be split."""
+    hit = ip_lookup.select(F.col("ip_addr").alias("_ip"), F.col("asset_id").alias("_found"))
+    return _with_asset(df.join(hit, F.col("client.ip") == F.col("_ip"), "left").drop("_ip"), "client.uuid")
+
+
+def orphans(resolved: DataFrame, reason: str = "unknown_address") -> DataFrame:
+    """SNK-05: messages whose address belongs to no asset go back for another attempt: software,
+    ports, services and processes are never attached to an invented asset."""
+    return resolved.filter(~F.col("asset_known")).select(
+        "topic", "partition", "offset", "timestamp", F.col("client.uuid").alias("uuid"), F.col("client.ip").alias("ip"),
+        F.lit(reason).alias("reason"), F.lit(1).alias("attempts"))
+
+
+def _with_asset(out: DataFrame, uuid_col: str) -> DataFrame:
     return (out.withColumn("asset_id", F.coalesce("_found", F.upper(F.md5(F.concat(F.lit("iep"), F.col(uuid_col))))))
                .withColumn("asset_known", F.col("_found").isNotNull()).drop("_found"))
 
@@ -148,44 +174,51 @@ def source_record_changes(records: DataFrame, changes: DataFrame) -> DataFrame:
 def server_registry(changes: DataFrame) -> DataFrame:
     """UPS-05: endpoint servers keyed by uid with their latest address and last report."""
     x = changes.filter(F.col("server_uid").isNotNull())
-    latest = U.latest_per_key(x, ["server_uid"], ["timestamp", "offset"])
-    n = x.groupBy("server_uid").agg(F.count(F.lit(1)).alias("reports"))
-    return latest.select("server_uid", "server_ip", F.col("timestamp").alias("last_report")).join(n, "server_uid")
+    last = F.max_by(F.struct("server_ip", "timestamp"), F.struct("timestamp", "offset", "server_ip"))
+    return x.groupBy("server_uid").agg(last.alias("l"), F.count(F.lit(1)).alias("reports")).select(
+        "server_uid", "l.server_ip", F.col("l.timestamp").alias("last_report"), "reports")
 
 
 # --- ACD_software_info: UPS-06/07/08/09, FLT-19, JOIN-26, SET-03 --------------------------
 
-def reported_software(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
-    s = decode(topic, "ACD_software_info")
-    s = s.withColumn("_ips", F.array(F.col("client.ip")))
-    s = resolve_asset(s, "_ips", "client.uuid", ip_lookup).drop("_ips")
-    ex = s.select("asset_id", "timestamp", "offset", F.explode("softwareinfo").alias("w"))
+def software_reports(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
+    """Messages with their asset; ``orphans`` has those of no asset."""
+    return resolve_client(decode(topic, "ACD_software_info"), ip_lookup)
+
+
+def reported_software(reports: DataFrame) -> DataFrame:
+    """FLT-19: the packages of all messages of known assets, without garbled ones."""
+    ex = reports.filter("asset_known").select("asset_id", "timestamp", "offset", F.posexplode("softwareinfo").alias("pos", "w"))
     garbled = (F.coalesce(F.col("w.name"), F.lit("")).contains("??") | F.coalesce(F.col("w.path"), F.lit("")).contains("??")
                | F.coalesce(F.col("w.ver"), F.lit("")).contains("??"))
     return ex.filter(~garbled).select("asset_id", F.col("w.name").alias("software_name"),
                                       F.col("w.ver").alias("version"), F.col("w.path").alias("install_addr"),
-                                      F.col("w.instime").alias("install_time"), "timestamp", "offset")
-
-
-def software_state(known: DataFrame, reported: DataFrame) -> DataFrame:
-    """UPS-08/09: per (asset, software) the reported version with state '1'; a known install
-    missing from the report of an asset that did report becomes state '0' (JOIN-26); known
-    installs of assets that did not report keep state '1'.  One full outer join on the
-    business key plus one join with the reporting assets."""
-    k = U.latest_per_key(known.select("asset_id", "software_name", "version", "install_time"),
-                         ["asset_id", "software_name"], ["install_time", "version"])
-    r = U.latest_per_key(reported, ["asset_id", "software_name"],
-                         ["install_time", "offset"])
-    j = k.select("asset_id", "software_name", F.col("version").alias("k_version")).join(
-        r.select("asset_id", "software_name", F.col("version").alias("r_version"), F.lit(True).alias("_rep_row")),
-        ["asset_id", "software_name"], "full")
-    reporters = reported.select("asset_id").distinct().withColumn("_reporter", F.lit(True))
-    j = j.join(reporters, "asset_id", "left")
-    reported_now = F.coalesce(F.col("_rep_row"), F.lit(False))
-    gone = ~reported_now & F.coalesce(F.col("_reporter"), F.lit(False))
-    return j.select("asset_id", "software_name",
-                    F.when(reported_now, F.col("r_version")).otherwise(F.col("k_version")).alias("version"),
-                    F.when(gone, "0").otherwise("1").alias("install_state"))
+                                      F.col("w.instime").alias("install_time"), "timestamp", "offset", "pos")
+
+
+def software_state(known: DataFrame, reports: DataFrame) -> DataFrame:
+    """UPS-08/09: each message is the full list of its asset (JOIN-26, SET-03).  What the asset's
+    last message lists has state '1' and what was known or reported before and is missing
+    from it has state '0'; installs of assets that never reported keep state '1'.  The version is
+    the one reported last, else the known one.
+
+    Known and reported rows are one union, reduced by a map-side combined aggregate per (asset,
+    software); the last message per asset is another one.  No full outer join is needed."""
+    moment = F.struct("timestamp", "offset")
+    nul = lambda t: F.lit(None).cast(t)
+    k = known.select("asset_id", "software_name", F.col("version").alias("k_version"),
+                     F.struct("install_time", "version").alias("k_at"), nul("string").alias("r_version"),
+                     nul("struct<timestamp:timestamp,offset:bigint,pos:int>").alias("r_at"))
+    r = reported_software(reports).select(
+        "asset_id", "software_name", nul("string").alias("k_version"), nul(k.schema["k_at"].dataType.simpleString()).alias("k_at"),
+        F.col("version").alias("r_version"), F.struct("timestamp", "offset", "pos").alias("r_at"))
+    per = k.unionByName(r).groupBy("asset_id", "software_name").agg(
+        F.max_by("k_version", "k_at").alias("k_version"), F.max_by("r_version", "r_at").alias("r_version"), F.max("r_at").alias("r_at"))
+    last = reports.filter("asset_known").groupBy("asset_id").agg(F.max(moment).alias("last"))
+    j = per.join(last, "asset_id", "left")
+    listed = F.struct("r_at.timestamp", "r_at.offset").eqNullSafe(F.col("last"))
+    return j.select("asset_id", "software_name", F.coalesce("r_version", "k_version").alias("version"),
+                    F.when(F.col("last").isNull() | (F.col("r_at").isNotNull() & listed), "1").otherwise("0").alias("install_state"))
 
 
 def software_library(library: DataFrame, reported: DataFrame) -> DataFrame:
@@ -200,68 +233,93 @@ def software_library(library: DataFrame, reported: DataFrame) -> DataFrame:
 
 # --- ACD_hardware_info: UPS-10..17, FLT-21, SCL-20 ---------------------------------------
 
-def hardware_rows(topic: DataFrame) -> DataFrame:
-    """Decode the nine-slot hardware array into one row per component with its business key."""
+def _component(kind: str, **fields):
+    """One component with all columns; those not given are NULL."""
+    return F.struct(F.lit(kind).alias("hardware_type_id"),
+                    *[fields.get(f, F.lit(None)).cast("string").alias(f) for f in HARDWARE_FIELDS])
+
+
+def _none(c):
+    """FLT-21: the word 'None' and empty text are NULL."""
+    return F.nullif(F.nullif(c, F.lit("None")), F.lit(""))
+
+
+def hardware_messages(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
+    """Messages of allowed endpoint servers (``-1`` = all) with their asset; ``orphans`` has
+    those of no asset."""
     h = decode(topic, "ACD_hardware_info")
-    h = h.withColumn("asset_id", F.upper(F.md5(F.concat(F.lit("c"), F.split_part(F.col("client.uuid"),
-                                                                                 F.lit("-"), F.lit(2))))))
-    parts = []
-    base = ["asset_id", "timestamp", "offset"]
-    nul = F.lit(None).cast("string")
-
-    def slot(i: int):
-        return F.from_json(F.get(F.col("data"), i), HARDWARE_SLOTS[i][1])
-
-    cpu = h.select(*base, slot(0).alias("x"))
-    parts.append(cpu.select(*base, F.lit("1").alias("hardware_type_id"), F.col("x.name").alias("hw_key"),
-                            F.col("x.name").alias("brand"), nul.alias("manufacturer"), nul.alias("serial_number"),
-                            nul.alias("capacity")))
-    board = h.select(*base, slot(1).alias("x"))
-    parts.append(board.select(*base, F.lit("2").alias("hardware_type_id"), F.col("x.bios").alias("hw_key"),
-                              nul.alias("brand"), F.col("x.manufacturer").alias("manufacturer"),
-                              F.nullif(F.nullif(F.col("x.serial"), F.lit("None")), F.lit("")).alias("serial_number"),
-                              nul.alias("capacity")))
-    for i, key_of in ((3, lambda x: x["caption"]), (8, lambda x: x["caption"])):
-        t = HARDWARE_SLOTS[i][0]
-        e = h.select(*base, F.explode(slot(i)).alias("x"))
-        parts.append(e.select(*base, F.lit(t).alias("hardware_type_id"), key_of(F.col("x")).alias("hw_key"),
-                              F.col("x.caption").alias("brand"), nul.alias("manufacturer"),
-                              nul.alias("serial_number"), nul.alias("capacity")))
-    mem = h.select(*base, F.explode(slot(4)).alias("x"))
-    parts.append(mem.select(*base, F.lit("3").alias("hardware_type_id"),
-                            F.concat_ws("|", "x.manufacturer", "x.serial").alias("hw_key"),
-                            nul.alias("brand"), F.col("x.manufacturer").alias("manufacturer"),
-                            F.col("x.serial").alias("serial_number"), T.bytes_to_g(F.col("x.capacity")).alias("capacity")))
-    net = h.select(*base, F.explode(slot(5)).alias("x"))
-    parts.append(net.select(*base, F.lit("5").alias("hardware_type_id"), F.col("x.manufacturer").alias("hw_key"),
-                            F.when(F.col("x.physical"), "1").otherwise("0").alias("brand"),
-                            F.col("x.manufacturer").alias("manufacturer"), F.col("x.mac").alias("serial_number"),
-                            nul.alias("capacity")))
-    disk = h.select(*base, F.explode(slot(6)).alias("x"))
-    parts.append(disk.select(*base, F.lit("4").alias("hardware_type_id"), F.col("x.caption").alias("hw_key"),
-                             F.col("x.caption").alias("brand"), nul.alias("manufacturer"), nul.alias("serial_number"),
-                             T.bytes_to_g(F.col("x.size")).alias("capacity")))
-    drv = h.select(*base, F.explode(slot(7)).alias("x"))
-    parts.append(drv.select(*base, F.lit("8").alias("hardware_type_id"),
-                            F.concat_ws("|", "x.caption", "x.drive").alias("hw_key"),
-                            F.col("x.caption").alias("brand"), F.col("x.drive").alias("manufacturer"),
-                            nul.alias("serial_number"), nul.alias("capacity")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def hardware_latest(rows: DataFrame) -> DataFrame:
-    return U.latest_per_key(rows, ["asset_id", "hardware_type_id", "hw_key"],
-                            ["timestamp", "offset"]).drop("timestamp", "offset")
+    if "-1" not in allow:
+        h = h.filter(F.col("client.server_ip").isin(*allow))
+    return resolve_client(h, ip_lookup)
+
+
+def hardware_rows(messages: DataFrame) -> DataFrame:
+    """One row per component of known assets: the slots become one array, exploded once."""
+    h = messages.filter("asset_known")
+    h = bind(h, **{f"_s{i}": F.from_json(F.get(F.col("data"), i), schema) for i, schema in HARDWARE_SLOTS.items()})
+    one = lambda i, c: F.when(F.col(f"_s{i}").isNotNull(), F.array(c)).otherwise(F.array())
+    many = lambda i, f: F.transform(F.coalesce(F.col(f"_s{i}"), F.array()), f)
+    cpu, board = F.col("_s0"), F.col("_s1")
+    parts = F.concat(
+        one(0, _component("1", brand=cpu["Name"], thread_num=cpu["linenum"], core_num=cpu["NumberOfCores"],
+                          interface_type=cpu["SocketDesignation"])),
+        # the serial number and version drop the word only, the date empty text too
+        one(1, _component("2", manufacturer=board["Manufacturer"], serial_number=F.nullif(board["SerialNumber"], F.lit("None")),
+                          version=F.nullif(board["Version"], F.lit("None")), bios_version=board["BIOSVersion"],
+                          bios_time=_none(board["BIOSReleaseDate"]))),
+        many(3, lambda x: _component("6", brand=x["Caption"], gcard_memory=x["AdapterRAM"], driver_version=x["DriverVersion"])),
+        many(4, lambda x: _component("3", manufacturer=x["Manufacturer"], brand=x["PartNumber"], serial_number=x["SerialNumber"],
+                                     frequency=x["Speed"], capacity=x["Capacity"])),
+        many(5, lambda x: _component("5", manufacturer=x["Manufacturer"], brand=x["Name"], mac_addr=x["MACAddress"],
+                                     net_card_type=x["NetConnectionID"],
+                                     is_connecte=F.when(x["NetEnabled"] == "True", "1").otherwise("0"))),
+        many(6, lambda x: _component("4", brand=x["Caption"], firmware_version=x["FirmwareRevision"], capacity=T.bytes_to_g(x["Size"]))),
+        many(7, lambda x: _component("8", brand=x["Caption"], cd_type=x["MediaType"], drive_letter=x["Drive"])),
+        many(8, lambda x: _component("7", brand=x["Caption"], manufacturer=x["Manufacturer"])))
+    return h.select("asset_id", "timestamp", "offset", F.posexplode(parts).alias("pos", "x")).select(
+        "asset_id", "timestamp", "offset", "pos", "x.*")
+
+
+def _hardware_key():
+    key = F.lit(None).cast("string")
+    for kind, columns in HARDWARE_KEYS.items():
+        key = F.when(F.col("hardware_type_id") == kind, F.concat_ws("|", *columns)).otherwise(key)
+    return key
+
+
+def hardware_state(snapshot: DataFrame, rows: DataFrame) -> DataFrame:
+    """UPS-10..17: the detail table after all reports.  Per (asset, type, key) the last report (of
+    equal times and offsets, the later component) sets the columns; a mainboard keeps the maker it was
+    first registered with.  Snapshot and reports are one union, reduced by one map-side combined
+    aggregate."""
+    columns = ["asset_id", "hardware_type_id", *HARDWARE_FIELDS]
+    s = snapshot
+    for f in HARDWARE_FIELDS:
+        if f not in s.columns:
+            s = s.withColumn(f, F.lit(None).cast("string"))
+    at = "struct<known:boolean,timestamp:timestamp,offset:bigint,pos:int>"
+    s = s.select(*columns, F.struct(F.lit(False), F.lit(None).cast("timestamp"), F.lit(None).cast("bigint"),
+                                    F.lit(None).cast("int")).cast(at).alias("at"))
+    r = rows.select(*columns, F.struct(F.lit(True), "timestamp", "offset", "pos").cast(at).alias("at"))
+    u = s.unionByName(r).withColumn("hw_key", _hardware_key())
+    g = u.groupBy("asset_id", "hardware_type_id", "hw_key").agg(
+        F.max_by(F.struct(*HARDWARE_FIELDS), "at").alias("last"), F.min_by("manufacturer", "at").alias("maker"),
+        F.bool_or(F.col("at.known")).alias("reported"), F.bool_or(~F.col("at.known")).alias("known"))
+    fields = [F.when(F.col("hardware_type_id") == "2", F.col("maker")).otherwise(F.col("last.manufacturer")).alias(f)
+              if f == "manufacturer" else F.col(f"last.{f}").alias(f) for f in HARDWARE_FIELDS]
+    op = F.when(F.col("known") & F.col("reported"), "update").when(F.col("reported"), "insert").otherwise("keep")
+    return g.select("asset_id", "hardware_type_id", "hw_key", *fields, op.alias("_op"))
 
 
 # --- ports / services / processes / vulnerabilities: UPS-18..21, SNK-10 -------------------
 
+def host_messages(topic: DataFrame, name: str, ip_lookup: DataFrame) -> DataFrame:
+    """One host topic's messages with their asset; ``orphans`` has those of no asset."""
+    return resolve_client(decode(topic, name), ip_lookup)
+
+
 def host_rows(topic: DataFrame, name: str, list_col: str, ip_lookup: DataFrame) -> DataFrame:
-    d = decode(topic, name).withColumn("_ips", F.array(F.col("client.ip")))
-    d = resolve_asset(d, "_ips", "client.uuid", ip_lookup).drop("_ips")
+    d = host_messages(topic, name, ip_lookup).filter("asset_known")
     return d.select("asset_id", "timestamp", "offset", F.explode(list_col).alias("x"))
 
 
@@ -292,8 +350,7 @@ def processes(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
 def vulnerability_rewrite(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
     """UPS-21 / SNK-10: the vulnerability message with ``client.uuid`` replaced by the
     resolved (or newly derived) asset id."""
-    d = decode(topic, "ACD_loophole_detect").withColumn("_ips", F.array(F.col("client.ip")))
-    d = resolve_asset(d, "_ips", "client.uuid", ip_lookup).drop("_ips")
+    d = resolve_client(decode(topic, "ACD_loophole_detect"), ip_lookup)
     return d.select("offset", F.col("client.uuid").alias("agent_uuid"),
                     F.col("client").withField("uuid", F.col("asset_id")).alias("client"), "vuln_id", "asset_known")
 

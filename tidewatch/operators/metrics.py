@@ -72,29 +72,24 @@ def device_counts(df: DataFrame, device_col: str, black: Column, names: dict[str
 
 
 def ops_matrix(df: DataFrame, device_col: str, devices: Sequence[str], metrics: dict[str, Column]) -> DataFrame:
-    """AGG-15: metrics as rows, devices as columns: aggregate per device, unpivot the
-    metrics, pivot the devices (value list given)."""
-    agg = df.groupBy(F.col(device_col).alias("device")).agg(
-        *[F.sum(c.cast("long")).alias(m) for m, c in metrics.items()])
+    """AGG-15: metrics as rows, devices as columns, all devices not listed as ``other``: one
+    aggregate per (listed device or other), unpivoted and pivoted."""
+    listed = F.when(F.col(device_col).isin(*devices), F.col(device_col)).otherwise("other")
+    agg = df.groupBy(listed.alias("device")).agg(*[F.sum(c.cast("long")).alias(m) for m, c in metrics.items()])
     long = agg.unpivot("device", list(metrics), "metric", "value")
-    p = long.groupBy("metric").pivot("device", list(devices)).agg(F.first("value"))
-    return p.select("metric", *[F.coalesce(F.col(d), F.lit(0)).cast("long").alias(d) for d in devices])
+    names = [*devices, "other"]
+    p = long.groupBy("metric").pivot("device", names).agg(F.first("value"))
+    return p.select("metric", *[F.coalesce(F.col(d), F.lit(0)).cast("long").alias(d) for d in names])
 
 
 def log_type_matrix(normalised: DataFrame, types: Sequence[str]) -> DataFrame:
     """AGG-16: per firewall device: total and per-log-type counts (both rows of the
-    reference's computed-but-dropped pair are kept, Q14); unlisted types go to 'other'."""
-    p = (normalised.groupBy(F.coalesce("fire_host", F.lit("")).alias("device_ip"))
-         .pivot("log_type", list(types)).count())
-    tot = normalised.groupBy(F.coalesce("fire_host", F.lit("")).alias("device_ip")).agg(F.count(F.lit(1)).alias("total"))
-    out = tot.join(p, "device_ip")
-    listed = [F.coalesce(F.col(t), F.lit(0)) for t in types]
-    s = listed[0]
-    for c in listed[1:]:
-        s = s + c
-    return out.select("device_ip", F.col("total").cast("long").alias("total"),
-                      *[F.coalesce(F.col(t), F.lit(0)).cast("long").alias(t) for t in types],
-                      (F.col("total") - s).cast("long").alias("other"))
+    reference's computed-but-dropped pair are kept, Q14); unlisted types go to 'other'.
+    One aggregate, combined before its shuffle."""
+    kind = F.col("log_type")
+    return normalised.groupBy(F.coalesce("fire_host", F.lit("")).alias("device_ip")).agg(
+        F.count(F.lit(1)).alias("total"), *[F.count_if(kind == t).alias(t) for t in types],
+        F.count_if(~F.coalesce(kind.isin(*types), F.lit(False))).alias("other"))
 
 
 # --- presence: STR-06/07/08, SET-01, SCL-26 ----------------------------------------------

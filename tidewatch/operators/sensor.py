@@ -150,7 +150,7 @@ def threat_type() -> tuple[Column, Column]:
                .when(_proto_has("FTP"), F.when(F.col("msg").isNull(), F.lit(None))
                                          .when(T.truthy(up), F.lit(C.ACTION_REMOTE_SHARE_WRITE))
                                          .otherwise(F.lit(C.ACTION_LEGIT_REMOTE_ACCESS)))
-               .when(F.col("msg").isNotNull() & F.coalesce(up != "", F.lit(False)),
+               .when(F.col("msg").isNotNull() & ~up.eqNullSafe(""),   # a missing digest is not an empty one
                      F.when(_proto0().isin("SMB", "NFS"), taint)
                       .when(_proto0() == "FEIQ", F.lit(C.ACTION_CHAT))))
     # engine hits: the last hit that matches a rule decides
@@ -434,13 +434,18 @@ def standard_event(df: DataFrame) -> DataFrame:
     )
 
 
+def not_heartbeat() -> Column:
+    """An alert without a type is no heartbeat."""
+    return ~F.col("type").eqNullSafe("heartbeat")
+
+
 def daily_counts(decoded: DataFrame) -> DataFrame:
     """AGG-09 / AGG-10: per day, alerts received (true row count, Q4), black and white."""
     r = route()
     return decoded.groupBy(F.to_date("timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("origin_count"),
-        F.count_if((r == "black") & (F.col("type") != "heartbeat")).alias("black_count"),
-        F.count_if((r == "white") & (F.col("type") != "heartbeat")).alias("white_count"))
+        F.count_if((r == "black") & not_heartbeat()).alias("black_count"),
+        F.count_if((r == "white") & not_heartbeat()).alias("white_count"))
 
 
 def device_seen(decoded: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def trap_records(messages: DataFrame, value_col: str = "value") -> DataFrame:
     the third line on) and the ``oid = val, ...`` rendering."""
     txt = F.from_json(F.col(value_col), "message STRING")["message"]
     lines = F.split(txt, "\n")
-    vb = F.filter(F.slice(lines, 3, 1 << 20), lambda x: x != "")
+    vb = F.filter(lines, lambda x, i: (i >= 2) & (x != ""))
     entries = F.transform(vb, lambda x: F.struct(F.split(x, " ", 2).getItem(0).alias("oid"),
                                                  F.coalesce(F.split(x, " ", 2).getItem(1), F.lit("")).alias("val")))
     return messages.select(

@@ -123,7 +123,7 @@ LEFT JOIN (SELECT day, count(*) AS black_count FROM epf WHERE NOT (type = 'event
 def endpoint_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = derive.endpoint_topic(derive.table(spark, sf_dir, "events"))
     events = EP.gate(EP.decode(topic)[0], PARAMS)
-    return EP.daily_counts(events, EP.routes(events))
+    return EP.daily_counts(events)
 
 
 @register("endpoint_dead_letters", covers=("SNK-06", "STR-13"), oracle="""

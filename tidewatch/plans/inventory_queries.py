@@ -145,49 +145,73 @@ def inv_org_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SOFT_CTE = f"""
+ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
+         WHERE a.delete_state = '1' GROUP BY i.ip_addr),
+msgs AS (SELECT DISTINCT a.asset_id, o.o_orderkey AS off, o.o_orderdate AS ts
+         FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+         JOIN ip2a a ON a.ip_addr = concat('10.', o.o_custkey // 256, '.', o.o_custkey % 256, '.1')),
 rep AS (
-  SELECT coalesce(a.asset_id, upper(md5(concat('iep', concat('agent-', o.o_custkey))))) AS asset_id,
-         concat('pkg', l.l_partkey) AS software_name, CAST(l.l_quantity AS VARCHAR) AS version,
-         strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS install_time, l.l_orderkey * 8 + l.l_linenumber AS off
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  LEFT JOIN ip2a a ON a.ip_addr = concat('10.', o.o_custkey // 256, '.', o.o_custkey % 256, '.1')
-  WHERE l.l_linestatus = 'O' AND l.l_partkey % 97 <> 0
-),
+  SELECT m.asset_id, concat('pkg', l.l_partkey) AS software_name, CAST(l.l_quantity AS VARCHAR) AS version,
+         strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS install_time, m.off, m.ts, l.l_linenumber AS pos
+  FROM lineitem l JOIN msgs m ON l.l_orderkey = m.off WHERE l.l_partkey % 97 <> 0
+)
+"""
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return INV.software_reports(SI.software_info(spark, sf_dir), _ctx(spark, sf_dir))
+
+
+@register("inv_software_state", covers=("UPS-08", "UPS-09", "JOIN-26", "SET-03", "FLT-19", "AGG-18"), oracle=f"""
+WITH {O.ASSETS}, {O.ASSET_IPS}, {O.SOFT}, {SOFT_CTE},
 kk AS (SELECT asset_id, software_name, version FROM (
          SELECT *, row_number() OVER (PARTITION BY asset_id, software_name ORDER BY install_time DESC, version DESC) rn
          FROM installed) WHERE rn = 1),
-rr AS (SELECT asset_id, software_name, version FROM (
-         SELECT *, row_number() OVER (PARTITION BY asset_id, software_name ORDER BY install_time DESC, off DESC) rn
+rr AS (SELECT * FROM (
+         SELECT *, row_number() OVER (PARTITION BY asset_id, software_name ORDER BY ts DESC, off DESC, pos DESC, version DESC) rn
          FROM rep) WHERE rn = 1),
-reporters AS (SELECT DISTINCT asset_id FROM rep)
-"""
+lastm AS (SELECT asset_id, off FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY ts DESC, off DESC) rn FROM msgs)
+          WHERE rn = 1),
+names AS (SELECT asset_id, software_name FROM kk UNION SELECT asset_id, software_name FROM rr)
+SELECT n.asset_id, n.software_name, coalesce(rr.version, kk.version) AS version,
+       CASE WHEN m.asset_id IS NULL THEN '1'
+            WHEN EXISTS (SELECT 1 FROM rep p WHERE p.asset_id = n.asset_id AND p.software_name = n.software_name AND p.off = m.off)
+            THEN '1' ELSE '0' END AS install_state
+FROM names n LEFT JOIN kk ON kk.asset_id = n.asset_id AND kk.software_name = n.software_name
+LEFT JOIN rr ON rr.asset_id = n.asset_id AND rr.software_name = n.software_name
+LEFT JOIN lastm m ON m.asset_id = n.asset_id
+""")
+def inv_software_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return INV.software_state(D.installed_software(spark, sf_dir), _reports(spark, sf_dir))
 
 
-def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return INV.reported_software(SI.software_info(spark, sf_dir), _ctx(spark, sf_dir))
+@register("inv_software_orphans", covers=("SNK-05", "UPS-08"), oracle=f"""
+WITH {O.ASSETS}, {O.ASSET_IPS}, {SOFT_CTE}
+SELECT 'ACD_software_info' AS topic, CAST(o_orderkey AS BIGINT) AS offset, concat('agent-', o_custkey) AS uuid,
+       concat('10.', o_custkey // 256, '.', o_custkey % 256, '.1') AS ip, 'unknown_address' AS reason, 1 AS attempts
+FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+  AND o_orderkey NOT IN (SELECT off FROM msgs)
+""")
+def inv_software_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return INV.orphans(_reports(spark, sf_dir)).select("topic", "offset", "uuid", "ip", "reason", "attempts")
 
 
-@register("inv_software_state", covers=("UPS-08", "UPS-09", "JOIN-26", "SET-03", "FLT-19", "AGG-18"), oracle=f"""
-WITH {O.ASSETS}, {O.ASSET_IPS}, {O.SOFT},
-ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
-         WHERE a.delete_state = '1' GROUP BY i.ip_addr),
-{SOFT_CTE}
-SELECT asset_id, software_name, version, '1' AS install_state FROM rr
-UNION ALL
-SELECT k.asset_id, k.software_name, k.version, '0' FROM kk k
-WHERE k.asset_id IN (SELECT asset_id FROM reporters)
-  AND NOT EXISTS (SELECT 1 FROM rr r WHERE r.asset_id = k.asset_id AND r.software_name = k.software_name)
-UNION ALL
-SELECT k.asset_id, k.software_name, k.version, '1' FROM kk k WHERE k.asset_id NOT IN (SELECT asset_id FROM reporters)
+@register("inv_host_orphans", covers=("SNK-05", "UPS-18", "UPS-19", "UPS-20"), oracle=f"""
+WITH {O.ASSETS}, {O.ASSET_IPS},
+ip2a AS (SELECT DISTINCT i.ip_addr FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id WHERE a.delete_state = '1'),
+e AS (SELECT *, concat('10.', user_id // 256, '.', user_id % 256, '.1') AS ip FROM events WHERE event_id % 4 < 3)
+SELECT ['ACD_host_ports', 'ACD_host_service', 'ACD_host_proc'][event_id % 4 + 1] AS topic, event_id // 8 AS offset,
+       concat('agent-', user_id) AS uuid, ip, 'unknown_address' AS reason, 1 AS attempts
+FROM e WHERE ip NOT IN (SELECT ip_addr FROM ip2a)
 """)
-def inv_software_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return INV.software_state(D.installed_software(spark, sf_dir), _reported(spark, sf_dir))
+def inv_host_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic, lookup = SI.host_activity(spark, sf_dir), _ctx(spark, sf_dir)
+    parts = [INV.orphans(INV.host_messages(topic, t, lookup)) for t in ("ACD_host_ports", "ACD_host_service", "ACD_host_proc")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("topic", "offset", "uuid", "ip", "reason", "attempts")
 
 
 @register("inv_software_library", covers=("UPS-06",), oracle=f"""
 WITH {O.ASSETS}, {O.ASSET_IPS}, {O.SOFT},
-ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
-         WHERE a.delete_state = '1' GROUP BY i.ip_addr),
 {SOFT_CTE},
 lib AS (SELECT upper(md5(concat('s', p_partkey))) AS software_id, concat('pkg', p_partkey) AS software_name,
                CASE WHEN p_partkey % 7 = 0 THEN '0' ELSE '1' END AS state FROM part),
@@ -200,42 +224,72 @@ SELECT coalesce(l.software_id, upper(md5(concat('sw', n.software_name)))) AS sof
 FROM lib l FULL JOIN nm n ON l.software_name = n.software_name
 """)
 def inv_software_library(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = INV.software_library(D.software_library(spark, sf_dir), _reported(spark, sf_dir))
+    out = INV.software_library(D.software_library(spark, sf_dir), INV.reported_software(_reports(spark, sf_dir)))
     return out.select("software_id", "software_name", "state", "_op")
 
 
 @register("inv_software_history", covers=("UPS-07",), oracle=f"""
 WITH {O.ASSETS}, {O.ASSET_IPS}, {O.SOFT},
-ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
-         WHERE a.delete_state = '1' GROUP BY i.ip_addr),
 {SOFT_CTE}
 SELECT asset_id, software_name, version, install_time, off AS offset FROM rep
 """)
 def inv_software_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reported(spark, sf_dir).select("asset_id", "software_name", "version", "install_time", "offset")
+    return INV.reported_software(_reports(spark, sf_dir)).select("asset_id", "software_name", "version", "install_time", "offset")
+
+
+def _hw_part(kind: str, key: str, where: str = "TRUE", **fields: str) -> str:
+    columns = ", ".join(f"{fields.get(f, 'CAST(NULL AS VARCHAR)')} AS {f}" for f in INV.HARDWARE_FIELDS)
+    return f"SELECT asset_id, '{kind}' AS hardware_type_id, {key} AS hw_key, {columns} FROM p WHERE {where}"
+
+
+def _hw_sql() -> str:
+    gb = "CAST(CAST(p_size AS BIGINT) * 1073741824 AS VARCHAR)"
+    stick = lambda i, maker, where: _hw_part(
+        "3", maker, where, manufacturer=maker, brand=f"concat('P{i}-', p_partkey)", serial_number=f"concat('M{i}-', p_partkey)",
+        frequency="'2400'", capacity=gb)
+    drive = lambda d: _hw_part("8", f"'dvd|{d}'", brand="'dvd'", cd_type="'DVD'", drive_letter=f"'{d}'")
+    parts = [
+        _hw_part("1", "p_brand", brand="p_brand", thread_num="CAST(p_partkey % 8 + 1 AS VARCHAR)",
+                 core_num="CAST(p_partkey % 4 + 1 AS VARCHAR)", interface_type="'SOCKET 0'"),
+        _hw_part("2", "concat('v', p_partkey % 5)", "p_partkey % 10 <> 7", manufacturer="p_type",
+                 serial_number="CASE WHEN p_partkey % 9 <> 0 THEN concat('SN', p_partkey) END",
+                 version="CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_partkey % 4 AS VARCHAR) END",
+                 bios_version="concat('v', p_partkey % 5)", bios_time="CASE WHEN p_partkey % 6 <> 0 THEN '2020-01-02' END"),
+        _hw_part("6", "concat('gpu', p_partkey % 3)", brand="concat('gpu', p_partkey % 3)",
+                 gcard_memory="CAST(p_partkey % 8 AS VARCHAR)", driver_version="'1.0'"),
+        stick(0, "p_type", "p_partkey % 4 = 1"), stick(1, "p_type", "p_partkey % 4 >= 2"), stick(2, "p_brand", "p_partkey % 4 = 3"),
+        _hw_part("5", "p_type", manufacturer="p_type", brand="concat('eth', p_partkey % 2)", mac_addr="lpad(hex(p_partkey), 12, '0')",
+                 net_card_type="'LAN'", is_connecte="CASE WHEN p_partkey % 2 = 0 THEN '1' ELSE '0' END"),
+        _hw_part("4", "concat('disk', p_partkey % 2)", brand="concat('disk', p_partkey % 2)", firmware_version="'F1'",
+                 capacity="CASE WHEN p_partkey % 13 = 0 THEN 'unknown' ELSE concat(p_size, 'G') END"),
+        drive("E:"), drive("F:"), _hw_part("7", "'snd'", brand="'snd'", manufacturer="'maker'")]
+    fields = ", ".join(f"coalesce(r.{f}, CASE WHEN r.asset_id IS NULL THEN s.{f} END) AS {f}" if f in ("brand", "manufacturer", "serial_number", "capacity")
+                       else f"r.{f} AS {f}" for f in INV.HARDWARE_FIELDS)
+    return f"""
+WITH {O.ASSETS}, {O.ASSET_IPS},
+ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
+         WHERE a.delete_state = '1' GROUP BY i.ip_addr),
+p AS (SELECT part.*, a.asset_id FROM part JOIN ip2a a
+      ON a.ip_addr = concat('10.', p_partkey // 256, '.', p_partkey % 256, '.1')),
+rep AS ({" UNION ALL ".join(parts)}),
+snap AS (SELECT upper(md5(concat('c', p_partkey))) AS asset_id, CAST(p_partkey % 8 + 1 AS VARCHAR) AS hardware_type_id,
+                p_brand AS brand, p_type AS manufacturer,
+                CASE WHEN p_partkey % 9 = 0 THEN 'None' ELSE concat('SN', p_partkey) END AS serial_number,
+                CAST(CAST(p_size AS BIGINT) * 1073741824 AS VARCHAR) AS capacity FROM part),
+keyed AS (SELECT *, CASE WHEN hardware_type_id IN ('3', '5') THEN manufacturer WHEN hardware_type_id = '2' THEN '' ELSE brand END AS hw_key
+          FROM snap)
+SELECT coalesce(r.asset_id, s.asset_id) AS asset_id, coalesce(r.hardware_type_id, s.hardware_type_id) AS hardware_type_id,
+       coalesce(r.hw_key, s.hw_key) AS hw_key, {fields},
+       CASE WHEN r.asset_id IS NULL THEN 'keep' WHEN s.asset_id IS NULL THEN 'insert' ELSE 'update' END AS _op
+FROM rep r FULL JOIN keyed s ON s.asset_id = r.asset_id AND s.hardware_type_id = r.hardware_type_id AND s.hw_key = r.hw_key
+"""
 
 
 @register("inv_hardware", covers=("UPS-10", "UPS-11", "UPS-12", "UPS-13", "UPS-14", "UPS-15", "UPS-16",
-                                  "UPS-17", "FLT-21", "SCL-20", "Q10"), oracle="""
-WITH p AS (SELECT *, upper(md5(concat('c', p_partkey))) AS asset_id FROM part)
-SELECT asset_id, '1' AS hardware_type_id, concat(p_brand, ' cpu') AS hw_key, concat(p_brand, ' cpu') AS brand,
-       NULL AS manufacturer, NULL AS serial_number, NULL AS capacity FROM p
-UNION ALL SELECT asset_id, '2', concat('v', p_partkey % 5), NULL, p_type,
-       CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE concat('SN', p_partkey) END, NULL FROM p
-UNION ALL SELECT asset_id, '6', concat('gpu', p_partkey % 3), concat('gpu', p_partkey % 3), NULL, NULL, NULL FROM p
-UNION ALL SELECT asset_id, '7', 'snd', 'snd', NULL, NULL, NULL FROM p
-UNION ALL SELECT asset_id, '3', concat(p_brand, '|M', p_partkey), NULL, p_brand, concat('M', p_partkey),
-       concat(p_size, 'G') FROM p
-UNION ALL SELECT asset_id, '3', concat(p_brand, '|N', p_partkey), NULL, p_brand, concat('N', p_partkey),
-       concat(p_size, 'G') FROM p
-UNION ALL SELECT asset_id, '5', p_type, CASE WHEN p_partkey % 2 = 0 THEN '1' ELSE '0' END, p_type,
-       lpad(hex(p_partkey), 12, '0'), NULL FROM p
-UNION ALL SELECT asset_id, '4', concat('disk', p_partkey % 2), concat('disk', p_partkey % 2), NULL, NULL,
-       CASE WHEN p_partkey % 13 = 0 THEN 'unknown' ELSE concat(p_size, 'G') END FROM p
-UNION ALL SELECT asset_id, '8', 'dvd|E:', 'dvd', 'E:', NULL, NULL FROM p
-""")
+                                  "UPS-17", "FLT-21", "SCL-20", "Q10"), oracle=_hw_sql())
 def inv_hardware(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return INV.hardware_latest(INV.hardware_rows(SI.hardware_info(spark, sf_dir)))
+    rows = INV.hardware_rows(INV.hardware_messages(SI.hardware_info(spark, sf_dir), _ctx(spark, sf_dir)))
+    return INV.hardware_state(D.hardware_details(spark, sf_dir), rows)
 
 
 HOST_CTE = f"""
@@ -254,7 +308,7 @@ SELECT asset_id, off AS offset, concat('10.', user_id // 256, '.', user_id % 256
        'TCP' AS proto, concat('p', event_id % 20) AS proc,
        CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(1024 + event_id % 1000 AS INTEGER) END AS sport,
        CAST(443 AS INTEGER) AS dport
-FROM h WHERE event_id % 4 = 0
+FROM h WHERE event_id % 4 = 0 AND asset_known
 """)
 def inv_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return INV.ports(SI.host_activity(spark, sf_dir), _ctx(spark, sf_dir))
@@ -265,7 +319,7 @@ WITH {O.ASSETS}, {O.ASSET_IPS}, {HOST_CTE}
 SELECT asset_id, off AS offset, concat('svc', event_id % 30) AS service, concat('Service ', event_id % 30) AS name,
        concat('C:\\svc\\s', event_id % 30, '.exe') AS path, 'running' AS status,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS systime
-FROM h WHERE event_id % 4 = 1
+FROM h WHERE event_id % 4 = 1 AND asset_known
 """)
 def inv_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     return INV.services(SI.host_activity(spark, sf_dir), _ctx(spark, sf_dir))
@@ -275,7 +329,7 @@ def inv_services(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {O.ASSETS}, {O.ASSET_IPS}, {HOST_CTE}
 SELECT asset_id, off AS offset, CAST(event_id % 5000 AS VARCHAR) AS pid, concat('proc', event_id % 40) AS proc,
        'alive' AS status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS systime
-FROM h WHERE event_id % 4 = 2
+FROM h WHERE event_id % 4 = 2 AND asset_known
 """)
 def inv_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return INV.processes(SI.host_activity(spark, sf_dir), _ctx(spark, sf_dir))

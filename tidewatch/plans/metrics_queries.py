@@ -19,7 +19,7 @@ from .sensor_queries import SN_CTE
 # Report parameters for the fixtures: presence reference time, display names, sensors.
 AS_OF = "2024-01-30 22:00:00"
 DEVICE_NAMES = {"dev1": "Sensor One", "dev[23]": "Sensor Pair"}
-SENSORS = [f"dev{i}" for i in range(8)]
+SENSORS = [f"dev{i}" for i in range(6)]   # the others count as "other"
 LOG_TYPES = ["APP_POLICY", "AV", "IPS", "NAT"]
 TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -39,7 +39,7 @@ def _sensor_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ep_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = EP.gate(EP.decode(derive.endpoint_topic(derive.table(spark, sf_dir, "events")))[0], EQ.PARAMS)
-    return EP.daily_counts(events, EP.routes(events))
+    return EP.daily_counts(events)
 
 
 @register("report_daily_line", covers=("AGG-12", "SCL-27"), oracle=f"""
@@ -83,7 +83,7 @@ FROM sn GROUP BY dev
 """)
 def report_device_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _sensor_decoded(spark, sf_dir)
-    black = (F.col("type") != "heartbeat") & (F.coalesce("is_malicious", F.lit(False)) | F.coalesce("alert", F.lit(False)))
+    black = S.not_heartbeat() & (F.coalesce("is_malicious", F.lit(False)) | F.coalesce("alert", F.lit(False)))
     out = M.device_counts(d, "dev", black, DEVICE_NAMES)
     return out.select("device", F.col("origin_count").cast("long").alias("origin_count"),
                       F.col("black_count").cast("long").alias("black_count"), "display_name")
@@ -97,14 +97,16 @@ def _ops_sql() -> str:
     for m, expr in metrics.items():
         cols = ", ".join(f"CAST(coalesce(sum(CASE WHEN dev = '{d}' THEN {expr} END), 0) AS BIGINT) AS {d}"
                          for d in SENSORS)
-        parts.append(f"SELECT '{m}' AS metric, {cols} FROM sn")
+        listed = ", ".join(repr(d) for d in SENSORS)
+        other = f"CAST(coalesce(sum(CASE WHEN dev IS NULL OR dev NOT IN ({listed}) THEN {expr} END), 0) AS BIGINT) AS other"
+        parts.append(f"SELECT '{m}' AS metric, {cols}, {other} FROM sn")
     return f"WITH {SN_CTE}\n" + "\nUNION ALL\n".join(parts)
 
 
 @register("report_ops_matrix", covers=("AGG-15",), oracle=_ops_sql())
 def report_ops_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _sensor_decoded(spark, sf_dir)
-    hb = F.col("type") == "heartbeat"
+    hb = ~S.not_heartbeat()
     bl = F.coalesce("is_malicious", F.lit(False)) | F.coalesce("alert", F.lit(False))
     metrics = {"total": F.lit(1), "black": (~hb & bl).cast("int"), "white": (~hb & ~bl).cast("int"),
                "heartbeat": hb.cast("int")}

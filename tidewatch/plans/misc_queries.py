@@ -105,6 +105,7 @@ def _scalar_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(".", s(p % 300), s(p % 256), s((p * 7) % 256), s(p % 10)).alias("ip"),
         F.lpad(F.lower(F.hex(p * 7919)), 12, "0").alias("mac_raw"),
         F.concat(F.lit("run C:\\dir"), s(p), F.lit("\\a.exe --in D:\\x"), s(p % 3), F.lit(".txt /tmp/u"), s(p)).alias("cmd"),
+        F.concat(F.lit("/usr/bin/p"), s(p), F.lit(" -x /tmp/u")).alias("cmd_unix"),
         F.concat(F.lit("Initial Access.T"), s(p)).alias("dotted"),
         F.concat(F.lit("Defense Evasion, Execution,Impact")).alias("tactics"),
         F.array(F.concat(F.lit("cve,CVE-2019-"), s(p)), F.lit("url,x"), F.concat(F.lit("cve,CVE-2020-"), s(p % 7))).alias("refs"),
@@ -137,9 +138,10 @@ SELECT p AS page_id,
   (a <= 255 AND (a IN (10, 127) OR (a = 192 AND b = 168) OR (a = 172 AND b BETWEEN 16 AND 31))) AS is_private,
   (a = 198 AND b = 51 AND c = 100) AS is_company,
   {O.MAC.format(m="lpad(lower(hex(p * 7919)), 12, '0')")} AS mac,
-  concat('C:\\dir', p, '\\a.exe,D:\\x', p % 3, '.txt') AS win_paths,
-  concat('/tmp/u', p) AS unix_paths,
-  'a.exe' AS file_name,
+  concat('C:\\dir', p, '\\a.exe --in D:\\x', p % 3, '.txt ') AS win_paths,
+  '' AS unix_paths_of_windows,
+  concat('/usr/bin/p', p) AS unix_paths,
+  concat('x', p % 3, '.txt ') AS file_name,
   substr(md5(url), 9, 16) AS url_key,
   concat('T', p) AS technique,
   'Defense Evasion|Execution|Impact' AS tactics,
@@ -166,8 +168,9 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         N.is_private(F.col("ip")).alias("is_private"),
         N.in_range(F.col("ip"), "198.51.100.0", "198.51.100.255").alias("is_company"),
         N.normalise_mac(F.col("mac_raw")).alias("mac"),
-        F.array_join(T.windows_paths(F.col("cmd")), ",").alias("win_paths"),
-        F.array_join(T.unix_paths(F.col("cmd")), ",").alias("unix_paths"),
+        F.array_join(T.command_paths(F.col("cmd"), F.lit("Windows 10")), ",").alias("win_paths"),
+        F.array_join(T.unix_paths(F.col("cmd")), ",").alias("unix_paths_of_windows"),
+        F.array_join(T.command_paths(F.col("cmd_unix"), F.lit("Ubuntu")), ",").alias("unix_paths"),
         T.file_name_from_path(F.get(T.windows_paths(F.col("cmd")), 0)).alias("file_name"),
         T.rowkey_md5_mid(F.col("url")).alias("url_key"),
         T.dotted_part(F.col("dotted"), 2).alias("technique"),

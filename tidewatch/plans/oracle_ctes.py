@@ -15,19 +15,19 @@ assets AS (
               WHEN 2 THEN 'CentOS Linux 7.6' ELSE 'other' END AS os_ver,
          c_name AS asset_name, concat('user', c_custkey % 50) AS use_person,
          CASE WHEN c_acctbal < 0 THEN '0' ELSE '1' END AS delete_state, c_custkey
-  FROM customer WHERE c_custkey % 3 <> 0
+  FROM customer
 )"""
 
 ASSET_IPS = """
 asset_ips_raw AS (
   SELECT upper(md5(concat('c', c_custkey))) AS asset_id,
-         concat('10.', c_custkey // 256, '.', c_custkey % 256, '.1') AS ip_addr,
+         concat('10.', c_custkey // 256, '.', c_custkey % 256, CASE WHEN c_custkey % 3 = 0 THEN '.3' ELSE '.1' END) AS ip_addr,
          lpad(lower(hex(c_custkey)), 12, '0') AS mac_raw
-  FROM customer WHERE c_custkey % 3 <> 0
+  FROM customer
   UNION ALL
   SELECT upper(md5(concat('c', c_custkey))), concat('10.', c_custkey // 256, '.', c_custkey % 256, '.2'),
          lpad(lower(hex(c_custkey + 4096)), 12, '0')
-  FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 5 = 0
+  FROM customer WHERE c_custkey % 5 = 0
 ),
 asset_ips AS (SELECT asset_id, ip_addr, """ + MAC.format(m="mac_raw") + """ AS mac_addr, '1' AS group_id
               FROM asset_ips_raw)"""
@@ -69,5 +69,4 @@ installed AS (
   SELECT upper(md5(concat('c', o.o_custkey))) AS asset_id, concat('pkg', l.l_partkey) AS software_name,
          CAST(l.l_quantity AS VARCHAR) AS version, o.o_orderdate AS install_time
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_linestatus = 'F' AND o.o_custkey % 3 <> 0
 )"""

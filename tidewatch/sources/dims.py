@@ -38,8 +38,8 @@ def os_ver_of(k) -> F.Column:
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """h_hardware_asset_info: customers with ``c_custkey % 3 <> 0``."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0)
+    """h_hardware_asset_info: one asset per customer."""
+    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     return c.select(
         asset_key(k).alias("asset_id"),
@@ -60,12 +60,14 @@ def _mac_raw(v) -> F.Column:
 
 
 def asset_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """h_asset_ip_info: one address per asset, a second one when ``c_custkey % 5 = 0``."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0)
+    """h_asset_ip_info: one address per asset, a second one when ``c_custkey % 5 = 0``.  The
+    agents report from ``.1``; assets with ``c_custkey % 3 = 0`` are registered as ``.3``, so
+    that their agents' address belongs to no asset."""
+    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     base = F.concat(F.lit("10."), S(idiv(k, 256)), F.lit("."), S(k % 256), F.lit("."))
     addrs = F.array(
-        F.struct(F.concat(base, F.lit("1")).alias("ip"), _mac_raw(k).alias("mac")),
+        F.struct(F.concat(base, F.when(k % 3 == 0, "3").otherwise("1")).alias("ip"), _mac_raw(k).alias("mac")),
         F.when(k % 5 == 0, F.struct(F.concat(base, F.lit("2")).alias("ip"),
                                     _mac_raw(k + 4096).alias("mac"))))
     e = c.select(asset_key(k).alias("asset_id"),
@@ -148,18 +150,16 @@ def software_library(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(k % 7 == 0, "0").otherwise("1").alias("state"))
 
 
-def order_lines(spark: SparkSession, sf_dir: str, linestatus: str) -> DataFrame:
-    """Lines of orders placed by asset customers, with the owning asset id."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 3 != 0) \
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-    l = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == linestatus) \
-        .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order lines with the owning customer."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     return l.join(o, l.l_orderkey == o.o_orderkey).drop("o_orderkey")
 
 
 def installed_software(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """h_asset_software: known installs = lines with ``l_linestatus = 'F'``."""
-    j = order_lines(spark, sf_dir, "F")
+    """h_asset_software: known installs = all order lines."""
+    j = order_lines(spark, sf_dir)
     return j.select(asset_key(F.col("o_custkey")).alias("asset_id"),
                     F.upper(F.md5(F.concat(F.lit("s"), S(F.col("l_partkey"))))).alias("software_id"),
                     F.concat(F.lit("pkg"), S(F.col("l_partkey"))).alias("software_name"),

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.plan import spread
 from .derive import table
 
 S = lambda c: c.cast("string")
@@ -16,7 +15,7 @@ S = lambda c: c.cast("string")
 def sandbox_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``PTA-REPORT:`` lines, ``|``-separated: field 2 = md5 of the whole document text,
     field 7 = trust (1 = black, by ``n_chars`` parity), field 10 = finished."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     fields = [F.lit("r"), S(F.col("doc_id")), F.md5(F.col("text")), F.col("lang"), F.col("source"), S(F.col("n_chars")),
               F.lit("x"), F.when(F.col("n_chars") % 2 == 0, "1").otherwise("0"), F.lit("y"), F.lit("z"),
               F.when(F.col("doc_id") % 4 != 0, "1").otherwise("0")]
@@ -98,5 +97,5 @@ def drop_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 def api_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API bodies ``{"data": [line, ...]}``: one per conversation turn, the lines of the
     whole turn text."""
-    c = spread(table(spark, sf_dir, "conversations"))
+    c = table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", F.to_json(F.struct(F.split(F.col("text"), "\n").alias("data"))).alias("body"))

@@ -9,7 +9,12 @@
   that marks a device offline once it has been silent for the presence window;
 * STR-10: two-sided file arrival as a stream-stream join bounded by watermarks;
 * sinks: ``foreachBatch`` writes that are idempotent per batch id (route split, archive,
-  quarantine), checkpoints under the session's ``spark.checkpoint.dir``.
+  quarantine), checkpoints in the folder the caller names.
+
+Every watermark is a parameter.  It bounds the state, and rows that come later than it are left
+out of the streamed counters and pairs (Spark has no output for them): choose it above the longest
+delay of the sources.  ``late_rows`` picks such rows from a micro-batch for the quarantine, and the batch
+queries over the archive count them in any case.
 """
 
 from __future__ import annotations
@@ -22,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import firewall as fw
-from ..session import checkpoint_root
 
 TOPIC_SCHEMA = "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, value STRING"
 
@@ -30,10 +34,13 @@ TOPIC_SCHEMA = "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP,
 # --- sources -------------------------------------------------------------------------------
 
 def kafka_topic_stream(spark: SparkSession, servers: str, topic: str,
-                       max_offsets_per_trigger: int = 1000) -> DataFrame:
-    """Kafka source in the engine's topic shape (requires the Kafka connector)."""
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic).option("maxOffsetsPerTrigger", max_offsets_per_trigger).load())
+                       max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka source in the engine's topic shape (requires the Kafka connector).  A trigger
+    takes all that has arrived unless the caller bounds it."""
+    r = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if max_offsets_per_trigger is not None:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    r = r.load()
     return r.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
 
 
@@ -66,24 +73,24 @@ def firewall_day_counters(topic_stream: DataFrame, watermark: str = "2 days") ->
 # --- STR-05 / STR-06 -------------------------------------------------------------------------
 
 SEEN_OUT = "family STRING, device STRING, first_seen TIMESTAMP, last_seen TIMESTAMP, online BOOLEAN"
-SEEN_STATE = "first_seen TIMESTAMP, last_seen TIMESTAMP"
+SEEN_STATE = "first_seen TIMESTAMP, last_seen TIMESTAMP, online BOOLEAN"
 
 
 def _seen_fn(window_ms: int) -> Callable:
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         family, device = key
         if state.hasTimedOut:
-            first, last = state.get
-            state.remove()
+            first, last, _ = state.get
+            state.update((first, last, False))  # a device that returns keeps its first report
             yield pd.DataFrame({"family": [family], "device": [device], "first_seen": [first],
                                 "last_seen": [last], "online": [False]})
             return
-        first, last = state.get if state.exists else (None, None)
+        first, last, _ = state.get if state.exists else (None, None, False)
         for pdf in pdfs:
             lo, hi = pdf["ts"].min(), pdf["ts"].max()
             first = lo if first is None or lo < first else first
             last = hi if last is None or hi > last else last
-        state.update((first, last))
+        state.update((first, last, True))
         state.setTimeoutTimestamp(int(pd.Timestamp(last).timestamp() * 1000) + window_ms)
         yield pd.DataFrame({"family": [family], "device": [device], "first_seen": [first],
                             "last_seen": [last], "online": [True]})
@@ -92,8 +99,9 @@ def _seen_fn(window_ms: int) -> Callable:
 
 def device_presence(seen_stream: DataFrame, window_minutes: int = 240, watermark: str = "1 hour") -> DataFrame:
     """Keyed state per (family, device): first / last report; a device goes offline (one
-    row with ``online = false``) once the event-time watermark passes last + window.
-    Input columns: family, device, ts."""
+    row with ``online = false``) once the event-time watermark passes last + window.  The
+    state stays, so the first report of a device that comes back is not lost; it is one row
+    per device ever seen.  Input columns: family, device, ts."""
     return (seen_stream.withWatermark("ts", watermark).groupBy("family", "device")
             .applyInPandasWithState(_seen_fn(window_minutes * 60 * 1000), SEEN_OUT, SEEN_STATE, "update",
                                     GroupStateTimeout.EventTimeTimeout))
@@ -113,8 +121,11 @@ def pair_file_streams(xml_meta: DataFrame, captures: DataFrame, within: str = "1
 
 # --- sinks -----------------------------------------------------------------------------------
 
-def checkpoint_for(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/streams/{name}"
+def late_rows(batch: DataFrame, newest_before, bound: str, ts_col: str = "timestamp") -> DataFrame:
+    """Rows of a micro-batch that are older than ``bound`` before the newest time of all earlier
+    batches, with a reason: what a watermark of that bound leaves out."""
+    limit = F.lit(newest_before).cast("timestamp") - F.expr(f"INTERVAL {bound}")
+    return batch.filter(F.col(ts_col) < limit).withColumn("reason", F.lit("late"))
 
 
 def routed_writer(out_root: str, route_col: str = "route", partition_cols: tuple[str, ...] = ("dt",)):
@@ -127,11 +138,27 @@ def routed_writer(out_root: str, route_col: str = "route", partition_cols: tuple
     return write
 
 
-def archive(df: DataFrame, path: str, source: str, ts_col: str = "timestamp") -> None:
-    """SNK-03: raw messages appended as (rowkey, payload) partitioned by day and source."""
-    (df.select(F.col("rowkey") if "rowkey" in df.columns else F.md5("value").alias("rowkey"),
-               F.col("value").alias("payload"), F.to_date(ts_col).alias("dt"), F.lit(source).alias("source"))
-     .write.mode("append").partitionBy("dt", "source").parquet(path))
+def archive(df: DataFrame, path: str, source: str, ts_col: str = "timestamp", batch_id: int | None = None) -> None:
+    """SNK-03: raw messages as (rowkey, payload) partitioned by day and source.  The key is the
+    message's own, else its place in its topic, else the digest of its text and time.  With a
+    ``batch_id`` a replayed batch rewrites its own files; without one, rows are appended."""
+    if "rowkey" in df.columns:
+        key = F.col("rowkey")
+    elif {"topic", "partition", "offset"} <= set(df.columns):
+        key = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    else:
+        key = F.md5(F.concat_ws("|", F.col(ts_col).cast("string"), "value"))
+    rows = df.select(key.alias("rowkey"), F.col("value").alias("payload"), F.to_date(ts_col).alias("dt"), F.lit(source).alias("source"))
+    if batch_id is None:
+        rows.write.mode("append").partitionBy("dt", "source").parquet(path)
+    else:
+        rows.write.mode("overwrite").partitionBy("dt", "source").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+def quarantine(df: DataFrame, path: str, reason: str, batch_id: int) -> None:
+    """SNK-05: rejected rows with their reason, in the batch's own folder (a replay rewrites it)."""
+    out = df if "reason" in df.columns else df.withColumn("reason", F.lit(reason))
+    out.write.mode("overwrite").partitionBy("reason").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 # --- flows driven per micro-batch ------------------------------------------------------------
