@@ -113,7 +113,8 @@ def test_runs_do_not_depend_on_batches():
     import pyarrow as pa
 
     rng = random.Random(1)
-    rows = sorted((rng.randrange(6), n, i) for i, n in ((rng.randrange(50), rng.randrange(1, 40)) for _ in range(200)))
+    base = {i: (rng.randrange(1, 40), rng.randrange(1, 5)) for i in range(50)}
+    rows = sorted((rng.randrange(6), base[i][1], i, base[i][0]) for i in (rng.randrange(50) for _ in range(200)))
 
     def run(sizes):
         def batches():
@@ -122,6 +123,8 @@ def test_runs_do_not_depend_on_batches():
                 k = rng.choice(sizes)
                 part = rows[at:at + k]
                 at += k
-                yield pa.RecordBatch.from_arrays([pa.array(np.array([r[j] for r in part], np.int64)) for j in (0, 2, 1)], ["sig", "id", "n"])
+                columns = [np.array([r[j] for r in part], np.int64) for j in (0, 1, 2)]
+                n = np.array([r[3] for r in part], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n << 32 | n)], ["sig", "kind", "id", "size"])
         return [tuple(r.values()) for b in _runs(batches()) for r in b.to_pylist()]
     assert sorted(run([1, 2, 3]), key=str) == sorted(run([1000]), key=str)

@@ -15,12 +15,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Hand this package to the executors' Python workers, once per application, whatever their
-    working folder is.  The archive is a file of the driver that Spark itself distributes."""
+    working folder is.  The archive is a file of the driver that Spark itself distributes.  Arrow
+    batches get a bound that suits whole texts unless the session has set its own."""
+    # rows are whole texts; Spark's default batch of 64 MB, on both sides of every task, is a lot
+    if spark.conf.get(BATCH_BYTES, None) in (None, "67108864b", "64m"):
+        spark.conf.set(BATCH_BYTES, "8m")
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -1,12 +1,15 @@
 """From shared signatures to components of similar texts, without emitting all pairs of a group.
 
-Input: postings (sig, id, n): text ``id`` with ``n`` different shingles has signature ``sig``, such
-that any two similar texts share one.  Sorted by (sig, n, id), the members of a signature stream
-past a constant-size state that knows the first member of each size class (sizes within a factor
-of 1 / similarity) as its hub.  Round 1 verifies each text against the hub that it meets most
-often: linear in the texts, and it joins nearly all of every large group.  Round 2 verifies those
-pairs with a common signature whose ends are still in different components.  Pairs inside a
-component can't change it, so leaving them out loses no component.
+Input: postings (sig, id, size): text ``id`` has signature ``sig``; the upper half of ``size`` is the
+number n of its different shingles, the lower half a bound: two similar texts share a signature at
+which each one's bound is at least their overlap.
+
+Sorted by signature, size class (sizes within a factor of 1 / similarity) and bound, the members of a
+signature stream past a constant-size state that knows the first member of each class, the one with
+the highest bound for its size, as the class's hub.  Round 1 verifies each text against the hub
+that it meets most often: linear in the texts, and it joins nearly all of every large group.  Round 2
+verifies those pairs of a signature whose bounds allow a link and whose ends are still in different
+components.  Pairs inside a component can't change it, so leaving them out loses no component.
 """
 
 from __future__ import annotations
@@ -70,19 +73,23 @@ def set_id(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(size > 0, out, U64(0)).view(np.int64)
 
 
+def posted(n: np.ndarray, bound: np.ndarray | None = None) -> np.ndarray:
+    """The ``size`` column of postings."""
+    return n.astype(np.int64) << 32 | (n if bound is None else bound).astype(np.int64)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of signatures that at least two texts have, with the hubs of their size class and
     of the class below.  Holds at most three rows from one batch to the next."""
-    held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, bool)]
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)]
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, i, n, done = (np.r_[a, b] for a, b in zip(held, [
-            batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), np.zeros(batch.num_rows, bool)], strict=True))
+        sig, kind, i, size, done = (np.r_[a, b] for a, b in zip(
+            held, [*(batch.column(k).to_numpy().astype(np.int64) for k in range(4)), np.zeros(batch.num_rows, bool)], strict=True))
         fresh = np.ones(len(sig), bool)
-        fresh[1:] = (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (n[1:] != n[:-1])
-        sig, i, n, done = sig[fresh], i[fresh], n[fresh], done[fresh]
-        kind = np.floor(np.log(np.maximum(n, 1)) / np.log(_STEP) + 1e-9).astype(np.int64)
+        fresh[1:] = (sig[1:] != sig[:-1]) | (i[1:] != i[:-1])
+        sig, kind, i, size, done = (x[fresh] for x in (sig, kind, i, size, done))
         new_run = np.r_[True, sig[1:] != sig[:-1]]
         new_group = new_run | np.r_[True, kind[1:] != kind[:-1]]
         run = np.cumsum(new_run) - 1
@@ -94,28 +101,30 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             below[1:] = np.where((sig[a] == sig[b]) & (kind[a] + 1 == kind[b]), a, -1)
         hub, lower = hub_at[group], below[group]
         out = ~done & (np.bincount(run)[run] > 1)
-        me = np.arange(len(sig))
         at = np.flatnonzero(out)
         if len(at):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[at]), pa.array(i[at]), pa.array(n[at].astype(np.int32)),
-                 pa.array(i[hub[at]], mask=hub[at] == me[at]), pa.array(i[lower[at]], mask=lower[at] < 0)],
-                ["sig", "id", "n", "hub", "lower"])
+                [pa.array(sig[at]), pa.array(i[at]), pa.array(size[at] >> 32), pa.array(size[at] & 0xFFFFFFFF),
+                 pa.array(i[hub[at]], mask=hub[at] == at), pa.array(i[lower[at]], mask=lower[at] < 0)],
+                ["sig", "id", "n", "bound", "hub", "lower"])
         last = len(sig) - 1
         keep = sorted({x for x in (lower[last], hub[last], last) if x >= 0})
-        held = [sig[keep], i[keep], n[keep], (done | out)[keep]]
+        held = [x[keep] for x in (sig, kind, i, size)] + [(done | out)[keep]]
 
 
 def members(postings: DataFrame) -> DataFrame:
-    """(sig, id, n, hub, lower) of signatures with several texts; one shuffle, streamed."""
-    ordered = postings.repartition("sig").sortWithinPartitions("sig", "n", "id")
-    return ordered.mapInArrow(_runs, "sig bigint, id bigint, n int, hub bigint, lower bigint")
+    """(sig, id, n, bound, hub, lower) of signatures with several texts; one shuffle, streamed."""
+    n = F.shiftright("size", 32)
+    bound = F.col("size").bitwiseAND(0xFFFFFFFF)
+    ordered = (postings.repartition("sig").withColumn("kind", F.floor(F.log(n) / float(np.log(_STEP)) + 1e-9).cast("int"))
+               .sortWithinPartitions("sig", "kind", -F.floor(bound * 4096 / n), "id"))
+    return ordered.select("sig", "kind", "id", "size").mapInArrow(_runs, "sig bigint, id bigint, n bigint, bound bigint, hub bigint, lower bigint")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
     """Those (a, b) of ``pairs`` whose texts' shingle sets have 100 * intersection >= similar * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             sets = []
             for c in (2, 3):
                 sets.append([h[offsets[k]:offsets[k + 1]] for _, h, offsets in shingle_sets(batch.column(c), size) for k in range(len(offsets) - 1)])
@@ -146,13 +155,14 @@ def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHIN
     texts = written(texts_of(ids), "texts")
     links = written(verified(best, texts, similar, size), "links")
     parts = written(components(links), "parts")
-    x = multi.select("sig", "id", "n").join(parts.select(F.col("node").alias("id"), "component_id"), "id", "left")
-    x = x.select("sig", "id", "n", F.coalesce("component_id", "id").alias("part"))
+    x = multi.select("sig", "id", "n", "bound").join(parts.select(F.col("node").alias("id"), "component_id"), "id", "left")
+    x = x.select("sig", "id", "n", "bound", F.coalesce("component_id", "id").alias("part"))
     open_ = x.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
     x = written(x.join(open_, "sig", "left_semi"), "open")
-    y = x.select("sig", F.col("id").alias("b"), F.col("n").alias("m"), F.col("part").alias("other"))
+    y = x.select("sig", F.col("id").alias("b"), F.col("n").alias("m"), F.col("bound").alias("bound_b"), F.col("part").alias("other"))
     left = (x.join(y, "sig").where((F.col("part") < F.col("other"))
-                                   & (100 * F.least("n", "m") >= similar * F.greatest("n", "m")))
+                                   & (100 * F.least("n", "m") >= similar * F.greatest("n", "m"))
+                                   & ((100 + similar) * F.least("bound", "bound_b") >= similar * (F.col("n") + F.col("m"))))
             .select(F.col("id").alias("a"), "b").distinct())
     tried = best.select(F.col("a"), "b").unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
     left = written(left.join(tried, ["a", "b"], "left_anti"), "pairs")

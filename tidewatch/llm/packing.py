@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from .tokens import byte_level_pieces, cache_for, encode_texts, library_encoder
 
 #: Ids that are planned together; a stream is planned in stretches of at least so many, cut at document ends.
-STRETCH = 4_000_000
+STRETCH = 1_500_000
 SCHEMA = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 

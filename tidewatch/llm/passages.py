@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .linking import SHINGLE, SIMILAR, link, set_id, shingle_sets
+from .linking import SHINGLE, SIMILAR, link, posted, set_id, shingle_sets
 from .textbytes import U64, mix, utf8_chunks, words
 
 MIN_WORDS = 40
@@ -122,7 +122,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
                 h, offsets = _sets(paragraphs, size)
                 sig = minhash_bands(h, offsets, bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig.ravel().view(np.int64)), pa.array(np.repeat(set_id(h, offsets), bands)), pa.array(np.repeat(np.diff(offsets), bands).astype(np.int32))], ["sig", "id", "n"])
+                    [pa.array(sig.ravel().view(np.int64)), pa.array(np.repeat(set_id(h, offsets), bands)), pa.array(np.repeat(posted(np.diff(offsets)), bands))], ["sig", "id", "size"])
 
     def texts_of(ids: DataFrame) -> DataFrame:
         reps = found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct()
@@ -135,7 +135,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
         some = docs.select(key, text).join(reps, key, "left_semi").unionByName(docs.select(key, text).where(F.col(key).isNull()))
         return some.select(text).mapInArrow(run, "id bigint, text string").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
-    parts = link(docs.select(text).mapInArrow(post, "sig bigint, id bigint, n int"), texts_of, similar, size)
+    parts = link(docs.select(text).mapInArrow(post, "sig bigint, id bigint, size bigint"), texts_of, similar, size)
     placed = (found.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")
               .withColumn("part", F.coalesce("part", "id")))
     place = F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"), "line", "row_hash")

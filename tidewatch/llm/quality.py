@@ -180,10 +180,10 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of at least 0.5, all columns as they are.
 
-    The texts of labelled rows are read once for the fit; the rest is one pass without a shuffle.
+    One pass measures all texts, so that the fit joins labels with a few numbers instead of
+    texts; a second one scores and filters.  No text is shuffled.
     """
-    labelled = docs.join(labels.where(F.col("quality").isNotNull()).select(key).distinct(), key, "left_semi")
-    model = fit(measured(labelled, key, text), labels, key)
+    model = fit(written(measured(docs, key, text), "statistics"), labels, key)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,16 +1,21 @@
 """N-gram Jaccard join: texts whose sets of five-word shingles have a similarity of at least 80 %.
 
 Method: prefixes with token combinations.  All shingles have one total order: counted ones by how
-often they occur, then the uncounted half, then the frequent classes.  A text of n shingles posts
+often they occur, then the uncounted half, then the frequent ones.  A text of n shingles posts
 
-* each rare shingle among its first n - ceil(0.8 n) + 1 as a single signature, and
-* if one of these is frequent, every two neighbours among its first floor(0.4 n) + 2 as a
-  combination signature.
+* each shingle that is not frequent among its first n - ceil(0.8 n) + 1 as a single signature, and
+* if one of these is frequent, combinations of two: its prefix is extended by C more shingles, the
+  frequent ones in it fall into C classes by hash, and every two of a class are one signature.  C
+  is about 1/50 of the size of the larger text (a power of two; a text near the next power posts for both).
 
-Two similar texts share a shingle of their prefixes.  If it is rare, they share that signature.  If
-it is frequent, both post combinations: with a shingles of s missing in t and b extra ones in t,
-a + 0.8 b <= 0.2 n, so at most 2a + b <= 0.4 n neighbouring pairs of s are broken by t, and one of
-the floor(0.4 n) + 1 pairs survives in both prefixes.  Hence no link is lost, whatever the counts.
+Two similar texts share a shingle in their prefixes.  If their first common one is not frequent, they
+share its signature.  Else all their common ones are frequent, the extended prefixes share C + 1 of
+them, and two of these are in one class.  Hence no link is lost, whatever the counts.
+
+A signature carries an upper bound of the overlap of two texts that first meet there: behind a
+single one at place i at most n - i shingles are common, and up to C more for a combination.  Pairs whose
+bounds are too low for their sizes are never formed: texts that have only a passage in common are
+ruled out by what stands before it in the order.
 
 Counts of shingles are kept by hash for half of all shingles in a table of fixed size, summed over
 all texts; it decides the order and so only the cost.  ``linking`` verifies exactly and finds the components.
@@ -41,16 +46,29 @@ BLOCK = 1 << 16
 def _measured(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """(key, id, n) of each row, and one row (null key, block number, counts) for each block of counters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, kind = np.zeros(COUNTERS, np.uint32), None
+        counts, kind, held, waiting = np.zeros(COUNTERS, np.uint32), None, [], 0
+
+        def count() -> None:
+            nonlocal waiting
+            if held:
+                at, times = np.unique(np.concatenate(held), return_counts=True)
+                counts[at] += times.astype(np.uint32)
+            held.clear()
+            waiting = 0
+
         for batch in batches:
             kind = batch.column(0).type
             for row, h, offsets in shingle_sets(batch.column(1), size):
                 counted = h[(h >> U64(63)) == 0]
-                counts += np.bincount((counted & U64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                held.append((counted & U64(COUNTERS - 1)).astype(np.uint32))
+                waiting += len(counted)
+                if waiting > COUNTERS // 4:
+                    count()
                 n = len(offsets) - 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, n), pa.array(set_id(h, offsets)), pa.array(np.diff(offsets), pa.int64()), pa.nulls(n, pa.binary())],
                     [key, "id", "n", "counts"])
+        count()
         if kind is not None and counts.any():
             rows = COUNTERS // BLOCK
             yield pa.RecordBatch.from_arrays(
@@ -78,6 +96,20 @@ def _counters(measured: DataFrame) -> np.ndarray:
     return out
 
 
+def _combinations(tokens: np.ndarray, at: np.ndarray, classes: int, n: int, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures of every two tokens of a class, with the bound of the overlap that goes with them."""
+    kind = (tokens >> U64(20)) % U64(classes)
+    order = np.argsort(kind, kind="stable")
+    tokens, at, kind = tokens[order], at[order], kind[order]
+    for step in range(1, len(tokens)):
+        same = kind[step:] == kind[:-step]
+        if not same.any():
+            break
+        with np.errstate(over="ignore"):
+            sig = tokens[:-step][same] * U64(0x9FB21C651E98DF25) + tokens[step:][same] + U64(2 + level)
+        yield sig, np.minimum(n, classes + n - at[step:][same])
+
+
 def _postings(docs: DataFrame, text: str, counts: np.ndarray, size: int, similar: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     frequent = 2 * float(counts.mean()) + 16
@@ -93,30 +125,31 @@ def _postings(docs: DataFrame, text: str, counts: np.ndarray, size: int, similar
                 rank = np.where(uncounted, U64(1 << 22), count + np.where(often, U64((1 << 22) + 1), U64(0)))
                 order_key = rank << U64(40) | h >> U64(24)
                 sigs, ids, sizes = [], [], []
-                for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                     n = b - a
                     if not n:
                         continue
                     order = np.argsort(order_key[a:b], kind="stable") + a
-                    prefix = order[:n - (similar * n + 99) // 100 + 1]
-                    common = often[prefix]
-                    parts = [h[prefix[~common]] + U64(1)]
-                    if common.any():
-                        longer = h[order[:2 * (100 - similar) * n // 100 + 2]]
-                        with np.errstate(over="ignore"):
-                            parts.append(longer[:-1] * U64(0x9FB21C651E98DF25) + longer[1:] + U64(2))
-                        if n == 1:
-                            parts.append(longer + U64(3))
-                    for p in parts:
-                        sigs.append(p)
-                    m = sum(map(len, parts))
-                    ids.append(np.full(m, own[k]))
-                    sizes.append(np.full(m, n, np.int32))
+                    first = n - (similar * n + 99) // 100 + 1
+                    common = often[order]
+                    place = np.arange(n)
+                    single = place[:first][~common[:first]] if n > 1 else place
+                    posted = [(h[order[single]] + U64(1), n - single)]
+                    if n > 1 and common[:first].any():
+                        level = n.bit_length() - 1
+                        for k in {level, (100 * n // similar).bit_length() - 1}:
+                            classes = max(1, (1 << k) >> 5)
+                            at = place[:first + classes][common[:first + classes]]
+                            posted.extend(_combinations(h[order[at]], at, classes, n, k))
+                    m = sum(len(x) for x, _ in posted)
+                    sigs.extend(x for x, _ in posted)
+                    ids.append(np.full(m, own[i]))
+                    sizes.extend((n << 32) | bound for _, bound in posted)
                 if sigs:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(mix(np.concatenate(sigs)).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], ["sig", "id", "n"])
+                        [pa.array(mix(np.concatenate(sigs)).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], ["sig", "id", "size"])
 
-    return docs.select(text).mapInArrow(run, "sig bigint, id bigint, n int")
+    return docs.select(text).mapInArrow(run, "sig bigint, id bigint, size bigint")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
@@ -130,13 +163,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int
         wanted = (info.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()  # rows of equal key meet in a task; their text is wanted once
             for batch in batches:
                 for row, h, offsets in shingle_sets(batch.column(0), size):
-                    yield pa.RecordBatch.from_arrays([pa.array(set_id(h, offsets)), batch.column(0).slice(row, len(offsets) - 1)], ["id", "text"])
+                    own = set_id(h, offsets)
+                    fresh = np.array([k for k, i in enumerate(own.tolist()) if i and not (i in seen or seen.add(i))], np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(own[fresh]), batch.column(0).take(pa.array(fresh + row))], ["id", "text"])
 
         keyed = docs.select(key, text).join(wanted, key, "left_semi")
-        found = keyed.unionByName(docs.select(key, text).where(F.col(key).isNull())).select(text).mapInArrow(run, "id bigint, text string")
-        return found.where("id != 0").dropDuplicates(["id"])
+        return keyed.unionByName(docs.select(key, text).where(F.col(key).isNull())).select(text).mapInArrow(run, "id bigint, text string")
 
     parts = link(postings, texts_of, similar, size)
     with_part = info.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")

@@ -16,7 +16,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -56,12 +56,14 @@ def utf8_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
     """(first row, bytes, offsets) for runs of rows of about CHUNK_BYTES; null texts are empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    if texts.null_count:
+        texts = texts.fill_null("")
     n = len(texts)
     if not n:
         return
     _, off, buf = texts.buffers()
-    offsets = np.frombuffer(off, np.int64)[texts.offset:texts.offset + n + 1]
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    offsets = np.frombuffer(off, np.int64 if wide else np.int32)[texts.offset:texts.offset + n + 1].astype(np.int64)
     data = np.frombuffer(buf, np.uint8) if buf else np.zeros(0, np.uint8)
     row = 0
     while row < n:

@@ -29,7 +29,7 @@ _GRAPHIC = np.zeros(256, bool)
 _GRAPHIC[33:127] = True
 
 #: Distinct pieces that a worker remembers before it starts anew (about 40 bytes each).
-CACHE_PIECES = 3_000_000
+CACHE_PIECES = 1_000_000
 
 
 def _class_cuts(data: np.ndarray) -> np.ndarray:
