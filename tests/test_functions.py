@@ -66,8 +66,11 @@ def test_malware_name_parts(spark):
 
 def test_paths(spark):
     cmd = r'run C:\a\b.exe --x D:\y.txt /tmp/z'
-    assert one(spark, T.windows_paths(F.col("x")), cmd) == ["C:\\a\\b.exe", "D:\\y.txt"]
-    assert one(spark, T.unix_paths(F.col("x")), cmd) == ["/tmp/z"]
+    # a segment runs on over spaces up to a character that no path has; a Unix path must lead
+    assert one(spark, T.windows_paths(F.col("x")), cmd) == ["C:\\a\\b.exe --x D:\\y.txt "]
+    assert one(spark, T.unix_paths(F.col("x")), cmd) == []
+    assert one(spark, T.unix_paths(F.col("x")), "/usr/bin/p1 -x /tmp/u") == ["/usr/bin/p1"]
+    assert one(spark, T.command_paths(F.col("x"), F.lit("Windows 10")), r"C:\a\b.exe|x") == [r"C:\a\b.exe"]
     assert one(spark, T.file_name_from_path(F.col("x")), "C:\\a\\b.exe") == "b.exe"
 
 
@@ -80,8 +83,24 @@ def test_bytes_service_path_hex(spark):
 
 
 def test_header_map_stops_at_empty(spark):
-    df = spark.createDataFrame([([("a", "1"), ("", ""), ("b", "2")],)], "x array<struct<key:string,value:string>>")
-    assert df.select(T.header_map(F.col("x")).alias("m")).first()["m"] == {"a": "1"}
+    df = spark.createDataFrame([([("a", "1"), ("", ""), ("b", "2"), None, ("c", "3")],)], "x array<struct<key:string,value:string>>")
+    assert df.select(T.header_map(F.col("x")).alias("m")).first()["m"] == {"a": "1", "": "", "b": "2"}
+
+
+def test_cidr_cover_is_exact(spark):
+    import random
+
+    from tidewatch.functions import net as N
+
+    rng = random.Random(2)
+    rows = [(a, a + rng.choice([0, 1, 5, 255, 256, 70000, 3])) for a in (rng.randrange(0, 2**32 - 80000) for _ in range(60))]
+    rows += [(0, 2**32 - 1), (7, 7), (0, 0), (2**32 - 1, 2**32 - 1)]
+    df = spark.createDataFrame(rows, "lo bigint, hi bigint")
+    for r in df.select("lo", "hi", N.cidr_cover("lo", "hi").alias("c")).collect():
+        spans = sorted((b.block << b.bits, (b.block + 1) << b.bits) for b in r.c)
+        assert spans[0][0] == r.lo and spans[-1][1] == r.hi + 1
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:], strict=False))
+        assert len(spans) <= 64
 
 
 def test_os_group(spark):

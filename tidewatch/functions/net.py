@@ -79,7 +79,26 @@ def normalise_mac(mac) -> Column:
     return F.regexp_replace(F.upper(_c(mac)), r"(?<=\w)(?=(?:\w\w)+$)", "-")
 
 
-def bucket16_range(lo, hi) -> Column:
-    """Array of the /16 buckets a [lo, hi] range covers; used to turn a range join into an
-    equi join on the bucket (JOIN-07)."""
-    return F.sequence(F.shiftright(_c(lo), 16), F.shiftright(_c(hi), 16))
+def cidr_cover(lo, hi) -> Column:
+    """The fewest aligned blocks that make up the addresses ``lo`` to ``hi``: an array of
+    struct(bits, block), where an address ``v`` is in a block if ``v >> bits = block``.
+
+    On each level, a block is in the cover if its parent isn't inside the range: the first whole
+    block if it is an odd one, and the last one if the next is odd."""
+    lo, hi = _c(lo), _c(hi)
+
+    def level(bits: Column) -> Column:
+        size = F.pow(F.lit(2), bits).cast("long")
+        first = F.floor((lo + size - 1) / size).cast("long")
+        after = F.floor((hi + 1) / size).cast("long")
+        left = (first < after) & (first % 2 == 1)
+        right = (first < after) & (after % 2 == 1) & ~(left & (after - 1 == first))
+        block = lambda b: F.struct(bits.alias("bits"), b.alias("block"))
+        return F.filter(F.array(F.when(left, block(first)), F.when(right, block(after - 1))), lambda x: x.isNotNull())
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(32)), level))
+
+
+def cidr_probes(v) -> Column:
+    """The blocks of every size that hold address ``v``: an array of struct(bits, block)."""
+    return F.transform(F.sequence(F.lit(0), F.lit(32)), lambda bits: F.struct(
+        bits.alias("bits"), F.floor(_c(v) / F.pow(F.lit(2), bits)).cast("long").alias("block")))

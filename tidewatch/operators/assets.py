@@ -5,8 +5,9 @@ FLT-16/30, SCL-03/04/14/15.
 
 The reference runs these as per-record SQL point lookups; here every lookup is a set join.
 Dimension sides are left to the planner: a side whose measured size is under
-``autoBroadcastJoinThreshold`` is broadcast, anything bigger is a sort-merge join, and
-AQE splits a hot key (one address carrying a third of all events) across tasks.
+``autoBroadcastJoinThreshold`` is broadcast, anything bigger is a sort-merge join.  AQE splits a
+hot address there only when both sides are plain exchanges: ``ip_to_asset`` therefore hands out its key
+as a new expression, so that a join doesn't reuse the partitioning of its aggregate.
 Per-asset aggregates are all keyed by ``asset_id`` so their joins reuse one hash
 partitioning instead of re-shuffling.
 """
@@ -31,7 +32,9 @@ def ip_to_asset(asset_ips: DataFrame, assets: DataFrame | None = None,
     if assets is not None and active_only:
         ips = ips.join(assets.filter(F.col("delete_state") == "1").select("asset_id"),
                        "asset_id", "left_semi")
-    return ips.groupBy("ip_addr").agg(F.min("asset_id").alias("asset_id"))
+    one = ips.groupBy("ip_addr").agg(F.min("asset_id").alias("asset_id"))
+    # a key of its own: the join exchanges this small side again, and can then split the other one
+    return one.select(F.concat("ip_addr", F.lit("")).alias("ip_addr"), "asset_id")
 
 
 # --- AGG-17 / AGG-18 / AGG-23 / JOIN-22 --------------------------------------------------
@@ -127,16 +130,15 @@ def attribute_org(addresses: DataFrame, node_networks: DataFrame,
                   ip_col: str = "ip_addr") -> DataFrame:
     """Organisation node of each address: nodes whose include ranges contain it, minus nodes
     whose exclude ranges contain it; exactly one node left -> that node, else the default
-    node.  The range join is made an equi join on the /16 bucket (each range is exploded
-    into the buckets it spans), so it neither broadcasts a growing table nor degenerates
-    into a nested loop; the between-test then keeps true hits only."""
+    node.  Ranges become their exact cover of aligned blocks (at most 64 for any range), an
+    address probes the 33 blocks that hold it, and the join on (size, block) has true hits only:
+    no broadcast, no nested loop, and no address meets a range that doesn't contain it."""
     r = network_ranges(node_networks)
-    rb = r.select("node_id", "data_type", "lo", "hi",
-                  F.explode(N.bucket16_range(F.col("lo"), F.col("hi"))).alias("bucket"))
-    a = addresses.select(F.col(ip_col).alias("_ip")).distinct() \
-        .withColumn("_v", N.ip_to_long(F.col("_ip"))) \
-        .withColumn("bucket", F.shiftright(F.col("_v"), 16))
-    hits = a.join(rb, "bucket").filter(F.col("_v").between(F.col("lo"), F.col("hi")))
+    rb = r.select("node_id", "data_type", F.explode(N.cidr_cover(F.col("lo"), F.col("hi"))).alias("b")) \
+        .select("node_id", "data_type", "b.bits", "b.block")
+    a = addresses.select(F.col(ip_col).alias("_ip")).distinct().withColumn("_v", N.ip_to_long(F.col("_ip"))) \
+        .filter(F.col("_v").isNotNull()).select("_ip", F.explode(N.cidr_probes(F.col("_v"))).alias("b")).select("_ip", "b.bits", "b.block")
+    hits = a.join(rb, ["bits", "block"])
     sets = hits.groupBy("_ip").agg(
         F.collect_set(F.when(F.col("data_type") == "0", F.col("node_id"))).alias("inc"),
         F.collect_set(F.when(F.col("data_type") != "0", F.col("node_id"))).alias("exc"))
