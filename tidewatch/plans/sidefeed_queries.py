@@ -10,7 +10,7 @@ from ..sources import sidefeeds as SS
 from ..sources.derive import table
 from .registry import register
 
-WATCHED = "hz_sh_master"
+WATCHED = "uplink-7"
 
 
 @register("sandbox_reports", covers=("SRC-07",), oracle="""
@@ -31,7 +31,7 @@ SELECT s_suppkey * 10 + {i} AS key, concat('sw', s_suppkey) AS host,
   CASE WHEN s_suppkey % 5 = 0 THEN (CASE WHEN (s_suppkey + {i}) % 2 = 0 THEN 'down' ELSE 'up' END) END AS link_state,
   concat('DISMAN-EVENT-MIB::sysUpTimeInstance = 12:17:36:', s_suppkey % 60,
          ', SNMPv2-MIB::snmpTrapOID.0 = IF-MIB::', CASE WHEN (s_suppkey + {i}) % 2 = 0 THEN 'linkDown' ELSE 'linkUp' END,
-         ', IF-MIB::ifDescr.{i} = ', CASE WHEN s_suppkey % 5 = 0 THEN 'hz_sh_master' ELSE 'eth{i}' END,
+         ', IF-MIB::ifDescr.{i} = ', CASE WHEN s_suppkey % 5 = 0 THEN 'uplink-7' ELSE 'eth{i}' END,
          ', IF-MIB::ifOperStatus.{i} = ', CASE WHEN (s_suppkey + {i}) % 2 = 0 THEN 'down' ELSE 'up' END) AS rendered,
   concat('enterprise=1.3.6.1.4.1.', s_suppkey, ' agent=192.0.2.', s_suppkey % 4, ' generic=',
          CASE WHEN (s_suppkey + {i}) % 2 = 0 THEN '2' ELSE '3' END, ' specific=0 uptime=', s_suppkey % 60) AS v1_line

@@ -30,7 +30,7 @@ def trap_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ex = s.select("s_suppkey", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("i"))
     i = F.col("i")
     down = (k + i) % 2 == 0
-    name = F.when(k % 5 == 0, F.lit("hz_sh_master")).otherwise(F.concat(F.lit("eth"), S(i)))
+    name = F.when(k % 5 == 0, F.lit("uplink-7")).otherwise(F.concat(F.lit("eth"), S(i)))
     text = F.concat_ws("\n",
                        F.concat(F.lit("sw"), S(k)),
                        F.concat(F.lit("UDP: [192.0.2."), S(k % 4), F.lit("]:39561->[198.51.100.1]:162")),
