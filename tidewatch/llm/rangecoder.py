@@ -99,14 +99,14 @@ def encode(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     m = _Model(lanes)
     low = np.zeros(lanes, np.int64)
     span = np.full(lanes, 1 << 48, np.int64)
-    out = np.zeros((lanes, 2 * length + 4), np.int64)
+    out = np.zeros((lanes, 2 * length + 4), np.int32)   # words of 16 bits and a carry
     flat, used, base = out.ravel(), np.zeros(lanes, np.int64), np.arange(lanes) * out.shape[1]
     plain = [[] for _ in range(2)]
-    columns = np.ascontiguousarray(ids.T.astype(np.int64))
+    columns = np.ascontiguousarray(ids.T)
     for t in range(length):
         if t % EPOCH == 0 and t:
             m.layout()
-        x = columns[t]
+        x = columns[t].astype(np.int64)
         m.guesses()
         hit2 = m.g2 == x
         hit1 = ~hit2 & (m.g1 == x)
@@ -169,7 +169,7 @@ def decode(blocks: list[tuple[np.ndarray, np.ndarray]], length: int) -> np.ndarr
     code = words[at] << 32 | words[at + 1] << 16 | words[at + 2]
     at += 3
     span = np.full(lanes, 1 << 48, np.int64)
-    out = np.zeros((length, lanes), np.int64)
+    out = np.zeros((length, lanes), np.uint16)
     for t in range(length):
         if t % EPOCH == 0 and t:
             m.layout()
