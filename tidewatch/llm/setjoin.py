@@ -1,7 +1,7 @@
 """N-gram Jaccard join: texts whose sets of five-word shingles have a similarity of at least 80 %.
 
-Method: prefixes with token combinations.  All shingles have one total order: counted ones by how
-often they occur, then the uncounted half, then the frequent ones.  A text of n shingles posts
+Method: prefixes with token combinations.  All shingles have one total order, by how often they
+occur; those of high counts are called frequent.  A text of n shingles posts
 
 * each shingle that is not frequent among its first n - ceil(0.8 n) + 1 as a single signature, and
 * if one of these is frequent, combinations of two: its prefix is extended by C more shingles, the
@@ -17,8 +17,8 @@ single one at place i at most n - i shingles are common, and up to C more for a
 bounds are too low for their sizes are never formed: texts that have only a passage in common are
 ruled out by what stands before it in the order.
 
-Counts of shingles are kept by hash for half of all shingles in a table of fixed size, summed over
-all texts; it decides the order and so only the cost.  ``linking`` verifies exactly and finds the components.
+Counts of shingles are kept by hash in a table of fixed size, summed over all texts; it decides the
+order and so only the cost.  ``linking`` verifies exactly and finds the components.
 
 Null or empty texts and texts without words have an empty set and no link.  Equal sets are one node
 of the join.  Rows with the same key are documents of their own, with a common component only if
@@ -59,9 +59,8 @@ def _measured(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
         for batch in batches:
             kind = batch.column(0).type
             for row, h, offsets in shingle_sets(batch.column(1), size):
-                counted = h[(h >> U64(63)) == 0]
-                held.append((counted & U64(COUNTERS - 1)).astype(np.uint32))
-                waiting += len(counted)
+                held.append((h & U64(COUNTERS - 1)).astype(np.uint32))
+                waiting += len(h)
                 if waiting > COUNTERS // 4:
                     count()
                 n = len(offsets) - 1
@@ -119,11 +118,9 @@ def _postings(docs: DataFrame, text: str, counts: np.ndarray, size: int, similar
         for batch in batches:
             for _, h, offsets in shingle_sets(batch.column(0), size):
                 own = set_id(h, offsets)
-                count = np.minimum(table[(h & U64(COUNTERS - 1)).astype(np.int64)], (1 << 21) - 1).astype(U64)
-                uncounted = (h >> U64(63)) == 1
-                often = ~uncounted & (count > frequent)
-                rank = np.where(uncounted, U64(1 << 22), count + np.where(often, U64((1 << 22) + 1), U64(0)))
-                order_key = rank << U64(40) | h >> U64(24)
+                count = np.minimum(table[(h & U64(COUNTERS - 1)).astype(np.int64)], (1 << 23) - 1).astype(U64)
+                often = count > frequent
+                order_key = count << U64(40) | h >> U64(24)
                 sigs, ids, sizes = [], [], []
                 for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                     n = b - a
