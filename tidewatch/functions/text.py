@@ -189,13 +189,19 @@ def service_path(p) -> Column:
     return F.trim(F.split_part(F.replace(_c(p), F.lit('"'), F.lit("")), F.lit(" "), F.lit(1)))
 
 
+# FIXED VALUES: the headers that are kept of a request or response
+CARRIER_HEADERS = ("Host", "Connection", "User-Agent", "Accept", "Referer", "Accept-Encoding", "Accept-Language", "Cookie",
+                   "Contern-Type", "Version")
+
+
 def header_map(entries) -> Column:
-    """``[{key,value}, ...]`` -> map, stopping at the first empty entry, i.e. one that is null
-    or has neither key nor value fields (SCL-25); an entry of empty strings doesn't end it."""
+    """``[{key,value}, ...]`` -> map of the kept headers, stopping at the first empty entry, i.e. one
+    that is null or has neither key nor value fields (SCL-25); an entry of empty strings doesn't
+    end it."""
     arr = _c(entries)
     empties = F.array_position(F.transform(arr, lambda e: e.isNull() | (e["key"].isNull() & e["value"].isNull())),
                                F.lit(True))
-    kept = F.when(empties > 0, F.slice(arr, 1, empties - 1)).otherwise(arr)
+    kept = F.filter(F.when(empties > 0, F.slice(arr, 1, empties - 1)).otherwise(arr), lambda e: e["key"].isin(*CARRIER_HEADERS))
     return F.map_from_entries(F.transform(F.coalesce(kept, F.array()),
                                           lambda e: F.struct(e["key"], e["value"])))
 
