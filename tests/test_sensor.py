@@ -71,7 +71,7 @@ def test_carriers(spark):
     r = run(spark, [alert(dns={"msg": {"msg_type": "query", "record": [{"Rtype": "A", "data": "1.2.3.4"}]}},
                           domain=["evil.example"]),
                     alert(http={"request": {"method": "GET", "header": {"host": "h", "uri": "/u",
-                                                                        "other": [{"key": "A", "value": "1"},
+                                                                        "other": [{"key": "Accept", "value": "1"},
                                                                                   {"key": "", "value": ""}]}}},
                           msg={"upload": {"md5": ""}}, url=["http://h:81/p%20q"])])
     # no detection at all: scene is dst, so the alert is swapped and a dns query's names
@@ -79,5 +79,5 @@ def test_carriers(spark):
     assert (r[0]["swapped"], r[0]["protocol"], r[0]["src_domain"], r[0]["dst_domain"]) == (
         True, "dns", "evil.example", "")
     assert r[1]["protocol"] == "smb"                      # last present carrier wins
-    assert r[1]["http_info"]["URL"] == "h/u" and r[1]["http_info"]["request_headers"] == {"A": "1"}
+    assert r[1]["http_info"]["URL"] == "h/u" and r[1]["http_info"]["request_headers"] == {"Accept": "1"}
     assert r[1]["src_url"] == "http://h:81/p q" and r[1]["src_domain"] == "h:81"   # http x swapped -> source
