@@ -6,8 +6,9 @@ which each one's bound is at least their overlap.
 
 Sorted by signature, size class (sizes within a factor of 1 / similarity) and bound, the members of a
 signature stream past a constant-size state that knows the first member of each class, the one with
-the highest bound for its size, as the class's hub.  Round 1 verifies each text against the hub
-that it meets most often: linear in the texts, and it joins nearly all of every large group.  Round 2
+the highest bound for its size, as the class's hub; another hub of a class is the member that shares
+signatures with most others.  Round 1 verifies each text against the hub of either sort that it
+meets most often: linear in the texts, and it joins nearly all of every large group.  Round 2
 verifies those pairs of a signature whose bounds allow a link and whose ends are still in different
 components.  Pairs inside a component can't change it, so leaving them out loses no component.
 """
@@ -146,11 +147,17 @@ def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHIN
 
     ``texts_of(ids)`` returns (id, text) for a table of ids.
     """
-    multi = written(members(postings), "members")
+    multi = written(members(postings), "members").withColumn("kind", F.floor(F.log("n") / float(np.log(_STEP)) + 1e-9).cast("int"))
     met = (multi.select("id", "n", F.explode(F.array("hub", "lower")).alias("hub")).where("hub is not null and hub != id")
            .groupBy("id", "hub").agg(F.count("*").alias("c")))
     best = met.groupBy("id").agg(F.max_by("hub", F.struct("c", "hub")).alias("b")).select(F.col("id").alias("a"), "b")
-    best = written(best, "hubs")
+    # a second hub: the member that meets most others, as the text that all of a group were made from does
+    sizes = multi.groupBy("sig").agg(F.count("*").alias("c"))
+    weight = multi.join(sizes, "sig").groupBy("id").agg(F.sum("c").alias("w"))
+    top = multi.join(weight, "id").groupBy("sig", "kind").agg(F.max_by("id", F.struct("w", "id")).alias("top"))
+    often = multi.select("sig", "kind", "id").join(top, ["sig", "kind"]).where("top != id").groupBy("id", "top").agg(F.count("*").alias("c"))
+    second = often.groupBy("id").agg(F.max_by("top", F.struct("c", "top")).alias("b")).select(F.col("id").alias("a"), "b")
+    best = written(best.unionByName(second).distinct(), "hubs")
     ids = multi.select("id").distinct()
     texts = written(texts_of(ids), "texts")
     links = written(verified(best, texts, similar, size), "links")
