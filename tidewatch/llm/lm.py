@@ -117,6 +117,7 @@ def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """The texts of rows whose label is 1."""
+    """The texts of rows whose label is 1.  The labels grow with the corpus, so the join is a sort-merge
+    join at every size."""
     good = labels.where(F.col(label) == 1).select(key).distinct()
-    return docs.select(key, text).join(good, key, "left_semi").select(text)
+    return docs.select(key, text).join(good.hint("merge"), key, "left_semi").select(text)
