@@ -95,3 +95,71 @@ def test_repeated_rows_and_empty_table(spark):
 def test_bands_are_tuned():
     bands, rows = passages.tuned_bands(0.8)
     assert 1 - (1 - 0.8 ** rows) ** bands >= passages.RECALL
+
+
+def shared_words(rows, n=passages.WINDOW):
+    """{key: (positions of words in a window that another row has, those of them that go)}, all windows compared."""
+    at = {}
+    for k, t in rows:
+        w = (t or "").lower().split()
+        for i in range(len(w) - n + 1):
+            at.setdefault(tuple(w[i:i + n]), set()).add((k, i))
+    out = {k: (set(), set()) for k, _ in rows}
+    for spots in at.values():
+        first = min(k for k, _ in spots)
+        for k, i in spots:
+            if any(k != j for j, _ in spots):
+                out[k][0].update(range(i, i + n))
+                if k != first:
+                    out[k][1].update(range(i, i + n))
+    return out
+
+
+def crossing():
+    rng = random.Random(5)
+    word = lambda: f"w\u00e9{rng.randrange(10**6)}"
+    passage = [[word() for _ in range(rng.randrange(50, 90))] for _ in range(6)]
+    rows = []
+    for i in range(60):
+        w = [word() for _ in range(rng.randrange(0, 30))]
+        for p in rng.sample(passage, rng.randrange(0, 3)):
+            w += p[rng.randrange(0, 12):] + [word() for _ in range(rng.randrange(0, 60))]
+        if i % 2:      # lines that all are too short for a paragraph
+            rows.append((i, "".join(x + ("\n" if rng.random() < 0.15 or j % 30 == 29 else " ") for j, x in enumerate(w))))
+        else:          # one line, in which a passage is a part
+            rows.append((i, " ".join(w)))
+    return [*rows, (900, None), (901, ""), (902, " ".join(["Long"] * 300))]
+
+
+def words_of(text, spans):
+    """Positions of words inside spans."""
+    out, at = set(), 0
+    for i, w in enumerate((text or "").split()):
+        at = text.index(w, at)
+        if any(s.start <= at and at + len(w) <= s.end for s in spans):
+            out.add(i)
+        at += len(w)
+    return out
+
+
+def test_runs_across_lines_equal_all_shared_windows(spark):
+    rows = crossing()
+    want = shared_words(rows)
+    assert sum(len(gone) for _, gone in want.values()) > 1000
+    docs = with_clashes(spark, rows)
+    some = {r.doc_id: r for r in passages.summary(docs, least=10**6).collect()}
+    for k, t in rows:
+        assert (words_of(t, some[k].repeated_spans), words_of(t, some[k].removed_spans)) == want[k]
+    out = {r.doc_id: r.text for r in passages.cleaned(docs, least=10**6).collect()}
+    for k, t in rows:
+        assert (out[k] or "").split() == [w for i, w in enumerate((t or "").split()) if i not in want[k][1]]
+    out = [(r.doc_id, r.text) for r in passages.cleaned(docs).collect()]
+    assert not any(gone for _, gone in shared_words(out).values())
+
+
+def test_all_shared_windows_of_a_table(spark):
+    rows = [(r.doc_id, r.text) for r in passages.cleaned(spark.read.parquet(f"{SF001}/documents.parquet"), window=10**6).select("doc_id", "text").collect()]
+    want = shared_words(rows)
+    have = {r.doc_id: r for r in passages.summary(spark.createDataFrame(rows, "doc_id bigint, text string"), least=10**6).collect()}
+    for k, t in rows:
+        assert len(words_of(t, have[k].removed_spans)) == len(want[k][1])

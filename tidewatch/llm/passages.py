@@ -7,10 +7,17 @@ are tuned: the fewest rows in all whose recall at the threshold is at least ``RE
 verifies colliding paragraphs exactly (similarity 80 % or more) and finds the components; within
 large groups it verifies against hubs, so no group's pairs are all emitted.
 
-Of each component the occurrence with the smallest (key, line number) stays; all others go.  Shorter
-lines never count as repeats.  Null and empty texts have no paragraphs.  Rows with equal key and
-equal text are copies of one document and share its decisions.  A null key sorts first.  Columns of
-the input other than the text and its length keep their values.
+Of each component the occurrence with the smallest (key, line number) stays; all others go.
+
+Of what then is left, each run of ``WINDOW`` words that occurs in several rows is found exactly,
+wherever its lines begin and end: it stays in the row with the smallest (key, row_hash), and all its
+words go from the others.  The smallest hash of a window's ``GRAM``-word runs is its anchor; equal
+windows have equal anchors, so rows first post their different anchors (about one for 16 words), and
+then only those windows whose anchor another row has too.  Both steps are grouped minima: no pairs.
+
+Null and empty texts have no paragraphs.  Rows with equal key and equal text are copies of one document
+and share its decisions.  A null key sorts first.  Columns of the input other than the text and its
+length keep their values.
 """
 
 from __future__ import annotations
@@ -25,10 +32,13 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .linking import SHINGLE, SIMILAR, link, posted, set_id, shingle_sets
-from .textbytes import U64, mix, utf8_chunks, words
+from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
 MIN_WORDS = 40
 RECALL = 0.999
+WINDOW, GRAM = 50, 20
+_C = 0x9FB21C651E98DF25
+_C_INV = pow(_C, -1, 2**64)
 
 
 @lru_cache
@@ -144,38 +154,172 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
         key, "row_hash", "line", F.col("first.key").alias("first_key"), (place != F.col("first")).alias("removed"))
 
 
-def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS) -> DataFrame:
-    """One row for each row of ``docs``: key, n_repeated (paragraphs whose component occurs again),
-    n_removed, repeated_from (the keys in which those that go occur first), repeated_lines, removed_lines."""
-    r = repeats(docs, key, text, least)
-    by = r.groupBy(F.col(key).alias("k"), "row_hash").agg(
+def _rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """One hash for each run of ``n`` neighbours."""
+    with np.errstate(over="ignore"):
+        power, inverse = (np.cumprod(np.r_[U64(1), np.full(len(h), c, U64)]) for c in (_C, _C_INV))
+        total = np.r_[U64(0), np.cumsum(h * power[:-1])]
+        return mix((total[n:] - total[:-n]) * inverse[:len(h) - n + 1])
+
+
+def _lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each run of ``width`` neighbours."""
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        values = np.minimum(values[:-step], values[step:])
+        size += step
+    return values
+
+
+def _windows(texts: pa.Array, gone: list, window: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, hash, anchor, first character, end) of each window of words outside the ``gone`` lines."""
+    for row, data, offsets in utf8_chunks(texts):
+        starts, ends, before = words(data, offsets)
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(before))
+        marks = [i << 32 | np.asarray(x, np.int64) for i, x in enumerate(gone[row:row + len(offsets) - 1]) if x]
+        if marks:
+            lines = np.r_[0, np.cumsum(data == 10)]
+            kept = ~np.isin(owner << 32 | (lines[starts] - lines[offsets[owner]]), np.concatenate(marks))
+            starts, ends, owner = starts[kept], ends[kept], owner[kept]
+        if len(starts) < window:
+            continue
+        h = hash_spans(LOWER[data], starts, ends)
+        at = np.flatnonzero(owner[:len(h) - window + 1] == owner[window - 1:])
+        gram = min(GRAM, window)
+        anchor = _lowest(_rolled(h, gram), window - gram + 1)[at]
+        chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+        base = chars[offsets[owner[at]]]
+        yield owner[at] + row, _rolled(h, window)[at].view(np.int64), anchor.view(np.int64), chars[starts[at]] - base, chars[ends[at + window - 1]] - base
+
+
+def _place(key: str) -> F.Column:
+    return F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"), "row_hash")
+
+
+def _several(posts: DataFrame, key: str, by: str) -> DataFrame:
+    """Values of ``by`` that several rows have, with the first of these rows.  Written, so that the
+    join behind it has plain exchanges and a hot value's rows are split."""
+    groups = posts.groupBy(by).agg(F.min(_place(key)).alias("first"), F.max(_place(key)).alias("last"))
+    return written(groups.where("first != last").select(by, "first"), by)
+
+
+def shared(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """(_key, _hash, repeated_spans, removed_spans, spans_from) of each row that shares a window of words with
+    another one.  ``gone`` holds (_key, _hash, _gone): lines that are gone already.  Spans are
+    characters of the whole text, with their ends excluded."""
+    kind = docs.schema[key].dataType.simpleString()
+    own = (docs.select(key, F.xxhash64(text).alias("row_hash"), text)
+           .join(gone, F.col(key).eqNullSafe(F.col("_key")) & (F.col("row_hash") == F.col("_hash")), "left").select(key, "row_hash", text, "_gone"))
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owner, _, anchor, _, _ in _windows(batch.column(2), batch.column(3).to_pylist(), window):
+                order = np.lexsort((anchor, owner))
+                owner, anchor = owner[order], anchor[order]
+                fresh = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])][:len(owner)])
+                at = pa.array(owner[fresh])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(anchor[fresh])], [key, "row_hash", "anchor"])
+
+    def posts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column(4)
+            for owner, h, anchor, first, end in _windows(batch.column(2), batch.column(3).to_pylist(), window):
+                limits = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True][:len(owner) + 1]) if len(owner) else np.zeros(1, int)
+                good = np.zeros(len(owner), bool)
+                for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+                    good[a:b] = np.isin(anchor[a:b], wanted[int(owner[a])].values.to_numpy())
+                at = pa.array(owner[good])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(h[good]), pa.array(first[good] << 32 | end[good])], [key, "row_hash", "window", "span"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+        for batch in batches:
+            columns = []
+            for c in (2, 3):
+                starts, ends, limits = [], [], [0]
+                for x in batch.column(c):
+                    x = np.sort(x.values.to_numpy())
+                    a, b = x >> 32, x & 0xFFFFFFFF
+                    new = np.flatnonzero(np.r_[True, a[1:] >= b[:-1]][:len(a)])
+                    starts.append(a[new])
+                    ends.append(b[np.r_[new[1:], len(b)] - 1] if len(b) else b)
+                    limits.append(limits[-1] + len(new))
+                pair = [pa.array(np.concatenate(x).astype(np.int32)) if x else pa.array([], pa.int32()) for x in (starts, ends)]
+                columns.append(pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.StructArray.from_arrays(pair, fields=list(of))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, batch.column(4)], ["_key", "_hash", "repeated_spans", "removed_spans", "spans_from"])
+
+    found = written(own.mapInArrow(anchors, f"`{key}` {kind}, row_hash bigint, anchor bigint"), "anchors")
+    wanted = (found.join(_several(found, key, "anchor").select("anchor"), "anchor").groupBy(F.col(key).alias("w_key"), F.col("row_hash").alias("w_hash"))
+              .agg(F.collect_set("anchor").alias("wanted")))
+    some = own.join(wanted, F.col(key).eqNullSafe(F.col("w_key")) & (F.col("row_hash") == F.col("w_hash"))).select(key, "row_hash", text, "_gone", "wanted")
+    found = written(some.mapInArrow(posts, f"`{key}` {kind}, row_hash bigint, window bigint, span bigint"), "windows")
+    both = found.join(_several(found, key, "window"), "window").withColumn("removed", _place(key) != F.col("first"))
+    by = both.groupBy(F.col(key).alias("_key"), F.col("row_hash").alias("_hash")).agg(
+        F.collect_set("span").alias("repeated"), F.collect_set(F.when(F.col("removed"), F.col("span"))).alias("removed"),
+        F.collect_set(F.when(F.col("removed"), F.col("first.key"))).alias("spans_from"))
+    spans = "array<struct<start:int,end:int>>"
+    return by.mapInArrow(merged, f"_key {kind}, _hash bigint, repeated_spans {spans}, removed_spans {spans}, spans_from array<{kind}>")
+
+
+def _found(docs: DataFrame, key: str, text: str, least: int, window: int) -> tuple[DataFrame, DataFrame]:
+    """What goes and what repeats, by row: lines, then spans of the other lines."""
+    by = written(repeats(docs, key, text, least).groupBy(F.col(key).alias("_key"), F.col("row_hash").alias("_hash")).agg(
         F.sort_array(F.collect_set("line")).alias("repeated_lines"),
-        F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("removed_lines"),
-        F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("first_key")))).alias("repeated_from"))
-    d = docs.select(key, F.xxhash64(text).alias("row_hash"))
-    none = F.array()
-    out = d.join(by, F.col(key).eqNullSafe(F.col("k")) & (d.row_hash == by.row_hash), "left")
-    return out.select(key, *(F.coalesce(F.size(f"{c}_lines"), F.lit(0)).cast("bigint").alias(f"n_{c}") for c in ("repeated", "removed")),
-                      F.coalesce("repeated_from", none.cast(f"array<{docs.schema[key].dataType.simpleString()}>")).alias("repeated_from"),
-                      *(F.coalesce(f"{c}_lines", none.cast("array<int>")).alias(f"{c}_lines") for c in ("repeated", "removed")))
+        F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("_gone"),
+        F.collect_set(F.when(F.col("removed"), F.col("first_key"))).alias("lines_from")), "lines")
+    return by, written(shared(docs, by.where("size(_gone) > 0").select("_key", "_hash", "_gone"), key, text, window), "spans")
 
 
-def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the paragraphs that go; every row stays, all columns but the text as they are."""
-    gone = (repeats(docs, key, text, least).where("removed").groupBy(F.col(key).alias("_key"), F.col("row_hash").alias("_hash"))
-            .agg(F.collect_set("line").alias("_gone")))
-    gone = written(gone, "gone")
+def _with(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    found = found.withColumnsRenamed({"_key": "f_key", "_hash": "f_hash"})
+    return docs.join(found, F.col(key).eqNullSafe(F.col("f_key")) & (F.col("_own") == F.col("f_hash")), "left").drop("f_key", "f_hash")
+
+
+def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
+    """One row for each row of ``docs``: key, n_repeated (paragraphs whose component occurs again),
+    n_removed, repeated_from (the keys in which what goes occurs first), repeated_lines, removed_lines,
+    and the same for runs of words in other lines: repeated_spans, removed_spans."""
+    lines, spans = _found(docs, key, text, least, window)
+    out = _with(_with(docs.select(key, F.xxhash64(text).alias("_own")), lines, key), spans, key)
+    none = F.array()
+    kind = f"array<{docs.schema[key].dataType.simpleString()}>"
+    out = out.withColumnRenamed("_gone", "removed_lines")
+    start_from = F.array_union(*(F.coalesce(f"{c}_from", none.cast(kind)) for c in ("lines", "spans")))
+    return out.select(key, *(F.coalesce(F.size(f"{c}_lines"), F.lit(0)).cast("bigint").alias(f"n_{c}") for c in ("repeated", "removed")),
+                      F.sort_array(start_from).alias("repeated_from"),
+                      *(F.coalesce(f"{c}_lines", none.cast("array<int>")).alias(f"{c}_lines") for c in ("repeated", "removed")),
+                      *(F.coalesce(f"{c}_spans", none.cast(spans.schema[f"{c}_spans"].dataType)).alias(f"{c}_spans") for c in ("repeated", "removed")))
+
+
+def _without(text: str, lines: list, spans: list) -> str:
+    """``text`` without whole lines and without the characters of ``spans``; a line of which no word is left goes."""
+    drop, out, at = set(lines), [], 0
+    for j, line in enumerate(text.split("\n")):
+        end = at + len(line)
+        if j not in drop:
+            cuts = [(max(a, at) - at, min(b, end) - at) for a, b in spans if a < end and b > at]
+            left = "".join(line[a:b] for a, b in zip([0, *(b for _, b in cuts)], [*(a for a, _ in cuts), len(line)], strict=True))
+            if not cuts or left.strip():
+                out.append(left)
+        at = end + 1
+    return "\n".join(out)
+
+
+def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the paragraphs and spans that go; every row stays, all columns but the text as they are."""
     at, order = docs.columns.index(text), docs.columns
-    both = (docs.withColumn("_own", F.xxhash64(text)).join(gone, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_hash")), "left")
-            .select(*order, "_gone"))
+    lines, spans = _found(docs, key, text, least, window)
+    both = _with(_with(docs.withColumn("_own", F.xxhash64(text)), lines.where("size(_gone) > 0").select("_key", "_hash", "_gone"), key),
+                 spans.where("size(removed_spans) > 0").select("_key", "_hash", F.col("removed_spans").alias("_spans")), key).select(*order, "_gone", "_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column(at).to_pylist(), batch.column(len(order)).to_pylist()
-            for i, lines in enumerate(lists):
-                if lines:
-                    drop = set(lines)
-                    texts[i] = "\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in drop)
+            texts, lists, cuts = (batch.column(c).to_pylist() for c in (at, len(order), len(order) + 1))
+            for i, (gone, cut) in enumerate(zip(lists, cuts, strict=True)):
+                if gone or cut:
+                    texts[i] = _without(texts[i], gone or [], [(x["start"], x["end"]) for x in cut or []])
             columns = list(batch.columns[:len(order)])
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, order)
