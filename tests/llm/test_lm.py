@@ -68,3 +68,18 @@ def test_query(spark):
     out = queries.QUERIES["op8_lm_score"](spark, SF001)
     assert out.count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
     assert out.where("isnan(score) or score is null").count() == 0
+
+
+def test_registered_parameters_equal_dictionaries(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    # more different words and pairs than a fixed table would tell apart
+    rows += [(10**6 + i, " ".join(f"x{i}y{j}" for j in range(3000))) for i in range(100)]
+    good = rows[::3]
+    monkeypatch.setitem(globals(), "BITS", len({w for _, t in rows for w in tokens(t)}))
+    target, background = model([t for _, t in good]), model([t for _, t in rows])
+    out = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(good, "doc_id bigint, text string")).collect()}
+    for k, t in rows:
+        w = tokens(t)
+        a, b = (sum(m(p, x) for p, x in zip([None, *w], w, strict=False)) / max(len(w), 1) for m in (target, background))
+        assert (out[k].n_words, out[k].target_loss, out[k].background_loss) == pytest.approx((len(w), a, b), rel=1e-9, abs=1e-9)

@@ -1,16 +1,18 @@
 """Language-model scores: the difference of two cross entropies (target minus background).
 
-Two bigram models of the same form share one vocabulary: a word (a run without white space, A-Z in
-lower case) is the bucket of its 64-bit hash among ``WORDS``, and a pair of neighbours is a bucket among
-``PAIRS``; each text begins behind a start mark.  The background model counts every text of the corpus,
-the target model every text of the target set.  With c the counts, N the words and V the vocabulary,
+Two bigram models of the same form share one vocabulary: words are runs without white space, with A-Z
+in lower case, and each text begins behind a start mark.  The background model counts every text of the
+corpus, the target model every text of the target set.  With c the counts, N the words and V the
+vocabulary,
 
     p(w)     = (c(w) + 0.5) / (N + 0.5 V)
     p(w | v) = min(1, (c(v, w) + M p(w)) / (max(c(v), c(v, w)) + M))
 
 A document's score is the mean over its words of log p_target - log p_background: the higher, the more
-it is like the target.  The tables have a fixed size however large the corpus is (hashing merges rare
-pairs, in both models alike); tasks count their texts, and Spark adds the blocks of the tables up.
+it is like the target.  Counts are Spark tables with a row for each different word and pair, known by
+64-bit hashes, and V is the number of different words, so all of them grow with the corpus.  Each
+different pair gets its losses once; each text's different pairs are joined to them.  The tables are
+written first, so that the joins have plain exchanges and a frequent pair's rows are split.
 
 Null or empty texts and texts without words have 0 words and a score of 0.  Repeated rows count and
 are scored one by one.  With an empty target set the target model is the smoothing alone.  Columns
@@ -26,16 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
-WORDS, PAIRS = 1 << 18, 1 << 20
-BLOCK = 1 << 15
 PRIOR = 4.0       # M
 _START = U64(0x51ED270B8C1F7A3D)
 
 
-def _grams(texts: pa.Array, n_words: int, n_pairs: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, word buckets, buckets of the words before, pair buckets, offsets) for runs of rows."""
+def _grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, words, words before, pairs, offsets) for runs of rows."""
     for row, data, offsets in utf8_chunks(texts):
         data = LOWER[data]
         starts, ends, before = words(data, offsets)
@@ -45,75 +46,69 @@ def _grams(texts: pa.Array, n_words: int, n_pairs: int) -> Iterator[tuple[int, n
         prev[first] = _START
         with np.errstate(over="ignore"):
             pair = mix(prev * U64(0x9FB21C651E98DF25) + h)
-        yield row, (h % U64(n_words)).astype(np.int64), (prev % U64(n_words)).astype(np.int64), (pair % U64(n_pairs)).astype(np.int64), before
+        yield row, h, prev, pair, before
 
 
-def counts(docs: DataFrame, text: str = "text", n_words: int = WORDS, n_pairs: int = PAIRS) -> np.ndarray:
-    """The summed table: words (start marks included), then pairs, of all rows."""
-    total = n_words + n_pairs
-
+def _pairs(docs: DataFrame, text: str) -> DataFrame:
+    """(pair, prev, word, times): the pairs of all rows, each run of rows counted by itself."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(total, np.int64)
-        held, waiting = [], 0
+        for batch in batches:
+            for _, w, prev, pair, _ in _grams(batch.column(0)):
+                _, at, times = np.unique(pair, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in (pair, prev, w)), pa.array(times)], ["pair", "prev", "word", "times"])
 
-        def settle() -> None:
-            nonlocal waiting
-            if held:
-                at, times = np.unique(np.concatenate(held), return_counts=True)
-                table[at] += times
-            held.clear()
-            waiting = 0
+    return docs.select(text).mapInArrow(count, "pair bigint, prev bigint, word bigint, times bigint")
 
-        for batch in batches:
-            for _, w, _, pair, before in _grams(batch.column(0), n_words, n_pairs):
-                begun = int((np.diff(before) > 0).sum())
-                held.extend([w, pair + n_words, np.full(begun, int(_START % U64(n_words)))])
-                waiting += 2 * len(w)
-                if waiting > 1 << 20:
-                    settle()
-        settle()
-        some = [k for k in range(-(-total // BLOCK)) if table[k * BLOCK:(k + 1) * BLOCK].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([table[k * BLOCK:(k + 1) * BLOCK].tobytes() for k in some], pa.binary())], ["block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.frombuffer(raw.as_buffer(), np.int64)
-                sums[k] = sums[k] + own if k in sums else own
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
 
-    schema = "block int, counts binary"
-    out = np.zeros(total, np.int64)
-    for r in docs.select(text).mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():  # of fixed size
-        block = np.frombuffer(r.counts, np.int64)
-        out[r.block * BLOCK:r.block * BLOCK + len(block)] = block
-    return out
+def losses(docs: DataFrame, target: DataFrame, text: str = "text", n_words: int | None = None, prior: float = PRIOR) -> DataFrame:
+    """(pair, target_loss, background_loss): -log p of each different pair of ``docs``."""
+    zero = F.lit(0).cast("bigint")
+    both = (_pairs(docs, text).select("pair", "prev", "word", F.col("times").alias("b"), zero.alias("t"))
+            .unionByName(_pairs(target, text).select("pair", "prev", "word", zero.alias("b"), F.col("times").alias("t"))))
+    pairs = written(both.groupBy("pair", "prev", "word").agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "pairs")
+    single = written(pairs.groupBy("word").agg(F.sum("b").alias("word_b"), F.sum("t").alias("word_t")), "words")
+    n = single.agg(F.count("*").alias("v"), F.sum("word_b").alias("b"), F.sum("word_t").alias("t")).first()
+    v = n.v if n_words is None else n_words
+    start = pairs.where(F.col("prev") == int(_START.view(np.int64))).groupBy("prev").agg(F.sum("b").alias("prev_b"), F.sum("t").alias("prev_t"))
+    before = written(single.select(F.col("word").alias("prev"), F.col("word_b").alias("prev_b"), F.col("word_t").alias("prev_t")).unionByName(start), "before")
 
+    def loss(c: str) -> F.Column:
+        p = (F.col(f"word_{c}") + 0.5) / F.lit((n[c] or 0) + 0.5 * v)
+        return -F.log(F.least(F.lit(1.0), (F.col(c) + prior * p) / (F.greatest(f"prev_{c}", c) + prior)))
 
-def losses(table: np.ndarray, w: np.ndarray, prev: np.ndarray, pair: np.ndarray, n_words: int, prior: float = PRIOR) -> np.ndarray:
-    """-log p of each word."""
-    word, pairs = table[:n_words], table[n_words:]
-    single = (word[w] + 0.5) / (pairs.sum() + 0.5 * n_words)
-    both = pairs[pair]
-    return -np.log(np.minimum(1, (both + prior * single) / (np.maximum(word[prev], both) + prior)))
+    return written(pairs.where("b > 0").join(single, "word").join(before, "prev")
+                   .select("pair", loss("t").alias("target_loss"), loss("b").alias("background_loss")), "losses")
 
 
-def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = WORDS, n_pairs: int = PAIRS, prior: float = PRIOR) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", n_words: int | None = None, n_pairs: int | None = None, prior: float = PRIOR) -> DataFrame:
     """(key, n_words, target_loss, background_loss, score) of each row of ``docs``; ``target`` holds texts
-    of the target set in a column of the same name.  Losses are means over words in nats."""
-    tables = docs.sparkSession.sparkContext.broadcast((counts(target, text, n_words, n_pairs), counts(docs, text, n_words, n_pairs)))
+    of the target set in a column of the same name.  Losses are means over words in nats.  ``n_words``
+    sets V; ``n_pairs`` has no effect, because every different pair is counted."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, offsets in utf8_chunks(batch.column(2)):
+                n = np.diff(words(data, offsets)[2])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(n)), batch.column(1).slice(row, len(n)), pa.array(n)], [key, "own", "n_words"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def posts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, w, prev, pair, before in _grams(batch.column(1), n_words, n_pairs):
-                n = np.diff(before)
-                owner = np.repeat(np.arange(len(n)), n)
-                a, b = (np.bincount(owner, losses(t, w, prev, pair, n_words, prior), len(n)) / np.maximum(n, 1) for t in tables.value)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(n)), pa.array(n), pa.array(a), pa.array(b), pa.array(b - a)],
-                                                 [key, "n_words", "target_loss", "background_loss", "score"])
-
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_words bigint, target_loss double, background_loss double, score double")
+            for row, _, _, pair, before in _grams(batch.column(1)):
+                owner = np.repeat(np.arange(len(before) - 1), np.diff(before))
+                order = np.lexsort((pair, owner))
+                owner, pair = owner[order], pair[order]
+                at = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])][:len(owner)])
+                times = np.diff(np.r_[at, len(owner)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[at] + row)), pa.array(pair[at].view(np.int64)), pa.array(times.astype(np.int32))], ["own", "pair", "times"])
+
+    source = docs.select(key, F.xxhash64(text).alias("own"), text)
+    # equal texts add up their losses and their words alike, so the mean is that of one of them
+    by = (source.select("own", text).mapInArrow(posts, "own bigint, pair bigint, times int").join(losses(docs, target, text, n_words, prior), "pair")
+          .groupBy("own").agg(*((F.sum(F.col("times") * F.col(c)) / F.sum("times")).alias(c) for c in ("target_loss", "background_loss"))))
+    out = source.mapInArrow(sizes, f"`{key}` {kind}, own bigint, n_words bigint").join(by, "own", "left")
+    out = out.select(key, "n_words", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("target_loss", "background_loss")))
+    return out.withColumn("score", F.col("background_loss") - F.col("target_loss"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
