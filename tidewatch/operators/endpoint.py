@@ -1,6 +1,6 @@
 """Endpoint-agent events: decode, de-duplicate, allow-list, split, standardise.
 
-Covers SRC-02, STR-02, FLT-12/13/14/15, DOM-20..27, JOIN-09/15, SCL-08 (endpoint form),
+Covers SRC-02, STR-02, FLT-12/13/14/15, DOM-22/24/26, JOIN-09/15, SCL-08 (endpoint form),
 SCL-09/10/11/16, AGG-08 and SNK-06.  Message types are handled with one projection of
 ``when`` chains keyed by ``type`` (FLT-15) instead of one frame per type, so every type is
 standardised in the same narrow stage.
@@ -159,7 +159,7 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
                             *[F.col(c).alias(f"_a_{c}") for c in extra])
     df = df.join(a, df["source_ip"] == a["_aip"], "left").drop("_aip")
     known = F.col("_aid").isNotNull()
-    # DOM-25: asset detail from the asset database when known, else from the message
+    # os and unit from the asset database when known, else from the message
     msg_unit = F.get(_m("data", "i", "3"), 0)["5"]["1"]
     os_ = F.coalesce(F.col("_a_os_ver"), F.lit("")) if "os_ver" in extra else F.lit("")
     if "unit" in extra:

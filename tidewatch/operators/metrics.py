@@ -72,7 +72,7 @@ def device_counts(df: DataFrame, device_col: str, black: Column, names: dict[str
 
 
 def ops_matrix(df: DataFrame, device_col: str, devices: Sequence[str], metrics: dict[str, Column]) -> DataFrame:
-    """AGG-15: metrics as rows, devices as columns, all devices not listed as ``other``: one
+    """Metrics as rows, devices as columns, all devices not listed as ``other``: one
     aggregate per (listed device or other), unpivoted and pivoted."""
     listed = F.when(F.col(device_col).isin(*devices), F.col(device_col)).otherwise("other")
     agg = df.groupBy(listed.alias("device")).agg(*[F.sum(c.cast("long")).alias(m) for m, c in metrics.items()])

@@ -47,7 +47,7 @@ def asset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir)
 
 
-@register("fw_asset_enrich", covers=("JOIN-03", "JOIN-04", "JOIN-05", "WIN-02", "SORT-04"), oracle=f"""
+@register("fw_asset_enrich", covers=("JOIN-04", "JOIN-05", "WIN-02", "SORT-04"), oracle=f"""
 WITH {FW_CTE}, {O.ASSETS}, {O.ASSET_IPS},
 ip2a AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
          WHERE a.delete_state = '1' GROUP BY i.ip_addr)

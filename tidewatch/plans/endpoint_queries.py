@@ -59,8 +59,8 @@ def _asset_detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip2a.join(detail, "asset_id", "left")
 
 
-@register("endpoint_events", covers=("SRC-02", "STR-02", "FLT-12", "FLT-13", "FLT-14", "FLT-15", "DOM-20",
-                                     "DOM-21", "DOM-22", "DOM-23", "DOM-24", "DOM-25", "DOM-26", "DOM-27",
+@register("endpoint_events", covers=("SRC-02", "STR-02", "FLT-12", "FLT-13", "FLT-14", "FLT-15",
+                                     "DOM-22", "DOM-24", "DOM-26",
                                      "JOIN-09", "JOIN-11", "JOIN-12", "JOIN-15", "SCL-08", "SCL-10", "SCL-11",
                                      "SCL-16", "DOM-29", "Q7"), oracle=f"""
 WITH {O.ASSETS}, {O.ASSET_IPS}, {O.NODES}, {EP_CTE},

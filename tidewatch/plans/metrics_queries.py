@@ -57,7 +57,7 @@ def report_daily_line(spark: SparkSession, sf_dir: str) -> DataFrame:
                           S.daily_counts(_sensor_decoded(spark, sf_dir)))
 
 
-@register("report_daily_summary", covers=("AGG-13", "SNK-11"), oracle=f"""
+@register("report_daily_summary", covers=("AGG-13",), oracle=f"""
 WITH {DAILY_CTE},
 v AS (SELECT day, vendor AS source, count(*) AS o, sum(black) AS b FROM fwa WHERE vendor IS NOT NULL GROUP BY 1, 2),
 rows_ AS (SELECT * FROM v UNION ALL SELECT day, 'iep', o, b FROM epd UNION ALL SELECT day, 'ptd', o, b FROM snd),
@@ -103,7 +103,7 @@ def _ops_sql() -> str:
     return f"WITH {SN_CTE}\n" + "\nUNION ALL\n".join(parts)
 
 
-@register("report_ops_matrix", covers=("AGG-15",), oracle=_ops_sql())
+@register("report_ops_matrix", covers=(), oracle=_ops_sql())
 def report_ops_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _sensor_decoded(spark, sf_dir)
     hb = ~S.not_heartbeat()
