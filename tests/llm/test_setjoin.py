@@ -108,6 +108,13 @@ def test_keep_first(spark):
     assert out.where("doc_id is null").count() == 1
 
 
+def test_keep_first_decides_by_row(spark):
+    one, other = "a b c d e f", "g h i j k l"
+    rows = [(1, one), (1, one), (1, "A b c d e f"), (2, one), (None, one), (None, other), (None, other), (3, "m n o p q r"), (3, one), (4, ""), (4, ""), (None, None)]
+    out = [(r.doc_id, (r.text or "").lower()) for r in setjoin.keep_first(with_clashes(spark, rows)).collect()]
+    assert sorted(out, key=str) == sorted([(1, one), (None, other), (3, "m n o p q r"), (4, ""), (4, ""), (None, "")], key=str)
+
+
 def test_runs_do_not_depend_on_batches():
     import numpy as np
     import pyarrow as pa

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import written
 from .linking import SHINGLE, SIMILAR, link, set_id, shingle_sets
@@ -149,9 +150,8 @@ def _postings(docs: DataFrame, text: str, counts: np.ndarray, size: int, similar
     return docs.select(text).mapInArrow(run, "sig bigint, id bigint, size bigint")
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
-    """One row (key, n_shingles, set_id, component_id) for each row of ``docs``; component_id is the
-    smallest key that links reach, the row's own included."""
+def _grouped(docs: DataFrame, key: str, text: str, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
+    """(key, id, n, part) of each row of ``docs``: set, number of shingles and group of linked sets."""
     measured = written(_measured(docs, key, text, size), "sets")
     info = measured.where("counts is null").select(key, "id", "n")
     postings = _postings(docs, text, _counters(measured), size, similar)
@@ -172,7 +172,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int
 
     parts = link(postings, texts_of, similar, size)
     with_part = info.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")
-    with_part = with_part.withColumn("part", F.coalesce("part", "id"))
+    return with_part.withColumn("part", F.coalesce("part", "id"))
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
+    """One row (key, n_shingles, set_id, component_id) for each row of ``docs``; component_id is the
+    smallest key that links reach, the row's own included."""
+    with_part = _grouped(docs, key, text, similar, size)
     least = with_part.where("n > 0").groupBy("part").agg(F.min(key).alias("component_id"))
     return (with_part.join(least, "part", "left")
             .select(key, F.col("n").alias("n_shingles"), F.col("id").alias("set_id"),
@@ -180,9 +186,25 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: int
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of linked documents stays: the one with the group's smallest key (of
-    equal keys any one); texts without words stay.  All columns keep their values."""
-    groups = join(docs, key, text)
-    stay = groups.where((F.col(key) == F.col("component_id")) | F.col(key).isNull()).select(key).distinct()
-    with_null = docs.where(F.col(key).isNull())
-    return docs.join(stay, key, "left_semi").unionByName(with_null)
+    """One row of each group of linked documents stays: the one with the group's smallest (key, set),
+    a null key last, and any one of several that have both; texts without words stay.  All columns
+    keep their values."""
+    rows = written(_grouped(docs, key, text).where("n > 0").groupBy("part", key, "id").agg(F.count("*").alias("times")), "rows")
+    place = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("key"), "id")
+    first = rows.groupBy("part").agg(F.min(F.struct(*(place.getField(c).alias(c) for c in ("unknown", "key", "id")), "times")).alias("first"))
+    stay = written(first.select(F.col("first.key").alias("_key"), F.col("first.id").alias("_id"), F.col("first.times").alias("_times")), "stay")
+    several = written(stay.where("_times > 1"), "several")  # mostly few: a table of its own, so that its size is known
+
+    order, at = docs.columns, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [set_id(h, offsets) for _, h, offsets in shingle_sets(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))], [*order, "_set"])
+
+    own = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_set", LongType())]))
+    same = lambda few: own[key].eqNullSafe(few["_key"]) & (own["_set"] == few["_id"])
+    single = stay.where("_times = 1")
+    out = own.join(single, same(single), "left_semi")
+    out = out.unionByName(own.join(several, same(several), "left_semi").dropDuplicates([key, "_set"]))
+    return out.unionByName(own.where("_set = 0")).drop("_set")
