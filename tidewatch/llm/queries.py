@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, hnsw, lm, multiindex, packing, passages, pii, quality, setjoin, tokenfile
+from . import automaton, bpe, dialogue, hnsw, lm, multiindex, packing, passages, pii, quality, setjoin, tokenfile
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -92,6 +92,18 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.summary(read(spark, sf_dir, "documents"))
 
 
+@query
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation behind the damage: its faults, the cheapest repair and the digest of the repaired text."""
+    return dialogue.repair(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by the tokenization automaton, and the text that they decode to, as digests."""
+    return automaton.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), columns=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -12,6 +12,7 @@ are those of its pieces one after another.  Such places need no Unicode tables:
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -67,6 +68,39 @@ def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def with_literals(pieces: Callable, literals: list[bytes]) -> Callable:
+    """``pieces`` that keep each literal of an added token whole, leftmost first within a text, and
+    cut right before and behind it."""
+    if not literals:
+        return pieces
+    pattern = re.compile(b"|".join(re.escape(x) for x in sorted(literals, key=len, reverse=True)))
+
+    def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts, ends, before = pieces(data, offsets)
+        raw = data.tobytes()
+        if not pattern.search(raw):
+            return starts, ends, before
+        found = [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in pattern.finditer(raw, a, b)]
+        if not found:  # it only runs over the end of a text
+            return starts, ends, before
+        first, last = np.array(found).T
+        joined = np.zeros(len(data) + 1, bool)  # places inside a literal
+        for a, b in found:
+            joined[a + 1:b] = True
+        gone = np.zeros(len(data) + 1, bool)  # white space that no piece covers
+        covered = np.zeros(len(data) + 2, np.int32)
+        np.add.at(covered, starts, 1)
+        np.add.at(covered, ends, -1)
+        gone[:-1] = np.cumsum(covered)[:len(data)] == 0
+        behind = last[last < len(data)]
+        starts = np.union1d(starts[~joined[starts]], np.r_[first, behind[~gone[behind]]])
+        ahead = first[first > 0]
+        ends = np.union1d(ends[~joined[ends]], np.r_[last, ahead[~gone[ahead - 1]]])
+        return starts, ends, np.searchsorted(starts, offsets)
+
+    return cut
+
+
 class PieceCache:
     """Ids of distinct pieces by their 64-bit hash, as sorted arrays over one pool of ids."""
 
