@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import automaton, bpe, dialogue, hnsw, lm, multiindex, packing, passages, pii, quality, setjoin, tokenfile
+from . import automaton, bpe, collocations, dialogue, hnsw, lm, multiindex, packing, passages, pii, quality, setjoin, tokenfile
 from .common import read, ship
 
 QUERIES: dict = {}
@@ -92,6 +92,15 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.summary(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first phrases of two and three words by their least score."""
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = collocations.ORACLE_SQL
+
+
 @query
 def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation behind the damage: its faults, the cheapest repair and the digest of the repaired text."""
