@@ -142,7 +142,7 @@ def _standard_exprs() -> tuple[tuple[tuple[str, Column], ...], tuple[Column, ...
 
 
 def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFrame) -> DataFrame:
-    """Flat standard-event columns for every message type.
+    """Flat standard-event columns for every message type (``endpoint_event`` nests them).
 
     ``techniques``: dictionary (attck_id, attck_content) already including newly registered
     techniques; ``asset_lookup``: one row per ``ip_addr`` with ``asset_id`` (JOIN-05)."""
@@ -154,7 +154,7 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
     df = df.withColumn("technique_number",
                        F.when(F.col("tactic_number") != "", F.col("_tid").cast("string"))
                         .otherwise(F.lit(""))).drop("_tid")
-    extra = [c for c in ("os_ver", "unit") if c in asset_lookup.columns]
+    extra = [c for c in ("os_ver", "unit", "detail") if c in asset_lookup.columns]
     a = asset_lookup.select(F.col("ip_addr").alias("_aip"), F.col("asset_id").alias("_aid"),
                             *[F.col(c).alias(f"_a_{c}") for c in extra])
     df = df.join(a, df["source_ip"] == a["_aip"], "left").drop("_aip")
@@ -170,6 +170,8 @@ def standardise(events: DataFrame, techniques: DataFrame, asset_lookup: DataFram
              .withColumn("asset_id", F.coalesce("_aid", F.upper(F.md5(F.concat(F.lit("iep"), F.col("client.uuid"))))))
              .withColumn("asset_os", F.when(known, os_).otherwise(F.lit("")))
              .withColumn("asset_unit", unit))
+    if "detail" in extra:
+        out = out.withColumn("asset_detail", F.col("_a_detail"))
     return out.drop("_aid", *[f"_a_{c}" for c in extra])
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import standard_event as SE
 from ..config import EngineParams
 from ..operators import assets as A
 from ..operators import attack as ATT
 from ..operators import endpoint as EP
+from ..operators import endpoint_event as EE
 from ..sources import derive
 from ..sources import dims as D
 from . import oracle_ctes as O
+from .event_oracles import endpoint_oracle
 from .registry import register
 
 # Fixture C3: allow-listed endpoint servers.
@@ -37,14 +40,14 @@ new_ids AS (SELECT t, 20 + row_number() OVER (ORDER BY t) AS id FROM seen_new)
 """
 
 
-def _standardised(spark: SparkSession, sf_dir: str):
+def _standardised(spark: SparkSession, sf_dir: str, detailed: bool = False):
     topic = derive.endpoint_topic(derive.table(spark, sf_dir, "events"))
     good, bad = EP.decode(topic)
     events = EP.gate(good, PARAMS)
     dictionary = D.attack_techniques(spark)
     new = ATT.register_new_techniques(EP.seen_techniques(events), dictionary, "attck_content")
     techniques = dictionary.select("attck_id", "attck_content").unionByName(new)
-    lookup = _asset_detail_lookup(spark, sf_dir)
+    lookup = asset_details(spark, sf_dir) if detailed else _asset_detail_lookup(spark, sf_dir)
     return events, EP.standardise(EP.split_files(events), techniques, lookup), bad
 
 
@@ -59,16 +62,13 @@ def _asset_detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip2a.join(detail, "asset_id", "left")
 
 
-@register("endpoint_events", covers=("SRC-02", "STR-02", "FLT-12", "FLT-13", "FLT-14", "FLT-15",
-                                     "DOM-22", "DOM-24", "DOM-26",
-                                     "JOIN-09", "JOIN-11", "JOIN-12", "JOIN-15", "SCL-08", "SCL-10", "SCL-11",
-                                     "SCL-16", "DOM-29", "Q7"), oracle=f"""
-WITH {O.ASSETS}, {O.ASSET_IPS}, {O.NODES}, {EP_CTE},
+EVENT_CTES = f"""{O.ASSETS}, {O.ASSET_IPS}, {O.NODES}, {EP_CTE},
 ip2a0 AS (SELECT i.ip_addr, min(i.asset_id) AS asset_id FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id
           WHERE a.delete_state = '1' GROUP BY i.ip_addr),
 ip2a AS (SELECT x.ip_addr, x.asset_id, a.os_ver, n.node_name AS unit FROM ip2a0 x JOIN assets a ON a.asset_id = x.asset_id
-         LEFT JOIN nodes n ON n.node_id = a.node_id)
-SELECT
+         LEFT JOIN nodes n ON n.node_id = a.node_id)"""
+
+EVENT_SELECT = """SELECT
   concat(substr(md5(concat_ws(chr(1), 'iep_raw', e % 8, e // 8)), 1, 4), lpad(CAST(e // 8 AS VARCHAR), 12, '0'))
     AS rowkey,
   type, CASE WHEN type = 'eventlog' THEN concat('evt-', e) ELSE '' END AS eventlog_id, cip AS source_ip, v_name,
@@ -104,7 +104,13 @@ SELECT
        WHEN type = 'eventlog' THEN concat('unit', u % 3) ELSE '' END AS asset_unit
 FROM epf LEFT JOIN ip2a a ON a.ip_addr = epf.cip
 LEFT JOIN new_ids n ON n.t = concat('T', epf.e % 30)
-""")
+"""
+
+
+@register("endpoint_events", covers=("SRC-02", "STR-02", "FLT-12", "FLT-13", "FLT-14", "FLT-15",
+                                     "DOM-22", "DOM-26",
+                                     "JOIN-09", "JOIN-11", "JOIN-12", "JOIN-15", "SCL-08", "SCL-10", "SCL-11",
+                                     "SCL-16", "DOM-29", "Q7"), oracle=f"WITH {EVENT_CTES} {EVENT_SELECT}")
 def endpoint_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, std, _ = _standardised(spark, sf_dir)
     return std.select("rowkey", "type", "eventlog_id", "source_ip", "v_name", "file_name", "file_path",
@@ -113,6 +119,19 @@ def endpoint_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "asset_known", "asset_id", "exploited_vuln", "asset_os", "asset_unit")
 
 
+def asset_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.asset_details(D.assets(spark, sf_dir), D.asset_ips(spark, sf_dir), D.nodes(spark, sf_dir), D.asset_types(spark, sf_dir),
+                           D.asset_groups(spark), D.installed_software(spark, sf_dir))
+
+
+@register("endpoint_standard_events", covers=("DOM-20", "DOM-21", "DOM-23", "DOM-24", "DOM-25", "DOM-27", "JOIN-15", "SCL-09", "SNK-02"),
+          oracle=endpoint_oracle(EVENT_CTES, EVENT_SELECT))
+def endpoint_standard_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested standard event of every message; its populated leaves, part by part."""
+    _, std, _ = _standardised(spark, sf_dir, detailed=True)
+    return SE.sections(EE.standard_event(std), SE.ENDPOINT_PRODUCT, "rowkey", "route")
+
+
 @register("endpoint_daily_counts", covers=("AGG-08",), oracle=f"""
 WITH {EP_CTE}
 SELECT o.day, o.origin_count, CAST(coalesce(b.black_count, 0) AS BIGINT) AS black_count

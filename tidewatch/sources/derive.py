@@ -264,7 +264,13 @@ def endpoint_event_struct() -> Column:
                  F.lit("high").alias("3"), F.lit("blocked").alias("4"),
                  F.concat(stage, F.lit(".obj.act")).alias("5"),
                  F.concat(tactic, F.lit("."), F.lit("T"), _s(e % 30)).alias("7")).alias("f"),
-        F.array(F.struct(F.array(vul(1)).alias("3"), F.lit("off").alias("p"))).alias("g"),
+        F.array(F.struct(F.when(u % 2 == 0, F.array(vul(1), vul(0))).otherwise(F.array(vul(1))).alias("3"),
+                         F.lit("off").alias("p"))).alias("g"),
+        F.when(e % 5 == 0, F.struct(
+            F.struct(F.lit("HKCU\\x").alias("1"), F.concat(F.lit("k"), _s(e)).alias("2"), F.lit("v").alias("3")).alias("1"),
+            F.when(e % 10 == 0, F.struct(F.lit("task").alias("1"), F.lit("run").alias("2"), F.lit("C:\\t").alias("3"),
+                                         F.lit("-x").alias("4"))).alias("2"),
+            ts.alias("3"), F.lit("mid").alias("4"))).alias("h"),
         F.struct(
             F.array(F.struct(_s(e % 9000).alias("1"),
                              F.struct(md5.alias("1"), F.lit("sha1").alias("2"), F.lit("sha256").alias("3")).alias("2"),
@@ -272,10 +278,26 @@ def endpoint_event_struct() -> Column:
                              F.concat(F.lit("cmd /c C:\\prog\\app"), _s(e), F.lit(".exe --x /tmp/f"), _s(e))
                               .alias("5"),
                              _s(e % 1000).alias("6"), F.lit("PE").alias("7"), v_name.alias("8"),
-                             F.when(e % 2 == 0, "Windows").otherwise("Linux").alias("9"))).alias("1"),
+                             F.when(e % 2 == 0, "Windows").otherwise("Linux").alias("9"),
+                             F.concat(F.lit("L"), _s(e % 3)).alias("a"), ts.alias("b"), ts.alias("c"),
+                             F.concat(F.lit("act"), _s(e % 4)).alias("e"),
+                             F.struct(_s(e % 700).alias("1"), F.concat(F.lit("par%2Bent"), _s(e), F.lit(".exe")).alias("2"),
+                                      F.concat(F.lit("C%3A%5Cpar"), _s(e)).alias("3"),
+                                      F.struct(F.md5(F.concat(F.lit("q"), _s(e))).alias("1"), F.lit("psha1").alias("2"),
+                                               F.lit("psha256").alias("3")).alias("4")).alias("g"),
+                             F.struct(F.lit("auth").alias("1"), F.lit("upd").alias("2"), F.concat(F.lit("Comp"), _s(e % 9)).alias("3"),
+                                      F.lit("cre").alias("4"), F.concat(F.lit("1."), _s(e % 5)).alias("5"), F.lit("vis").alias("6")).alias("h"),
+                             F.when(e % 2 == 0, F.struct(F.concat(F.lit("sig"), _s(e)).alias("7"), F.lit("sigtime").alias("8"))).alias("i"),
+                             F.when(e % 3 == 0, "dyn").alias("j"), F.concat(F.lit("init"), _s(e % 2)).alias("k"),
+                             F.when(e % 3 == 1, "more").alias("l"))).alias("1"),
             F.array(F.struct(F.concat(F.lit("CVE-2021-"), _s(e % 50)).alias("1"), F.lit("vuln").alias("2"),
+                             F.lit("2021-01-01").alias("3"), F.concat(F.lit("lev"), _s(e % 4)).alias("4"), F.lit("rce").alias("5"),
+                             F.array(F.lit("winx"), F.lit("liny")).alias("6"), F.lit("poc").alias("7"),
                              F.array(F.struct(F.concat(F.lit("KB"), _s(e % 50)).alias("1"),
-                                              F.lit("patch").alias("2"))).alias("8"))).alias("2"),
+                                              F.lit("patch").alias("2"), F.lit("2021-02-02").alias("3"), F.lit("3").alias("4"),
+                                              F.array(F.lit("lab")).alias("5"), F.array(F.concat(F.lit("CVE-2021-"), _s(e % 50))).alias("6"),
+                                              F.lit("10").alias("7"), F.md5(F.concat(F.lit("k"), _s(e % 50))).alias("8"),
+                                              F.lit("rules").alias("9"), F.lit("http://p/x").alias("a"))).alias("8"))).alias("2"),
             F.array(F.struct(ts.alias("1"), F.lit("").alias("2"), F.lit("IEP").alias("3"),
                              F.struct(F.lit("base").alias("1"), F.concat(F.lit("rule"), _s(e % 10)).alias("2"))
                               .alias("4"),

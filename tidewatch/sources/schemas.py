@@ -53,10 +53,17 @@ ENDPOINT_EVENT = """
     f: STRUCT<`1`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING>, `2`: STRUCT<`1`: STRING>,
               `3`: STRING, `4`: STRING, `5`: STRING, `7`: STRING>,
     g: ARRAY<STRUCT<`3`: ARRAY<STRUCT<`1`: STRING>>, p: STRING>>,
+    h: STRUCT<`1`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING>,
+              `2`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING>, `3`: STRING, `4`: STRING>,
     i: STRUCT<
       `1`: ARRAY<STRUCT<`1`: STRING, `2`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING>, `3`: STRING, `4`: STRING,
-                        `5`: STRING, `6`: STRING, `7`: STRING, `8`: STRING, `9`: STRING>>,
-      `2`: ARRAY<STRUCT<`1`: STRING, `2`: STRING, `8`: ARRAY<STRUCT<`1`: STRING, `2`: STRING>>>>,
+                        `5`: STRING, `6`: STRING, `7`: STRING, `8`: STRING, `9`: STRING, a: STRING, b: STRING, c: STRING, e: STRING,
+                        g: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING>>,
+                        h: STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING, `5`: STRING, `6`: STRING>,
+                        i: STRUCT<`7`: STRING, `8`: STRING>, j: STRING, k: STRING, l: STRING>>,
+      `2`: ARRAY<STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING, `5`: STRING, `6`: ARRAY<STRING>, `7`: STRING,
+                        `8`: ARRAY<STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRING, `5`: ARRAY<STRING>,
+                                          `6`: ARRAY<STRING>, `7`: STRING, `8`: STRING, `9`: STRING, a: STRING>>>>,
       `3`: ARRAY<STRUCT<`1`: STRING, `2`: STRING, `3`: STRING, `4`: STRUCT<`1`: STRING, `2`: STRING>,
                         `5`: STRUCT<`1`: STRING>, `6`: STRING>>>>,
   fileinfo ARRAY<STRUCT<md5: STRING, path: STRING, size: STRING, malname: STRING, mt: STRING, ct: STRING,
