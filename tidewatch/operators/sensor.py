@@ -409,31 +409,6 @@ def standardise(topic: DataFrame, params: EngineParams = DEFAULT_PARAMS) -> Data
     return a.withColumn("hbase_rowkey", T.rowkey_md5_mid(F.col("id"))).withColumn("route", route())
 
 
-def standard_event(df: DataFrame) -> DataFrame:
-    """The nested standard event (SNK-02 payload), assembled last from flat columns so the
-    per-row work above stays inside code generation."""
-    return df.select(
-        F.col("hbase_rowkey"),
-        F.col("route"),
-        F.struct(
-            F.struct(F.col("first_type"), F.col("second_type"), F.col("keyword").alias("third_type"))
-            .alias("event_type"),
-            F.struct(F.col("src.ip").alias("ip"), F.col("src.port").alias("port"),
-                     F.col("src_url").alias("url"), F.col("src_domain").alias("domain")).alias("source_endpoint"),
-            F.struct(F.col("dst.ip").alias("ip"), F.col("dst.port").alias("port"),
-                     F.col("dst_url").alias("url"), F.col("dst_domain").alias("domain")).alias("purpose_endpoint"),
-            F.struct(F.col("protocol"), F.col("dns_info"), F.col("email_info"), F.col("ftp_info"),
-                     F.col("http_info"), F.col("smb_info")).alias("carrier"),
-            F.col("payloads").alias("source_load"),
-            F.struct(F.col("xw_labels").alias("xw_label"), F.col("xw_labels").alias("xw_name"))
-            .alias("sponsor_behavior"),
-            F.struct(geo("src").alias("from_ip")).alias("extend_details"),
-        ).alias("threat_info"),
-        F.struct(F.col("is_malicious"), F.col("alert"), F.col("dev").alias("detect_pro_id"))
-        .alias("Used_by_ES_ExtendInfo"),
-    )
-
-
 def not_heartbeat() -> Column:
     """An alert without a type is no heartbeat."""
     return ~F.col("type").eqNullSafe("heartbeat")
