@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import endpoint as EP
+from ..operators import endpoint_event as EE
 from ..operators import firewall as fw
+from ..operators.dictionary import Ledger
 
 TOPIC_SCHEMA = "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, value STRING"
 
@@ -163,14 +166,27 @@ def quarantine(df: DataFrame, path: str, reason: str, batch_id: int) -> None:
 
 # --- flows driven per micro-batch ------------------------------------------------------------
 
-def standardise_stream(topic_stream: DataFrame, flow: Callable[[DataFrame], DataFrame], out_root: str,
-                       checkpoint: str, partition_cols: tuple[str, ...] = ("dt",)):
+def standardise_stream(topic_stream: DataFrame, flow: Callable[..., DataFrame], out_root: str,
+                       checkpoint: str, partition_cols: tuple[str, ...] = ("dt",), numbered: bool = False):
     """Run a batch flow (sensor or endpoint standardisation -- anything that maps a topic
     frame to rows with a ``route`` column and a ``timestamp``) on every micro-batch and
     write it routed by verdict and day.  The same operator code serves batch and stream;
     ``foreachBatch`` lets the flow use joins with static dimensions and writes that a plain
-    streaming sink would not allow."""
+    streaming sink would not allow.  A ``numbered`` flow gets the batch id as well."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = flow(batch).withColumn("dt", F.to_date("timestamp"))
+        out = (flow(batch, batch_id) if numbered else flow(batch)).withColumn("dt", F.to_date("timestamp"))
         routed_writer(out_root, "route", partition_cols)(out, batch_id)
     return topic_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def endpoint_flow(ledger: Ledger, details: DataFrame, gate: Callable[[DataFrame], DataFrame] = lambda d: d) -> Callable[[DataFrame, int], DataFrame]:
+    """The endpoint standardisation of one micro-batch, for ``standardise_stream(..., numbered=True)``: unseen
+    techniques get their ids from ``ledger`` under the batch's id, and the batch sees the claims up to its own, so
+    that a replay writes the same events."""
+    def flow(batch: DataFrame, batch_id: int) -> DataFrame:
+        events = gate(EP.decode(batch)[0])
+        ledger.claim(EP.seen_techniques(events), batch_id, "attck_content")
+        known = ledger.read(until=batch_id).select(F.col("id").alias("attck_id"), F.col("name").alias("attck_content"))
+        std = EP.standardise(EP.split_files(events), known, details)
+        return EE.standard_event(std, "timestamp")
+    return flow
