@@ -80,6 +80,7 @@ def test_only_the_changes_are_shuffled(spark, warehouse):
         more = spark.range(3990, 4010).select(F.col("id").cast("string").alias("device_id"), F.lit("t").alias("device_type_id"), F.lit(T0 + dt.timedelta(1)).alias("last_seen"))
         out = t.merged(more)
         assert out.count() == 4010
+        assert out.where("_op <> 'keep' AND last_seen = timestamp'2024-01-02'").count() == 20
         plan = out._jdf.queryExecution().executedPlan().toString()
         initial = plan.split("Initial Plan")[-1]
         lines = initial.splitlines()

@@ -45,6 +45,19 @@ def sync(cmdb_assets: DataFrame, asset_ips: DataFrame) -> DataFrame:
                     action.alias("action"), F.lit("3").alias("source"))
 
 
+def sync_tables(actions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """UPS-25: what a sync changes in the tables of assets, addresses and source records.  An address that the
+    CMDB lists twice is one asset; its last name and person in order count."""
+    rows = actions.where("action <> 'skipped'").groupBy("cmdb_ip").agg(F.max(F.struct("asset_name", "use_person", "asset_id", "action")).alias("r")).select("cmdb_ip", "r.*")
+    blank = {c: F.lit(v) for c, v in (("node_id", "1"), ("type_id", "1"), ("asset_level", "3"), ("asset_label", ""), ("source", "3"), ("create_person", "cmdb"),
+                                      ("register_state", "0"), ("delete_state", "1"), ("fall_state", "0"))}
+    assets = rows.select("asset_id", "asset_name", "use_person", *(c.alias(n) for n, c in blank.items()))
+    new = rows.where("action = 'inserted'")
+    addresses = new.select("asset_id", F.col("cmdb_ip").alias("ip_addr"), F.lit("").alias("mac_addr"), F.lit("1").alias("group_id"))
+    records = new.select(F.col("asset_id").alias("map_asset_id"), F.lit("3").alias("asset_source"), F.col("asset_id").alias("first_asset_id"))
+    return assets, addresses, records
+
+
 def sync_counters(actions: DataFrame) -> DataFrame:
     """AGG-21: with ip, without ip, inserted, updated."""
     return actions.agg(F.count_if(F.col("action") != "skipped").alias("with_ip"),

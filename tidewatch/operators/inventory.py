@@ -357,8 +357,8 @@ def vulnerability_rewrite(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
 
 # --- ACD_organization: UPS-01, FLT-24 ----------------------------------------------------
 
-def org_nodes(topic: DataFrame) -> DataFrame:
-    """Company and department nodes, ids suffixed with the reporting server's address;
+def org_node_changes(topic: DataFrame) -> DataFrame:
+    """Company and department nodes as reported, ids suffixed with the reporting server's address;
     parent '0' means the root node '1'."""
     o = decode(topic, "ACD_organization")
     comp = o.select("server_ip", "timestamp", "offset", F.explode("org").alias("c"))
@@ -370,9 +370,12 @@ def org_nodes(topic: DataFrame) -> DataFrame:
         sfx(F.col("g.gid")).alias("node_id"), F.col("g.gname").alias("node_name"),
         F.when(F.col("g.pid") == "0", F.lit(C.DEFAULT_NODE_ID)).otherwise(sfx(F.col("g.pid"))).alias("parent_node_id"),
         F.lit("2").alias("node_type_id"), "timestamp", "offset")
-    rows = companies.unionByName(deps)
-    return U.latest_per_key(rows, ["node_id"], ["timestamp", "offset"]) \
-        .drop("timestamp", "offset")
+    return companies.unionByName(deps)
+
+
+def org_nodes(topic: DataFrame) -> DataFrame:
+    """The last report of each node."""
+    return U.latest_per_key(org_node_changes(topic), ["node_id"], ["timestamp", "offset"]).drop("timestamp", "offset")
 
 
 def attach_org(changes: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, name: str, root: str, schema: str, keys: Sequence[str], update: Sequence[str],
                  newest_first: Sequence[str] = (), defaults: dict[str, Column] | None = None, buckets: int = 64):
         """``root``: the folder of all versions and the manifest; ``update``: columns that a change sets;
-        ``newest_first``: columns of the changes, not of the table, that say which change of a key is the last."""
+        ``newest_first``: columns of the changes that say which change of a key is the last."""
         self.spark, self.name, self.root, self.schema = spark, name, root.rstrip("/"), schema
         self.keys, self.update, self.newest_first, self.defaults, self.buckets = list(keys), list(update), list(newest_first), defaults, buckets
 
@@ -77,14 +77,18 @@ class SnapshotTable:
 
     def merged(self, changes: DataFrame) -> DataFrame:
         """The next version: the newest one with ``changes``, and ``_op``."""
+        entries = self._entries()
+        return self.merge(self.read(), changes, entries[-1]["buckets"] if entries else self.buckets)
+
+    def merge(self, snapshot: DataFrame, changes: DataFrame, buckets: int) -> DataFrame:
+        """Any rows of this table's columns as the snapshot, and the last change of each key."""
         keyed = changes.where(" AND ".join(f"`{k}` IS NOT NULL" for k in self.keys))
         if self.newest_first:
-            keyed = U.latest_per_key(keyed, self.keys, self.newest_first).drop(*[c for c in self.newest_first if c not in self.keys])
-        entries = self._entries()
-        n = entries[-1]["buckets"] if entries else self.buckets
+            keyed = U.latest_per_key(keyed, self.keys, self.newest_first)
+            keyed = keyed.drop(*[c for c in self.newest_first if c not in (*self.keys, *self.update)])
         # bound, so that a key that is the same in all changes stays a part of the join's key, as it is of the buckets'
         keyed = bind(keyed, **{k: F.col(k) for k in self.keys})
-        return U.upsert(self.read(), keyed.repartition(n, *self.keys), self.keys, self.update, self.defaults)
+        return U.upsert(snapshot, keyed.repartition(buckets, *self.keys), self.keys, self.update, self.defaults)
 
     def apply(self, batch, changes: DataFrame) -> dict:
         """Merges the changes of ``batch`` once and returns the manifest's entry for the batch."""

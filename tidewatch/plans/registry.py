@@ -29,4 +29,4 @@ def register(name: str, oracle: str | None = None, covers: tuple[str, ...] = ())
 def load_all() -> None:
     """Import every plan module so their ``register`` calls run."""
     from . import (asset_queries, endpoint_queries, firewall_queries, inventory_queries,  # noqa: F401
-                   metrics_queries, misc_queries, quality_queries, sensor_queries, sidefeed_queries)
+                   metrics_queries, misc_queries, quality_queries, sensor_queries, sidefeed_queries, table_queries)
