@@ -122,6 +122,19 @@ def pair_file_streams(xml_meta: DataFrame, captures: DataFrame, within: str = "1
     return x.join(c, cond).select("x.*", "c.pcap_path", "c.pcap_time")
 
 
+def pair_or_quarantine(xml_meta: DataFrame, captures: DataFrame, within: str = "1 hour") -> DataFrame:
+    """STR-10 without loss: the pairs, and each half that found no partner, once the watermark says that none
+    can come, with the ``reason`` for the quarantine (null for a pair).  Halves further apart than ``within`` are two
+    such rows.  The result goes to an append sink; the state holds what lies within the watermark."""
+    x = xml_meta.withWatermark("xml_time", within).alias("x")
+    c = captures.withWatermark("pcap_time", within).alias("c")
+    cond = F.expr(f"x.stem = c.stem AND c.pcap_time BETWEEN x.xml_time - INTERVAL {within} "
+                  f"AND x.xml_time + INTERVAL {within}")
+    reason = F.when(F.col("c.stem").isNull(), "no_capture").when(F.col("x.stem").isNull(), "no_metadata")
+    rest = [F.col(f"x.{n}") for n in xml_meta.columns if n != "stem"]
+    return x.join(c, cond, "fullOuter").select(F.coalesce("x.stem", "c.stem").alias("stem"), *rest, "c.pcap_path", "c.pcap_time", reason.alias("reason"))
+
+
 # --- sinks -----------------------------------------------------------------------------------
 
 def late_rows(batch: DataFrame, newest_before, bound: str, ts_col: str = "timestamp") -> DataFrame:
