@@ -125,3 +125,11 @@ def test_syslog_line(spark):
     assert (r["PRI"], r["HEADER"], r["PID"], r["OWNER"], r["MSG"]) == ("12", "Oct  9 22:33:20 host1", "[12]", "app",
                                                                        "disk full")
     assert one(spark, T.parse_syslog_line(F.col("x")), "not a syslog line") is None
+
+
+def test_group_separator_in_a_line_shifts_nothing(spark):
+    from tidewatch.functions import text as T
+
+    pattern = r"(?P<a>\w+)=(?P<b>.*?) (?P<c>\w+)"
+    df = spark.createDataFrame([("k=x\u0001y z rest",)], "s string")
+    assert df.select(T.extract_groups(F.col("s"), pattern, ["a", "b", "c"]).alias("g")).first().g == ["k", "xy", "z"]

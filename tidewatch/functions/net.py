@@ -27,12 +27,6 @@ def ip_to_long(ip) -> Column:
             .otherwise(folded)
 
 
-def long_to_ip(v) -> Column:
-    v = _c(v)
-    return F.concat_ws(".", *[F.shiftright(v, s).bitwiseAND(255).cast("string")
-                              for s in (24, 16, 8, 0)])
-
-
 def ip_literal_to_long(ip: str) -> int:
     a, b, c, d = (int(x) for x in ip.split("."))
     return ((a * 256 + b) * 256 + c) * 256 + d

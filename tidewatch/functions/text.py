@@ -43,10 +43,10 @@ GROUP_SEP = "\u0001"
 
 def extract_groups(s, pattern: str, names: list[str]) -> Column:
     """All named groups of one anchored match in a single regex pass: the match (plus the
-    rest of the text) is replaced by the groups joined with U+0001, then split.  Only
-    meaningful where the pattern is known to match (guard with ``match_start``)."""
+    rest of the text) is replaced by the groups joined with U+0001, then split; that character is taken out of
+    the text first.  Only meaningful where the pattern is known to match (guard with ``match_start``)."""
     repl = GROUP_SEP.join("$" + str(group_index(pattern, n)) for n in names)
-    joined = F.regexp_replace(_c(s), anchored(pattern) + "(?s:.*)$", repl)
+    joined = F.regexp_replace(F.translate(_c(s), GROUP_SEP, ""), anchored(pattern) + "(?s:.*)$", repl)
     return F.split(joined, GROUP_SEP, -1)
 
 
@@ -81,10 +81,6 @@ def url_authority(url) -> Column:
     return F.regexp_extract(_c(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
 
 
-def domain_or_authority(domain, url) -> Column:
-    return F.when(F.coalesce(_c(domain), F.lit("")) == "", url_authority(url)).otherwise(_c(domain))
-
-
 def malware_category(name) -> Column:
     """Category of ``category[behaviour]/family``: text before '/' and before '[' (SCL-08)."""
     head = F.split_part(F.coalesce(_c(name), F.lit("")), F.lit("/"), F.lit(1))
@@ -146,11 +142,6 @@ def rowkey_md5_mid(s) -> Column:
     return F.substring(F.md5(_c(s).cast("string")), 9, 16)
 
 
-def stable_asset_id(*cols) -> Column:
-    """``upper(md5(natural key))`` (SCL-14/15, Q1)."""
-    return F.upper(F.md5(F.concat(*[_c(c).cast("string") for c in cols])))
-
-
 def dotted_part(s, i: int) -> Column:
     """1-based part of a dot-separated label (SCL-16); NULL when absent."""
     return F.get(F.split(_c(s), r"\."), i - 1)

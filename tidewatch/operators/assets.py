@@ -173,7 +173,8 @@ def attribute_org(addresses: DataFrame, node_networks: DataFrame,
 def device_node(records: DataFrame, devices: DataFrame, device_col: str) -> DataFrame:
     """Reporting device -> its node id, default node when unknown."""
     d = devices.select(F.col("device_id").alias("_dev"), F.col("node_id").alias("device_node_id")) \
-        .groupBy("_dev").agg(F.min("device_node_id").alias("device_node_id"))
+        .groupBy("_dev").agg(F.min("device_node_id").alias("device_node_id")) \
+        .select(F.concat("_dev", F.lit("")).alias("_dev"), "device_node_id")  # a key of its own, as in ip_to_asset
     out = records.join(d, records[device_col] == d["_dev"], "left").drop("_dev")
     return out.withColumn("device_node_id", F.coalesce("device_node_id", F.lit(C.DEFAULT_NODE_ID)))
 
@@ -249,4 +250,5 @@ def asset_by_source_id(records: DataFrame, source_records: DataFrame, id_col: st
     """Superseded variant of the endpoint enrichment: the asset found through the
     source-record map (external agent id -> first asset id) instead of the address."""
     m = source_records.groupBy(F.col("map_asset_id").alias("_mid")).agg(F.min("first_asset_id").alias("mapped_asset_id"))
+    m = m.select(F.concat("_mid", F.lit("")).alias("_mid"), "mapped_asset_id")  # a key of its own, as in ip_to_asset
     return records.join(m, records[id_col] == m["_mid"], "left").drop("_mid")

@@ -79,6 +79,11 @@ def resolve_client(df: DataFrame, ip_lookup: DataFrame) -> DataFrame:
     return _with_asset(df.join(hit, F.col("client.ip") == F.col("_ip"), "left").drop("_ip"), "client.uuid")
 
 
+def allowed(messages: DataFrame, allow: tuple[str, ...]) -> DataFrame:
+    """FLT-12: messages of the allow-listed endpoint servers; ``-1`` = all."""
+    return messages if "-1" in allow else messages.filter(F.col("client.server_ip").isin(*allow))
+
+
 def orphans(resolved: DataFrame, reason: str = "unknown_address") -> DataFrame:
     """SNK-05: messages whose address belongs to no asset go back for another attempt: software,
     ports, services and processes are never attached to an invented asset."""
@@ -181,9 +186,9 @@ def server_registry(changes: DataFrame) -> DataFrame:
 
 # --- ACD_software_info: UPS-06/07/08/09, FLT-19, JOIN-26, SET-03 --------------------------
 
-def software_reports(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
-    """Messages with their asset; ``orphans`` has those of no asset."""
-    return resolve_client(decode(topic, "ACD_software_info"), ip_lookup)
+def software_reports(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
+    """Messages of allowed endpoint servers with their asset; ``orphans`` has those of no asset."""
+    return resolve_client(allowed(decode(topic, "ACD_software_info"), allow), ip_lookup)
 
 
 def reported_software(reports: DataFrame) -> DataFrame:
@@ -247,10 +252,7 @@ def _none(c):
 def hardware_messages(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
     """Messages of allowed endpoint servers (``-1`` = all) with their asset; ``orphans`` has
     those of no asset."""
-    h = decode(topic, "ACD_hardware_info")
-    if "-1" not in allow:
-        h = h.filter(F.col("client.server_ip").isin(*allow))
-    return resolve_client(h, ip_lookup)
+    return resolve_client(allowed(decode(topic, "ACD_hardware_info"), allow), ip_lookup)
 
 
 def hardware_rows(messages: DataFrame) -> DataFrame:
@@ -313,36 +315,36 @@ def hardware_state(snapshot: DataFrame, rows: DataFrame) -> DataFrame:
 
 # --- ports / services / processes / vulnerabilities: UPS-18..21, SNK-10 -------------------
 
-def host_messages(topic: DataFrame, name: str, ip_lookup: DataFrame) -> DataFrame:
-    """One host topic's messages with their asset; ``orphans`` has those of no asset."""
-    return resolve_client(decode(topic, name), ip_lookup)
+def host_messages(topic: DataFrame, name: str, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
+    """One host topic's messages of allowed endpoint servers with their asset; ``orphans`` has those of no asset."""
+    return resolve_client(allowed(decode(topic, name), allow), ip_lookup)
 
 
-def host_rows(topic: DataFrame, name: str, list_col: str, ip_lookup: DataFrame) -> DataFrame:
-    d = host_messages(topic, name, ip_lookup).filter("asset_known")
+def host_rows(topic: DataFrame, name: str, list_col: str, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
+    d = host_messages(topic, name, ip_lookup, allow).filter("asset_known")
     return d.select("asset_id", "timestamp", "offset", F.explode(list_col).alias("x"))
 
 
-def ports(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
+def ports(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
     """UPS-20: port rows; the -1 port sentinel becomes NULL (FLT-21)."""
-    r = host_rows(topic, "ACD_host_ports", "portinfos", ip_lookup)
+    r = host_rows(topic, "ACD_host_ports", "portinfos", ip_lookup, allow)
     return r.select("asset_id", "offset", F.col("x.sip").alias("sip"), F.col("x.dip").alias("dip"),
                     F.col("x.proto").alias("proto"), F.col("x.proc").alias("proc"),
                     F.nullif(F.col("x.sport"), F.lit(-1)).alias("sport"),
                     F.nullif(F.col("x.dport"), F.lit(-1)).alias("dport"))
 
 
-def services(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
+def services(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
     """UPS-18: service rows with the executable path cleaned (SCL-21)."""
-    r = host_rows(topic, "ACD_host_service", "serviceinfo", ip_lookup)
+    r = host_rows(topic, "ACD_host_service", "serviceinfo", ip_lookup, allow)
     return r.select("asset_id", "offset", F.col("x.service").alias("service"), F.col("x.name").alias("name"),
                     T.service_path(F.col("x.path")).alias("path"), F.col("x.status").alias("status"),
                     F.col("x.systime").alias("systime"))
 
 
-def processes(topic: DataFrame, ip_lookup: DataFrame) -> DataFrame:
+def processes(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, ...] = ("-1",)) -> DataFrame:
     """UPS-19: process rows."""
-    r = host_rows(topic, "ACD_host_proc", "porcinfos", ip_lookup)
+    r = host_rows(topic, "ACD_host_proc", "porcinfos", ip_lookup, allow)
     return r.select("asset_id", "offset", F.col("x.pid").alias("pid"), F.col("x.proc").alias("proc"),
                     F.col("x.status").alias("status"), F.col("x.systime").alias("systime"))
 

@@ -92,22 +92,37 @@ def log_type_matrix(normalised: DataFrame, types: Sequence[str]) -> DataFrame:
         F.count_if(~F.coalesce(kind.isin(*types), F.lit(False))).alias("other"))
 
 
-# --- presence: STR-06/07/08, SET-01, SCL-26 ----------------------------------------------
+# --- presence: STR-06/07/08, SET-01, SCL-26, SRC-19 ----------------------------------------
+
+def heartbeat_scores(listings: DataFrame) -> DataFrame:
+    """SRC-19: listings (family, timestamp, value) whose value is a JSON object with a key for each device that
+    answered -> one row (family, device, ts) for each; the score of a device is the time of the listing in whole
+    seconds.  A listing that isn't an object has no devices."""
+    keys = F.map_keys(F.from_json("value", "map<string,string>"))
+    return listings.select("family", F.explode(keys).alias("device"), F.date_trunc("second", "timestamp").alias("ts"))
+
+
+def scored_between(scores: DataFrame, low: Column, high: Column) -> DataFrame:
+    """Devices whose newest score lies between two times, both included.  Older rows can't be the newest of a
+    device inside, so they are left out before the aggregate."""
+    newest = scores.where(F.col("ts") >= low).groupBy("family", "device").agg(F.max("ts").alias("ts"))
+    return newest.where(F.col("ts") <= high)
+
 
 def presence_by_data(last_seen: DataFrame, as_of: Column, minutes: int = C.PRESENCE_DATA_MINUTES) -> DataFrame:
     """STR-06: a device is online when its last data is less than ``minutes`` old
-    (epoch arithmetic as in the reference: last + window > now)."""
+    (epoch arithmetic as in the reference: last + window > now).  Any report within the window will do, so
+    ``last_seen`` may hold all of them or only the last ones."""
     return last_seen.filter(F.unix_timestamp("last_seen") + F.lit(minutes * 60) > F.unix_timestamp(as_of)) \
         .select("family", "device", F.lit("data").alias("via"))
 
 
 def presence_by_heartbeat(heartbeats: DataFrame, as_of: Column,
                           minutes: int = C.PRESENCE_HEARTBEAT_MINUTES) -> DataFrame:
-    """STR-07: last heartbeat within [as_of - minutes, as_of], both ends inclusive."""
-    lb = heartbeats.groupBy("family", "device").agg(F.max("ts").alias("last_heartbeat"))
-    lo = F.unix_timestamp(as_of) - F.lit(minutes * 60)
-    return lb.filter(F.unix_timestamp("last_heartbeat").between(lo, F.unix_timestamp(as_of))) \
-        .select("family", "device", F.lit("heartbeat").alias("via"))
+    """STR-07: last heartbeat within [as_of - minutes, as_of], both ends inclusive, in whole seconds."""
+    scores = heartbeats.select("family", "device", F.date_trunc("second", "ts").alias("ts"))
+    low = F.timestamp_seconds(F.unix_timestamp(as_of) - F.lit(minutes * 60))
+    return scored_between(scores, low, F.date_trunc("second", as_of)).select("family", "device", F.lit("heartbeat").alias("via"))
 
 
 def online_set(by_data: DataFrame, by_heartbeat: DataFrame) -> DataFrame:

@@ -113,6 +113,19 @@ def fw_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("extras").cast("long").alias("n_extras"))
 
 
+@register("fw_topic_records", covers=("SNK-01",), oracle=f"""
+WITH {FW_CTE}
+SELECT fire_host, vendor, log_type, sip, dip, key_is_rowkey, n FROM (
+  SELECT host AS fire_host, vendor, log_type, sip, dip, true AS key_is_rowkey, CAST(count(*) AS BIGINT) AS n FROM fwa WHERE accepted GROUP BY ALL)
+""")
+def fw_topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outgoing topic, read back: how many records carry each pair of addresses under their own key."""
+    records = fw.to_topic_records(fw.normalise(classified(spark, sf_dir)))
+    field = lambda n: F.get_json_object("value", f"$.{n}").alias(n)
+    back = records.select("key", *(field(n) for n in ("rowkey", "fire_host", "vendor", "log_type", "sip", "dip")))
+    return back.groupBy("fire_host", "vendor", "log_type", "sip", "dip", (F.col("key") == F.col("rowkey")).alias("key_is_rowkey")).agg(F.count("*").alias("n"))
+
+
 @register("fw_quarantine_reasons", covers=("SNK-05", "SNK-06", "STR-13", "Q16"), oracle=f"""
 WITH {FW_CTE}
 SELECT coalesce(vendor, '') AS vendor,

@@ -210,6 +210,20 @@ def inv_host_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("topic", "offset", "uuid", "ip", "reason", "attempts")
 
 
+@register("inv_hardware_orphans", covers=("SNK-05", "UPS-10", "FLT-12"), oracle=f"""
+WITH {O.ASSETS}, {O.ASSET_IPS},
+ip2a AS (SELECT DISTINCT i.ip_addr FROM asset_ips i JOIN assets a ON a.asset_id = i.asset_id WHERE a.delete_state = '1'),
+h AS (SELECT p_partkey, concat('10.', p_partkey // 256, '.', p_partkey % 256, '.1') AS ip FROM part WHERE p_partkey % 4 <> 3)
+SELECT 'ACD_hardware_info' AS topic, concat('agent-', p_partkey) AS uuid, ip, 'unknown_address' AS reason, 1 AS attempts
+FROM h WHERE ip NOT IN (SELECT ip_addr FROM ip2a)
+""")
+def inv_hardware_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hardware messages of three of the four endpoint servers whose address no asset has."""
+    servers = tuple(f"192.0.2.{k}" for k in range(3))
+    messages = INV.hardware_messages(SI.hardware_info(spark, sf_dir), _ctx(spark, sf_dir), servers)
+    return INV.orphans(messages).select("topic", "uuid", "ip", "reason", "attempts")
+
+
 @register("inv_software_library", covers=("UPS-06",), oracle=f"""
 WITH {O.ASSETS}, {O.ASSET_IPS}, {O.SOFT},
 {SOFT_CTE},

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..operators import endpoint as EP
 from ..operators import firewall as fw
 from ..operators import metrics as M
@@ -124,14 +125,17 @@ def report_fw_log_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.log_type_matrix(fw.normalise(classified(spark, sf_dir)), LOG_TYPES)
 
 
-def _seen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    c = classified(spark, sf_dir).filter(F.col("vendor").isNotNull() & F.col("host").isNotNull())
+def _seen(spark: SparkSession, sf_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
+    """First and last report of each device, and the heartbeats; of the topics' messages from ``since`` on."""
+    topics = derive.table(spark, sf_dir, "events")
+    topics = topics if since is None else topics.where(F.col("ts") >= since)
+    c = fw.run(derive.firewall_topic(topics)).filter(F.col("vendor").isNotNull() & F.col("host").isNotNull())
     fwseen = c.groupBy(F.col("vendor").alias("family"), F.col("host").alias("device")).agg(
         F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
-    d = _sensor_decoded(spark, sf_dir)
+    d = S.decode_batches(derive.sensor_topic(topics))
     snseen = d.groupBy(F.lit("ptd").alias("family"), F.col("dev").alias("device")).agg(
         F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
-    events = EP.gate(EP.decode(derive.endpoint_topic(derive.table(spark, sf_dir, "events")))[0], EQ.PARAMS)
+    events = EP.gate(EP.decode(derive.endpoint_topic(topics))[0], EQ.PARAMS)
     epseen = events.groupBy(F.lit("iep").alias("family"), F.col("client.uuid").alias("device")).agg(
         F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"))
     hbs = d.filter(F.col("type") == "heartbeat").select(F.lit("ptd").alias("family"), F.col("dev").alias("device"),
@@ -159,11 +163,26 @@ byhb AS (SELECT 'ptd' AS family, dev AS device FROM sn WHERE NOT not_hb GROUP BY
 SELECT family, device FROM bydata UNION SELECT family, device FROM byhb
 """)
 def presence_online(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen, hbs = _seen(spark, sf_dir)
     as_of = F.lit(AS_OF).cast("timestamp")
+    # only messages of the window are decoded: the newest of a device that is online is one of them
+    seen, hbs = _seen(spark, sf_dir, since=F.timestamp_seconds(F.unix_timestamp(as_of) - F.lit(C.PRESENCE_DATA_MINUTES * 60)))
     return M.online_set(M.presence_by_data(seen, as_of), M.presence_by_heartbeat(hbs, as_of))
 
 
+@register("presence_listings", covers=("SRC-19", "STR-07"), oracle=f"""
+WITH {SN_CTE}
+SELECT 'ptd' AS family, dev AS device, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_score FROM sn WHERE NOT not_hb AND event_id % 50 <> 49
+GROUP BY dev HAVING epoch(date_trunc('second', max(ts))) BETWEEN epoch(TIMESTAMP '{AS_OF}') - 120 * 60 AND epoch(TIMESTAMP '{AS_OF}')
+""")
+def presence_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices that a heartbeat listing of the last two hours names, with the newest one's time."""
+    as_of = F.lit(AS_OF).cast("timestamp")
+    scores = M.heartbeat_scores(derive.heartbeat_listings(derive.table(spark, sf_dir, "events")))
+    low = F.timestamp_seconds(F.unix_timestamp(as_of) - F.lit(C.PRESENCE_HEARTBEAT_MINUTES * 60))
+    out = M.scored_between(scores, low, as_of)
+    return out.select("family", "device", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("last_score"))
+
+
 @register("device_registry", covers=("UPS-26", "UPS-27", "AGG-11", "AGG-19"), oracle=f"""
 WITH {SEEN_CTE}
 SELECT device, upper(md5(family)) AS device_type_id, family,

@@ -227,6 +227,15 @@ def sensor_topic(events: DataFrame) -> DataFrame:
     )
 
 
+def heartbeat_listings(events: DataFrame) -> DataFrame:
+    """One listing for each heartbeat: a JSON object whose keys are the sensors that answered, here the
+    sensor of the row and a state that nobody reads; every 50th is not an object."""
+    e, u = F.col("event_id"), F.col("user_id")
+    value = F.to_json(F.create_map(F.concat(F.lit("dev"), _s(u % 8)), F.lit("up")))
+    return events.where("event_type = 'signup'").select(
+        F.lit("ptd").alias("family"), F.col("ts").cast("timestamp").alias("timestamp"), F.when(e % 50 == 49, "[]").otherwise(value).alias("value"))
+
+
 # --- endpoint agent events ----------------------------------------------------------------
 
 ENDPOINT_TYPES = ["eventlog", "eventlog", "eventlog", "virus_defend", "virus_detect", "active_protect",

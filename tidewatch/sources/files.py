@@ -59,10 +59,3 @@ def newest_segment(lines: DataFrame) -> DataFrame:
     seg = lines.withColumn("seg_date", F.regexp_extract("file", ROTATED_LOG_RE, 1)).filter(F.col("seg_date") != "")
     newest = seg.agg(F.max("seg_date").alias("seg_date"))
     return seg.join(newest, "seg_date", "left_semi")
-
-
-def log_stream(spark: SparkSession, root: str) -> DataFrame:
-    """SRC-08 follow mode: new (rotated) segments are picked up as they appear.  Spark's
-    file source does not tail appends to an open file; segments are read once complete."""
-    return spark.readStream.option("recursiveFileLookup", "true").text(root) \
-        .select(local_path(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("line"))
