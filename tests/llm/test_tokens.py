@@ -23,17 +23,18 @@ ALPHABET = [*"abcdeABCxyz'''sd0123 \t\n\n   .,!?=<>|-_", "é", "ß", " ", "̸",
             "<|endoftext|>", "'re", "'ll", "\r\n", "½", "​", "\x0b"]
 
 
+LITERALS = ["  <|endoftext|>  x", "<|endof", "text|>", "a<|endoftext|><|endoftext|>b", "<|endoftext|", "\t<|endoftext|>\n\n", "x <|startoftext|>é", "<|ENDOFTEXT|>",
+            "<<|endoftext|>>", "<|endoftext|><|startoftext|> <|endoftext|>"]
+
+
 def texts(n=400):
     rng = random.Random(5)
-    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randrange(0, 60))) for _ in range(n)] + [None, "", "a" * 9000, "ab" * 3000, " " * 900, "日本" * 900]
+    return ["".join(rng.choice(ALPHABET) for _ in range(rng.randrange(0, 60))) for _ in range(n)] + [None, "", "a" * 9000, "ab" * 3000, " " * 900, "日本" * 900, *LITERALS]
 
 
 @pytest.fixture(scope="module")
 def library():
-    out = {n: Tokenizer.from_file(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
-    for t in out.values():
-        t.encode_special_tokens = True
-    return out
+    return {n: Tokenizer.from_file(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +50,7 @@ def all_ids(values, pieces, cache):
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_pieces_give_the_library_ids(library, name):
-    pieces = tokens.word_pieces if name.startswith("word") else tokens.byte_level_pieces
+    pieces = tokens.library_pieces(public_tokenizers.path(name), tokens.word_pieces if name.startswith("word") else tokens.byte_level_pieces)
     have = all_ids(texts(), pieces, tokens.PieceCache(tokens.library_encoder(public_tokenizers.path(name))))
     assert have == [e.ids for e in library[name].encode_batch([t or "" for t in texts()], add_special_tokens=False)]
 
@@ -79,6 +80,15 @@ def test_bpe_columns_and_empty_table(spark):
     assert bpe.encode(with_clashes(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_the_cache_keeps_very_many_ids_of_a_piece():
+    cache = tokens.PieceCache(lambda batch: [range(70_000) if b == b"long" else [1] for b in batch])
+    keys = np.array([3, 9], np.uint64)
+    for _ in range(2):
+        start, size = cache.look_up(keys, lambda new: [[b"long", b"x"][i] for i in new])
+        assert size.tolist() == [70_000, 1]
+        assert cache.pool[start[1]] == 1
+
+
 def best_cost(place, penalty, size):
     cost = {0: 0}
     for p, c in zip(place, penalty, strict=True):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .tokens import byte_level_pieces, cache_for, encode_texts, library_encoder
+from .tokens import byte_level_pieces, cache_for, encode_texts, library_encoder, library_pieces
 
 #: Ids that are planned together; a stream is planned in stretches of at least so many, cut at document ends.
 STRETCH = 1_500_000
@@ -100,7 +100,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", si
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
-        cache = cache_for("library", path, library_encoder)
+        cache, pieces = cache_for("library", path, library_encoder), library_pieces(path, byte_level_pieces)
         ends_sentence = sentence_ends(path)
         held_keys: list[pa.Array] = []
         held_ids: list[np.ndarray] = []
@@ -128,7 +128,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", si
 
         held = 0
         for batch in batches:
-            for row, ids, offsets in encode_texts(batch.column(1), byte_level_pieces, cache):
+            for row, ids, offsets in encode_texts(batch.column(1), pieces, cache):
                 n = len(offsets) - 1
                 sizes = np.diff(offsets) + 1
                 held_keys.append(batch.column(0).slice(row, n))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .rangecoder import BLOCK_IDS, pack_blocks, unpack_blocks
-from .tokens import cache_for, encode_texts, library_encoder, word_pieces
+from .tokens import cache_for, encode_texts, library_encoder, library_pieces, word_pieces
 
 #: Blocks that are coded in step: enough to spread numpy's cost per call, few enough for 100 MB of state.
 LANES = 1_024
@@ -37,7 +37,7 @@ def write(docs: DataFrame, path: str, pieces=word_pieces, key: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = TaskContext.get().partitionId()
-        cache = cache_for("library", path, library_encoder)
+        cache, whole = cache_for("library", path, library_encoder), library_pieces(path, pieces)
         keys, ids, sizes = [], [], []
         held, block, first, ordinal, carried = 0, 0, 0, 0, 0
 
@@ -73,7 +73,7 @@ def write(docs: DataFrame, path: str, pieces=word_pieces, key: str = "doc_id", t
             held = len(stream) - n
 
         for batch in batches:
-            for row, x, offsets in encode_texts(batch.column(1), pieces, cache):
+            for row, x, offsets in encode_texts(batch.column(1), whole, cache):
                 m = len(offsets) - 1
                 keys.append(batch.column(0).slice(row, m))
                 ids.append(np.insert(x, offsets[1:], end_id))

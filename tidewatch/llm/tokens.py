@@ -11,6 +11,7 @@ are those of its pieces one after another.  Such places need no Unicode tables:
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -111,6 +112,7 @@ class PieceCache:
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
     def look_up(self, keys: np.ndarray, bytes_of: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,12 +129,11 @@ class PieceCache:
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             begin = len(self.pool) + np.cumsum(sizes) - sizes
             self.pool = np.concatenate([self.pool, np.fromiter((x for one in ids for x in one), np.uint32, int(sizes.sum()))])
-            packed = begin << 24 | sizes  # a piece of 16 million ids is far beyond one text's size
             self.keys = np.insert(self.keys, at[new], keys[new])
-            self.start = np.insert(self.start, at[new], packed)
+            self.start = np.insert(self.start, at[new], begin)
+            self.size = np.insert(self.size, at[new], sizes)
             at = np.searchsorted(self.keys, keys)
-        packed = self.start[at]
-        return packed >> 24, packed & 0xFFFFFF
+        return self.start[at], self.size[at]
 
 
 def encode_texts(texts: pa.Array, pieces: Callable, cache: PieceCache) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -152,18 +153,26 @@ _tokenizers: dict[str, object] = {}
 
 
 def library_encoder(path: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Ids of pieces by the tokenizers library, without special tokens."""
+    """Ids of pieces by the tokenizers library, without special tokens around them; a piece that is the literal of
+    an added token gets its id, as by the library's default."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _tokenizers[path] = made
+        _tokenizers[path] = Tokenizer.from_file(path)
     tokenizer = _tokenizers[path]
     return lambda batch: [e.ids for e in tokenizer.encode_batch_fast([b.decode("utf-8") for b in batch], add_special_tokens=False)]
 
 
+def library_pieces(path: str, pieces: Callable) -> Callable:
+    """``pieces`` that keep the literals of the vocabulary's added tokens whole."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in added):
+        raise ValueError("added tokens with conditions")
+    return with_literals(pieces, [a["content"].encode() for a in added])
+
+
 _caches: dict[tuple, PieceCache] = {}
 
 
