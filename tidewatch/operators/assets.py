@@ -37,6 +37,31 @@ def ip_to_asset(asset_ips: DataFrame, assets: DataFrame | None = None,
     return one.select(F.concat("ip_addr", F.lit("")).alias("ip_addr"), "asset_id")
 
 
+#: Leading bits of an address that choose the partition of the address table.
+NET_BITS = 16
+
+
+def write_address_table(asset_ips: DataFrame, path: str) -> None:
+    """The address table laid out for ``lookup_for``: a partition for each network of 2^16 addresses; addresses that are
+    none are in the partition -1."""
+    net = F.coalesce(F.shiftright(N.ip_to_long(F.col("ip_addr")), 32 - NET_BITS), F.lit(-1)).cast("int")
+    asset_ips.select("asset_id", "ip_addr", net.alias("net")).repartition("net").write.mode("overwrite").partitionBy("net").parquet(path)
+
+
+def lookup_for(records: DataFrame, ip_cols: list[str], path: str, assets: DataFrame | None = None) -> DataFrame:
+    """JOIN-03: ``ip_to_asset`` of the addresses that a batch names, reading only their networks of the table at ``path``.
+
+    The batch's distinct networks come to the driver: at most 2^16 small numbers, whatever the batch.  They are
+    a filter on the table's partitions, so the scan opens no other file.  In them, the batch's
+    addresses are a semi join."""
+    wanted = records.select(F.explode(F.array(*[F.col(c) for c in ip_cols])).alias("ip_addr")).where("ip_addr IS NOT NULL").distinct()
+    nets = wanted.select(F.coalesce(F.shiftright(N.ip_to_long(F.col("ip_addr")), 32 - NET_BITS), F.lit(-1)).cast("int").alias("net")).distinct()
+    named = sorted(r.net for r in nets.collect())
+    table = records.sparkSession.read.schema("asset_id string, ip_addr string, net int").parquet(path)
+    near = table.where(F.col("net").isin(named)).select("asset_id", "ip_addr").join(wanted, "ip_addr", "left_semi")
+    return ip_to_asset(near, assets)
+
+
 # --- AGG-17 / AGG-18 / AGG-23 / JOIN-22 --------------------------------------------------
 
 def software_per_asset(installed: DataFrame) -> DataFrame:

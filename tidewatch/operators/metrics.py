@@ -82,6 +82,21 @@ def ops_matrix(df: DataFrame, device_col: str, devices: Sequence[str], metrics:
     return p.select("metric", *[F.coalesce(F.col(d), F.lit(0)).cast("long").alias(d) for d in names])
 
 
+def operations(rows: DataFrame, family: str, events: str, black: Column, counted: Column, asset: Column) -> DataFrame:
+    """AGG-15 for one flow: a row (family, device, metric, value) for each device that reported, listed or not, and each of its
+    figures.  ``rows``: one row for each event with device, ts, the message's ``part`` (0 for its first event, so
+    that messages are counted once) and what it gave; ``counted`` says which events were standardised and ``black``
+    which are black; ``asset`` is the asset that an event captured.  Everything is one aggregate: assets are
+    counted by a distinct count, which Spark does in two combined steps."""
+    first = F.col(events) == 0
+    g = rows.groupBy("device").agg(
+        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last_active"), F.count_if(first).cast("string").alias("origin_total"),
+        F.count_if(first & black).cast("string").alias("origin_black"), F.count_if(first & ~black).cast("string").alias("origin_gray"),
+        F.count_distinct(asset).cast("string").alias("asset_count"), F.count_if(counted & black).cast("string").alias("stand_black"),
+        F.count_if(counted & ~black).cast("string").alias("stand_gray"))
+    return g.select(F.lit(family).alias("family"), *g.columns).unpivot(["family", "device"], [c for c in g.columns if c != "device"], "metric", "value")
+
+
 def log_type_matrix(normalised: DataFrame, types: Sequence[str]) -> DataFrame:
     """AGG-16: per firewall device: total and per-log-type counts (both rows of the
     reference's computed-but-dropped pair are kept, Q14); unlisted types go to 'other'.

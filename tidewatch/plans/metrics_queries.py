@@ -114,6 +114,44 @@ def report_ops_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.ops_matrix(d, "dev", SENSORS, metrics)
 
 
+def _operations_sql() -> str:
+    metrics = ["last_active", "origin_total", "origin_black", "origin_gray", "asset_count", "stand_black", "stand_gray"]
+    return f"""
+WITH {SN_CTE}, {EP_CTE},
+ptd AS (
+  SELECT 'ptd' AS family, sn.dev AS device, strftime(max(sn.ts), '%Y-%m-%d %H:%M:%S') AS last_active, CAST(count(*) AS VARCHAR) AS origin_total,
+    CAST(count(*) FILTER (not_hb AND black) AS VARCHAR) AS origin_black, CAST(count(*) FILTER (not_hb AND NOT black) AS VARCHAR) AS origin_gray,
+    CAST(count(DISTINCT CASE WHEN not_hb THEN sip END) AS VARCHAR) AS asset_count, CAST(count(*) FILTER (not_hb AND black) AS VARCHAR) AS stand_black,
+    '0' AS stand_gray
+  FROM sn GROUP BY sn.dev),
+flagged AS (SELECT *, NOT (type = 'eventlog' AND v_name = '') AS bad, concat('192.0.2.', u % 4) AS device FROM epf),
+iep AS (
+  SELECT 'iep' AS family, device, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_active, CAST(count(*) FILTER (k = 1) AS VARCHAR) AS origin_total,
+    CAST(count(*) FILTER (k = 1 AND bad) AS VARCHAR) AS origin_black, CAST(count(*) FILTER (k = 1 AND NOT bad) AS VARCHAR) AS origin_gray,
+    CAST(count(DISTINCT u) AS VARCHAR) AS asset_count, CAST(count(*) FILTER (bad) AS VARCHAR) AS stand_black, CAST(count(*) FILTER (NOT bad) AS VARCHAR) AS stand_gray
+  FROM flagged GROUP BY device),
+wide AS (SELECT * FROM ptd UNION ALL SELECT * FROM iep)
+{" UNION ALL ".join(f"SELECT family, device, '{m}' AS metric, {m} AS value FROM wide" for m in metrics)}
+"""
+
+
+@register("report_operations", covers=("AGG-15",), oracle=_operations_sql())
+def report_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every figure of every sensor and endpoint server; heartbeats count as received only."""
+    d = _sensor_decoded(spark, sf_dir)
+    real = S.not_heartbeat()
+    bad = F.coalesce("is_malicious", F.lit(False)) | F.coalesce("alert", F.lit(False))
+    alerts = d.select(F.col("dev").alias("device"), F.col("timestamp").alias("ts"), F.when(real, bad).alias("bad"), F.lit(0).alias("part"),
+                      F.when(real, F.col("src.ip")).alias("asset"))
+    sensors = M.operations(alerts, "ptd", "part", F.col("bad"), F.coalesce("bad", F.lit(False)), F.col("asset"))
+    messages = EP.gate(EP.decode(derive.endpoint_topic(derive.table(spark, sf_dir, "events")))[0], EQ.PARAMS)
+    split = EP.split_files(messages, part="part")
+    events = split.select(F.col("client.server_ip").alias("device"), F.col("timestamp").alias("ts"), "part", (EP.route_of(EP.malware_name()) == "black").alias("bad"),
+                          F.col("client.uuid").alias("asset"))
+    servers = M.operations(events, "iep", "part", F.col("bad"), F.lit(True), F.col("asset"))
+    return sensors.unionByName(servers)
+
+
 @register("report_fw_log_types", covers=("AGG-16", "Q14"), oracle=f"""
 WITH {FW_CTE}
 SELECT coalesce(host, '') AS device_ip, CAST(count(*) AS BIGINT) AS total,
