@@ -121,3 +121,22 @@ def test_known_assets_keep_what_a_report_does_not_set(spark, warehouse):
     t.apply(1, spark.createDataFrame([row("a", "A2", "q", "9"), row("b", "B", "p", "9")], ST.ASSET))
     got = {r.asset_id: (r.asset_name, r.use_person, r.node_id, r.source) for r in t.read().collect()}
     assert got == {"a": ("A2", "q", "5", "d"), "b": ("B", "p", "9", "d")}
+
+
+def test_discovered_assets_are_maintained(spark, warehouse):
+    """What a batch discovers goes into both tables; the next batch with the same addresses finds them there."""
+    from tidewatch.operators import assets as A
+
+    seen = spark.createDataFrame([("10.9.0.1", "00-11-22-33-44-55", "2", "dev1", "own"), ("10.9.0.1", None, "4", "fw", None), ("10.9.0.2", None, "4", "fw", None), ("bad", None, "4", "fw", None), ("10.9.0.3", "m1", "4", "fw", None)],
+                                 "ip_addr string, mac_addr string, source string, reporter string, own_id string")
+    networks = spark.createDataFrame([], "node_id string, networktype string, data_type string, ip string, end_ip string, mask string")
+    assert sorted((r.ip_addr, r.reason) for r in A.malformed(seen).collect()) == [("10.9.0.3", "mac"), ("bad", "address")]
+    assets, ips = ST.asset_table(spark, warehouse + "/a", buckets=2), ST.asset_ip_table(spark, warehouse + "/i", buckets=2)
+    for batch in range(2):
+        rows, addresses = A.discovered_tables(A.discovered(seen, ips.read(), assets.read(), networks))
+        assert rows.count() == (2, 0)[batch]
+        ips_before = addresses.collect()
+        assets.apply(batch, rows)
+        ips.apply(batch, spark.createDataFrame(ips_before, addresses.schema))
+    assert {(r.asset_id, r.source, r.create_person, r.node_id) for r in assets.read().collect()} >= {("own", "2", "dev1", "1")}
+    assert {(r.ip_addr, r.mac_addr, r.group_id) for r in ips.read().collect()} == {("10.9.0.1", "00-11-22-33-44-55", "1"), ("10.9.0.2", "", "1")}

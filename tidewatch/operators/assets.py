@@ -225,25 +225,42 @@ def register_discovered(candidates: DataFrame, node_networks: DataFrame, source:
     )
 
 
-def discovered_tables(candidates: DataFrame, asset_ips: DataFrame, assets: DataFrame, node_networks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(asset rows, address rows) of addresses that no active asset has, reported by any source (UPS-22, FLT-30).
+def well_formed() -> F.Column:
+    """FLT-20 for a row to register: an IPv4 address, and a dashed MAC if it has one."""
+    mac = F.coalesce("mac_addr", F.lit(""))
+    return N.is_valid_ipv4(F.col("ip_addr")) & ((mac == "") | N.is_dash_mac(mac))
+
+
+def malformed(candidates: DataFrame) -> DataFrame:
+    """Rows that can't be registered, with the reason."""
+    reason = F.when(~N.is_valid_ipv4(F.col("ip_addr")), "address").otherwise("mac")
+    return candidates.where(~well_formed()).withColumn("reason", reason)
+
+
+def discovered(candidates: DataFrame, asset_ips: DataFrame, assets: DataFrame, node_networks: DataFrame) -> DataFrame:
+    """Asset and address columns of addresses that no active asset has, reported by any source (UPS-22, FLT-30).
 
     ``candidates``: ip_addr, mac_addr, source, reporter, own_id (the source's own id of the asset, or null).  One
     asset for each address, of the source with the smallest number and, in it, the smallest reporter; its id
-    is that of the source or a digest of source and address (Q1).  Malformed addresses register nothing."""
+    is that of the source or a digest of source and address (Q1).  Malformed rows register nothing and go to the quarantine
+    (``malformed``)."""
     known = ip_to_asset(asset_ips, assets).select("ip_addr")
-    one = candidates.where(N.ip_to_long(F.col("ip_addr")).isNotNull()).groupBy("ip_addr").agg(
+    one = candidates.where(well_formed()).groupBy("ip_addr").agg(
         F.min(F.struct("source", F.coalesce("reporter", F.lit("")).alias("reporter"), F.coalesce("own_id", F.lit("")).alias("own_id"),
                        F.coalesce("mac_addr", F.lit("")).alias("mac_addr"))).alias("c"))
     one = one.join(known, "ip_addr", "left_anti").select("ip_addr", "c.*")
     one = attribute_org(one, node_networks)
     asset_id = F.when(F.col("own_id") != "", F.col("own_id")).otherwise(F.upper(F.md5(F.concat("source", F.lit(":"), "ip_addr"))))
-    rows = one.select(
+    group = F.when(N.is_private(F.col("ip_addr")), "1").otherwise("2")
+    return one.select(
         asset_id.alias("asset_id"), F.col("org_node_id").alias("node_id"), F.lit("1").alias("type_id"), F.lit("3").alias("asset_level"), F.lit("").alias("asset_name"),
         F.lit("").alias("asset_label"), "source", F.col("reporter").alias("create_person"), F.lit("").alias("use_person"), F.lit("0").alias("register_state"),
-        F.lit("1").alias("delete_state"), F.lit("0").alias("fall_state"), "ip_addr", "mac_addr")
-    group = F.when(N.is_private(F.col("ip_addr")), "1").otherwise("2")
-    return rows.drop("ip_addr", "mac_addr"), rows.select("asset_id", "ip_addr", "mac_addr", group.alias("group_id"))
+        F.lit("1").alias("delete_state"), F.lit("0").alias("fall_state"), "ip_addr", "mac_addr", group.alias("group_id"))
+
+
+def discovered_tables(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that ``discovered`` adds to the tables of assets and of addresses."""
+    return found.drop("ip_addr", "mac_addr", "group_id"), found.select("asset_id", "ip_addr", "mac_addr", "group_id")
 
 
 # --- JOIN-18 / JOIN-19 / JOIN-20 (CMDB extracts, SNK-12) -----------------------------------
