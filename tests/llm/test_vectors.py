@@ -71,6 +71,20 @@ def test_search_small(spark, rows):
     assert len(out) == sum(n - 1 for r in rows if usable(r[1]) and r[0] % 20 == 0)
 
 
+def test_search_lengths_slices_and_blocks(spark):
+    """Two lengths, a hot cell in many slices, blocks of few queries: every candidate pair within a length is reached."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (np.ones(6) + (rng.normal(size=6) if i % 3 else 0)).tolist(), 1) for i in range(200)] + [(i, rng.normal(size=3).tolist(), 1) for i in range(400, 440)]
+    got = {}
+    for r in multiindex.search(frame(spark, rows), target=1.0, slice_rows=16, block=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = {}
+    for d in (6, 3):
+        some = [(i, np.array(v, np.float32).astype(float)) for i, v, _ in rows if len(v) == d]
+        want |= nearest(np.array([i for i, _ in some]), np.array([v for _, v in some]), 20, 20)
+    assert got == want
+
+
 def links_of(rows, least=0.98):
     n = len(rows)
     unit = [np.array(v, np.float32).astype(float) / np.linalg.norm(np.array(v, np.float32).astype(float)) if usable(v) else None for _, v, _ in rows]
