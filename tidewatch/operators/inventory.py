@@ -8,6 +8,8 @@ with the current snapshot (``operators.upsert``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,27 +134,30 @@ def os_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
             .select("uuid", "asset_id", F.lit("os_ver").alias("type"), "old", "new"))
 
 
+#: WIN-04: spans of time whose summaries are compared with each other inside the next longer one.
+SPANS = ("minute", "day")
+
+
 def os_transitions(changes: DataFrame) -> DataFrame:
     """WIN-04: successive reports of one agent whose OS differs from the previous report.
 
-    A very active agent must not become one giant sorted window partition, so the
-    sequence is split by day: ``lag`` runs inside (agent, day) partitions, and the first
-    report of a day is compared with the last report of the agent's previous active day,
-    taken from a per-(agent, day) summary (one row per day, map-side combined)."""
-    c = changes.select("uuid", "partition", "offset", "timestamp", "os_ver").withColumn("_day", F.to_date("timestamp"))
-    w = Window.partitionBy("uuid", "_day").orderBy("timestamp", "offset")
-    inner = c.withColumn("prev", F.lag("os_ver").over(w))
-    days = c.groupBy("uuid", "_day").agg(
-        F.min_by(F.struct("partition", "offset"), F.struct("timestamp", "offset")).alias("_first"),
-        F.max_by(F.col("os_ver"), F.struct("timestamp", "offset")).alias("_last"))
-    wd = Window.partitionBy("uuid").orderBy("_day")
-    edges = days.withColumn("_prev_last", F.lag("_last").over(wd)) \
-        .select("uuid", F.col("_first.partition").alias("partition"), F.col("_first.offset").alias("offset"),
-                F.col("_prev_last").alias("edge_prev"))
-    j = inner.join(edges, ["uuid", "partition", "offset"], "left")
-    prev = F.coalesce(F.col("prev"), F.col("edge_prev"))
-    return (j.withColumn("_p", prev).filter(F.col("_p").isNotNull() & (F.col("_p") != F.col("os_ver")))
-             .select("uuid", "offset", F.col("_p").alias("old"), F.col("os_ver").alias("new")))
+    A report is a run of length one: (first, last).  Runs are compared inside an agent's minute, the minutes'
+    runs inside its day, the days' runs over all its time.  A change is found on the level at which its two
+    reports first meet, and it names its report itself, so nothing is joined back.  A window holds the reports of an agent's
+    minute, the minutes of a day or the days of its life: the clock bounds it, not the number of reports, and an
+    agent with a third of all reports is spread over its minutes.  Equal times go by offset, then by OS."""
+    report = F.struct("timestamp", "offset", "os_ver")
+    runs = changes.select("uuid", report.alias("first"), report.alias("last"))
+    levels = []
+    for span in (*SPANS, None):
+        within = ["uuid"] if span is None else ["uuid", "span"]
+        if span is not None:
+            runs = runs.withColumn("span", F.date_trunc(span, "first.timestamp"))
+        before = F.lag("last.os_ver").over(Window.partitionBy(*within).orderBy("first"))
+        levels.append(runs.select("uuid", F.col("first.offset").alias("offset"), before.alias("old"), F.col("first.os_ver").alias("new"))
+                      .where(F.col("old") != F.col("new")))
+        runs = runs.groupBy(*within).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def asset_ip_snapshot(snapshot_ips: DataFrame, changes: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from ..operators import endpoint as EP
 from ..operators import firewall as fw
 from ..operators import metrics as M
 from ..operators import sensor as S
+from ..operators import workbook as W
 from ..sources import derive
 from . import endpoint_queries as EQ
 from .endpoint_queries import EP_CTE
@@ -242,3 +243,55 @@ def report_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, hbs = _seen(spark, sf_dir)
     return (hbs.groupBy("device").agg(F.max("ts").alias("last")).orderBy(F.col("last").desc())
             .select("device", F.date_format("last", TS).alias("last_heartbeat")))
+
+
+REPORT_DAY = "2024-01-30"
+
+_NAMED = "CASE WHEN regexp_matches(device, '^.*dev1') THEN 'Sensor One' WHEN regexp_matches(device, '^.*dev[23]') THEN 'Sensor Pair' ELSE device END"
+_TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _workbook_sql() -> str:
+    titles = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in W.DAILY.items())
+    listed = ", ".join(f"('{k}')" for k in W.DAILY)
+    sides = "\n".join(f"""
+UNION ALL SELECT '{f}_data', {_NAMED}, {_TIME.format("last_data")}, NULL, NULL FROM dev WHERE family = '{f}' AND last_data IS NOT NULL
+UNION ALL SELECT '{f}_heartbeat', {_NAMED}, {_TIME.format("last_hb")}, NULL, NULL FROM dev WHERE family = '{f}' AND last_hb IS NOT NULL
+UNION ALL SELECT '{f}_counts', {_NAMED}, CAST(o AS VARCHAR), CAST(b AS VARCHAR), NULL FROM dev WHERE family = '{f}' AND last_data IS NOT NULL""" for f in ("iep", "ptd"))
+    return f"""
+WITH {FW_CTE}, {SN_CTE}, {EP_CTE},
+logs AS (
+  SELECT vendor AS family, coalesce(host, '') AS device, ts, 1 AS o, black AS b FROM fwa WHERE vendor IS NOT NULL
+  UNION ALL SELECT 'ptd', dev, ts, 1, CASE WHEN not_hb AND black THEN 1 ELSE 0 END FROM sn
+  UNION ALL SELECT 'iep', concat('192.0.2.', u % 4), ts, CASE WHEN k = 1 THEN 1 ELSE 0 END, CASE WHEN type = 'eventlog' AND v_name = '' THEN 0 ELSE 1 END FROM epf),
+d AS (SELECT family, device, max(ts) AS last_data, coalesce(sum(o) FILTER (CAST(ts AS DATE) = DATE '{REPORT_DAY}'), 0) AS o,
+             coalesce(sum(b) FILTER (CAST(ts AS DATE) = DATE '{REPORT_DAY}'), 0) AS b FROM logs GROUP BY 1, 2),
+h AS (SELECT 'ptd' AS family, dev AS device, max(date_trunc('second', ts)) AS last_hb FROM sn WHERE NOT not_hb AND event_id % 50 <> 49 GROUP BY dev),
+dev AS (SELECT coalesce(d.family, h.family) AS family, coalesce(d.device, h.device) AS device, last_data, last_hb, o, b
+        FROM d FULL JOIN h ON d.family = h.family AND d.device = h.device),
+fam AS (SELECT l.family, coalesce(sum(d.o), 0) AS o, coalesce(sum(d.b), 0) AS b FROM (VALUES {listed}) l(family) LEFT JOIN d ON d.family = l.family GROUP BY 1)
+SELECT 'daily' AS sheet, CASE family {titles} END AS a, CAST(o AS VARCHAR) AS b,
+       CAST(CASE WHEN family IN ('star', 'hillstone') THEN (SELECT sum(o) FROM fam WHERE family IN ('star', 'hillstone')) ELSE o END AS VARCHAR) AS c,
+       CAST(b AS VARCHAR) AS d FROM fam
+UNION ALL SELECT 'online', family, {_NAMED}, NULL, NULL FROM dev
+WHERE family <> 'zhenguan' AND device <> '' AND (epoch(last_data) + 240 * 60 > epoch(TIMESTAMP '{AS_OF}')
+      OR epoch(last_hb) BETWEEN epoch(TIMESTAMP '{AS_OF}') - 120 * 60 AND epoch(TIMESTAMP '{AS_OF}'))
+{sides}
+"""
+
+
+@register("report_workbook", covers=("SNK-11",), oracle=_workbook_sql())
+def report_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the eight report sheets of one day."""
+    firewalls = classified(spark, sf_dir).where(F.col("vendor").isNotNull()).select(
+        F.col("vendor").alias("family"), F.col("host").alias("device"), F.col("timestamp").alias("ts"), F.lit(True).alias("origin"), (F.col("black") == 1).alias("black"))
+    bad = F.coalesce("is_malicious", F.lit(False)) | F.coalesce("alert", F.lit(False))
+    sensors = _sensor_decoded(spark, sf_dir).select(
+        F.lit("ptd").alias("family"), F.col("dev").alias("device"), F.col("timestamp").alias("ts"), F.lit(True).alias("origin"), (S.not_heartbeat() & bad).alias("black"))
+    messages = EP.gate(EP.decode(derive.endpoint_topic(derive.table(spark, sf_dir, "events")))[0], EQ.PARAMS)
+    servers = EP.split_files(messages, part="part").select(
+        F.lit("iep").alias("family"), F.col("client.server_ip").alias("device"), F.col("timestamp").alias("ts"), (F.col("part") == 0).alias("origin"),
+        (EP.route_of(EP.malware_name()) == "black").alias("black"))
+    beats = M.heartbeat_scores(derive.heartbeat_listings(derive.table(spark, sf_dir, "events")))
+    fig = W.figures([firewalls, sensors, servers], beats, F.lit(REPORT_DAY).cast("date"))
+    return W.sheets(fig, F.lit(AS_OF).cast("timestamp"), DEVICE_NAMES)
