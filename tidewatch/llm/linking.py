@@ -11,11 +11,18 @@ signatures with most others.  Round 1 verifies each text against the hub of eith
 meets most often: linear in the texts, and it joins nearly all of every large group.  Round 2
 verifies those pairs of a signature whose bounds allow a link and whose ends are still in different
 components.  Pairs inside a component can't change it, so leaving them out loses no component.
+
+One of the bounds of round 2 is a bitmap of ``64 * LANES`` parities: shingles are dealt to bits, and a bit
+says whether a set has an odd number of its shingles.  A bit in which two sets differ holds a shingle that
+only one of them has, so there are at least as many of those as such bits.  More than a link allows
+rules the pair out inside the join, without either text; no pair that is similar enough is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +34,7 @@ from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
 SHINGLE = 5
 SIMILAR = 80  # per cent
+LANES = 8     # longs of a bitmap
 _STEP = 1.25
 _C = U64(0xC2B2AE3D27D4EB4F)
 
@@ -142,6 +150,31 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR, size: i
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def parities(h: np.ndarray, offsets: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    """The bitmap of each set as a row of longs (zeros for an empty one)."""
+    out = np.zeros((len(offsets) - 1, lanes), U64)
+    some = np.flatnonzero(np.diff(offsets))
+    if len(some):
+        lane, bit = (h >> U64(6)) % U64(lanes), U64(1) << (h & U64(63))
+        for k in range(lanes):
+            out[some, k] = np.bitwise_xor.reduceat(np.where(lane == U64(k), bit, U64(0)), offsets[some])
+    return out.view(np.int64)
+
+
+def bitmaps(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(id, bits0, bits1, ...) of (id, text), one row for each id."""
+    names = [f"bits{k}" for k in range(LANES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, h, offsets in shingle_sets(batch.column(1), size):
+                bits = parities(h, offsets)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(bits)), *(pa.array(b) for b in bits.T.copy())], ["id", *names])
+
+    made = texts.select("id", "text").mapInArrow(run, "id bigint, " + ", ".join(f"{c} bigint" for c in names))
+    return made.dropDuplicates(["id"])   # equal ids are equal sets
+
+
 def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
     """(node, component_id) of all texts that are similar to another one (by id).
 
@@ -166,9 +199,14 @@ def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHIN
     x = x.select("sig", "id", "n", "bound", F.coalesce("component_id", "id").alias("part"))
     open_ = x.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
     x = written(x.join(open_, "sig", "left_semi"), "open")
-    y = x.select("sig", F.col("id").alias("b"), F.col("n").alias("m"), F.col("bound").alias("bound_b"), F.col("part").alias("other"))
+    bits = bitmaps(texts.join(x.select("id").distinct(), "id", "left_semi"), size)
+    x = written(x.join(bits, "id"), "bounded")
+    y = x.select("sig", F.col("id").alias("b"), F.col("n").alias("m"), F.col("bound").alias("bound_b"), F.col("part").alias("other"),
+                 *(F.col(f"bits{k}").alias(f"bits_b{k}") for k in range(LANES)))
+    apart = reduce(add, (F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"bits_b{k}"))) for k in range(LANES)))
     left = (x.join(y, "sig").where((F.col("part") < F.col("other"))
                                    & (100 * F.least("n", "m") >= similar * F.greatest("n", "m"))
+                                   & ((100 + similar) * apart <= (100 - similar) * (F.col("n") + F.col("m")))
                                    & ((100 + similar) * F.least("bound", "bound_b") >= similar * (F.col("n") + F.col("m"))))
             .select(F.col("id").alias("a"), "b").distinct())
     tried = best.select(F.col("a"), "b").unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
