@@ -18,7 +18,6 @@ from .. import config as C
 from .. import standard_event as SE
 from ..functions import net as N
 from ..functions import text as T
-from ..functions.plan import bind
 from ..functions.template import Each, build
 from . import sensor as S
 
@@ -31,9 +30,11 @@ def with_assets(alerts: DataFrame, details: DataFrame) -> DataFrame:
     addresses are looked up, the destination only if the reply carried something (FLT-18)."""
     answered = (F.coalesce(F.col("s2c.pkts"), F.lit(0)) != 0) | (F.coalesce(F.col("s2c.bytes"), F.lit(0)) != 0)
     out = alerts
+    # a side without a lookup gets a key that no address has, its own, so that all of them don't meet in one task
+    own = F.concat(F.lit("-"), F.concat_ws("/", *_AT))
     for side, wanted in (("src", F.lit(True)), ("dst", answered)):
         found = details.select(F.col("ip_addr").alias(f"_{side}_ip"), F.struct("asset_id", F.col("os_ver").alias("os"), "unit", "detail").alias(f"{side}_asset"))
-        out = out.withColumn(f"_{side}_key", F.when(wanted & N.is_private(F.col(f"{side}.ip")), F.col(f"{side}.ip")))
+        out = out.withColumn(f"_{side}_key", F.when(wanted & N.is_private(F.col(f"{side}.ip")), F.col(f"{side}.ip")).otherwise(own))
         out = out.join(found, out[f"_{side}_key"] == found[f"_{side}_ip"], "left").drop(f"_{side}_key", f"_{side}_ip")
     return out
 
@@ -45,9 +46,8 @@ def with_attack_labels(alerts: DataFrame, techniques: DataFrame) -> DataFrame:
     labels = S.attack_labels(alerts.select(key.alias("id"), "d"), techniques)
     entry = F.struct("hit_pos", "attck_pos", "tactic_pos", "tactic", "technique", "tactic_number", F.col("technique_number").cast("string").alias("technique_number"))
     each = labels.groupBy(F.col("id").alias("_at")).agg(F.array_sort(F.collect_list(entry)).alias("attack_label"))
-    # an alert without such a hit has no key, so all of them don't meet as one
-    has = F.exists(S._arr(F.col("d.sengine")), lambda h: F.size(S._arr(h["attck"])) > 0)
-    out = alerts.withColumn("_key", F.when(has, key))
+    # every alert has its place as the key: nulls for those without such a hit would all meet in one task
+    out = alerts.withColumn("_key", key)
     return out.join(each, out["_key"] == each["_at"], "left").drop("_key", "_at")
 
 
@@ -149,4 +149,5 @@ def standard_event(alerts: DataFrame, details: DataFrame, techniques: DataFrame)
     """(id, hbase_rowkey, route, event): the nested event of every standardised alert.  ``details``: one row per
     address (``assets.asset_details``); ``techniques``: the dictionary with the new names in it."""
     full = with_attack_labels(with_assets(alerts, details), techniques)
-    return bind(full, event=_event()).select("id", "hbase_rowkey", "route", "event")
+    # a plain column: what reads parts of the event evaluates these only, compiled
+    return full.select("id", "hbase_rowkey", "route", _event().alias("event"))
