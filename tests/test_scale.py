@@ -47,3 +47,8 @@ def test_alerts_without_lookups_do_not_meet(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_registry_reads_each_topic_once(spark):
+    """One scan of the events for each of the three topics."""
+    assert plan_of(E.queries()["device_registry"](spark, SF001)).count("FileScan parquet") == 3
