@@ -52,3 +52,22 @@ def test_alerts_without_lookups_do_not_meet(spark):
 def test_registry_reads_each_topic_once(spark):
     """One scan of the events for each of the three topics."""
     assert plan_of(E.queries()["device_registry"](spark, SF001)).count("FileScan parquet") == 3
+
+
+def test_messages_do_not_pass_the_joins(spark):
+    """No exchange of endpoint_events holds the parsed message: its unit is read before the joins."""
+    df = E.queries()["endpoint_events"](spark, SF001)
+    found, todo = 0, [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            found += 1
+            assert not {"data", "value"} & {a.name() for side in (node.left(), node.right()) for a in map(side.output().apply, range(side.output().size()))}
+    assert found >= 2
+
+
+def test_messages_are_shuffled_once(spark):
+    """Only the events themselves drop re-delivered offsets, the set of technique names needs no such shuffle."""
+    plan = plan_of(E.queries()["endpoint_events"](spark, SF001))
+    assert sum("Exchange hashpartitioning" in line and "offset#" in line for line in plan.splitlines()) == 1
