@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tidewatch.llm import lm, queries
@@ -83,3 +84,29 @@ def test_registered_parameters_equal_dictionaries(spark, monkeypatch):
         w = tokens(t)
         a, b = (sum(m(p, x) for p, x in zip([None, *w], w, strict=False)) / max(len(w), 1) for m in (target, background))
         assert (out[k].n_words, out[k].target_loss, out[k].background_loss) == pytest.approx((len(w), a, b), rel=1e-9, abs=1e-9)
+
+
+def test_many_runs_equal_one(spark, monkeypatch):
+    rows = [(i, r.text) for i, r in enumerate(spark.read.parquet(f"{SF001}/documents.parquet").limit(60).collect())]
+    rows += [(90, None), (91, ""), (None, "two words"), (None, "two words"), (92, "one " * 5000)]
+    good = [r for r in rows if r[0] is not None and r[0] % 3 == 0]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = lm.score(docs, spark.createDataFrame(good, "doc_id bigint, text string")).collect()
+    monkeypatch.setattr(lm, "RUN_BYTES", 4000)
+    members = spark.createDataFrame([(k,) for k, _ in good] * 2 + [(None,), (10**6,)], "doc_id int")
+    order = lambda r: (str(r.doc_id), r.n_words)
+    for args in ((spark.createDataFrame(good, "doc_id bigint, text string"), None), (None, members)):
+        out = lm.score(docs, args[0], members=args[1])
+        for a, b in zip(sorted(whole, key=order), sorted(out.collect(), key=order), strict=True):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9, abs=1e-12)
+
+
+def test_texts_are_shuffled_once_and_pairs_by_run(spark):
+    # rows of each text's different pairs took more than four times the disk of the texts
+    out = queries.QUERIES["op8_lm_score"](spark, SF001)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.index("Initial Plan")]
+    assert "ReusedExchange" in plan and "SortMergeJoin" not in plan
+    block = lm._blocks(0, [pa.array(["a b c d " * 1000, "a b c d"])], None, 4)
+    assert block.num_rows == 4 and sum(block.column("pairs").to_pylist()) == 5

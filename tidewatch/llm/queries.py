@@ -70,8 +70,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every text: texts labelled good against the whole corpus."""
-    docs = read(spark, sf_dir, "documents")
-    return lm.score(docs, lm.labelled(docs, read(spark, sf_dir, "labels")))
+    return lm.score(read(spark, sf_dir, "documents"), None, members=lm.labelled(read(spark, sf_dir, "labels")))
 
 
 @query
