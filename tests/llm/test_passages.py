@@ -163,3 +163,31 @@ def test_all_shared_windows_of_a_table(spark):
     have = {r.doc_id: r for r in passages.summary(spark.createDataFrame(rows, "doc_id bigint, text string"), least=10**6).collect()}
     for k, t in rows:
         assert len(words_of(t, have[k].removed_spans)) == len(want[k][1])
+
+
+def test_sieve_keeps_every_row_that_a_join_could_find(spark):
+    from pyspark.sql import functions as F
+
+    from tidewatch.llm.common import sifted
+    rows = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("text").alias("text"))
+    side = spark.range(0, 20_000, 7).select(F.when(F.col("id") > 0, F.col("id")).alias("s"))
+    out = sifted(rows, F.xxhash64("k"), side, F.xxhash64("s"))
+    near = {r.k for r in out.where("_near").collect()}
+    assert out.columns == ["k", "text", "_near"] and out.count() == 20_000
+    assert near >= {r.s for r in side.collect()} and len(near) < 3_100
+    assert sifted(rows, F.xxhash64("k"), side.limit(0), F.xxhash64("s")).where("not _near").count() == 20_000
+
+
+def test_only_rows_that_may_repeat_are_joined_with_their_texts(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("a"), "id").alias("text"))
+    gone = spark.createDataFrame([(1, 1, [0])], "_key bigint, _hash bigint, _gone array<int>")
+    seen = []
+    real = passages.sifted
+    passages.sifted = lambda rows, *a: seen.append(rows.columns) or real(rows, *a)
+    try:
+        assert passages.shared(docs, gone).count() == 0
+    finally:
+        passages.sifted = real
+    assert [("text" in c) for c in seen] == [True, True]

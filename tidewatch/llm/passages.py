@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sifted, written
 from .linking import SHINGLE, SIMILAR, link, posted, set_id, shingle_sets
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
@@ -135,15 +135,17 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
                     [pa.array(sig.ravel().view(np.int64)), pa.array(np.repeat(set_id(h, offsets), bands)), pa.array(np.repeat(posted(np.diff(offsets)), bands))], ["sig", "id", "size"])
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        reps = found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct()
+        reps = written(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct(), "reps")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for _, _, _, paragraphs in _paragraphs(batch.column(0), least):
                     yield pa.RecordBatch.from_arrays([pa.array(set_id(*_sets(paragraphs, size))), paragraphs], ["id", "text"])
 
-        some = docs.select(key, text).join(reps, key, "left_semi").unionByName(docs.select(key, text).where(F.col(key).isNull()))
-        return some.select(text).mapInArrow(run, "id bigint, text string").join(ids, "id", "left_semi").dropDuplicates(["id"])
+        near = sifted(docs.select(key, text), F.xxhash64(key), reps, F.xxhash64(key)).where("_near").drop("_near")
+        some = near.join(reps, key, "left_semi").unionByName(docs.select(key, text).where(F.col(key).isNull()))
+        texts = sifted(some.select(text).mapInArrow(run, "id bigint, text string"), F.xxhash64("id"), ids, F.xxhash64("id")).where("_near").drop("_near")
+        return texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
 
     parts = link(docs.select(text).mapInArrow(post, "sig bigint, id bigint, size bigint"), texts_of, similar, size)
     placed = (found.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")
@@ -209,8 +211,14 @@ def shared(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "t
     another one.  ``gone`` holds (_key, _hash, _gone): lines that are gone already.  Spans are
     characters of the whole text, with their ends excluded."""
     kind = docs.schema[key].dataType.simpleString()
-    own = (docs.select(key, F.xxhash64(text).alias("row_hash"), text)
-           .join(gone, F.col(key).eqNullSafe(F.col("_key")) & (F.col("row_hash") == F.col("_hash")), "left").select(key, "row_hash", text, "_gone"))
+    source = docs.select(key, F.xxhash64(text).alias("row_hash"), text)
+    lines = lambda rows: (rows.join(gone, F.col(key).eqNullSafe(F.col("_key")) & (F.col("row_hash") == F.col("_hash")), "left")
+                          .select(key, "row_hash", text, "_gone"))
+    row = F.xxhash64(key, "row_hash")
+    apart = sifted(source, row, gone, F.xxhash64("_key", "_hash"))
+    # only rows that may have lines gone are shuffled with their texts
+    own = (lines(apart.where("_near").drop("_near"))
+           .unionByName(apart.where("not _near").select(key, "row_hash", text, F.lit(None).cast("array<int>").alias("_gone"))))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,6 +261,8 @@ def shared(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "t
     found = written(own.mapInArrow(anchors, f"`{key}` {kind}, row_hash bigint, anchor bigint"), "anchors")
     wanted = (found.join(_several(found, key, "anchor").select("anchor"), "anchor").groupBy(F.col(key).alias("w_key"), F.col("row_hash").alias("w_hash"))
               .agg(F.collect_set("anchor").alias("wanted")))
+    wanted = written(wanted, "wanted")
+    own = lines(sifted(source, row, wanted, F.xxhash64("w_key", "w_hash")).where("_near").drop("_near"))
     some = own.join(wanted, F.col(key).eqNullSafe(F.col("w_key")) & (F.col("row_hash") == F.col("w_hash"))).select(key, "row_hash", text, "_gone", "wanted")
     found = written(some.mapInArrow(posts, f"`{key}` {kind}, row_hash bigint, window bigint, span bigint"), "windows")
     both = found.join(_several(found, key, "window"), "window").withColumn("removed", _place(key) != F.col("first"))
