@@ -60,3 +60,23 @@ def test_hot_address_is_split(spark, tmp_path, small_skew):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
     assert len(rows) == 30_000
+
+
+def test_software_messages_are_made_and_parsed_once(spark):
+    # the last message of each asset took a second pass over the messages
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = E.queries()["inv_software_state"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("from_json(") == 1 and "ReusedExchange" in plan
+
+
+def test_a_last_message_without_packages_ends_all_installs(spark):
+    from tidewatch.operators import inventory as INV
+    known = spark.createDataFrame([("a", "x", "1", "2020"), ("b", "x", "1", "2020"), ("c", "x", "1", "2020")], "asset_id string, software_name string, version string, install_time string")
+    kind = "array<struct<path:string,ver:string,name:string,instime:string,author:string>>"
+    rows = [("a", True, 1, [("p", "2", "x", "t", "v")]), ("a", True, 2, None), ("b", True, 1, [("p", None, "x", "t", "v"), ("p", "3", "g??", "t", "v")]), ("c", False, 1, [])]
+    reports = spark.createDataFrame(rows, f"asset_id string, asset_known boolean, offset bigint, softwareinfo {kind}").withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    out = sorted(map(tuple, INV.software_state(known, reports).collect()))
+    assert out == [("a", "x", "2", "0"), ("b", "x", "1", "1"), ("c", "x", "1", "1")]

@@ -196,14 +196,20 @@ def software_reports(topic: DataFrame, ip_lookup: DataFrame, allow: tuple[str, .
     return resolve_client(allowed(decode(topic, "ACD_software_info"), allow), ip_lookup)
 
 
-def reported_software(reports: DataFrame) -> DataFrame:
-    """FLT-19: the packages of all messages of known assets, without garbled ones."""
-    ex = reports.filter("asset_known").select("asset_id", "timestamp", "offset", F.posexplode("softwareinfo").alias("pos", "w"))
+def reported_software(reports: DataFrame, marked: bool = False) -> DataFrame:
+    """FLT-19: the packages of all messages of known assets, without garbled ones.  With ``marked`` each message has
+    one more row, without a package and with a true ``mark``."""
+    packages = F.col("softwareinfo")
+    if marked:
+        none = F.array(F.lit(None).cast(reports.schema["softwareinfo"].dataType.elementType))
+        packages = F.concat(F.coalesce(packages, F.slice(none, 1, 0)), none)
+    ex = reports.filter("asset_known").select("asset_id", "timestamp", "offset", F.size(packages).alias("n"), F.posexplode(packages).alias("pos", "w"))
+    mark = F.lit(False) if not marked else F.col("pos") == F.col("n") - 1
     garbled = (F.coalesce(F.col("w.name"), F.lit("")).contains("??") | F.coalesce(F.col("w.path"), F.lit("")).contains("??")
                | F.coalesce(F.col("w.ver"), F.lit("")).contains("??"))
     return ex.filter(~garbled).select("asset_id", F.col("w.name").alias("software_name"),
                                       F.col("w.ver").alias("version"), F.col("w.path").alias("install_addr"),
-                                      F.col("w.instime").alias("install_time"), "timestamp", "offset", "pos")
+                                      F.col("w.instime").alias("install_time"), "timestamp", "offset", "pos", *([mark.alias("mark")] if marked else []))
 
 
 def software_state(known: DataFrame, reports: DataFrame) -> DataFrame:
@@ -212,22 +218,26 @@ def software_state(known: DataFrame, reports: DataFrame) -> DataFrame:
     from it has state '0'; installs of assets that never reported keep state '1'.  The version is
     the one reported last, else the known one.
 
-    Known and reported rows are one union, reduced by a map-side combined aggregate per (asset,
-    software); the last message per asset is another one.  No full outer join is needed."""
-    moment = F.struct("timestamp", "offset")
+    Known and reported rows and a mark for each message are one union, reduced by a map-side combined
+    aggregate per (asset, software); an asset's latest mark is its last message.  Both sides of the join are
+    the same aggregate, so one shuffle serves them and each message is made and parsed once.  No full outer join is needed."""
     nul = lambda t: F.lit(None).cast(t)
     k = known.select("asset_id", "software_name", F.col("version").alias("k_version"),
                      F.struct("install_time", "version").alias("k_at"), nul("string").alias("r_version"),
-                     nul("struct<timestamp:timestamp,offset:bigint,pos:int>").alias("r_at"))
-    r = reported_software(reports).select(
+                     nul("struct<timestamp:timestamp,offset:bigint,pos:int>").alias("r_at"), F.lit(False).alias("mark"))
+    r = reported_software(reports, marked=True).select(
         "asset_id", "software_name", nul("string").alias("k_version"), nul(k.schema["k_at"].dataType.simpleString()).alias("k_at"),
-        F.col("version").alias("r_version"), F.struct("timestamp", "offset", "pos").alias("r_at"))
-    per = k.unionByName(r).groupBy("asset_id", "software_name").agg(
-        F.max_by("k_version", "k_at").alias("k_version"), F.max_by("r_version", "r_at").alias("r_version"), F.max("r_at").alias("r_at"))
-    last = reports.filter("asset_known").groupBy("asset_id").agg(F.max(moment).alias("last"))
-    j = per.join(last, "asset_id", "left")
+        F.col("version").alias("r_version"), F.struct("timestamp", "offset", "pos").alias("r_at"), "mark")
+    # the marks are told by an aggregate, which no filter is pushed through
+    per = k.unionByName(r).groupBy("asset_id", "software_name", "mark").agg(
+        F.max_by("k_version", "k_at").alias("k_version"), F.max_by("r_version", "r_at").alias("r_version"), F.max("r_at").alias("r_at"),
+        F.max("mark").alias("marked"))
+    # a mark has no version; naming both keeps the columns of the two sides alike
+    last = per.where("marked").select(F.col("asset_id").alias("of"), F.struct("r_at.timestamp", "r_at.offset").alias("last"),
+                                      F.coalesce("r_version", "k_version").alias("no_version"))
+    j = per.where("not marked").join(last, F.col("asset_id").eqNullSafe(F.col("of")), "left")
     listed = F.struct("r_at.timestamp", "r_at.offset").eqNullSafe(F.col("last"))
-    return j.select("asset_id", "software_name", F.coalesce("r_version", "k_version").alias("version"),
+    return j.select("asset_id", "software_name", F.coalesce("r_version", "k_version", "no_version").alias("version"),
                     F.when(F.col("last").isNull() | (F.col("r_at").isNotNull() & listed), "1").otherwise("0").alias("install_state"))
 
 
