@@ -135,3 +135,23 @@ def test_runs_do_not_depend_on_batches():
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n << 32 | n)], ["sig", "kind", "id", "size"])
         return [tuple(r.values()) for b in _runs(batches()) for r in b.to_pylist()]
     assert sorted(run([1, 2, 3]), key=str) == sorted(run([1000]), key=str)
+
+
+def test_only_texts_that_a_join_could_find_are_shuffled(spark):
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(12))) for k in range(300)] + [(900 + k, "one text that is here three times over") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    frame = type(docs)
+    wide, real = [], frame.join
+
+    def join(self, other, on=None, how=None):
+        if "text" in self.columns and how == "left_semi":
+            wide.append(self.count())
+        return real(self, other, on, how)
+
+    frame.join = join
+    try:
+        out = setjoin.keep_first(docs)
+    finally:
+        frame.join = real
+    assert sorted(r.doc_id for r in out.collect()) == [*range(300), 900]
+    assert wide and max(wide) <= 10   # 303 before

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, sifted, written
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
 SHINGLE = 5
@@ -143,6 +143,8 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR, size: i
                 good.append(common > 0 and 100 * common >= similar * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    texts = sifted(texts.select("id", "text"), F.xxhash64("id"), ends, F.xxhash64("id")).where("_near").drop("_near")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     # the text of ``a`` travels with the pair; ``b`` is the hub, which many pairs share
@@ -199,7 +201,8 @@ def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHIN
     x = x.select("sig", "id", "n", "bound", F.coalesce("component_id", "id").alias("part"))
     open_ = x.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
     x = written(x.join(open_, "sig", "left_semi"), "open")
-    bits = bitmaps(texts.join(x.select("id").distinct(), "id", "left_semi"), size)
+    # bitmaps are shuffled for the join below, texts aren't
+    bits = bitmaps(sifted(texts.select("id", "text"), F.xxhash64("id"), x.select("id"), F.xxhash64("id")).where("_near"), size)
     x = written(x.join(bits, "id"), "bounded")
     y = x.select("sig", F.col("id").alias("b"), F.col("n").alias("m"), F.col("bound").alias("bound_b"), F.col("part").alias("other"),
                  *(F.col(f"bits{k}").alias(f"bits_b{k}") for k in range(LANES)))

@@ -321,8 +321,12 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
     """``docs`` without the paragraphs and spans that go; every row stays, all columns but the text as they are."""
     at, order = docs.columns.index(text), docs.columns
     lines, spans = _found(docs, key, text, least, window)
-    both = _with(_with(docs.withColumn("_own", F.xxhash64(text)), lines.where("size(_gone) > 0").select("_key", "_hash", "_gone"), key),
-                 spans.where("size(removed_spans) > 0").select("_key", "_hash", F.col("removed_spans").alias("_spans")), key).select(*order, "_gone", "_spans")
+    lines = lines.where("size(_gone) > 0").select("_key", "_hash", "_gone")
+    spans = spans.where("size(removed_spans) > 0").select("_key", "_hash", F.col("removed_spans").alias("_spans"))
+    # only rows that may lose something are shuffled with their texts
+    apart = sifted(docs.withColumn("_own", F.xxhash64(text)), F.xxhash64(key, "_own"),
+                   lines.select("_key", "_hash").unionByName(spans.select("_key", "_hash")), F.xxhash64("_key", "_hash"))
+    both = _with(_with(apart.where("_near").drop("_near"), lines, key), spans, key).select(*order, "_gone", "_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -334,4 +338,4 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, order)
 
-    return both.mapInArrow(run, docs.schema)
+    return both.mapInArrow(run, docs.schema).unionByName(apart.where("not _near").select(*order))

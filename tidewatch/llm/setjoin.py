@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import written
+from .common import sifted, written
 from .linking import SHINGLE, SIMILAR, link, set_id, shingle_sets
 from .textbytes import U64, mix
 
@@ -157,7 +157,7 @@ def _grouped(docs: DataFrame, key: str, text: str, similar: int = SIMILAR, size:
     postings = _postings(docs, text, _counters(measured), size, similar)
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = (info.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct())
+        wanted = written(info.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct(), "wanted")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()  # rows of equal key meet in a task; their text is wanted once
@@ -167,7 +167,8 @@ def _grouped(docs: DataFrame, key: str, text: str, similar: int = SIMILAR, size:
                     fresh = np.array([k for k, i in enumerate(own.tolist()) if i and not (i in seen or seen.add(i))], np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(own[fresh]), batch.column(0).take(pa.array(fresh + row))], ["id", "text"])
 
-        keyed = docs.select(key, text).join(wanted, key, "left_semi")
+        near = sifted(docs.select(key, text), F.xxhash64(key), wanted, F.xxhash64(key)).where("_near").drop("_near")
+        keyed = near.join(wanted, key, "left_semi")
         return keyed.unionByName(docs.select(key, text).where(F.col(key).isNull())).select(text).mapInArrow(run, "id bigint, text string")
 
     parts = link(postings, texts_of, similar, size)
@@ -194,6 +195,9 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     first = rows.groupBy("part").agg(F.min(F.struct(*(place.getField(c).alias(c) for c in ("unknown", "key", "id")), "times")).alias("first"))
     stay = written(first.select(F.col("first.key").alias("_key"), F.col("first.id").alias("_id"), F.col("first.times").alias("_times")), "stay")
     several = written(stay.where("_times > 1"), "several")  # mostly few: a table of its own, so that its size is known
+    # a row that is its group's first one and has no equals stays as it is; only the others are shuffled with their texts
+    single = stay.where("_times = 1")
+    decided = written(rows.select(F.col(key).alias("_key"), F.col("id").alias("_id")).subtract(single.select("_key", "_id")), "decided")
 
     order, at = docs.columns, docs.columns.index(text)
 
@@ -203,8 +207,9 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))], [*order, "_set"])
 
     own = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_set", LongType())]))
-    same = lambda few: own[key].eqNullSafe(few["_key"]) & (own["_set"] == few["_id"])
-    single = stay.where("_times = 1")
-    out = own.join(single, same(single), "left_semi")
-    out = out.unionByName(own.join(several, same(several), "left_semi").dropDuplicates([key, "_set"]))
-    return out.unionByName(own.where("_set = 0")).drop("_set")
+    same = lambda some, few: some[key].eqNullSafe(few["_key"]) & (some["_set"] == few["_id"])
+    apart = sifted(own, F.xxhash64(key, "_set"), decided, F.xxhash64("_key", "_id"))
+    near = apart.where("_near and _set != 0").drop("_near")
+    out = near.join(single, same(near, single), "left_semi")
+    out = out.unionByName(near.join(several, same(near, several), "left_semi").dropDuplicates([key, "_set"]))
+    return out.unionByName(apart.where("not _near or _set = 0").drop("_near")).drop("_set")
