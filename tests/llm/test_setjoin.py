@@ -4,11 +4,13 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.llm import queries, setjoin
-from tidewatch.llm.linking import _runs
+from tidewatch.llm.linking import _runs, packed, unpacked
 
 from ..conftest import SF001, SF01
 from .conftest import with_clashes
@@ -155,3 +157,45 @@ def test_only_texts_that_a_join_could_find_are_shuffled(spark):
         frame.join = real
     assert sorted(r.doc_id for r in out.collect()) == [*range(300), 900]
     assert wide and max(wide) <= 10   # 303 before
+
+
+def test_texts_of_pairs_come_once_and_without_a_shuffle(spark, monkeypatch):
+    """Rows that stand for their set aren't shuffled with their texts; repeated rows and null keys still come once."""
+    copies = [" ".join([*(f"w{j}" for j in range(40)), f"end{k}"]) for k in range(40)]
+    rows = list(enumerate(copies)) + [(3, copies[3])] * 5 + [(3, copies[4]), (3, ""), (None, copies[5]), (900, copies[6])]
+    rows += [(None, " ".join([*(f"w{j}" for j in range(40)), "null"]))] * 3 + [(50, None), (None, None), (60, "quite another text of more words than five")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    frame, asked, wide = type(docs), [], []
+    real, real_link = frame.join, setjoin.link
+
+    def join(self, other, on=None, how=None):
+        if "text" in self.columns and how == "left_semi":
+            wide.append(self.count())
+        return real(self, other, on, how)
+
+    def link(postings, texts_of, *rest):
+        asked.append((texts_of, postings.select("id").distinct()))
+        return real_link(postings, texts_of, *rest)
+
+    monkeypatch.setattr(setjoin, "link", link)
+    frame.join = join
+    try:
+        assert got(setjoin.join(docs)) == brute(rows)
+        assert wide and max(wide) <= 10   # only the repeated rows and those that share a key with others; all 50 before
+        texts_of, ids = asked[0]
+        found = texts_of(ids).collect()
+    finally:
+        frame.join = real
+    texts = unpacked(pa.array([r.text for r in found], pa.binary())).to_pylist()
+    assert len({r.id for r in found}) == len(found) == 42
+    assert sorted(texts) == sorted({t for _, t in rows if t})
+
+
+def test_packed_texts_and_counters():
+    texts = [None, "", "x", "ß\n" * 300, "word " * 5_000, "\0" * 511, "\0" * 512]
+    assert unpacked(packed(pa.array(texts))).to_pylist() == ["", *texts[1:]]
+    assert unpacked(packed(pa.array(texts, pa.large_string()).slice(2))).to_pylist() == texts[2:]
+    counts = np.random.default_rng(5).poisson(0.2, setjoin.BLOCK).astype(np.uint32)
+    counts[::999] = 4_000_000_000
+    raw = setjoin._pack(counts)
+    assert (setjoin._unpack(raw) == counts).all() and len(raw) < setjoin.BLOCK // 3   # 4 * BLOCK before

@@ -12,6 +12,8 @@ meets most often: linear in the texts, and it joins nearly all of every large gr
 verifies those pairs of a signature whose bounds allow a link and whose ends are still in different
 components.  Pairs inside a component can't change it, so leaving them out loses no component.
 
+Texts travel packed, and only those that a pair has: ``texts_of`` is asked for the ends of the pairs of a round.
+
 One of the bounds of round 2 is a bitmap of ``64 * LANES`` parities: shingles are dealt to bits, and a bit
 says whether a set has an odd number of its shingles.  A bit in which two sets differ holds a shingle that
 only one of them has, so there are at least as many of those as such bits.  More than a link allows
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, sifted, written
+from .common import components, written
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
 SHINGLE = 5
@@ -130,21 +132,45 @@ def members(postings: DataFrame) -> DataFrame:
     return ordered.select("sig", "kind", "id", "size").mapInArrow(_runs, "sig bigint, id bigint, n bigint, bound bigint, hub bigint, lower bigint")
 
 
+_PACK_FROM = 512   # bytes; shorter texts are left to the shuffle's own compression
+
+
+def packed(texts: pa.Array) -> pa.Array:
+    """Each text as its size before compression (0: it is as it was) and its bytes; null is empty."""
+    out = []
+    for x in texts.cast(pa.binary()).fill_null(b""):
+        raw = x.as_py()
+        if len(raw) < _PACK_FROM:
+            out.append(b"\0\0\0\0" + raw)
+        else:
+            out.append(len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True))
+    return pa.array(out, pa.binary())
+
+
+def unpacked(texts: pa.Array) -> pa.Array:
+    """The texts that ``packed`` made."""
+    out = []
+    for x in texts.to_pylist():
+        n = int.from_bytes(x[:4], "little")
+        out.append(pa.decompress(x[4:], n, codec="zstd", asbytes=True) if n else x[4:])
+    return pa.array(out, pa.binary()).cast(pa.string())
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose texts' shingle sets have 100 * intersection >= similar * union."""
+    """Those (a, b) of ``pairs`` whose texts' shingle sets have 100 * intersection >= similar * union.
+
+    ``texts`` has (id, text) with packed texts, each id once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             sets = []
             for c in (2, 3):
-                sets.append([h[offsets[k]:offsets[k + 1]] for _, h, offsets in shingle_sets(batch.column(c), size) for k in range(len(offsets) - 1)])
+                sets.append([h[offsets[k]:offsets[k + 1]] for _, h, offsets in shingle_sets(unpacked(batch.column(c)), size) for k in range(len(offsets) - 1)])
             good = []
             for x, y in zip(*sets, strict=True):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(common > 0 and 100 * common >= similar * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    texts = sifted(texts.select("id", "text"), F.xxhash64("id"), ends, F.xxhash64("id")).where("_near").drop("_near")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     # the text of ``a`` travels with the pair; ``b`` is the hub, which many pairs share
@@ -180,7 +206,8 @@ def bitmaps(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
 def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
     """(node, component_id) of all texts that are similar to another one (by id).
 
-    ``texts_of(ids)`` returns (id, text) for a table of ids.
+    ``texts_of(ids)`` returns (id, text) for a table of ids: each id once, texts packed, from a written table.
+    ``texts_of(ids, False)`` returns plain texts, and may repeat ids and have others.
     """
     multi = written(members(postings), "members").withColumn("kind", F.floor(F.log("n") / float(np.log(_STEP)) + 1e-9).cast("int"))
     met = (multi.select("id", "n", F.explode(F.array("hub", "lower")).alias("hub")).where("hub is not null and hub != id")
@@ -193,28 +220,28 @@ def link(postings: DataFrame, texts_of, similar: int = SIMILAR, size: int = SHIN
     often = multi.select("sig", "kind", "id").join(top, ["sig", "kind"]).where("top != id").groupBy("id", "top").agg(F.count("*").alias("c"))
     second = often.groupBy("id").agg(F.max_by("top", F.struct("c", "top")).alias("b")).select(F.col("id").alias("a"), "b")
     best = written(best.unionByName(second).distinct(), "hubs")
-    ids = multi.select("id").distinct()
-    texts = written(texts_of(ids), "texts")
-    links = written(verified(best, texts, similar, size), "links")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    links = written(verified(best, texts_of(ends(best)), similar, size), "links")
     parts = written(components(links), "parts")
     x = multi.select("sig", "id", "n", "bound").join(parts.select(F.col("node").alias("id"), "component_id"), "id", "left")
     x = x.select("sig", "id", "n", "bound", F.coalesce("component_id", "id").alias("part"))
     open_ = x.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
     x = written(x.join(open_, "sig", "left_semi"), "open")
     # bitmaps are shuffled for the join below, texts aren't
-    bits = bitmaps(sifted(texts.select("id", "text"), F.xxhash64("id"), x.select("id"), F.xxhash64("id")).where("_near"), size)
-    x = written(x.join(bits, "id"), "bounded")
-    y = x.select("sig", F.col("id").alias("b"), F.col("n").alias("m"), F.col("bound").alias("bound_b"), F.col("part").alias("other"),
-                 *(F.col(f"bits{k}").alias(f"bits_b{k}") for k in range(LANES)))
-    apart = reduce(add, (F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"bits_b{k}"))) for k in range(LANES)))
-    left = (x.join(y, "sig").where((F.col("part") < F.col("other"))
-                                   & (100 * F.least("n", "m") >= similar * F.greatest("n", "m"))
-                                   & ((100 + similar) * apart <= (100 - similar) * (F.col("n") + F.col("m")))
-                                   & ((100 + similar) * F.least("bound", "bound_b") >= similar * (F.col("n") + F.col("m"))))
-            .select(F.col("id").alias("a"), "b").distinct())
+    x = written(x.join(bitmaps(texts_of(x.select("id").distinct(), False), size), "id"), "bounded")
+    # both sides have the same columns, so they are one shuffle
+    one, two = x.alias("one"), x.alias("two")
+    of = lambda c: (F.col(f"one.{c}"), F.col(f"two.{c}"))
+    apart = reduce(add, (F.bit_count(p.bitwiseXOR(q)) for p, q in (of(f"bits{k}") for k in range(LANES))))
+    n, m = of("n")
+    left = (one.join(two, F.col("one.sig") == F.col("two.sig")).where((F.col("one.part") < F.col("two.part"))
+                                                                      & (100 * F.least(n, m) >= similar * F.greatest(n, m))
+                                                                      & ((100 + similar) * apart <= (100 - similar) * (n + m))
+                                                                      & ((100 + similar) * F.least(*of("bound")) >= similar * (n + m)))
+            .select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct())
     tried = best.select(F.col("a"), "b").unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
     left = written(left.join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = written(verified(left, texts, similar, size), "links")
+    more = written(verified(left, texts_of(ends(left)), similar, size), "links")
     if more.isEmpty():
         return parts
     return components(links.unionByName(more))

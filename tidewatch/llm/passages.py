@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sifted, written
-from .linking import SHINGLE, SIMILAR, link, posted, set_id, shingle_sets
+from .linking import SHINGLE, SIMILAR, link, packed, posted, set_id, shingle_sets
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
 MIN_WORDS = 40
@@ -134,18 +134,25 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig.ravel().view(np.int64)), pa.array(np.repeat(set_id(h, offsets), bands)), pa.array(np.repeat(posted(np.diff(offsets)), bands))], ["sig", "id", "size"])
 
-    def texts_of(ids: DataFrame) -> DataFrame:
-        reps = written(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct(), "reps")
+    def texts_of(ids: DataFrame, once: bool = True) -> DataFrame:
+        place = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("key"))
+        reps = written(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(place).alias("first")).select(F.col("first.key").alias("_key")).distinct(), "reps")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for _, _, _, paragraphs in _paragraphs(batch.column(0), least):
                     yield pa.RecordBatch.from_arrays([pa.array(set_id(*_sets(paragraphs, size))), paragraphs], ["id", "text"])
 
-        near = sifted(docs.select(key, text), F.xxhash64(key), reps, F.xxhash64(key)).where("_near").drop("_near")
-        some = near.join(reps, key, "left_semi").unionByName(docs.select(key, text).where(F.col(key).isNull()))
-        texts = sifted(some.select(text).mapInArrow(run, "id bigint, text string"), F.xxhash64("id"), ids, F.xxhash64("id")).where("_near").drop("_near")
-        return texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0), packed(batch.column(1))], ["id", "text"])
+
+        # whole texts aren't shuffled: a sieve leaves the rows that may have a wanted paragraph, another one such paragraphs
+        near = sifted(docs.select(key, text), F.xxhash64(key), reps, F.xxhash64("_key")).where("_near")
+        texts = sifted(near.select(text).mapInArrow(run, "id bigint, text string"), F.xxhash64("id"), ids, F.xxhash64("id")).where("_near").drop("_near")
+        if not once:
+            return texts
+        return written(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(pack, "id bigint, text binary"), "texts")
 
     parts = link(docs.select(text).mapInArrow(post, "sig bigint, id bigint, size bigint"), texts_of, similar, size)
     placed = (found.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")

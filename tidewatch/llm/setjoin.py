@@ -27,6 +27,7 @@ their texts are linked; a null key gets no component unless a linked row has a k
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import sifted, written
-from .linking import SHINGLE, SIMILAR, link, set_id, shingle_sets
+from .common import sifted, stored, written
+from .linking import SHINGLE, SIMILAR, link, packed, set_id, shingle_sets
 from .textbytes import U64, mix
 
 #: Counters for shingles (16 MB in each Python worker) and the blocks that they are summed in.
@@ -44,6 +45,15 @@ COUNTERS = 1 << 22
 BLOCK = 1 << 16
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    """Counters by the bytes of their numbers: most are small, so nearly all that is left is their lowest byte."""
+    return zlib.compress(np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _measured(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """(key, id, n) of each row, and one row (null key, block number, counts) for each block of counters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +83,7 @@ def _measured(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
             rows = COUNTERS // BLOCK
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(rows, kind), pa.array(np.arange(rows)), pa.nulls(rows, pa.int64()),
-                 pa.array([counts[k * BLOCK:(k + 1) * BLOCK].tobytes() for k in range(rows)], pa.binary())], [key, "id", "n", "counts"])
+                 pa.array([_pack(counts[k * BLOCK:(k + 1) * BLOCK]) for k in range(rows)], pa.binary())], [key, "id", "n", "counts"])
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, id bigint, n bigint, counts binary")
 
@@ -85,14 +95,14 @@ def _counters(measured: DataFrame) -> np.ndarray:
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = total.setdefault(k, np.zeros(BLOCK, np.uint32))
-                own += np.frombuffer(raw.as_buffer(), np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["block", "counts"])
+                own += _unpack(raw.as_buffer())
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([_pack(v) for v in total.values()], pa.binary())], ["block", "counts"])
 
     blocks = measured.where("counts is not null").select(F.col("id").alias("block"), "counts")
     summed = blocks.mapInArrow(add, "block bigint, counts binary").repartition("block").mapInArrow(add, "block bigint, counts binary")
     out = np.zeros(COUNTERS, np.uint32)
     for r in summed.collect():
-        out[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.counts, np.uint32)
+        out[r.block * BLOCK:(r.block + 1) * BLOCK] = _unpack(r.counts)
     return out
 
 
@@ -156,20 +166,35 @@ def _grouped(docs: DataFrame, key: str, text: str, similar: int = SIMILAR, size:
     info = measured.where("counts is null").select(key, "id", "n")
     postings = _postings(docs, text, _counters(measured), size, similar)
 
-    def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = written(info.join(ids, "id", "left_semi").groupBy("id").agg(F.min(key).alias(key)).where(F.col(key).isNotNull()).select(key).distinct(), "wanted")
+    def texts_of(ids: DataFrame, once: bool = True) -> DataFrame:
+        place = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("key"))
+        wanted = written(info.join(ids, "id", "left_semi").groupBy(F.col("id").alias("_id")).agg(F.min(place).alias("first"))
+                         .select("_id", F.col("first.key").alias("_key")), "wanted")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()  # rows of equal key meet in a task; their text is wanted once
             for batch in batches:
-                for row, h, offsets in shingle_sets(batch.column(0), size):
+                for row, h, offsets in shingle_sets(batch.column(1), size):
                     own = set_id(h, offsets)
-                    fresh = np.array([k for k, i in enumerate(own.tolist()) if i and not (i in seen or seen.add(i))], np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(own[fresh]), batch.column(0).take(pa.array(fresh + row))], ["id", "text"])
-
-        near = sifted(docs.select(key, text), F.xxhash64(key), wanted, F.xxhash64(key)).where("_near").drop("_near")
-        keyed = near.join(wanted, key, "left_semi")
-        return keyed.unionByName(docs.select(key, text).where(F.col(key).isNull())).select(text).mapInArrow(run, "id bigint, text string")
+                    some = np.flatnonzero(own)
+                    at = pa.array(some + row)
+                    texts = batch.column(1).take(at)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(own[some]), packed(texts) if once else texts], [key, "id", "text"])
+
+        kind = f"`{key}` {docs.schema[key].dataType.simpleString()}, id bigint, text {'binary' if once else 'string'}"
+        near = lambda rows: sifted(rows, F.xxhash64(key), wanted, F.xxhash64("_key")).where("_near").drop("_near")
+        own = near(docs.select(key, text)).mapInArrow(run, kind)
+        if not once:
+            return own.select("id", "text")
+        # what passes the first sieve and isn't one wanted row; a row that this second sieve doesn't know needs no join
+        same = lambda rows: rows[key].eqNullSafe(F.col("_key")) & (rows["id"] == F.col("_id"))
+        met = near(info.where("n > 0").select(key, "id")).groupBy(key, "id").agg(F.count("*").alias("times"))
+        unclear = written(met.join(wanted, same(met), "left").where("_id is null or times > 1").select(F.col(key).alias("_key"), F.col("id").alias("_id")), "unclear")
+        apart = sifted(own, F.xxhash64(key, "id"), unclear, F.xxhash64("_key", "_id"))
+        folder = stored(apart, "texts")
+        rest = docs.sparkSession.read.schema(apart.schema).parquet(folder).where("_near")
+        rest = rest.join(wanted, same(rest), "left_semi").dropDuplicates(["id"]).withColumn("_near", F.lit(False))
+        # one scan of both, so that the two ends of pairs are joined with one shuffle of it
+        return docs.sparkSession.read.schema(apart.schema).parquet(folder, stored(rest, "texts")).where("not _near").select("id", "text")
 
     parts = link(postings, texts_of, similar, size)
     with_part = info.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")
