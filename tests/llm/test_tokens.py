@@ -13,7 +13,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidewatch.llm import bpe, packing, queries, rangecoder, tokenfile, tokens
+from tidewatch.llm import bpe, common, packing, queries, rangecoder, tokenfile, tokens
 
 from ..conftest import SF001
 from .conftest import with_clashes
@@ -213,3 +213,30 @@ def test_token_file_odd_texts(spark, library, monkeypatch):
     assert tokenfile.read(tokenfile.write(with_clashes(spark, []), path)).count() == 0
     assert [tuple(r) for r in tokenfile.read(tokenfile.write(with_clashes(spark, [(3, None), (3, None)]), path)).orderBy("start").collect()] == [
         (3, k, 1, zlib.crc32(b"\1\0\0\0")) for k in (0, 1)]
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """A packing task loads no second copy of the vocabulary, and what a task has freed doesn't stay with the worker."""
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens.library_encoder(path)
+    loads, real = [], tokenizers.Tokenizer.from_file
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_file": staticmethod(lambda p: loads.append(p) or real(p))}))
+    ends = packing.sentence_ends(path)
+    assert not loads and ends[real(path).token_to_id(".")] and not ends[real(path).token_to_id("a")]
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def run(batches):
+        held = [np.ones(60_000, np.uint8) for _ in range(3_000)]   # 180 MB in pieces of the heap
+        last = held.pop()
+        del held
+        yield from batches
+        assert last[0]
+
+    before = resident()
+    assert list(common.lean(run)(iter([1, 2]))) == [1, 2]
+    assert resident() - before < 40 << 20

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, lean, written
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
 SHINGLE = 5
@@ -129,7 +129,7 @@ def members(postings: DataFrame) -> DataFrame:
     bound = F.col("size").bitwiseAND(0xFFFFFFFF)
     ordered = (postings.repartition("sig").withColumn("kind", F.floor(F.log(n) / float(np.log(_STEP)) + 1e-9).cast("int"))
                .sortWithinPartitions("sig", "kind", -F.floor(bound * 4096 / n), "id"))
-    return ordered.select("sig", "kind", "id", "size").mapInArrow(_runs, "sig bigint, id bigint, n bigint, bound bigint, hub bigint, lower bigint")
+    return ordered.select("sig", "kind", "id", "size").mapInArrow(lean(_runs), "sig bigint, id bigint, n bigint, bound bigint, hub bigint, lower bigint")
 
 
 _PACK_FROM = 512   # bytes; shorter texts are left to the shuffle's own compression
@@ -175,7 +175,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: int = SIMILAR, size: i
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     # the text of ``a`` travels with the pair; ``b`` is the hub, which many pairs share
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def parities(h: np.ndarray, offsets: np.ndarray, lanes: int = LANES) -> np.ndarray:
@@ -199,7 +199,7 @@ def bitmaps(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
                 bits = parities(h, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(bits)), *(pa.array(b) for b in bits.T.copy())], ["id", *names])
 
-    made = texts.select("id", "text").mapInArrow(run, "id bigint, " + ", ".join(f"{c} bigint" for c in names))
+    made = texts.select("id", "text").mapInArrow(lean(run), "id bigint, " + ", ".join(f"{c} bigint" for c in names))
     return made.dropDuplicates(["id"])   # equal ids are equal sets
 
 

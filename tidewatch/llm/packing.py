@@ -21,13 +21,15 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .tokens import byte_level_pieces, cache_for, encode_texts, library_encoder, library_pieces
+from .common import lean, release
+from .tokens import byte_level_pieces, cache_for, encode_texts, library_encoder, library_pieces, library_tokenizer
 
 #: Ids that are planned together; a stream is planned in stretches of at least so many, cut at document ends.
 STRETCH = 1_500_000
@@ -80,11 +82,10 @@ def candidates(ids: np.ndarray, ends: np.ndarray, ends_sentence: np.ndarray, gri
     return place, cost[place]
 
 
+@lru_cache(2)
 def sentence_ends(path: str) -> np.ndarray:
     """For each id, whether its text ends with a full stop, question or exclamation mark or line end."""
-    from tokenizers import Tokenizer
-
-    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
+    vocabulary = library_tokenizer(path).get_vocab(with_added_tokens=True)
     out = np.zeros(max(vocabulary.values()) + 1, bool)
     for token, i in vocabulary.items():
         out[i] = token.endswith((".", "!", "?", "Ċ"))  # the last one stands for a line feed
@@ -138,7 +139,8 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", si
                 if held >= STRETCH:
                     yield flush()
                     held = 0
+                    release()
         if held:
             yield flush()
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, {SCHEMA}")
+    return docs.select(key, text).mapInArrow(lean(run), f"`{key}` {docs.schema[key].dataType.simpleString()}, {SCHEMA}")

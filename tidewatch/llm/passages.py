@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sifted, written
+from .common import lean, sifted, written
 from .linking import SHINGLE, SIMILAR, link, packed, posted, set_id, shingle_sets
 from .textbytes import LOWER, U64, hash_spans, mix, utf8_chunks, words
 
@@ -116,7 +116,7 @@ def occurrences(docs: DataFrame, key: str, text: str, least: int, size: int) ->
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32)), pa.array(set_id(h, offsets))], [key, "row_hash", "line", "id"])
 
     source = docs.select(key, F.xxhash64(text).alias("row_hash"), text)
-    return source.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, row_hash bigint, line int, id bigint")
+    return source.mapInArrow(lean(run), f"`{key}` {docs.schema[key].dataType.simpleString()}, row_hash bigint, line int, id bigint")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_WORDS, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
@@ -149,12 +149,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
 
         # whole texts aren't shuffled: a sieve leaves the rows that may have a wanted paragraph, another one such paragraphs
         near = sifted(docs.select(key, text), F.xxhash64(key), reps, F.xxhash64("_key")).where("_near")
-        texts = sifted(near.select(text).mapInArrow(run, "id bigint, text string"), F.xxhash64("id"), ids, F.xxhash64("id")).where("_near").drop("_near")
+        texts = sifted(near.select(text).mapInArrow(lean(run), "id bigint, text string"), F.xxhash64("id"), ids, F.xxhash64("id")).where("_near").drop("_near")
         if not once:
             return texts
         return written(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(pack, "id bigint, text binary"), "texts")
 
-    parts = link(docs.select(text).mapInArrow(post, "sig bigint, id bigint, size bigint"), texts_of, similar, size)
+    parts = link(docs.select(text).mapInArrow(lean(post), "sig bigint, id bigint, size bigint"), texts_of, similar, size)
     placed = (found.join(parts.select(F.col("node").alias("id"), F.col("component_id").alias("part")), "id", "left")
               .withColumn("part", F.coalesce("part", "id")))
     place = F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"), "line", "row_hash")
@@ -265,13 +265,13 @@ def shared(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "t
                 columns.append(pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.StructArray.from_arrays(pair, fields=list(of))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, batch.column(4)], ["_key", "_hash", "repeated_spans", "removed_spans", "spans_from"])
 
-    found = written(own.mapInArrow(anchors, f"`{key}` {kind}, row_hash bigint, anchor bigint"), "anchors")
+    found = written(own.mapInArrow(lean(anchors), f"`{key}` {kind}, row_hash bigint, anchor bigint"), "anchors")
     wanted = (found.join(_several(found, key, "anchor").select("anchor"), "anchor").groupBy(F.col(key).alias("w_key"), F.col("row_hash").alias("w_hash"))
               .agg(F.collect_set("anchor").alias("wanted")))
     wanted = written(wanted, "wanted")
     own = lines(sifted(source, row, wanted, F.xxhash64("w_key", "w_hash")).where("_near").drop("_near"))
     some = own.join(wanted, F.col(key).eqNullSafe(F.col("w_key")) & (F.col("row_hash") == F.col("w_hash"))).select(key, "row_hash", text, "_gone", "wanted")
-    found = written(some.mapInArrow(posts, f"`{key}` {kind}, row_hash bigint, window bigint, span bigint"), "windows")
+    found = written(some.mapInArrow(lean(posts), f"`{key}` {kind}, row_hash bigint, window bigint, span bigint"), "windows")
     both = found.join(_several(found, key, "window"), "window").withColumn("removed", _place(key) != F.col("first"))
     by = both.groupBy(F.col(key).alias("_key"), F.col("row_hash").alias("_hash")).agg(
         F.collect_set("span").alias("repeated"), F.collect_set(F.when(F.col("removed"), F.col("span"))).alias("removed"),
@@ -345,4 +345,4 @@ def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, order)
 
-    return both.mapInArrow(run, docs.schema).unionByName(apart.where("not _near").select(*order))
+    return both.mapInArrow(lean(run), docs.schema).unionByName(apart.where("not _near").select(*order))

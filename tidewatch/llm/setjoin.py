@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import sifted, stored, written
+from .common import lean, sifted, stored, written
 from .linking import SHINGLE, SIMILAR, link, packed, set_id, shingle_sets
 from .textbytes import U64, mix
 
@@ -85,7 +85,7 @@ def _measured(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 [pa.nulls(rows, kind), pa.array(np.arange(rows)), pa.nulls(rows, pa.int64()),
                  pa.array([_pack(counts[k * BLOCK:(k + 1) * BLOCK]) for k in range(rows)], pa.binary())], [key, "id", "n", "counts"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, id bigint, n bigint, counts binary")
+    return docs.select(key, text).mapInArrow(lean(run), f"`{key}` {docs.schema[key].dataType.simpleString()}, id bigint, n bigint, counts binary")
 
 
 def _counters(measured: DataFrame) -> np.ndarray:
@@ -157,7 +157,7 @@ def _postings(docs: DataFrame, text: str, counts: np.ndarray, size: int, similar
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(mix(np.concatenate(sigs)).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sizes))], ["sig", "id", "size"])
 
-    return docs.select(text).mapInArrow(run, "sig bigint, id bigint, size bigint")
+    return docs.select(text).mapInArrow(lean(run), "sig bigint, id bigint, size bigint")
 
 
 def _grouped(docs: DataFrame, key: str, text: str, similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
@@ -182,7 +182,7 @@ def _grouped(docs: DataFrame, key: str, text: str, similar: int = SIMILAR, size:
 
         kind = f"`{key}` {docs.schema[key].dataType.simpleString()}, id bigint, text {'binary' if once else 'string'}"
         near = lambda rows: sifted(rows, F.xxhash64(key), wanted, F.xxhash64("_key")).where("_near").drop("_near")
-        own = near(docs.select(key, text)).mapInArrow(run, kind)
+        own = near(docs.select(key, text)).mapInArrow(lean(run), kind)
         if not once:
             return own.select("id", "text")
         # what passes the first sieve and isn't one wanted row; a row that this second sieve doesn't know needs no join
@@ -231,7 +231,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             ids = [set_id(h, offsets) for _, h, offsets in shingle_sets(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))], [*order, "_set"])
 
-    own = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_set", LongType())]))
+    own = docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField("_set", LongType())]))
     same = lambda some, few: some[key].eqNullSafe(few["_key"]) & (some["_set"] == few["_id"])
     apart = sifted(own, F.xxhash64(key, "_set"), decided, F.xxhash64("_key", "_id"))
     near = apart.where("_near and _set != 0").drop("_near")

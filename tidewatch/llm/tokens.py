@@ -152,15 +152,20 @@ def encode_texts(texts: pa.Array, pieces: Callable, cache: PieceCache) -> Iterat
 _tokenizers: dict[str, object] = {}
 
 
-def library_encoder(path: str) -> Callable[[list[bytes]], list[list[int]]]:
-    """Ids of pieces by the tokenizers library, without special tokens around them; a piece that is the literal of
-    an added token gets its id, as by the library's default."""
+def library_tokenizer(path: str):
+    """The worker's only copy of one vocabulary."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         _tokenizers[path] = Tokenizer.from_file(path)
-    tokenizer = _tokenizers[path]
+    return _tokenizers[path]
+
+
+def library_encoder(path: str) -> Callable[[list[bytes]], list[list[int]]]:
+    """Ids of pieces by the tokenizers library, without special tokens around them; a piece that is the literal of
+    an added token gets its id, as by the library's default."""
+    tokenizer = library_tokenizer(path)
     return lambda batch: [e.ids for e in tokenizer.encode_batch_fast([b.decode("utf-8") for b in batch], add_special_tokens=False)]
 
 
