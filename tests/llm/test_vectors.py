@@ -126,3 +126,77 @@ def test_graph_finds_large_groups():
     a, b = hnsw.links(hnsw.Graph(x), x, x, 0.98)
     assert len(a) == int((x @ x.T >= 0.98).sum())
     assert (np.einsum("pd,pd->p", x[a], x[b]) >= 0.98).all()
+
+
+def clustered(n, seed=3):
+    """Scattered vectors, groups around borders, one large group of near copies and one of equal vectors."""
+    rng = np.random.default_rng(seed)
+    scattered = rng.normal(size=(n, 12))
+    scattered /= np.linalg.norm(scattered, axis=1, keepdims=True)
+    pairs = scattered[::3] + rng.normal(size=(len(scattered[::3]), 12)) * 0.055
+    group = scattered[0] + rng.normal(size=(n // 4, 12)) * 0.04
+    return np.concatenate([scattered, pairs, group, np.repeat(scattered[1:2], n // 8, axis=0)])
+
+
+def brute(x, least=0.98):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = unit @ unit.T >= least
+    np.fill_diagonal(s, False)
+    comp = np.arange(len(x))
+    while True:
+        new = np.minimum(comp, np.where(s, comp[None, :], len(x)).min(1))
+        if (new == comp).all():
+            return s, comp
+        comp = new
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_near_over_regions_and_blocks(spark, monkeypatch, kind):
+    """Each label's graph is built once, and links within and between regions and blocks count once."""
+    built = []
+    graph = hnsw.Graph
+    monkeypatch.setattr(hnsw, "Graph", lambda unit: built.append(len(unit)) or graph(unit))
+    rows, want = [], []
+    for label in (1, 2):
+        x = clustered(400, label)
+        if kind == "float":
+            x = x.astype(np.float32).astype(float)
+        s, comp = brute(x)
+        rows += [(1000 * label + i, v.tolist(), label) for i, v in enumerate(x)]
+        want += [(1000 * label + i, int(s[i].sum()), 1000 * label + int(comp[i]), bool(comp[i] == i)) for i in range(len(x))]
+    made = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in hnsw.near(made, shard=60).collect())
+    assert got == want
+    assert len(built) == 2 and all(2 < n < 40 for n in built)
+
+
+def test_regions_lose_no_link_and_are_few():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([c + rng.normal(size=(300, 16)) * 0.02 for c in rng.normal(size=(20, 16))])
+    x = np.concatenate([x, rng.normal(size=(1500, 16)), clustered(300)[:, :1] + rng.normal(size=(1, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    leaders = x[rng.permutation(len(x))[:60]]
+    at, to = hnsw.regions_of(hnsw.Graph(leaders), leaders, x, 0.98)
+    first = np.r_[True, at[1:] != at[:-1]]
+    home = to[first]
+    assert (home == (x @ leaders.T).argmax(1)).mean() > 0.999
+    dealt = np.zeros((len(x), 60), bool)
+    dealt[at, to] = True
+    a, b = np.nonzero(x @ x.T >= 0.98)
+    assert (dealt[a, home[b]] | dealt[b, home[a]]).all()
+    assert len(at) < 15 * len(x)
+
+
+def test_compare_holds_no_table_of_pairs():
+    """A block of near copies: 16 million links."""
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    raw = 1 + rng.normal(size=(4000, 8)) * 0.01
+    block = hnsw.Block(0, np.arange(4000), raw, np.ones(4000, np.int64), np.zeros(4000, np.int64))
+    tracemalloc.start()
+    forest = hnsw.compare(block, block, 0.98)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (block.degree == 3999).all() and (forest.root(np.arange(4000)) == 0).all()
+    assert peak < 200 << 20

@@ -1,14 +1,21 @@
-"""Embedding near-dedup with hierarchical navigable small-world graphs, one per shard.
+"""Embedding near-dedup with hierarchical navigable small-world graphs over the leaders of regions.
 
-Vectors with the same label (and length) are dealt to shards of at most about ``SHARD`` rows by a hash
-of their row.  Every shard builds one graph; every shard's vectors are searched in every graph of
-their label.  A beam that is full of links is widened until it reaches below the threshold, and
-an audit compares some of each block's queries with brute force: as long as it finds a missing
-link, the whole block is searched again with twice the beam, in the end with all vectors.
+The vectors with the same label (and length) are dealt to regions: about sqrt(n) / 16 of them are
+leaders, and a vector's home is the region of its nearest leader.  One graph per label holds the leaders;
+it is built once and finds, for each vector, all leaders that are nearly as near as its own.  A beam that
+is full of such leaders is widened until it reaches below them, and an audit compares some of each
+block's queries with brute force: as long as it finds a missing leader, the whole block is searched
+again with twice the beam, in the end with all leaders.
 
-Links are verified as cosines of the original vectors in double precision.  A task counts the
-links of each vector and reduces them to a spanning forest, so that no table of pairs arises, however
-large a group is; components are then joined over all shards.
+A vector visits each region whose border is at most half a link's length away from it.  Of two linked vectors
+with different homes at least one lies so near to the border between their leaders, so no
+link is lost by that, and most pairs of regions of most vectors are never looked at.  A link that both regions see
+counts in the one with the smaller number.
+
+In its region, a vector is compared with the residents, in blocks of at most about ``SHARD`` rows and tiles
+of ``TILE`` pairs: in single precision, and those near the threshold as cosines of the original vectors in
+double precision.  A task counts the links of each vector and reduces them to a spanning forest tile by tile, so
+that no table of pairs arises, however large a group is; components are then joined over all blocks.
 
 A vector that is null, empty or zero, or holds null or non-finite components, links with nothing, as
 does one without label.  Each row is a vector of its own: rows with the same id, also equal ones,
@@ -26,8 +33,10 @@ from pyspark.sql import functions as F
 
 from .common import components, written
 
-#: Rows of a shard, about; a shard's graph takes some 400 bytes a row besides its vectors.
-SHARD = 16_384
+#: Rows of a block, about, and pairs of a tile.
+SHARD, TILE = 65_536, 1 << 22
+#: A label of n vectors has about sqrt(n) / SPACING leaders: more of them make regions smaller, and more visits.
+SPACING = 16
 FORWARD, LINKS, UPPER = 16, 32, 16   # chosen and total neighbours on the lowest level, and above
 BUILD_BEAM, BEAM, BATCH = 48, 48, 256
 AUDITED = 64
@@ -162,15 +171,20 @@ class Graph:
         return _search(self.x, self.levels[0], entry, q, min(beam, max(len(self.x) - 1, 1)))
 
 
-def links(graph: Graph, unit: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """(query, vector) indices with an inner product of at least ``least`` (double precision).
+def links(graph: Graph, unit: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM, below_best: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) indices with an inner product of at least ``least`` (double precision), or, ``below_best``, of at
+    least that of the query's best vector less ``least``.
 
-    The audit takes evenly spaced queries of the block, whatever their number of links."""
+    The audit takes evenly spaced queries of the block, whatever their number of links; below the best, each has one."""
     n = len(unit)
     if not n or not len(q):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def limit(value: np.ndarray) -> np.ndarray | float:
+        return value.max(1, keepdims=True) - least if below_best else least
+
     sample = np.unique(np.linspace(0, len(q) - 1, min(AUDITED, len(q))).astype(int))
-    truth = [np.flatnonzero(unit @ v >= least) for v in q[sample]]
+    truth = [np.flatnonzero(s >= limit(s[None])[0] if below_best else s >= least) for s in (unit @ v for v in q[sample])]
     q32 = q.astype(np.float32)
     while True:
         out_a, out_b = [], []
@@ -179,7 +193,8 @@ def links(graph: Graph, unit: np.ndarray, q: np.ndarray, least: float, beam: int
             again = []
             if width > beam and width * 8 >= n:  # so wide a beam is no cheaper than one that holds all vectors
                 for k in range(0, len(todo), BATCH):
-                    r, c = np.nonzero(q[todo[k:k + BATCH]] @ unit.T >= least)
+                    value = q[todo[k:k + BATCH]] @ unit.T
+                    r, c = np.nonzero(value >= limit(value))
                     out_a.append(todo[k:k + BATCH][r])
                     out_b.append(c)
                 break
@@ -188,14 +203,17 @@ def links(graph: Graph, unit: np.ndarray, q: np.ndarray, least: float, beam: int
                 own = todo[k:k + step]
                 ids, value = graph.search(q32[own], width)
                 # single precision is off by less than 1e-5
-                full = (value[:, -1] >= least - 1e-5) & (ids.shape[1] < n)
+                low = limit(value) - 1e-5
+                full = (value[:, -1:] >= low)[:, 0] & (ids.shape[1] < n)
                 again.append(own[full])
-                r, c = np.nonzero((value >= least - 1e-5) & (ids < n) & ~full[:, None])
+                r, c = np.nonzero((value >= low) & (ids < n) & ~full[:, None])
                 a, b = own[r], ids[r, c]
-                exact = np.einsum("pd,pd->p", q[a], unit[b]) >= least if len(a) < 200_000 else np.concatenate(
-                    [np.einsum("pd,pd->p", q[a[s:s + 200_000]], unit[b[s:s + 200_000]]) >= least for s in range(0, len(a), 200_000)])
-                out_a.append(a[exact])
-                out_b.append(b[exact])
+                if not below_best:  # there, somewhat more is no harm
+                    exact = np.einsum("pd,pd->p", q[a], unit[b]) >= least if len(a) < 200_000 else np.concatenate(
+                        [np.einsum("pd,pd->p", q[a[s:s + 200_000]], unit[b[s:s + 200_000]]) >= least for s in range(0, len(a), 200_000)])
+                    a, b = a[exact], b[exact]
+                out_a.append(a)
+                out_b.append(b)
             todo, width = np.concatenate(again), width * 4
         a, b = np.concatenate(out_a), np.concatenate(out_b)
         if beam >= n:
@@ -231,62 +249,221 @@ def _usable(embedding: str):
     return F.coalesce((F.size(e) > 0) & ok & F.exists(e, lambda v: v != 0), F.lit(False))
 
 
+def _units(raw: np.ndarray) -> np.ndarray:
+    v = raw.astype(float)
+    v /= np.abs(v).max(1, keepdims=True)
+    return v / np.sqrt(np.square(v).sum(1, keepdims=True))
+
+
+def regions_of(graph: Graph, leaders: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, region): each query's home comes first, then the regions that it visits."""
+    reach = np.sqrt(max(0.0, 2 - 2 * least))  # the longest link
+    # leaders are two apart at most
+    at, to = links(graph, leaders, q, reach, below_best=True)
+    value = np.concatenate([np.einsum("pd,pd->p", q[at[s:s + 200_000]], leaders[to[s:s + 200_000]]) for s in range(0, len(at), 200_000)])
+    order = np.lexsort((to, -value, at))
+    at, to, value = at[order], to[order], value[order]
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    home, best = to[first][at], value[first][at]  # each query has a nearest leader
+    apart = np.concatenate([np.linalg.norm(leaders[home[s:s + 200_000]] - leaders[to[s:s + 200_000]], axis=1) for s in range(0, len(at), 200_000)])
+    near_border = (to == home) | (best - value <= reach / 2 * apart + 1e-9)
+    return at[near_border], to[near_border]
+
+
+class Block:
+    """Some rows of a region: residents, and visitors from other regions."""
+
+    def __init__(self, region: int, ids: np.ndarray, raw: np.ndarray, sizes: np.ndarray, regions: np.ndarray):
+        self.region, self.ids, self.raw, self.sizes, self.regions = region, ids, raw, sizes, regions
+        self.single = _units(raw).astype(np.float32)
+        starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(int)
+        self.home = regions[starts]
+        self.residents, self.visitors = np.flatnonzero(self.home == region), np.flatnonzero(self.home != region)
+        self.known = np.sort(np.repeat(np.arange(len(ids)), sizes) << 32 | regions)
+        self.degree = np.zeros(len(ids), np.int64)
+
+    def knows(self, rows: np.ndarray, regions: np.ndarray) -> np.ndarray:
+        """Whether row i is dealt to region j too, for all of both."""
+        few, which = np.unique(regions, return_inverse=True)
+        key = rows[:, None] << 32 | few[None, :]
+        at = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
+        return (self.known[at] == key)[:, which]
+
+
+class Forest:
+    """Disjoint sets of nodes; a set's root is its smallest node."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def root(self, nodes: np.ndarray) -> np.ndarray:
+        r = self.up[nodes]
+        while (self.up[r] != r).any():
+            r = self.up[r]
+        self.up[nodes] = r
+        return r
+
+    def join(self, a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> None:
+        """Joins a[i] and b[j] wherever ``linked``."""
+        while True:
+            ra, rb = self.root(a), self.root(b)
+            apart = linked & (ra[:, None] != rb[None, :])
+            rows, cols = np.flatnonzero(apart.any(1)), np.flatnonzero(apart.any(0))
+            if not len(rows):
+                return
+            # one link of each row and of each column; what is still apart then has another turn
+            one, two = np.r_[ra[rows], ra[apart[:, cols].argmax(0)]], np.r_[rb[apart[rows].argmax(1)], rb[cols]]
+            nodes, where = np.unique(np.r_[one, two], return_inverse=True)
+            self.up[nodes] = nodes[_forest(where[:len(one)], where[len(one):], len(nodes))]
+
+
+def compare(x: Block, y: Block, least: float) -> Forest:
+    """Adds the links between residents, and residents and visitors, of two blocks of a region to the blocks' degrees; the blocks
+    may be the same.  Nodes of the forest are the rows of ``x``, then those of ``y``."""
+    same = x is y
+    off = 0 if same else len(x.ids)
+    forest = Forest(off + len(y.ids))
+    slack = max(1e-5, (x.raw.shape[1] + 4) * 1.2e-7)  # how far single precision is off at most
+    parts = [(x.residents, y.residents), (x.residents, y.visitors)] + ([] if same else [(x.visitors, y.residents)])
+    for rows, cols in parts:
+        if not len(rows) or not len(cols):
+            continue
+        within = same and rows is cols
+        side = np.ascontiguousarray(y.single[cols].T)
+        step = max(1, TILE // len(cols))
+        for s in range(0, len(rows), step):
+            own = rows[s:s + step]
+            value = x.single[own] @ side
+            linked = value >= least - slack
+            if within:
+                linked[np.arange(len(own)), s + np.arange(len(own))] = False
+            r, c = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+            if not len(r):
+                continue
+            linked, value = linked[np.ix_(r, c)], value[np.ix_(r, c)]
+            a, b = own[r], cols[c]
+            i, j = np.nonzero(linked & (value < least + slack))
+            for t in range(0, len(i), 100_000):
+                p, q = i[t:t + 100_000], j[t:t + 100_000]
+                linked[p, q] = np.einsum("pd,pd->p", _units(x.raw[a[p]]), _units(y.raw[b[q]])) >= least
+            # what a region with a smaller number sees counts there
+            if rows is x.residents and cols is y.visitors:
+                linked &= ~(x.knows(a, y.home[b]) & (y.home[b] < x.region)[None, :])
+            elif rows is x.visitors:
+                linked &= ~(y.knows(b, x.home[a]).T & (x.home[a] < y.region)[:, None])
+            x.degree[a] += linked.sum(1)
+            if not within:
+                y.degree[b] += linked.sum(0)
+            forest.join(a, b + off, linked)
+    return forest
+
+
+def _found(x: Block, y: Block, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, a row that stands for its tree, and number of links of each row with links."""
+    forest = compare(x, y, least)
+    ids, degree = (x.ids, x.degree) if x is y else (np.r_[x.ids, y.ids], np.r_[x.degree, y.degree])
+    some = np.flatnonzero(degree)
+    return ids[some], ids[forest.root(some)], degree[some]
+
+
+def _leaders(use: DataFrame, shard: int, least: float) -> dict:
+    """(label, length) -> graph and unit vectors of the leaders, of labels that have several.  They are picked by a hash of the
+    vector, so that copies of one vector are one leader."""
+    counted = (use.groupBy("label", "size").agg(F.count("*").alias("c"))
+               .withColumn("wanted", F.greatest(F.ceil(F.col("c") / shard), F.floor(F.sqrt("c") / SPACING))).where("wanted > 1"))
+    picked = (use.join(F.broadcast(counted), ["label", "size"])
+              .where(F.pmod(F.xxhash64("v"), F.lit(1 << 40)) < F.col("wanted") / F.col("c") * (1 << 40))
+              .select("label", "size", "v").distinct())
+    out: dict = {}
+    for r in picked.collect():
+        out.setdefault((r["label"], r["size"]), []).append(r["v"])
+    made = {}
+    for k, v in out.items():
+        unit = _units(np.array(sorted(v)))
+        made[k] = (Graph(unit), unit)
+    return {k: v for k, v in made.items() if len(v[1]) > 1}
+
+
 def near(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", label: str = "label", least: float = 0.98, shard: int = SHARD) -> DataFrame:
     """(key, n_links, component_id, kept) of each row; component_id is the smallest key that links reach."""
-    rows = written(vectors.select(F.col(key).alias("key"), F.col(embedding).cast("array<double>").alias("v"), F.col(label).alias("label"))
+    element = getattr(vectors.schema[embedding].dataType, "elementType", None)
+    short = element is not None and element.simpleString() == "float"
+    source = (vectors.select(F.col(key).alias("key"), F.col(embedding).cast("array<float>" if short else "array<double>").alias("v"), F.col(label).alias("label"))
+              .withColumn("v", F.when(_usable("v") & F.col("label").isNotNull(), F.col("v"))).withColumn("size", F.size("v")))
+    leaders = _leaders(source.where("v is not null"), shard, least)
+    kind, item = source.schema["label"].dataType.simpleString(), np.dtype(np.float32 if short else float)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, size = batch.column("v"), batch.column("size")
+            length = np.where(v.is_valid().to_numpy(zero_copy_only=False), size.to_numpy(zero_copy_only=False), 0).astype(np.int64)
+            flat = np.ascontiguousarray(v.flatten().to_numpy(zero_copy_only=False), item)
+            start = np.r_[0, np.cumsum(length)]
+            code = batch.column("label").dictionary_encode()
+            names, codes = code.dictionary.to_pylist(), code.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            at, to = [np.flatnonzero(length)], [np.zeros(np.count_nonzero(length), np.int64)]
+            for k, name in enumerate(names):
+                for d in np.unique(length[(codes == k) & (length > 0)]).tolist():
+                    if (name, d) in leaders:
+                        rows = np.flatnonzero((codes == k) & (length == d))
+                        q, region = regions_of(*leaders[name, d], _units(flat[start[rows][:, None] + np.arange(d)]), least)
+                        at[0], to[0] = at[0][~np.isin(at[0], rows)], to[0][:-len(rows)]
+                        at.append(rows[q])
+                        to.append(region)
+            at, to = np.concatenate(at), np.concatenate(to)
+            order = np.argsort(at, kind="stable")
+            ends = np.r_[0, np.cumsum(np.bincount(at, minlength=batch.num_rows))].astype(np.int32)
+            binary = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((start * item.itemsize).astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), size, pa.ListArray.from_arrays(pa.array(ends), pa.array(to[order].astype(np.int32))), binary],
+                                             ["key", "label", "size", "regions", "v"])
+
+    # written once, as rows need numbers that stay
+    rows = written(source.mapInArrow(route, f"key {source.schema['key'].dataType.simpleString()}, label {kind}, size int, regions array<int>, v binary")
                    .withColumn("row", F.monotonically_increasing_id()), "vectors")
-    use = rows.where(_usable("v") & F.col("label").isNotNull()).withColumn("size", F.size("v"))
-    counted = use.groupBy("label", "size").agg(F.count("*").alias("c"))
-    dealt = (use.join(counted, ["label", "size"])
-             .withColumn("shard", F.pmod(F.xxhash64("row"), F.ceil(F.col("c") / shard).cast("bigint"))))
-    kind = dealt.schema["label"].dataType.simpleString()
+    # no region without a resident, so counts of small ones are of no use
+    large = (rows.select("label", "size", F.explode("regions").alias("region")).groupBy("label", "size", "region").count()
+             .where(F.col("count") > shard).select("label", "size", "region", F.ceil(F.col("count") / shard).cast("int").alias("shards")))
+    dealt = (rows.select("label", "size", "row", "regions", "v", F.explode("regions").alias("region"))
+             .join(F.broadcast(large), ["label", "size", "region"], "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+             .withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards")).cast("int")))
+
+    def unpack(region: int, size: int, ids: bytes, raw: bytes, sizes: bytes, regions: bytes) -> Block:
+        return Block(region, np.frombuffer(ids, np.int64), np.frombuffer(raw, item).reshape(-1, size), np.frombuffer(sizes, np.int64), np.frombuffer(regions, np.int64))
 
-    def build(group: pa.Table) -> pa.Table:
+    def within(group: pa.Table) -> pa.Table:
         group = group.sort_by("row")
-        x = np.stack([np.asarray(v, float) for v in group.column("v").to_pylist()])
-        return pa.table({"label": group.column("label").slice(0, 1), "size": group.column("size").slice(0, 1), "shard": group.column("shard").slice(0, 1),
-                         "ids": [group.column("row").to_numpy().tobytes()], "vectors": [x.tobytes()]},
-                        schema=None).cast(pa.schema([("label", group.schema.field("label").type), ("size", pa.int32()), ("shard", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())]))
-
-    blocks = written(dealt.select("label", "size", "shard", "row", "v").groupBy("label", "size", "shard")
-                     .applyInArrow(build, f"label {kind}, size int, shard bigint, ids binary, vectors binary"), "blocks")
-    other = blocks.select("label", "size", F.col("shard").alias("shard2"), F.col("ids").alias("ids2"), F.col("vectors").alias("vectors2"))
-    work = blocks.join(other, ["label", "size"]).where("shard <= shard2").select("size", "shard", "shard2", "ids", "vectors", "ids2", "vectors2")
-    # each row is a task's worth of search
-    work = work.repartition(F.col("ids"), F.col("ids2"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = group.column("regions").combine_chunks()
+        raw = b"".join(x.as_buffer().to_pybytes() for x in group.column("v"))
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        regions = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        packed = (group.column("row").to_numpy().tobytes(), raw, sizes.tobytes(), regions.tobytes())
+        block = unpack(group.column("region")[0].as_py(), group.column("size")[0].as_py(), *packed)
+        a, b, n = _found(block, block, least)
+        more = group.column("shards")[0].as_py() > 1  # the block meets the others of its region
+        none = [None] * len(a)
+        cells = {c: pa.concat_arrays([pa.nulls(len(a), group.schema.field(c).type), *group.column(c).slice(0, int(more)).chunks]) for c in ("label", "size", "region", "shard")}
+        blobs = {c: pa.array(none + [p] * more, pa.binary()) for c, p in zip(PACKED, packed, strict=True)}
+        links_ = {c: pa.array([*v.tolist()] + [None] * more, pa.int64()) for c, v in (("a", a), ("b", b), ("n", n))}
+        return pa.table(links_ | cells | blobs)
+
+    PACKED = ("ids", "vectors", "sizes", "regions")
+    found = written(dealt.groupBy("label", "size", "region", "shard").applyInArrow(
+        within, f"a bigint, b bigint, n bigint, label {kind}, size int, region int, shard int, " + ", ".join(f"{c} binary" for c in PACKED)), "found")
+    blocks = found.where("ids is not null").drop("a", "b", "n")
+    other = blocks.select("label", "size", "region", *(F.col(c).alias(f"{c}2") for c in ("shard", *PACKED)))
+    # each row is a task's worth of comparing
+    work = (blocks.join(other, ["label", "size", "region"]).where("shard < shard2")
+            .select("size", "region", *PACKED, *(f"{c}2" for c in PACKED)).repartition(F.col("ids"), F.col("ids2")))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                size, s, s2 = (batch.column(k)[r].as_py() for k in range(3))
-                side = []
-                for k in (3, 5):
-                    ids = np.frombuffer(batch.column(k)[r].as_py(), np.int64)
-                    v = np.frombuffer(batch.column(k + 1)[r].as_py(), float).reshape(-1, size)
-                    big = np.abs(v).max(1, keepdims=True)
-                    v = v / big
-                    side.append((ids, v / np.sqrt(np.square(v).sum(1, keepdims=True))))
-                    if s == s2:
-                        break
-                (ids, x), (ids2, y) = side[0], side[-1]
-                a, b = links(Graph(x), x, y, least)
-                if s == s2:
-                    a, b = np.r_[a, b], np.r_[b, a]
-                    all_ids = ids
-                else:
-                    b2, a2 = links(Graph(y), y, x, least)
-                    a, b = np.r_[a + len(ids), a2 + len(ids)], np.r_[b, b2]
-                    a, b = np.r_[a, b], np.r_[b, a]
-                    all_ids = np.r_[ids, ids2]
-                n = len(all_ids)
-                pair = np.unique(a[a != b] * n + b[a != b])
-                a, b = pair // n, pair % n
-                degree = np.bincount(a, minlength=n)
-                root = _forest(a, b, n)
-                some = np.flatnonzero(degree)
-                yield pa.RecordBatch.from_arrays([pa.array(all_ids[some]), pa.array(all_ids[root[some]]), pa.array(degree[some])], ["a", "b", "n"])
-
-    found = written(work.mapInArrow(run, "a bigint, b bigint, n bigint"), "found")
+                size, region, *packed = (batch.column(k)[r].as_py() for k in range(batch.num_columns))
+                a, b, n = _found(unpack(region, size, *packed[:4]), unpack(region, size, *packed[4:]), least)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "n"])
+
+    found = (found.where("a is not null").select("a", "b", "n")
+             .unionByName(written(work.mapInArrow(across, "a bigint, b bigint, n bigint"), "across")))
     degrees = found.groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("n_links"))
     parts = components(found).select(F.col("node").alias("row"), F.col("component_id").alias("part"))
     out = (rows.select("key", "row").join(degrees, "row", "left").join(parts, "row", "left")
