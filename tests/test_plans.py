@@ -80,3 +80,48 @@ def test_a_last_message_without_packages_ends_all_installs(spark):
     reports = spark.createDataFrame(rows, f"asset_id string, asset_known boolean, offset bigint, softwareinfo {kind}").withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
     out = sorted(map(tuple, INV.software_state(known, reports).collect()))
     assert out == [("a", "x", "2", "0"), ("b", "x", "1", "1"), ("c", "x", "1", "1")]
+
+
+def test_sieve_parts_rows_and_loses_none(spark):
+    from tidewatch.functions.plan import sieved
+    rows = spark.createDataFrame([(k,) for k in [*range(400), 7, 7, None, None]], "k bigint")
+    side = spark.createDataFrame([(k,) for k in [*range(0, 400, 40), 900, 7, None]], "k bigint")
+    near, far = (sorted((r.k for r in sieved(rows, F.xxhash64("k"), side, F.xxhash64("k"), inside).collect()), key=str) for inside in (True, False))
+    assert sorted([*near, *far], key=str) == sorted((r.k for r in rows.collect()), key=str)
+    assert {*range(0, 400, 40), 7, None} <= {*near} and near.count(7) == 3 and len(near) < 30
+    assert sieved(rows, F.xxhash64("k"), side.limit(0), F.xxhash64("k"), False).count() == rows.count()
+
+
+def test_whole_messages_are_shuffled_for_the_asset_only(spark):
+    # for their offset and their technique they were too; the assets of all addresses were made
+    from tidewatch.operators import endpoint as EP
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plan = E.queries()["endpoint_standard_events"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    lines = [line.strip(" :+-") for line in plan.split("\n")]
+    assert sum("hashpartitioning(source_ip" in x for x in lines) == 1 and not any("hashpartitioning(technique" in x for x in lines)
+    assert any(x.startswith("ShuffledHashJoin [source_ip") for x in lines) and "LeftAnti" in plan and plan.count("from_json(") <= 6
+    assert any(x.endswith("collect_set(software_name)") or "collect_set(software_name" in x for x in lines)
+    # repeated, undecodable and null offsets
+    good = '{"type": "eventlog", "client": {"uuid": "u%d", "server_ip": "192.0.2.0"}}'
+    rows = [("t", 0, 1, good % 1), ("t", 0, 1, good % 1), ("t", 0, 2, good % 2), ("t", 1, 2, "{no"), ("t", 1, 2, "{no"), ("t", 1, 2, good % 3), ("t", 1, 3, "{no"),
+            ("t", None, None, good % 4), ("t", None, None, good % 4), ("t", None, 1, good % 5)]
+    topic = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string").withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    for whole in (False, True):
+        events, bad = EP.decode(topic, whole=whole)
+        assert sorted(r.uuid for r in events.select("client.uuid").collect()) == ["u1", "u2", "u3", "u4", "u5"]
+        assert sorted((r.partition, r.offset) for r in bad.collect()) == [(1, 2), (1, 3)]
+
+
+def test_asset_details_of_named_addresses(spark):
+    from tidewatch.plans.endpoint_queries import asset_details
+    every = {r.ip_addr: r for r in asset_details(spark, SF001).collect()}
+    some = sorted(every)[::7] + ["10.9.9.9", None]
+    got = {r.ip_addr: r for r in asset_details(spark, SF001, spark.createDataFrame([(x,) for x in some], "ip_addr string")).collect()}
+    assert {*some[:-2]} <= {*got} and len(got) < len(every) / 2
+    assert all(every[k] == r for k, r in got.items())
