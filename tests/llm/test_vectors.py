@@ -200,3 +200,18 @@ def test_compare_holds_no_table_of_pairs():
     tracemalloc.stop()
     assert (block.degree == 3999).all() and (forest.root(np.arange(4000)) == 0).all()
     assert peak < 200 << 20
+
+
+@pytest.mark.parametrize("d", [5, 64])
+def test_sketches_lose_no_visitor(d):
+    rng = np.random.default_rng(d)
+    residents = rng.normal(size=(700, d))
+    near = residents[:200] + rng.normal(size=(200, d)) * np.linspace(0, 0.3, 200)[:, None]
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    residents, visitors = unit(residents), unit(np.concatenate([near, rng.normal(size=(500, d))]))
+    linked = (visitors @ residents.T >= 0.98).any(1)
+    called = hnsw.callers(hnsw.sketch(residents), hnsw.sketch(visitors), 0.98)
+    assert linked.sum() > 50 and not (linked & ~called).any()
+    if d > hnsw.SKETCH:
+        assert hnsw.sketch(residents).shape[1] == hnsw.SKETCH and called[200:].sum() < 50
+    assert not hnsw.callers(hnsw.sketch(residents)[:0], hnsw.sketch(visitors), 0.98).any()

@@ -12,6 +12,9 @@ with different homes at least one lies so near to the border between their leade
 link is lost by that, and most pairs of regions of most vectors are never looked at.  A link that both regions see
 counts in the one with the smaller number.
 
+Visits are made first with sketches of 16 dimensions: a visitor whose sketch is farther from the residents' than a link is
+long has no link there, and only the others take their whole vector along.
+
 In its region, a vector is compared with the residents, in blocks of at most about ``SHARD`` rows and tiles
 of ``TILE`` pairs: in single precision, and those near the threshold as cosines of the original vectors in
 double precision.  A task counts the links of each vector and reduces them to a spanning forest tile by tile, so
@@ -31,12 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import sieved
 from .common import components, written
 
 #: Rows of a block, about, and pairs of a tile.
 SHARD, TILE = 65_536, 1 << 22
 #: A label of n vectors has about sqrt(n) / SPACING leaders: more of them make regions smaller, and more visits.
 SPACING = 16
+#: Dimensions of a sketch, and how far its rounding can move two of them apart.
+SKETCH, ROUNDING = 16, 1.1e-3
 FORWARD, LINKS, UPPER = 16, 32, 16   # chosen and total neighbours on the lowest level, and above
 BUILD_BEAM, BEAM, BATCH = 48, 48, 256
 AUDITED = 64
@@ -270,6 +276,28 @@ def regions_of(graph: Graph, leaders: np.ndarray, q: np.ndarray, least: float) -
     return at[near_border], to[near_border]
 
 
+def sketch(unit: np.ndarray) -> np.ndarray:
+    """Coordinates in a few orthogonal directions: two sketches are no farther apart than the vectors, but for rounding."""
+    d = unit.shape[1]
+    directions = np.eye(d) if d <= SKETCH else np.linalg.qr(np.random.default_rng(d).normal(size=(d, SKETCH)))[0]
+    return (unit @ directions).astype(np.float16)
+
+
+def callers(residents: np.ndarray, visitors: np.ndarray, least: float) -> np.ndarray:
+    """Of each visitor's sketch, whether it is so near to a resident's that there may be a link."""
+    near = np.zeros(len(visitors), bool)
+    if not len(residents):
+        return near
+    r, v = residents.astype(np.float32), visitors.astype(np.float32)
+    most = np.float32((np.sqrt(max(0.0, 2 - 2 * least)) + ROUNDING) ** 2 + 1e-5)
+    square, side = np.square(r).sum(1), np.ascontiguousarray(r.T) * 2
+    step = max(1, TILE // len(r))
+    for s in range(0, len(v), step):
+        own = v[s:s + step]
+        near[s:s + step] = np.square(own).sum(1) - (own @ side - square).max(1) <= most
+    return near
+
+
 class Block:
     """Some rows of a region: residents, and visitors from other regions."""
 
@@ -401,30 +429,65 @@ def near(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding",
             start = np.r_[0, np.cumsum(length)]
             code = batch.column("label").dictionary_encode()
             names, codes = code.dictionary.to_pylist(), code.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            at, to = [np.flatnonzero(length)], [np.zeros(np.count_nonzero(length), np.int64)]
+            at, to, routed = [np.flatnonzero(length)], [np.zeros(np.count_nonzero(length), np.int64)], []
             for k, name in enumerate(names):
                 for d in np.unique(length[(codes == k) & (length > 0)]).tolist():
                     if (name, d) in leaders:
                         rows = np.flatnonzero((codes == k) & (length == d))
-                        q, region = regions_of(*leaders[name, d], _units(flat[start[rows][:, None] + np.arange(d)]), least)
+                        units = _units(flat[start[rows][:, None] + np.arange(d)])
+                        q, region = regions_of(*leaders[name, d], units, least)
+                        routed.append((rows, units))
                         at[0], to[0] = at[0][~np.isin(at[0], rows)], to[0][:-len(rows)]
                         at.append(rows[q])
                         to.append(region)
             at, to = np.concatenate(at), np.concatenate(to)
             order = np.argsort(at, kind="stable")
+            drawn = [None] * batch.num_rows  # of vectors that visit regions, or may be visited
+            for rows, units in routed:
+                drawn_here = sketch(units)
+                for i, row in enumerate(rows.tolist()):
+                    drawn[row] = drawn_here[i].tobytes()
             ends = np.r_[0, np.cumsum(np.bincount(at, minlength=batch.num_rows))].astype(np.int32)
             binary = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((start * item.itemsize).astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), size, pa.ListArray.from_arrays(pa.array(ends), pa.array(to[order].astype(np.int32))), binary],
-                                             ["key", "label", "size", "regions", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), size, pa.ListArray.from_arrays(pa.array(ends), pa.array(to[order].astype(np.int32))),
+                                              pa.array(drawn, pa.binary()), binary], ["key", "label", "size", "regions", "sketch", "v"])
 
     # written once, as rows need numbers that stay
-    rows = written(source.mapInArrow(route, f"key {source.schema['key'].dataType.simpleString()}, label {kind}, size int, regions array<int>, v binary")
+    rows = written(source.mapInArrow(route, f"key {source.schema['key'].dataType.simpleString()}, label {kind}, size int, regions array<int>, sketch binary, v binary")
                    .withColumn("row", F.monotonically_increasing_id()), "vectors")
-    # no region without a resident, so counts of small ones are of no use
-    large = (rows.select("label", "size", F.explode("regions").alias("region")).groupBy("label", "size", "region").count()
-             .where(F.col("count") > shard).select("label", "size", "region", F.ceil(F.col("count") / shard).cast("int").alias("shards")))
-    dealt = (rows.select("label", "size", "row", "regions", "v", F.explode("regions").alias("region"))
-             .join(F.broadcast(large), ["label", "size", "region"], "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+    cell = ["label", "size", "region"]
+    visits = (rows.select("label", "size", "row", "sketch", F.posexplode("regions").alias("visitor", "region"))
+              .withColumn("visitor", F.col("visitor") > 0))
+
+    def large(rows: DataFrame, counts: dict) -> DataFrame:
+        """Regions of more than ``shard`` rows, which are few, and the numbers of their parts."""
+        counted = rows.groupBy(cell).agg(*(c.alias(n) for n, c in counts.items()))
+        return F.broadcast(counted.where(F.array_max(F.array(*counts)) > shard).select(*cell, *(F.greatest(F.ceil(F.col(n) / shard), F.lit(1)).cast("int").alias(n) for n in counts)))
+
+    # each part of a region's visitors meets each part of its residents
+    met = visits.join(large(visits, {"i": F.count_if(~F.col("visitor")), "j": F.count_if("visitor")}), cell, "left")
+    part = lambda n: F.array(F.pmod(F.xxhash64("row"), F.coalesce(n, F.lit(1))).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1)
+    met = (met.where("sketch is not null").withColumn("i_", F.explode(F.when(F.col("visitor"), every("i")).otherwise(part("i"))))
+           .withColumn("j_", F.explode(F.when(F.col("visitor"), part("j")).otherwise(every("j")))))
+
+    def meet(group: pa.Table) -> pa.Table:
+        visitor = group.column("visitor").to_numpy()
+        raw = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.float16).reshape(len(visitor), -1)
+        found = group.filter(pa.array(visitor)).filter(pa.array(callers(raw[~visitor], raw[visitor], least)))
+        return found.select(["row", "region"])
+
+    wanted = written(met.select(*cell, "i_", "j_", "row", "visitor", "sketch").groupBy(*cell, "i_", "j_").applyInArrow(meet, "row bigint, region int"), "wanted")
+    with_visits = wanted.groupBy("row").agg(F.collect_set("region").alias("others"))
+    body = rows.where(F.size("regions") > 0).select("label", "size", "row", F.get("regions", F.lit(0)).alias("home"), "v")
+    home, away = (sieved(body, F.xxhash64("row"), wanted, F.xxhash64("row"), inside) for inside in (False, True))
+    body = (home.withColumn("regions", F.array("home"))
+            .unionByName(away.join(with_visits, "row", "left")
+                         .withColumn("regions", F.concat(F.array("home"), F.coalesce("others", F.array().cast("array<int>")))).drop("others")).drop("home"))
+    of_cells = (rows.select("label", "size", F.get("regions", F.lit(0)).alias("region")).where("region is not null")
+                .unionByName(wanted.join(rows.select("row", "label", "size"), "row").select(*cell)))
+    dealt = (body.withColumn("region", F.explode("regions")).join(large(of_cells, {"shards": F.count("*")}), cell, "left")
+             .withColumn("shards", F.coalesce("shards", F.lit(1)))
              .withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards")).cast("int")))
 
     def unpack(region: int, size: int, ids: bytes, raw: bytes, sizes: bytes, regions: bytes) -> Block:
